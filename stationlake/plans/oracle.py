@@ -114,6 +114,75 @@ report as (select *, {_rating('avg_completeness_score')} as overall_quality_rati
 DAILY_OUT = f"{RAW_LIST}, " + ", ".join(f"{m}_quality" for m in _Q) + ", data_completeness_score"
 
 
+
+LATEST_CTE = f""",
+latest as (
+  select station_id, location, latitude, longitude, temperature, humidity, wind_speed, pressure, timestamp,
+    cast(timestamp as date) as observation_date
+  from (select *, row_number() over (partition by station_id, cast(timestamp as date) order by {TIE_BREAK}) as rn
+        from raw) x
+  where rn = 1
+)"""
+
+HIST_COLS = ("station_id, timestamp, temperature, humidity, wind_speed, wind_direction, pressure, precipitation, "
+             "cloud_cover, visibility, data_completeness_score")
+HISTORY_CTE = f""",
+hist_old as (
+  select {HIST_COLS}, cast(cast(timestamp as date) as timestamp) + interval 25 hour as processing_time,
+    cast(timestamp as date) as observation_date
+  from daily
+),
+hist_new as (
+  select {HIST_COLS}, timestamp '2024-02-01 01:00:00' as processing_time, cast(timestamp as date) as observation_date
+  from daily where cast(timestamp as date) between date '2024-01-16' and date '2024-01-30'
+)"""
+
+_HIST_ORDER = ", ".join(f"{c} desc nulls last" for c in ["processing_time", *MEASURES, "data_completeness_score"])
+
+TREND_CTE = HISTORY_CTE + """,
+trend as (
+  select station_id, timestamp, temperature, humidity, wind_speed, pressure, data_completeness_score
+  from hist_old where timestamp >= timestamp '2024-01-17 00:00:00'
+)"""
+
+CATALOG_CTE = """,
+cat as (
+  select cast(s_suppkey * 2 as bigint) as station_id, s_name as station_name,
+    case when s_nationkey % 5 = 1 then '2019' when s_nationkey % 5 = 2 then '2020'
+         when s_nationkey % 5 = 3 then 'x' end as finish,
+    cast(s_suppkey as bigint) as catalog_order
+  from supplier
+  union all
+  select cast(n_nationkey * 2 as bigint), n_name, null, 1000000000000 + n_nationkey from nation
+),
+active as (select * from cat where finish is null or trim(finish) = '' or try_cast(finish as double) >= 2020),
+lookup as (
+  select station_id, station_name from (
+    select *, row_number() over (partition by station_id order by catalog_order) as rn from active) x
+  where rn = 1
+)"""
+
+
+def _top10(value: str, direction: str) -> str:
+    return (f"with {SUMMARY_CTE}\nselect observation_date, rank, station_id, location, {value} from (\n"
+            f"  select *, cast(row_number() over (partition by observation_date order by {value} {direction} nulls last,"
+            f" station_id, location, latitude, longitude) as integer) as rank from summary) x\nwhere rank <= 10")
+
+
+_LABELS = [("temperature", "Temperature"), ("humidity", "Humidity"), ("wind_speed", "Wind Speed"),
+           ("pressure", "Pressure")]
+
+
+def _long(prefix: str, value: str) -> str:
+    parts = "\nunion all ".join(f"select report_date, '{label}' as parameter, {prefix}_{m} as {value} from report"
+                                 for m, label in _LABELS)
+    return f"with {REPORT_CTE}\n{parts}"
+
+
+def _range(start: str, end: str) -> str:
+    return f"cast(timestamp as date) between date '{start}' and date '{end}'"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["observations_distinct"] = f"with {RAW_CTE}\nselect distinct {RAW_LIST} from raw"
@@ -128,4 +197,75 @@ def oracle_sql() -> dict[str, str]:
     q["quality_rating_by_station_day"] = (
         f"with {SUMMARY_CTE}\nselect station_id, location, latitude, longitude, observation_date, "
         f"avg_completeness_score, {_rating('avg_completeness_score')} as quality_rating from summary")
+    q["latest_by_station"] = f"with {RAW_CTE}{LATEST_CTE}\nselect * from latest"
+    q["overview_kpis"] = (
+        f"with {RAW_CTE}{LATEST_CTE}\nselect observation_date, count(*) as active_stations, "
+        f"{rnd('avg(temperature)', 2)} as avg_temperature, {rnd('avg(humidity)', 2)} as avg_humidity, "
+        f"{rnd('max(wind_speed)', 2)} as max_wind_speed from latest group by observation_date")
+    q["map_points"] = (
+        f"with {RAW_CTE}{LATEST_CTE}\nselect observation_date, station_id, location, latitude, longitude, "
+        f"temperature, humidity, wind_speed, pressure, coalesce(wind_speed, 0.0E0) as wind_speed_display, "
+        f"greatest(coalesce(wind_speed, 0.0E0), 1.0E0) as marker_size from latest")
+    q["hottest_10"] = _top10("max_temperature", "desc")
+    q["coldest_10"] = _top10("min_temperature", "asc")
+    q["daily_kpis"] = (
+        f"with {SUMMARY_CTE}\nselect observation_date, count(*) as stations_reporting, "
+        f"cast(sum(total_observations) as bigint) as total_observations, "
+        f"{rnd('avg(avg_completeness_score)', 4)} as avg_data_quality from summary group by observation_date")
+    q["station_trend_14d"] = f"with {DAILY_CTE}{TREND_CTE}\nselect * from trend"
+    q["trend_kpis"] = (
+        f"with {DAILY_CTE}{TREND_CTE}\nselect station_id, {rnd('avg(temperature)', 2)} as avg_temperature, "
+        f"{rnd('min(temperature)', 2)} as min_temperature, {rnd('max(temperature)', 2)} as max_temperature, "
+        f"{rnd('avg(humidity)', 2)} as avg_humidity, count(*) as data_points from trend group by station_id")
+    q["trend_series_long"] = (
+        f"with {DAILY_CTE}{TREND_CTE}\nselect station_id, timestamp, 'temperature' as series, temperature as value "
+        f"from trend\nunion all select station_id, timestamp, 'humidity', humidity from trend")
+    q["missing_long"] = _long("missing", "missing_count")
+    q["outlier_long"] = _long("outlier", "outlier_count")
+    q["rating_view"] = (
+        f"with {REPORT_CTE}\nselect report_date, overall_quality_rating, case overall_quality_rating "
+        f"when 'EXCELLENT' then '🟢' when 'GOOD' then '🟡' when 'FAIR' then '🟠' when 'POOR' then '🔴' else '⚪' end "
+        f"as rating_mark, active_stations, total_observations, temperature_valid_pct, humidity_valid_pct, "
+        f"wind_speed_valid_pct, pressure_valid_pct from report")
+    q["history_union_distinct"] = (f"with {DAILY_CTE}{HISTORY_CTE}\n"
+                                   f"select * from hist_old union select * from hist_new")
+    q["history_upsert"] = (
+        f"with {DAILY_CTE}{HISTORY_CTE},\nu as (select * from hist_old union all select * from hist_new)\n"
+        f"select * exclude (rn) from (select *, row_number() over (partition by station_id, timestamp "
+        f"order by {_HIST_ORDER}) as rn from u) x where rn = 1")
+    q["station_daily_range"] = (
+        f"with {DAILY_CTE}\nselect station_id, cast(timestamp as date) as observation_date, "
+        f"{rnd('min(temperature)', 2)} as min_temperature, {rnd('avg(temperature)', 2)} as avg_temperature, "
+        f"{rnd('max(temperature)', 2)} as max_temperature from daily where {_range('2024-01-05', '2024-01-25')} "
+        f"group by station_id, cast(timestamp as date)")
+    q["temp_humidity_corr"] = (
+        f"with {DAILY_CTE}\nselect station_id, count(case when temperature is not null and humidity is not null "
+        f"then 1 end) as pairs, {rnd('corr(temperature, humidity)', 4)} as temp_humidity_corr "
+        f"from daily group by station_id")
+    q["station_comparison"] = (
+        f"with {DAILY_CTE}\nselect station_id, location, {rnd('avg(temperature)', 2)} as avg_temperature, "
+        f"{rnd('avg(humidity)', 2)} as avg_humidity, {rnd('avg(wind_speed)', 2)} as avg_wind_speed "
+        f"from daily group by station_id, location")
+    q["temperature_trend"] = (
+        f"with {DAILY_CTE}\nselect cast(timestamp as date) as observation_date, "
+        f"{rnd('avg(temperature)', 2)} as avg_temperature, count(distinct station_id) as stations "
+        f"from daily group by cast(timestamp as date)")
+    q["station_completeness"] = (
+        f"with {DAILY_CTE}\nselect station_id, count(*) as observations, "
+        f"{rnd('avg(data_completeness_score)', 4)} as avg_completeness_score from daily group by station_id")
+    q["geo_distribution"] = (
+        f"with {DAILY_CTE}\nselect station_id, location, latitude, longitude, "
+        f"{rnd('avg(temperature)', 2)} as avg_temperature, {rnd('avg(wind_speed)', 2)} as avg_wind_speed, "
+        f"count(*) as observations from daily group by station_id, location, latitude, longitude")
+    q["station_name_lookup"] = (
+        f"with {RAW_CTE}{CATALOG_CTE}\nselect r.station_id, r.timestamp, r.ingestion_time, l.station_name as location "
+        f"from raw r left join lookup l on r.station_id = l.station_id")
+    q["silent_stations"] = (
+        f"with {RAW_CTE}{CATALOG_CTE}\nselect station_id, station_name from lookup "
+        f"where station_id not in (select station_id from raw)")
+    q["poll_outcome_counts"] = (
+        f"with {RAW_CTE}{CATALOG_CTE}\nselect cast(timestamp as date) as observation_date, "
+        f"(select count(*) from lookup) as polled, count(distinct station_id) as succeeded, "
+        f"(select count(*) from lookup) - count(distinct station_id) as failed from raw "
+        f"where station_id in (select station_id from lookup) group by cast(timestamp as date)")
     return q

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import completeness_score, quality_columns
 from stationlake.operators import curate, summarize
+from stationlake.operators import history as hist
+from stationlake.operators import lookup, reports, views
+from stationlake.sources import catalog as cat
 from stationlake.schemas import DAILY_COLUMNS, QUALITY_COLUMNS, RAW_COLUMNS
-from stationlake.sources.fixtures import raw_observations
+from stationlake.sources.fixtures import raw_observations, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REPORT_DAY = "2024-01-15"
@@ -55,6 +58,140 @@ def q_quality_rating_by_station_day(spark, sf_dir):
     return summarize.station_day_rating(summarize.daily_summary(_daily(spark, sf_dir)))
 
 
+# ---- views, history, reports, lookups -------------------------------------------------------
+
+TREND_AS_OF = "2024-01-31 00:00:00"
+TREND_DAYS = 14
+BACKFILL_FROM, BACKFILL_TO = "2024-01-16", "2024-01-30"
+BACKFILL_RUN = "2024-02-01 01:00:00"
+REPORT_FROM, REPORT_TO = "2024-01-05", "2024-01-25"
+
+
+def _summary(spark, sf_dir):
+    return summarize.daily_summary(_daily(spark, sf_dir))
+
+
+def _report(spark, sf_dir):
+    return summarize.quality_report(_daily(spark, sf_dir))
+
+
+def _nightly_history(daily: DataFrame) -> DataFrame:
+    """History as nightly runs leave it: each day processed at 01:00 the next day."""
+    nightly = F.timestamp_add("HOUR", F.lit(25), F.to_date("timestamp").cast("timestamp_ntz"))
+    return hist.history_rows(daily, nightly)
+
+
+def _backfill(daily: DataFrame) -> DataFrame:
+    """A rerun of the second half of the month at one later processing time."""
+    return hist.history_rows(reports.date_between(daily, BACKFILL_FROM, BACKFILL_TO).drop("observation_date"),
+                             F.lit(BACKFILL_RUN).cast("timestamp_ntz"))
+
+
+def _lookup_catalog(spark, sf_dir):
+    return cat.lookup_catalog(cat.catalog_from_tables(read_table(spark, sf_dir, "supplier"),
+                                                      read_table(spark, sf_dir, "nation")))
+
+
+def q_latest_by_station(spark, sf_dir):
+    return views.latest_by_station(raw_observations(spark, sf_dir))
+
+
+def q_overview_kpis(spark, sf_dir):
+    return views.overview_kpis(views.latest_by_station(raw_observations(spark, sf_dir)))
+
+
+def q_map_points(spark, sf_dir):
+    return views.map_points(views.latest_by_station(raw_observations(spark, sf_dir)))
+
+
+def q_hottest_10(spark, sf_dir):
+    return views.top_n_per_day(_summary(spark, sf_dir), "max_temperature", 10, largest=True)
+
+
+def q_coldest_10(spark, sf_dir):
+    return views.top_n_per_day(_summary(spark, sf_dir), "min_temperature", 10, largest=False)
+
+
+def q_daily_kpis(spark, sf_dir):
+    return views.daily_kpis(_summary(spark, sf_dir))
+
+
+def _trend(spark, sf_dir, sort=True):
+    return views.station_trend(_nightly_history(_daily(spark, sf_dir)), TREND_AS_OF, TREND_DAYS, sort=sort)
+
+
+def q_station_trend(spark, sf_dir):
+    return _trend(spark, sf_dir)
+
+
+def q_trend_kpis(spark, sf_dir):
+    return views.trend_kpis(_trend(spark, sf_dir, sort=False))
+
+
+def q_trend_series_long(spark, sf_dir):
+    return views.trend_series_long(_trend(spark, sf_dir, sort=False))
+
+
+def q_missing_long(spark, sf_dir):
+    return views.missing_long(_report(spark, sf_dir))
+
+
+def q_outlier_long(spark, sf_dir):
+    return views.outlier_long(_report(spark, sf_dir))
+
+
+def q_rating_view(spark, sf_dir):
+    return views.rating_view(_report(spark, sf_dir))
+
+
+def q_history_union_distinct(spark, sf_dir):
+    daily = _daily(spark, sf_dir)
+    return hist.union_distinct_history(_nightly_history(daily), _backfill(daily))
+
+
+def q_history_upsert(spark, sf_dir):
+    daily = _daily(spark, sf_dir)
+    return hist.merge_history(_nightly_history(daily), _backfill(daily))
+
+
+def q_station_daily_range(spark, sf_dir):
+    return reports.station_daily_range(reports.date_between(_daily(spark, sf_dir), REPORT_FROM, REPORT_TO))
+
+
+def q_temp_humidity_corr(spark, sf_dir):
+    return reports.temp_humidity_corr(_daily(spark, sf_dir))
+
+
+def q_station_comparison(spark, sf_dir):
+    return reports.station_comparison(_daily(spark, sf_dir))
+
+
+def q_temperature_trend(spark, sf_dir):
+    return reports.temperature_trend(_daily(spark, sf_dir))
+
+
+def q_station_completeness(spark, sf_dir):
+    return reports.station_completeness(_daily(spark, sf_dir))
+
+
+def q_geo_distribution(spark, sf_dir):
+    return reports.geo_distribution(_daily(spark, sf_dir))
+
+
+def q_station_name_lookup(spark, sf_dir):
+    raw = raw_observations(spark, sf_dir)
+    return lookup.enrich_station(raw, _lookup_catalog(spark, sf_dir)).select(
+        "station_id", "timestamp", "ingestion_time", "location")
+
+
+def q_silent_stations(spark, sf_dir):
+    return lookup.silent_stations(_lookup_catalog(spark, sf_dir), raw_observations(spark, sf_dir))
+
+
+def q_poll_outcome_counts(spark, sf_dir):
+    return lookup.poll_outcome_counts(_lookup_catalog(spark, sf_dir), raw_observations(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "observations_distinct": q_observations_distinct,
@@ -65,4 +202,28 @@ def queries() -> dict[str, Query]:
         "daily_summary": q_daily_summary,
         "quality_report": q_quality_report,
         "quality_rating_by_station_day": q_quality_rating_by_station_day,
+
+        "latest_by_station": q_latest_by_station,
+        "overview_kpis": q_overview_kpis,
+        "map_points": q_map_points,
+        "hottest_10": q_hottest_10,
+        "coldest_10": q_coldest_10,
+        "daily_kpis": q_daily_kpis,
+        "station_trend_14d": q_station_trend,
+        "trend_kpis": q_trend_kpis,
+        "trend_series_long": q_trend_series_long,
+        "missing_long": q_missing_long,
+        "outlier_long": q_outlier_long,
+        "rating_view": q_rating_view,
+        "history_union_distinct": q_history_union_distinct,
+        "history_upsert": q_history_upsert,
+        "station_daily_range": q_station_daily_range,
+        "temp_humidity_corr": q_temp_humidity_corr,
+        "station_comparison": q_station_comparison,
+        "temperature_trend": q_temperature_trend,
+        "station_completeness": q_station_completeness,
+        "geo_distribution": q_geo_distribution,
+        "station_name_lookup": q_station_name_lookup,
+        "silent_stations": q_silent_stations,
+        "poll_outcome_counts": q_poll_outcome_counts,
     }
