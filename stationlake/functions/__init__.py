@@ -1,6 +1,6 @@
 """Column expressions used across the library (all built-in Spark functions, no UDFs)."""
 
-from stationlake.functions.numeric import num_or_null, parse_timestamp, round_stable, to_id
+from stationlake.functions.numeric import num_or_null, parse_timestamp, round_stable, strip_ws, to_id
 from stationlake.functions.quality import (
     completeness_score,
     quality_columns,
@@ -10,6 +10,6 @@ from stationlake.functions.quality import (
 )
 
 __all__ = [
-    "num_or_null", "parse_timestamp", "round_stable", "to_id",
+    "num_or_null", "parse_timestamp", "round_stable", "strip_ws", "to_id",
     "completeness_score", "quality_columns", "quality_flag", "rating", "rating_mark",
 ]

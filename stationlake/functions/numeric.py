@@ -10,6 +10,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Characters removed by ``strip_ws`` (Python's str.strip() set for ASCII text).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
+def strip_ws(x) -> Column:
+    """Remove leading/trailing whitespace of every kind (one-argument ``trim`` removes spaces only)."""
+    return F.trim(_c(x).cast("string"), F.lit(WHITESPACE))
+
+
 def round_stable(x, digits: int) -> Column:
     """Round half away from zero on the decimal value, then back to double.
 
@@ -24,15 +33,19 @@ def round_stable(x, digits: int) -> Column:
 
 def num_or_null(x) -> Column:
     """Text or number → double; unparsable text and the NaN token become null (inf is kept)."""
-    d = _c(x).cast("string").try_cast("double")
+    d = strip_ws(x).try_cast("double")
     return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
 def to_id(x) -> Column:
-    """Station id → bigint; blank or non-numeric ids become null (they are quarantined later)."""
-    return F.trim(_c(x).cast("string")).try_cast("bigint")
+    """Station id → bigint: integer text, or a number with no fraction ("100971.0"); blank,
+    fractional or non-numeric ids become null (they are quarantined by the caller)."""
+    text = strip_ws(x)
+    as_double = text.try_cast("double")
+    integral = as_double.isNotNull() & ~F.isnan(as_double) & (F.floor(as_double) == as_double)
+    return F.coalesce(text.try_cast("bigint"), F.when(integral, as_double.try_cast("bigint")))
 
 
 def parse_timestamp(x) -> Column:
     """ISO-8601 text (with or without fraction, ``T`` or space) → TIMESTAMP_NTZ, bad text → null."""
-    return F.trim(_c(x).cast("string")).try_cast("timestamp_ntz")
+    return strip_ws(x).try_cast("timestamp_ntz")

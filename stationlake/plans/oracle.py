@@ -183,6 +183,21 @@ def _range(start: str, end: str) -> str:
     return f"cast(timestamp as date) between date '{start}' and date '{end}'"
 
 
+RAWK_CTE = RAW_CTE + f""",
+rawk as (select {RAW_LIST}, k from p)"""
+
+_ACCEPT = ("case when k = 77 then date_trunc('second', timestamp) else timestamp end as timestamp, station_id, "
+           "location, latitude, longitude, case when k = 67 then null else temperature end as temperature, humidity, "
+           "wind_speed, wind_direction, pressure, precipitation, cloud_cover, visibility, ingestion_time")
+
+
+def _payload_line(back_minutes: int) -> str:
+    short = {m: f"case when k = 8 then null else {m} end as {m}" for m in ("precipitation", "cloud_cover", "visibility")}
+    vals = ", ".join(short.get(m, m) for m in MEASURES)
+    return (f"select station_id, latitude, longitude, date_trunc('second', timestamp) - interval {back_minutes} minute "
+            f"as timestamp, {vals} from b where k not in (3, 4)")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["observations_distinct"] = f"with {RAW_CTE}\nselect distinct {RAW_LIST} from raw"
@@ -268,4 +283,17 @@ def oracle_sql() -> dict[str, str]:
         f"(select count(*) from lookup) as polled, count(distinct station_id) as succeeded, "
         f"(select count(*) from lookup) - count(distinct station_id) as failed from raw "
         f"where station_id in (select station_id from lookup) group by cast(timestamp as date)")
+    q["cleanse_accept"] = f"with {RAWK_CTE}\nselect {_ACCEPT} from rawk where k not in (7, 17, 27, 37, 47, 57)"
+    q["cleanse_reject_counts"] = (
+        f"with {RAWK_CTE}\nselect reject_reason, count(*) as rejected from (select case k when 7 then "
+        f"'missing_required' when 17 then 'blank_timestamp' when 27 then 'bad_timestamp' when 37 then "
+        f"'bad_station_id' when 47 then 'bad_ingestion_time' when 57 then 'malformed_json' end as reject_reason "
+        f"from rawk) x where reject_reason is not null group by reject_reason")
+    q["json_roundtrip"] = f"with {RAW_CTE}\nselect {RAW_LIST} from raw"
+    q["payload_decode"] = (f"with {BASE_CTE}\n{_payload_line(20)}\nunion all {_payload_line(10)}\n"
+                           f"union all {_payload_line(0)}")
+    q["payload_latest"] = f"with {BASE_CTE}\n{_payload_line(0)}"
+    q["payload_reject_counts"] = (
+        f"with {BASE_CTE}\nselect case k when 3 then 'missing_values' else 'malformed_xml' end as reject_reason, "
+        f"count(*) as rejected from b where k in (3, 4) group by 1")
     return q

@@ -13,7 +13,12 @@ from stationlake.operators import history as hist
 from stationlake.operators import lookup, reports, views
 from stationlake.sources import catalog as cat
 from stationlake.schemas import DAILY_COLUMNS, QUALITY_COLUMNS, RAW_COLUMNS
-from stationlake.sources.fixtures import raw_observations, read_table
+from stationlake.operators.cleanse import cleanse, reject_counts
+from stationlake.sources.fixtures import (
+    messages_from_events, payloads_from_events, raw_observations, read_table,
+)
+from stationlake.sources.messages import decode_messages, encode_messages
+from stationlake.sources.payload import decode_payloads, payload_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 REPORT_DAY = "2024-01-15"
@@ -192,6 +197,41 @@ def q_poll_outcome_counts(spark, sf_dir):
     return lookup.poll_outcome_counts(_lookup_catalog(spark, sf_dir), raw_observations(spark, sf_dir))
 
 
+# ---- messages, cleansing, payloads ----------------------------------------------------------
+def _cleansed(spark, sf_dir):
+    return cleanse(decode_messages(messages_from_events(read_table(spark, sf_dir, "events"))))
+
+
+def q_cleanse_accept(spark, sf_dir):
+    return _cleansed(spark, sf_dir)[0]
+
+
+def q_cleanse_reject_counts(spark, sf_dir):
+    return reject_counts(_cleansed(spark, sf_dir)[1])
+
+
+def q_json_roundtrip(spark, sf_dir):
+    accepted, _ = cleanse(decode_messages(encode_messages(raw_observations(spark, sf_dir))))
+    return accepted
+
+
+def _payloads(spark, sf_dir):
+    return payloads_from_events(read_table(spark, sf_dir, "events"))
+
+
+def q_payload_decode(spark, sf_dir):
+    return decode_payloads(_payloads(spark, sf_dir))
+
+
+def q_payload_latest(spark, sf_dir):
+    return decode_payloads(_payloads(spark, sf_dir), latest_only=True)
+
+
+def q_payload_reject_counts(spark, sf_dir):
+    return (payload_rejects(_payloads(spark, sf_dir)).groupBy("reject_reason")
+            .agg(F.count(F.lit(1)).alias("rejected")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "observations_distinct": q_observations_distinct,
@@ -226,4 +266,10 @@ def queries() -> dict[str, Query]:
         "station_name_lookup": q_station_name_lookup,
         "silent_stations": q_silent_stations,
         "poll_outcome_counts": q_poll_outcome_counts,
+        "cleanse_accept": q_cleanse_accept,
+        "cleanse_reject_counts": q_cleanse_reject_counts,
+        "json_roundtrip": q_json_roundtrip,
+        "payload_decode": q_payload_decode,
+        "payload_latest": q_payload_latest,
+        "payload_reject_counts": q_payload_reject_counts,
     }

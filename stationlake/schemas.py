@@ -29,8 +29,10 @@ RAW_SCHEMA = T.StructType(
 NUMERIC_FIELDS = ["latitude", "longitude", *MEASURES]
 
 # Message value as it travels: every field is text so one malformed field cannot void the record.
-MESSAGE_FIELDS = ["station_id", "latitude", "longitude", "timestamp", *MEASURES, "ingestion_time", "location"]
-MESSAGE_STRING_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in MESSAGE_FIELDS])
+MESSAGE_FIELDS = ["fmisid", "latitude", "longitude", "timestamp", *MEASURES, "ingestion_time", "location"]
+# (``fmisid`` is the wire name of the station id.) ``_corrupt_record`` receives malformed text.
+MESSAGE_STRING_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in MESSAGE_FIELDS]
+                                     + [T.StructField("_corrupt_record", T.StringType(), True)])
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results.

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.schemas import RAW_COLUMNS
+from stationlake.schemas import MEASURES, RAW_COLUMNS
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,3 +66,54 @@ def observations_from_events(events: DataFrame, keep_key: bool = False) -> DataF
 
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations_from_events(read_table(spark, sf_dir, "events"))
+
+
+# ---- derived message and payload fixtures ---------------------------------------------------
+# Defects are assigned by the event key k (0..99), one kind per value of k:
+#   k=7 null timestamp, k=17 blank timestamp, k=27 unparsable timestamp, k=37 non-numeric id,
+#   k=47 no ingestion time, k=57 truncated JSON                          -> rejected
+#   k=67 non-numeric temperature (-> null), k=77 timestamp without fraction,
+#   k=87 unknown extra field, k=97 id sent as text                       -> kept
+# Payloads: k=3 no values element, k=4 truncated XML (rejected); k=8 value lines of 5 tokens.
+
+
+def messages_from_events(events: DataFrame) -> DataFrame:
+    """Keyed JSON messages for every raw observation (re-polls included), with the defects above."""
+    from stationlake.sources.messages import iso, message_struct
+
+    obs = observations_from_events(events, keep_key=True)
+    k = F.col("k")
+    ts_text = (F.when(k == 7, F.lit(None).cast("string")).when(k == 17, F.lit("  "))
+               .when(k == 27, F.lit("not-a-time"))
+               .when(k == 77, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
+               .otherwise(iso(F.col("timestamp"))))
+    fields = message_struct(ts_text)
+    v = F.col("v_json")
+    v = (F.when(k == 37, F.regexp_replace(v, r'"fmisid":-?[0-9]+', '"fmisid":"abc"'))
+         .when(k == 97, F.regexp_replace(v, r'"fmisid":(-?[0-9]+)', '"fmisid":"$1"'))
+         .when(k == 67, F.regexp_replace(v, r'"temperature":[^,]*', '"temperature":"warm"'))
+         .when(k == 47, F.regexp_replace(v, r',"ingestion_time":"[^"]*"', ""))
+         .when(k == 57, F.expr("substring(v_json, 1, length(v_json) - 7)"))
+         .when(k == 87, F.concat(F.expr("substring(v_json, 1, length(v_json) - 1)"), F.lit(',"extra_field":1}')))
+         .otherwise(v))
+    return (obs.withColumn("v_json", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
+            .select(F.col("station_id").cast("string").alias("key"), v.alias("value")))
+
+
+def payloads_from_events(events: DataFrame) -> DataFrame:
+    """One payload per event: the observation and the two 10-minute polls before it (the overlap
+    of the reference's 2-hour lookback), with the payload defects above."""
+    from stationlake.sources.payload import encode_payload, epoch_seconds, value_tokens
+
+    b = observation_base(events)
+    k = F.col("k")
+    e = epoch_seconds(F.col("timestamp"))
+    toks = value_tokens([F.col(m) for m in MEASURES])
+    toks = toks[:5] + [F.when(k == 8, F.lit(None).cast("string")).otherwise(t) for t in toks[5:]]
+    lines = [(F.col("latitude"), F.col("longitude"), e - back, toks) for back in (1200, 600, 0)]
+    doc = F.col("xml_doc")
+    doc = (F.when(k == 3, F.regexp_replace(doc, r"<gml:doubleOrNilReasonTupleList>[\s\S]*</gml:doubleOrNilReasonTupleList>", ""))
+           .when(k == 4, F.expr("substring(xml_doc, 1, length(xml_doc) - 40)"))
+           .otherwise(doc))
+    return (b.withColumn("xml_doc", encode_payload(lines))
+            .select(F.col("station_id").cast("string").alias("station_id"), doc.alias("xml")))
