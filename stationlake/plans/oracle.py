@@ -296,4 +296,16 @@ def oracle_sql() -> dict[str, str]:
     q["payload_reject_counts"] = (
         f"with {BASE_CTE}\nselect case k when 3 then 'missing_values' else 'malformed_xml' end as reject_reason, "
         f"count(*) as rejected from b where k in (3, 4) group by 1")
+    acc = f"with {RAWK_CTE},\nacc as (select {_ACCEPT} from rawk where k not in (7, 17, 27, 37, 47, 57))"
+    q["stream_landed_rows"] = f"{acc}\nselect {RAW_LIST} from acc"
+    q["stream_quarantine_counts"] = q["cleanse_reject_counts"]
+    q["stream_hourly_latest"] = (
+        f"{acc},\nh as (select {RAW_LIST} from (select *, row_number() over (partition by station_id, "
+        f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\n"
+        f"select * from h where date_trunc('hour', timestamp) + interval 1 hour <= "
+        f"(select max(timestamp) from acc) - interval 2 hour")
+    q["stream_dedup"] = (f"{acc}\nselect distinct station_id, timestamp, location, latitude, longitude, "
+                         f"{MEASURE_LIST} from acc")
+    q["stream_quality_flags"] = (f"{acc}\nselect station_id, timestamp, ingestion_time,\n    {FLAGS_SQL}\n"
+                                 f"from acc")
     return q
