@@ -308,4 +308,15 @@ def oracle_sql() -> dict[str, str]:
                          f"{MEASURE_LIST} from acc")
     q["stream_quality_flags"] = (f"{acc}\nselect station_id, timestamp, ingestion_time,\n    {FLAGS_SQL}\n"
                                  f"from acc")
+    q["stored_daily_summary"] = q["daily_summary"]
+    q["stored_quality_report"] = q["quality_report"]
+    rerun = "cast(timestamp as date) between date '2024-01-16' and date '2024-01-30'"
+    first = f"select {HIST_COLS}, timestamp '2024-01-31 01:00:00' as processing_time, cast(timestamp as date) as observation_date from daily"
+    second = (f"select {HIST_COLS}, timestamp '2024-02-01 01:00:00' as processing_time, "
+              f"cast(timestamp as date) as observation_date from daily where {rerun}")
+    q["stored_history_upsert_rerun"] = (
+        f"with {DAILY_CTE}\nselect {HIST_COLS}, case when {rerun} then timestamp '2024-02-01 01:00:00' "
+        f"else timestamp '2024-01-31 01:00:00' end as processing_time, cast(timestamp as date) as observation_date "
+        f"from daily")
+    q["stored_history_union_rerun"] = f"with {DAILY_CTE}\n{first}\nunion\n{second}"
     return q

@@ -14,6 +14,7 @@ from stationlake.operators import lookup, reports, views
 from stationlake.sources import catalog as cat
 from stationlake.schemas import DAILY_COLUMNS, QUALITY_COLUMNS, RAW_COLUMNS
 from stationlake.operators.cleanse import cleanse, reject_counts
+from stationlake.plans.stored import STORED_QUERIES
 from stationlake.plans.streams import STREAM_QUERIES
 from stationlake.sources.fixtures import (
     messages_from_events, payloads_from_events, raw_observations, read_table,
@@ -274,4 +275,5 @@ def queries() -> dict[str, Query]:
         "payload_latest": q_payload_latest,
         "payload_reject_counts": q_payload_reject_counts,
         **STREAM_QUERIES,
+        **STORED_QUERIES,
     }
