@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 from stationlake.schemas import MEASURES, RAW_COLUMNS
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a source that is narrower than the cluster (e.g. one small single-row-group
+    file read as one task) so per-row work before the first shuffle uses every core. A real
+    table already has at least that many splits and passes through untouched."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def event_key() -> F.Column:

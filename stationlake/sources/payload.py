@@ -5,10 +5,11 @@ and values (up to 8 measures per line, ``NaN`` for missing). The reference keeps
 line of each; here line *i* is paired with line *i* and every observation becomes a row, with
 ``latest_only=True`` giving the reference's single newest row.
 
-Malformed XML makes ``xpath_string`` raise, so each document is first checked with ``from_xml``
-in PERMISSIVE mode (its ``_corrupt_record`` is set for anything not well-formed) and XPath runs
-only on documents that passed. Element names are matched on their qualified names (the XPath
-reader is not namespace-aware), so payloads must use the standard ``gmlcov``/``gml`` prefixes.
+Each document is first checked with ``from_xml`` in PERMISSIVE mode (its ``_corrupt_record`` is
+set for anything not well-formed: truncated, mis-nested, plain text); only documents that pass
+are read. Element names are matched on their qualified names, so payloads must use the standard
+``gmlcov``/``gml`` prefixes (as the service does); section text is taken as-is (no entity
+decoding), which is all a whitespace table of numbers needs.
 """
 
 from __future__ import annotations
@@ -31,17 +32,32 @@ LINE_SPLIT = r"\s*\n\s*"
 TOKEN_SPLIT = r"\s+"
 
 
+def _section_pattern(tag: str) -> str:
+    """Text of the first ``tag`` element (attributes allowed, no child elements)."""
+    return f"<{tag}(?:\\s[^>]*)?>([^<]*)</{tag}>"
+
+
 def _sections(payloads: DataFrame, station: str, xml: str) -> DataFrame:
+    """Per document: well-formedness, then the positions and values text, then a reject reason.
+
+    The XML check is one ``from_xml`` parse in its own projection (Catalyst will not inline it
+    into the next one, which uses it three times). The two sections are then cut out of the
+    checked text with ``regexp_extract``: on a well-formed document the first element of that
+    name is the one an any-depth search finds, and this avoids one DOM parse per XPath call.
+    """
     doc = F.col(xml)
     corrupt = F.from_xml(doc, "_corrupt_record string", {"mode": "PERMISSIVE"})["_corrupt_record"]
-    ok = doc.isNotNull() & corrupt.isNull()
-    pos = F.when(ok, strip_ws(F.xpath_string(doc, F.lit(f"//*[name()='{PAYLOAD_POSITIONS_TAG}']"))))
-    val = F.when(ok, strip_ws(F.xpath_string(doc, F.lit(f"//*[name()='{PAYLOAD_VALUES_TAG}']"))))
+    checked = payloads.select(F.col(station).cast("string").alias("payload_station"), doc.alias("xml"),
+                              (doc.isNotNull() & corrupt.isNull()).alias("well_formed"))
+    ok = F.col("well_formed")
+    sections = checked.select(
+        "payload_station", "xml", "well_formed",
+        F.when(ok, strip_ws(F.regexp_extract("xml", _section_pattern(PAYLOAD_POSITIONS_TAG), 1))).alias("pos_text"),
+        F.when(ok, strip_ws(F.regexp_extract("xml", _section_pattern(PAYLOAD_VALUES_TAG), 1))).alias("val_text"))
     reason = (F.when(~ok, F.lit("malformed_xml"))
-              .when(pos == "", F.lit("missing_positions"))
-              .when(val == "", F.lit("missing_values")))
-    return payloads.select(F.col(station).cast("string").alias("payload_station"), doc.alias("xml"),
-                           reason.alias("reject_reason"), pos.alias("pos_text"), val.alias("val_text"))
+              .when(F.col("pos_text") == "", F.lit("missing_positions"))
+              .when(F.col("val_text") == "", F.lit("missing_values")))
+    return sections.select("payload_station", "xml", reason.alias("reject_reason"), "pos_text", "val_text")
 
 
 def _parse_lines(rows: DataFrame) -> DataFrame:
