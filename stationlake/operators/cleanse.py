@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.functions import num_or_null, parse_timestamp, strip_ws, to_id
-from stationlake.schemas import NUMERIC_FIELDS, RAW_COLUMNS
+from stationlake.schemas import MESSAGE_FIELDS, NUMERIC_FIELDS, RAW_COLUMNS
 
 REJECT_REASONS = ["malformed_json", "missing_required", "blank_timestamp", "blank_ingestion_time",
                   "bad_timestamp", "bad_ingestion_time", "bad_station_id"]
@@ -45,14 +45,28 @@ def _checked(decoded: DataFrame) -> DataFrame:
         *typed.values(), ing.alias("ingestion_time"))
 
 
-def cleanse(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+def extra_fields(value: str = "value") -> F.Column:
+    """Fields of a message value outside the known set, as a text map (nested values as JSON).
+
+    The reference lets a load add new columns to the raw table; here unknown fields land in one
+    map column, so the table schema stays fixed while nothing sent is lost.
+    """
+    known = F.array(*[F.lit(f) for f in MESSAGE_FIELDS])
+    allf = F.from_json(F.col(value), "map<string,string>", {"mode": "PERMISSIVE"})
+    return F.map_filter(allf, lambda k, v: ~F.array_contains(known, k))
+
+
+def cleanse(decoded: DataFrame, keep_extra: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted raw observations, quarantined messages with ``reject_reason``).
 
     Both come from one projection; persist ``decoded`` (as the landing job does per micro-batch)
-    when both are written, so the source is read once.
+    when both are written, so the source is read once. ``keep_extra`` adds ``extra_fields``.
     """
     checked = _checked(decoded)
-    accepted = checked.where(F.col("reject_reason").isNull()).select(*RAW_COLUMNS)
+    if keep_extra:
+        checked = checked.withColumn("extra_fields", extra_fields())
+    cols = [*RAW_COLUMNS, "extra_fields"] if keep_extra else RAW_COLUMNS
+    accepted = checked.where(F.col("reject_reason").isNull()).select(*cols)
     rejected = checked.where(F.col("reject_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
     return accepted, rejected
 

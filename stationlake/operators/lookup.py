@@ -18,8 +18,13 @@ def enrich_station(obs: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def silent_stations(catalog: DataFrame, obs: DataFrame) -> DataFrame:
-    """Active catalogue stations that delivered no observation at all (J2, left anti)."""
-    return catalog.join(obs.select("station_id"), "station_id", "left_anti").select("station_id", "station_name")
+    """Active catalogue stations that delivered no observation at all (J2, left anti).
+
+    The observations are first reduced to their distinct station ids (a partial aggregate, so a
+    station with a third of all rows collapses map-side); the join then pairs two station lists.
+    """
+    delivered = obs.select("station_id").distinct()
+    return catalog.join(delivered, "station_id", "left_anti").select("station_id", "station_name")
 
 
 def poll_outcome_counts(catalog: DataFrame, obs: DataFrame) -> DataFrame:
@@ -28,8 +33,8 @@ def poll_outcome_counts(catalog: DataFrame, obs: DataFrame) -> DataFrame:
     The number of polled stations is one scalar subquery, not a join, so nothing is paired.
     """
     polled = catalog.select(F.count(F.lit(1))).scalar()
-    delivered = (obs.join(catalog.select("station_id"), "station_id", "left_semi")
-                 .groupBy(F.to_date("timestamp").alias("observation_date"))
-                 .agg(F.count_distinct("station_id").alias("succeeded")))
-    return delivered.select("observation_date", polled.alias("polled"), "succeeded",
-                            (polled - F.col("succeeded")).alias("failed"))
+    station_days = obs.select(F.to_date("timestamp").alias("observation_date"), "station_id").distinct()
+    delivered = (station_days.join(catalog.select("station_id"), "station_id", "left_semi")
+                 .groupBy("observation_date").agg(F.count(F.lit(1)).alias("succeeded")))
+    counted = delivered.select("observation_date", polled.alias("polled"), "succeeded")
+    return counted.withColumn("failed", F.col("polled") - F.col("succeeded"))

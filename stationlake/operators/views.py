@@ -31,6 +31,42 @@ def latest_by_station(raw: DataFrame) -> DataFrame:
             .select(*LATEST_COLUMNS, day.alias("observation_date")))
 
 
+def latest_table(latest: DataFrame) -> DataFrame:
+    """The overview's table: newest observations first, station id breaking ties."""
+    return (latest.select("observation_date", "station_id", "location", "temperature", "humidity", "wind_speed",
+                          "pressure", "timestamp")
+            .orderBy(F.col("timestamp").desc(), F.col("station_id")))
+
+
+def date_suffix(d) -> Column:
+    """``YYYYMMDD`` text of a date, the reference's per-day table suffix."""
+    return F.date_format(F.col(d) if isinstance(d, str) else d, "yyyyMMdd")
+
+
+def _fixed(x: Column, digits: int, unit: str = "") -> Column:
+    # Round first (stable, half away from zero) so the text shows exactly the rounded value.
+    return F.format_string(f"%.{digits}f{unit.replace('%', '%%')}", round_stable(x, digits))
+
+
+def overview_display(kpis: DataFrame) -> DataFrame:
+    """KPI card texts of the overview page: 1 decimal with units."""
+    return kpis.select(
+        "observation_date", date_suffix("observation_date").alias("date_suffix"),
+        F.col("active_stations").cast("string").alias("active_stations_text"),
+        _fixed(F.col("avg_temperature"), 1, "°C").alias("avg_temperature_text"),
+        _fixed(F.col("avg_humidity"), 1, "%").alias("avg_humidity_text"),
+        _fixed(F.col("max_wind_speed"), 1, " m/s").alias("max_wind_speed_text"))
+
+
+def daily_display(kpis: DataFrame) -> DataFrame:
+    """KPI card texts of the daily-statistics page: thousands separator, percent."""
+    return kpis.select(
+        "observation_date", date_suffix("observation_date").alias("date_suffix"),
+        F.col("stations_reporting").cast("string").alias("stations_reporting_text"),
+        F.format_number(F.col("total_observations"), 0).alias("total_observations_text"),
+        _fixed(F.col("avg_data_quality") * 100, 2, "%").alias("avg_data_quality_text"))
+
+
 def overview_kpis(latest: DataFrame) -> DataFrame:
     """Per day: stations with data, mean temperature, mean humidity, max wind (nulls skipped)."""
     return latest.groupBy("observation_date").agg(

@@ -319,4 +319,23 @@ def oracle_sql() -> dict[str, str]:
         f"else timestamp '2024-01-31 01:00:00' end as processing_time, cast(timestamp as date) as observation_date "
         f"from daily")
     q["stored_history_union_rerun"] = f"with {DAILY_CTE}\n{first}\nunion\n{second}"
+    q["latest_table"] = (f"with {RAW_CTE}{LATEST_CTE}\nselect observation_date, station_id, location, temperature, "
+                         f"humidity, wind_speed, pressure, timestamp from latest order by timestamp desc, station_id")
+    ov = (f"select observation_date, count(*) as active_stations, {rnd('avg(temperature)', 2)} as avg_temperature, "
+          f"{rnd('avg(humidity)', 2)} as avg_humidity, {rnd('max(wind_speed)', 2)} as max_wind_speed "
+          f"from latest group by observation_date")
+    q["overview_display"] = (
+        f"with {RAW_CTE}{LATEST_CTE},\nov as ({ov})\nselect observation_date, strftime(observation_date, '%Y%m%d') "
+        f"as date_suffix, cast(active_stations as varchar) as active_stations_text, "
+        f"printf('%.1f°C', {rnd('avg_temperature', 1)}) as avg_temperature_text, "
+        f"printf('%.1f%%', {rnd('avg_humidity', 1)}) as avg_humidity_text, "
+        f"printf('%.1f m/s', {rnd('max_wind_speed', 1)}) as max_wind_speed_text from ov")
+    dk = (f"select observation_date, count(*) as stations_reporting, cast(sum(total_observations) as bigint) "
+          f"as total_observations, {rnd('avg(avg_completeness_score)', 4)} as avg_data_quality "
+          f"from summary group by observation_date")
+    q["daily_display"] = (
+        f"with {SUMMARY_CTE},\ndk as ({dk})\nselect observation_date, strftime(observation_date, '%Y%m%d') "
+        f"as date_suffix, cast(stations_reporting as varchar) as stations_reporting_text, "
+        f"format('{{:,}}', total_observations) as total_observations_text, "
+        f"printf('%.2f%%', {rnd('avg_data_quality * 100', 2)}) as avg_data_quality_text from dk")
     return q

@@ -15,6 +15,8 @@ from stationlake.sources import catalog as cat
 from stationlake.schemas import DAILY_COLUMNS, QUALITY_COLUMNS, RAW_COLUMNS
 from stationlake.operators.cleanse import cleanse, reject_counts
 from stationlake.plans.stored import STORED_QUERIES
+from stationlake.session import shared_dir
+from stationlake.sources.tables import stage
 from stationlake.plans.streams import STREAM_QUERIES
 from stationlake.sources.fixtures import (
     messages_from_events, payloads_from_events, raw_observations, read_table,
@@ -103,6 +105,18 @@ def q_latest_by_station(spark, sf_dir):
     return views.latest_by_station(raw_observations(spark, sf_dir))
 
 
+def q_latest_table(spark, sf_dir):
+    return views.latest_table(views.latest_by_station(raw_observations(spark, sf_dir)))
+
+
+def q_overview_display(spark, sf_dir):
+    return views.overview_display(views.overview_kpis(views.latest_by_station(raw_observations(spark, sf_dir))))
+
+
+def q_daily_display(spark, sf_dir):
+    return views.daily_display(views.daily_kpis(_summary(spark, sf_dir)))
+
+
 def q_overview_kpis(spark, sf_dir):
     return views.overview_kpis(views.latest_by_station(raw_observations(spark, sf_dir)))
 
@@ -151,13 +165,18 @@ def q_rating_view(spark, sf_dir):
     return views.rating_view(_report(spark, sf_dir))
 
 
+def _daily_staged(spark, sf_dir):
+    """The curated table written once to the shared folder; the history inputs both read it."""
+    return stage(_daily(spark, sf_dir), f"{shared_dir(spark, 'daily')}/daily")
+
+
 def q_history_union_distinct(spark, sf_dir):
-    daily = _daily(spark, sf_dir)
+    daily = _daily_staged(spark, sf_dir)
     return hist.union_distinct_history(_nightly_history(daily), _backfill(daily))
 
 
 def q_history_upsert(spark, sf_dir):
-    daily = _daily(spark, sf_dir)
+    daily = _daily_staged(spark, sf_dir)
     return hist.merge_history(_nightly_history(daily), _backfill(daily))
 
 
@@ -247,6 +266,9 @@ def queries() -> dict[str, Query]:
 
         "latest_by_station": q_latest_by_station,
         "overview_kpis": q_overview_kpis,
+        "latest_table": q_latest_table,
+        "overview_display": q_overview_display,
+        "daily_display": q_daily_display,
         "map_points": q_map_points,
         "hottest_10": q_hottest_10,
         "coldest_10": q_coldest_10,

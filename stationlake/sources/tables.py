@@ -53,7 +53,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         return spark.createDataFrame([], schema)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """The raw table with its fixed schema, or (``merge_schema``) the union of every batch's
+    columns, e.g. ``extra_fields`` written by landings that kept unknown fields (S9)."""
+    if merge_schema:
+        try:
+            return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(path)
+        except AnalysisException:
+            return spark.createDataFrame([], RAW_TABLE_SCHEMA)
     return read_table(spark, path, RAW_TABLE_SCHEMA)
 
 

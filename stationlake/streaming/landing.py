@@ -32,11 +32,12 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str) -> None:
+def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str,
+               keep_extra: bool = False) -> None:
     """Decode and cleanse one micro-batch; write accepted rows and rejects for this batch id."""
     decoded = decode_messages(batch).persist()
     try:
-        accepted, rejected = cleanse(decoded)
+        accepted, rejected = cleanse(decoded, keep_extra=keep_extra)
         append_batch(accepted, raw_path, batch_id)
         append_batch(rejected, quarantine_path, batch_id, date_col=None)
     finally:
@@ -44,10 +45,11 @@ def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path:
 
 
 def land_stream(messages: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str,
-                trigger: str | None = "availableNow", name: str | None = None) -> StreamingQuery:
+                trigger: str | None = "availableNow", name: str | None = None,
+                keep_extra: bool = False) -> StreamingQuery:
     """Start the landing query over a (``key``, ``value``) stream."""
     writer = (messages.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: land_batch(df, bid, raw_path, quarantine_path)))
+              .foreachBatch(lambda df, bid: land_batch(df, bid, raw_path, quarantine_path, keep_extra)))
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, trigger).start()

@@ -76,3 +76,11 @@ def test_roundtrip_is_lossless(spark):
     accepted, rejected = cleanse(decode_messages(encode_messages(raw)))
     assert rejected.count() == 0
     assert sorted(map(tuple, accepted.collect())) == sorted(map(tuple, raw.collect()))
+
+
+def test_unknown_fields_kept_when_asked(spark):
+    df = spark.createDataFrame([("1", _msg(extra_field={"a": 1}, gust=12.5)), ("2", _msg())], "key string, value string")
+    accepted, _ = cleanse(decode_messages(df), keep_extra=True)
+    got = {r["extra_fields"].get("gust"): r["extra_fields"] for r in accepted.collect()}
+    assert got["12.5"] == {"extra_field": '{"a":1}', "gust": "12.5"}
+    assert got[None] == {}

@@ -66,3 +66,15 @@ def test_dedup_stream_keeps_one_copy_per_observation(spark, workdir):
     assert got.count() == got.select("station_id", "timestamp").distinct().count()
     accepted, _ = cleanse(decode_messages(msgs))
     assert got.count() == accepted.select("station_id", "timestamp").distinct().count()
+
+
+def test_batches_with_and_without_extra_fields_read_together(spark, workdir):
+    msgs = messages_from_events(read_table(spark, SF_SMALL, "events"))
+    landing.land_batch(msgs, 0, f"{workdir}/raw", f"{workdir}/q")
+    landing.land_batch(msgs, 1, f"{workdir}/raw", f"{workdir}/q", keep_extra=True)
+    merged = read_raw(spark, f"{workdir}/raw", merge_schema=True)
+    assert "extra_fields" in merged.columns
+    by_batch = {r["batch_id"]: r["n"] for r in merged.where("extra_fields is not null")
+                .groupBy("batch_id").count().withColumnRenamed("count", "n").collect()}
+    assert set(by_batch) == {1}
+    assert merged.where("extra_fields['extra_field'] is not null").count() > 0
