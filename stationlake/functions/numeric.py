@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,6 +48,21 @@ def to_id(x) -> Column:
     return F.coalesce(text.try_cast("bigint"), F.when(integral, as_double.try_cast("bigint")))
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime, date or ISO text, independent of every time zone.
+
+    ``F.lit(datetime)`` makes a zone-aware literal from the Python process's local zone, which a
+    later cast to TIMESTAMP_NTZ then reads in the session zone; going through text avoids both.
+    """
+    if isinstance(value, dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def parse_timestamp(x) -> Column:
     """ISO-8601 text (with or without fraction, ``T`` or space) → TIMESTAMP_NTZ, bad text → null."""
     return strip_ws(x).try_cast("timestamp_ntz")

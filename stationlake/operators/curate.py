@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.functions import completeness_score, quality_columns
+from stationlake.functions import completeness_score, ntz_literal, quality_columns
 from stationlake.schemas import DAILY_COLUMNS, MEASURES, RAW_COLUMNS
 
 # Total order used to pick "the latest" row: event time, then ingestion time, then every other
@@ -21,7 +21,7 @@ def latest_order() -> list[Column]:
 
 def _as_datetime(d) -> dt.datetime:
     if isinstance(d, str):
-        d = dt.date.fromisoformat(d)
+        return dt.datetime.fromisoformat(d)
     if isinstance(d, dt.datetime):
         return d
     return dt.datetime(d.year, d.month, d.day)
@@ -36,7 +36,7 @@ def date_range_filter(df: DataFrame, start, end=None, ts: str = "timestamp") ->
     """
     lo = _as_datetime(start)
     hi = _as_datetime(end if end is not None else start) + dt.timedelta(days=1)
-    cond = (F.col(ts) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(ts) < F.lit(hi).cast("timestamp_ntz"))
+    cond = (F.col(ts) >= ntz_literal(lo)) & (F.col(ts) < ntz_literal(hi))
     if "observation_date" in df.columns:
         cond = cond & F.col("observation_date").between(F.lit(lo.date()), F.lit((hi - dt.timedelta(days=1)).date()))
     return df.where(cond)
@@ -79,5 +79,5 @@ def daily_observations(raw: DataFrame, start=None, end=None, run_ts=None, exact_
         obs = obs.distinct()
     out = flag_quality(hourly_latest(obs)).select(*DAILY_COLUMNS)
     if run_ts is not None:
-        out = out.withColumn("processing_time", F.lit(_as_datetime(run_ts)).cast("timestamp_ntz"))
+        out = out.withColumn("processing_time", ntz_literal(_as_datetime(run_ts)))
     return out

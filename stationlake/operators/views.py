@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.functions import rating_mark, round_stable
+from stationlake.functions import ntz_literal, rating_mark, round_stable
 from stationlake.operators.curate import latest_order
 from stationlake.schemas import PARAMETER_LABELS
 
@@ -112,7 +112,7 @@ def station_trend(history: DataFrame, as_of, days: int = 30, station_ids=None, s
     if isinstance(as_of, str):
         as_of = dt.datetime.fromisoformat(as_of)
     since = as_of - dt.timedelta(days=days)
-    out = history.where(F.col("timestamp") >= F.lit(since).cast("timestamp_ntz"))
+    out = history.where(F.col("timestamp") >= ntz_literal(since))
     if "observation_date" in history.columns:  # lets the reader skip whole date folders
         out = out.where(F.col("observation_date") >= F.lit(since.date()))
     if station_ids is not None:

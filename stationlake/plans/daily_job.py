@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.functions import ntz_literal
 from stationlake.operators import history as hist
 from stationlake.operators.curate import daily_observations
 from stationlake.operators.summarize import daily_summary, quality_report
@@ -96,9 +97,9 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
         days = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
 
     write_days(daily, layout.daily, "observation_date", days, present, ["station_id", "timestamp"])
-    summary = daily_summary(daily).withColumn("processing_time", F.lit(run_ts).cast("timestamp_ntz"))
+    summary = daily_summary(daily).withColumn("processing_time", ntz_literal(run_ts))
     write_days(summary, layout.summary, "observation_date", days, present, ["station_id"])
-    report = quality_report(daily).withColumn("generated_at", F.lit(run_ts).cast("timestamp_ntz"))
+    report = quality_report(daily).withColumn("generated_at", ntz_literal(run_ts))
     write_days(report, layout.report, "report_date", days, present)
 
     new = hist.history_rows(daily)

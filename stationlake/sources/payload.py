@@ -14,19 +14,18 @@ decoding), which is all a whitespace table of numbers needs.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions import num_or_null, strip_ws
+from stationlake.functions import ntz_literal, num_or_null, strip_ws
 from stationlake.schemas import MEASURES, PAYLOAD_NAN_TOKEN, PAYLOAD_POSITIONS_TAG, PAYLOAD_VALUES_TAG
 
 DECODED_COLUMNS = ["station_id", "latitude", "longitude", "timestamp", *MEASURES]
 
 
 def _epoch() -> F.Column:
-    return F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return ntz_literal("1970-01-01 00:00:00")
 
 LINE_SPLIT = r"\s*\n\s*"
 TOKEN_SPLIT = r"\s+"

@@ -9,12 +9,12 @@ ended (at-least-once delivery, exactly-once tables).
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stationlake.functions import ntz_literal
 from stationlake.operators.cleanse import cleanse
 from stationlake.operators.curate import TIE_BREAK_COLUMNS, flag_quality
 from stationlake.schemas import RAW_COLUMNS
@@ -61,7 +61,7 @@ def event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     The wall time is read as UTC through epoch microseconds rather than a cast, so windows line up
     with the stored clock hours whatever the session time zone is.
     """
-    epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = ntz_literal("1970-01-01 00:00:00")
     return df.withColumn("event_time", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts))))
 
 

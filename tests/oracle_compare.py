@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -85,6 +86,9 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
     spark = get_session("local[8]", 8)
+    tz = os.environ.get("STATIONLAKE_SESSION_TZ")
+    if tz:  # results must not depend on the session time zone
+        spark.conf.set("spark.sql.session.timeZone", tz)
     con = duck_connect(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

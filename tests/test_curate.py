@@ -76,3 +76,15 @@ def test_report_rating_uses_rounded_score(spark):
         s = r["avg_completeness_score"]
         want = "EXCELLENT" if s >= 0.9 else "GOOD" if s >= 0.7 else "FAIR" if s >= 0.5 else "POOR"
         assert r["overall_quality_rating"] == want
+
+
+def test_day_filter_and_audit_time_ignore_session_zone(spark):
+    raw = raw_observations(spark, SF_SMALL)
+    want = _rows(curate.daily_observations(raw, start="2024-01-15", run_ts="2024-01-16 01:00:00"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        got = _rows(curate.daily_observations(raw, start="2024-01-15", run_ts=dt.datetime(2024, 1, 16, 1)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want and len(got) > 0
