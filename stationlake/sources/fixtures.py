@@ -18,8 +18,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin a source that is narrower than the cluster (e.g. one small single-row-group
     file read as one task) so per-row work before the first shuffle uses every core. A real
     table already has at least that many splits and passes through untouched."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,9 +38,10 @@ def test_landing_equals_batch_cleanse_and_restart_adds_nothing(spark, workdir):
 
 def test_replayed_batch_is_idempotent(spark, workdir):
     msgs = messages_from_events(read_table(spark, SF_SMALL, "events"))
-    landing.land_batch(msgs, 7, f"{workdir}/raw", f"{workdir}/q")
+    counts = landing.land_batch(msgs, 7, f"{workdir}/raw", f"{workdir}/q")
     n = read_raw(spark, f"{workdir}/raw").count()
-    landing.land_batch(msgs, 7, f"{workdir}/raw", f"{workdir}/q")
+    assert counts["accepted"] == n and counts["accepted"] + counts["rejected"] == msgs.count()
+    assert counts == landing.land_batch(msgs, 7, f"{workdir}/raw", f"{workdir}/q")
     assert read_raw(spark, f"{workdir}/raw").count() == n
 
 
