@@ -40,3 +40,21 @@ def test_upsert_history_keeps_latest_run(spark, workdir):
     assert h.count() == n
     assert h.where("observation_date = '2024-01-05'").select("processing_time").distinct().count() == 1
     assert h.where("observation_date = '2024-01-05' and processing_time = '2024-02-03 01:00:00'").count() > 0
+
+
+def test_station_subset_and_missing_tables(spark, workdir):
+    from stationlake.operators import views
+    from stationlake.sources.tables import RAW_TABLE_SCHEMA, read_day, read_raw
+
+    lay = Layout(workdir)
+    assert read_raw(spark, lay.raw).count() == 0                      # table not created yet: empty
+    assert read_day(spark, lay.raw, "2024-01-15", RAW_TABLE_SCHEMA).count() == 0
+    append_batch(raw_observations(spark, SF_SMALL), lay.raw, 0)
+    run_days(spark, lay, run_ts=dt.datetime(2024, 2, 1, 1), stations=[3, 5])
+    h = read_table(spark, lay.history, HISTORY_TABLE_SCHEMA)
+    assert {r[0] for r in h.select("station_id").distinct().collect()} == {3, 5}
+    trend = views.station_trend(h, "2024-01-31 00:00:00", days=7, station_ids=[5])
+    rows = trend.collect()
+    assert rows and {r["station_id"] for r in rows} == {5}
+    assert min(r["timestamp"] for r in rows) >= dt.datetime(2024, 1, 24)
+    assert [r["timestamp"] for r in rows] == sorted(r["timestamp"] for r in rows)
