@@ -7,7 +7,9 @@ states the reference's semantics in plain SQL: computed floats rounded with
 
 from __future__ import annotations
 
-from stationlake.schemas import MEASURES, QUALITY_RULES
+from stationlake.schemas import (
+    MEASURES, PARAMETER_LABELS, QUALITY_RULES, RATING_FLOOR, RATING_LEVELS, RATING_MARK_DEFAULT, RATING_MARKS,
+)
 
 MEASURE_LIST = ", ".join(MEASURES)
 RAW_LIST = f"timestamp, station_id, location, latitude, longitude, {MEASURE_LIST}, ingestion_time"
@@ -91,8 +93,13 @@ summary as ({SUMMARY_SELECT})"""
 
 
 def _rating(col: str) -> str:
-    return (f"case when {col} >= 0.9E0 then 'EXCELLENT' when {col} >= 0.7E0 then 'GOOD' "
-            f"when {col} >= 0.5E0 then 'FAIR' else 'POOR' end")
+    whens = " ".join(f"when {col} >= {t}E0 then '{label}'" for t, label in RATING_LEVELS)
+    return f"case {whens} else '{RATING_FLOOR}' end"
+
+
+def _mark(col: str) -> str:
+    whens = " ".join(f"when '{label}' then '{mark}'" for label, mark in RATING_MARKS.items())
+    return f"case {col} {whens} else '{RATING_MARK_DEFAULT}' end"
 
 
 _Q = [m for m, _, _ in QUALITY_RULES]
@@ -169,8 +176,7 @@ def _top10(value: str, direction: str) -> str:
             f" station_id, location, latitude, longitude) as integer) as rank from summary) x\nwhere rank <= 10")
 
 
-_LABELS = [("temperature", "Temperature"), ("humidity", "Humidity"), ("wind_speed", "Wind Speed"),
-           ("pressure", "Pressure")]
+_LABELS = list(PARAMETER_LABELS.items())
 
 
 def _long(prefix: str, value: str) -> str:
@@ -238,8 +244,7 @@ def oracle_sql() -> dict[str, str]:
     q["missing_long"] = _long("missing", "missing_count")
     q["outlier_long"] = _long("outlier", "outlier_count")
     q["rating_view"] = (
-        f"with {REPORT_CTE}\nselect report_date, overall_quality_rating, case overall_quality_rating "
-        f"when 'EXCELLENT' then '🟢' when 'GOOD' then '🟡' when 'FAIR' then '🟠' when 'POOR' then '🔴' else '⚪' end "
+        f"with {REPORT_CTE}\nselect report_date, overall_quality_rating, {_mark('overall_quality_rating')} "
         f"as rating_mark, active_stations, total_observations, temperature_valid_pct, humidity_valid_pct, "
         f"wind_speed_valid_pct, pressure_valid_pct from report")
     q["history_union_distinct"] = (f"with {DAILY_CTE}{HISTORY_CTE}\n"
