@@ -9,7 +9,6 @@ reference materialises ``daily_observations`` for its three later tasks.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +57,9 @@ class Layout:
         return self.path("station_history")
 
     def staging(self, name: str) -> str:
-        return self.path(f"_staging/{name}-{uuid.uuid4().hex[:12]}")
+        """One staging folder per table, overwritten by each run: storage stays bounded, and one
+        job at a time may run on a layout (the nightly schedule runs them one after another)."""
+        return self.path(f"_staging/{name}")
 
 
 def write_days(df: DataFrame, path: str, date_col: str, days: list[dt.date], present: set[dt.date],
@@ -142,3 +143,31 @@ HISTORY_TABLE_SCHEMA = _history_schema()
 
 def read_daily(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.parquet(layout.daily)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m stationlake.plans.daily_job --root PATH --date YYYY-MM-DD`` (what a scheduler runs)."""
+    import argparse
+
+    from stationlake.session import get_session
+
+    ap = argparse.ArgumentParser(description="Curate, summarise, report and update history for a date range.")
+    ap.add_argument("--root", required=True, help="table root every executor can reach")
+    ap.add_argument("--date", help="one date (the nightly run); default: yesterday (UTC)")
+    ap.add_argument("--start", help="first date of a range (with --end)")
+    ap.add_argument("--end", help="last date of a range")
+    ap.add_argument("--run-ts", help="audit time (ISO); default now")
+    ap.add_argument("--history-mode", choices=HISTORY_MODES, default="upsert")
+    ap.add_argument("--stations", help="comma-separated station ids kept in the history")
+    a = ap.parse_args(argv)
+    start = a.start or a.date or (dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
+    end = a.end or start
+    run_ts = dt.datetime.fromisoformat(a.run_ts) if a.run_ts else None
+    stations = [int(x) for x in a.stations.split(",")] if a.stations else None
+    spark = get_session()
+    done = run_days(spark, Layout(a.root), start, end, run_ts=run_ts, history_mode=a.history_mode, stations=stations)
+    print(f"processed {len(done['days'])} day(s) at {done['run_ts']}")
+
+
+if __name__ == "__main__":
+    main()

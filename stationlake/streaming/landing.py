@@ -51,7 +51,8 @@ def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path:
                      date_col=None)
         counts = {"batch_id": batch_id, "accepted": seen_ok.get["n"], "rejected": seen_bad.get["n"]}
         if counts["rejected"]:
-            log.warning("batch %(batch_id)s: %(rejected)s of %(accepted)s+%(rejected)s messages quarantined", counts)
+            log.warning("batch %s: %s of %s messages quarantined", batch_id, counts["rejected"],
+                        counts["accepted"] + counts["rejected"])
         return counts
     finally:
         decoded.unpersist()
@@ -122,3 +123,36 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, output_mode: str
     writer = (stream.writeStream.format("parquet").option("path", path)
               .option("checkpointLocation", checkpoint).outputMode(output_mode))
     return _trigger(writer, trigger).start()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m stationlake.streaming.landing --root PATH --kafka HOST:PORT --topic T`` (or
+    ``--files DIR``): run the consumer until stopped (or once over what is there, ``--drain``)."""
+    import argparse
+
+    from stationlake.plans.daily_job import Layout
+    from stationlake.session import get_session
+    from stationlake.sources.messages import value_stream
+
+    ap = argparse.ArgumentParser(description="Land a message stream into the raw table and quarantine.")
+    ap.add_argument("--root", required=True)
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--kafka", help="bootstrap servers")
+    src.add_argument("--files", help="folder of newline-delimited JSON messages")
+    ap.add_argument("--topic", default="observations")
+    ap.add_argument("--max-per-trigger", type=int, default=None)
+    ap.add_argument("--trigger", default="1 minute", help="processing-time interval")
+    ap.add_argument("--drain", action="store_true", help="process what is available, then stop")
+    ap.add_argument("--keep-extra", action="store_true", help="keep unknown message fields in extra_fields")
+    a = ap.parse_args(argv)
+    spark = get_session()
+    lay = Layout(a.root)
+    stream = (value_stream(spark, "kafka", a.kafka, topic=a.topic, max_per_trigger=a.max_per_trigger) if a.kafka
+              else value_stream(spark, "text", a.files, max_per_trigger=a.max_per_trigger))
+    q = land_stream(stream, lay.raw, lay.quarantine, lay.path("_checkpoints/landing"),
+                    trigger="availableNow" if a.drain else a.trigger, name="landing", keep_extra=a.keep_extra)
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
