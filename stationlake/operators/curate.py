@@ -34,8 +34,9 @@ def date_range_filter(df: DataFrame, start, end=None, ts: str = "timestamp") ->
     filters, plus an equality/range on the stored ``observation_date`` partition column when the
     table has one, so whole date folders are pruned before any file is opened.
     """
-    lo = _as_datetime(start)
-    hi = _as_datetime(end if end is not None else start) + dt.timedelta(days=1)
+    lo = _as_datetime(start).replace(hour=0, minute=0, second=0, microsecond=0)
+    hi = _as_datetime(end if end is not None else start).replace(hour=0, minute=0, second=0, microsecond=0)
+    hi = hi + dt.timedelta(days=1)
     cond = (F.col(ts) >= ntz_literal(lo)) & (F.col(ts) < ntz_literal(hi))
     if "observation_date" in df.columns:
         cond = cond & F.col("observation_date").between(F.lit(lo.date()), F.lit((hi - dt.timedelta(days=1)).date()))

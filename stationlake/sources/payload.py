@@ -27,6 +27,7 @@ DECODED_COLUMNS = ["station_id", "latitude", "longitude", "timestamp", *MEASURES
 def _epoch() -> F.Column:
     return ntz_literal("1970-01-01 00:00:00")
 
+
 LINE_SPLIT = r"\s*\n\s*"
 TOKEN_SPLIT = r"\s+"
 
@@ -40,7 +41,7 @@ def _sections(payloads: DataFrame, station: str, xml: str) -> DataFrame:
     """Per document: well-formedness, then the positions and values text, then a reject reason.
 
     The XML check is one ``from_xml`` parse in its own projection (Catalyst will not inline it
-    into the next one, which uses it three times). The two sections are then cut out of the
+    into the next ones, which use it repeatedly). The two sections are then cut out of the
     checked text with ``regexp_extract``: on a well-formed document the first element of that
     name is the one an any-depth search finds, and this avoids one DOM parse per XPath call.
     """

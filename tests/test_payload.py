@@ -37,3 +37,13 @@ def test_bad_payloads_are_rejected_with_reason(spark):
     reasons = sorted(r["reject_reason"] for r in payload_rejects(df).collect())
     assert reasons == ["bad_position", "malformed_xml", "malformed_xml", "malformed_xml", "missing_positions",
                        "missing_values"]
+
+
+def test_prolog_comments_cdata_and_attributes(spark):
+    head = ('<?xml version="1.0" encoding="UTF-8"?>\n<!-- c --><wfs:FeatureCollection x="1" '
+            'xmlns:wfs="http://www.opengis.net/wfs/2.0" xmlns:gml="http://www.opengis.net/gml/3.2" '
+            'xmlns:gmlcov="http://www.opengis.net/gmlcov/1.0"><wfs:member><gml:d><![CDATA[a < b]]></gml:d>')
+    d = (head + '<gmlcov:positions srsDimension="3">\n 60.1 24.9 1704103200\n</gmlcov:positions>'
+         '<gml:doubleOrNilReasonTupleList>\n 1.0 2.0\n</gml:doubleOrNilReasonTupleList></wfs:member></wfs:FeatureCollection>')
+    rows = decode_payloads(_df(spark, [d, d.replace("</wfs:member>", "")])).collect()
+    assert len(rows) == 1 and rows[0]["temperature"] == 1.0 and rows[0]["humidity"] == 2.0
