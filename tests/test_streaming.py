@@ -79,3 +79,18 @@ def test_batches_with_and_without_extra_fields_read_together(spark, workdir):
                 .groupBy("batch_id").count().withColumnRenamed("count", "n").collect()}
     assert set(by_batch) == {1}
     assert merged.where("extra_fields['extra_field'] is not null").count() > 0
+
+
+def test_new_files_after_a_drain_are_picked_up_once(spark, workdir):
+    msgs = messages_from_events(read_table(spark, SF_SMALL, "events"))
+    first, second = msgs.randomSplit([0.5, 0.5], seed=3)
+    first.select("value").write.text(f"{workdir}/in/part=1")
+    run = lambda: landing.land_stream(value_stream(spark, "text", f"{workdir}/in/*"), f"{workdir}/raw",
+                                      f"{workdir}/q", f"{workdir}/ck").awaitTermination()
+    run()
+    n1 = read_raw(spark, f"{workdir}/raw").count()
+    second.select("value").write.text(f"{workdir}/in/part=2")
+    run()
+    run()
+    want, _ = cleanse(decode_messages(msgs))
+    assert n1 < read_raw(spark, f"{workdir}/raw").count() == want.count()
