@@ -19,7 +19,7 @@ from stationlake.session import shared_dir
 from stationlake.sources.tables import stage
 from stationlake.plans.streams import STREAM_QUERIES
 from stationlake.sources.fixtures import (
-    messages_from_events, payloads_from_events, raw_observations, read_table,
+    messages_from_events, payloads_from_events, raw_observations, read_source,
 )
 from stationlake.sources.messages import decode_messages, encode_messages
 from stationlake.sources.payload import decode_payloads, payload_rejects
@@ -97,8 +97,8 @@ def _backfill(daily: DataFrame) -> DataFrame:
 
 
 def _lookup_catalog(spark, sf_dir):
-    return cat.lookup_catalog(cat.catalog_from_tables(read_table(spark, sf_dir, "supplier"),
-                                                      read_table(spark, sf_dir, "nation")))
+    return cat.lookup_catalog(cat.catalog_from_tables(read_source(spark, sf_dir, "supplier"),
+                                                      read_source(spark, sf_dir, "nation")))
 
 
 def q_latest_by_station(spark, sf_dir):
@@ -220,7 +220,7 @@ def q_poll_outcome_counts(spark, sf_dir):
 
 # ---- messages, cleansing, payloads ----------------------------------------------------------
 def _cleansed(spark, sf_dir):
-    return cleanse(decode_messages(messages_from_events(read_table(spark, sf_dir, "events"))))
+    return cleanse(decode_messages(messages_from_events(read_source(spark, sf_dir, "events"))))
 
 
 def q_cleanse_accept(spark, sf_dir):
@@ -237,7 +237,7 @@ def q_json_roundtrip(spark, sf_dir):
 
 
 def _payloads(spark, sf_dir):
-    return payloads_from_events(read_table(spark, sf_dir, "events"))
+    return payloads_from_events(read_source(spark, sf_dir, "events"))
 
 
 def q_payload_decode(spark, sf_dir):

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from stationlake.operators.cleanse import reject_counts
 from stationlake.schemas import MEASURES, RAW_COLUMNS
 from stationlake.session import shared_dir
-from stationlake.sources.fixtures import messages_from_events, read_table
+from stationlake.sources.fixtures import messages_from_events, read_source
 from stationlake.sources.messages import value_stream
 from stationlake.sources.tables import QUARANTINE_SCHEMA, read_raw
-from stationlake.sources.tables import read_table as read_stored
+from stationlake.sources.tables import read_table
 from stationlake.streaming import landing
 
 FILES = 16            # message files written for the stream source
@@ -21,7 +21,7 @@ FILES_PER_TRIGGER = 4  # landing runs 4 micro-batches
 
 def _message_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     path = f"{root}/messages"
-    (messages_from_events(read_table(spark, sf_dir, "events")).select("value")
+    (messages_from_events(read_source(spark, sf_dir, "events")).select("value")
      .repartition(FILES).write.text(path))
     return path
 
@@ -44,7 +44,7 @@ def q_stream_landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _land(spark, sf_dir)
-    return reject_counts(read_stored(spark, f"{root}/quarantine", QUARANTINE_SCHEMA))
+    return reject_counts(read_table(spark, f"{root}/quarantine", QUARANTINE_SCHEMA))
 
 
 def _run(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:

@@ -26,7 +26,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's source tables (``<sf_dir>/<name>.parquet``)."""
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
@@ -77,7 +78,7 @@ def observations_from_events(events: DataFrame, keep_key: bool = False) -> DataF
 
 
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations_from_events(read_table(spark, sf_dir, "events"))
+    return observations_from_events(read_source(spark, sf_dir, "events"))
 
 
 # ---- derived message and payload fixtures ---------------------------------------------------

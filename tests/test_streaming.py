@@ -1,7 +1,7 @@
 import datetime as dt
 
 from stationlake.operators.cleanse import cleanse
-from stationlake.sources.fixtures import messages_from_events, read_table
+from stationlake.sources.fixtures import messages_from_events, read_source
 from stationlake.sources.messages import decode_messages, value_stream
 from stationlake.sources.tables import read_raw
 from stationlake.streaming import landing
@@ -14,7 +14,7 @@ def _rows(df):
 
 
 def _files(spark, workdir, n=6):
-    msgs = messages_from_events(read_table(spark, SF_SMALL, "events"))
+    msgs = messages_from_events(read_source(spark, SF_SMALL, "events"))
     msgs.select("value").repartition(n).write.text(f"{workdir}/in")
     return msgs, f"{workdir}/in"
 
@@ -37,7 +37,7 @@ def test_landing_equals_batch_cleanse_and_restart_adds_nothing(spark, workdir):
 
 
 def test_replayed_batch_is_idempotent(spark, workdir):
-    msgs = messages_from_events(read_table(spark, SF_SMALL, "events"))
+    msgs = messages_from_events(read_source(spark, SF_SMALL, "events"))
     counts = landing.land_batch(msgs, 7, f"{workdir}/raw", f"{workdir}/q")
     n = read_raw(spark, f"{workdir}/raw").count()
     assert counts["accepted"] == n and counts["accepted"] + counts["rejected"] == msgs.count()
@@ -70,7 +70,7 @@ def test_dedup_stream_keeps_one_copy_per_observation(spark, workdir):
 
 
 def test_batches_with_and_without_extra_fields_read_together(spark, workdir):
-    msgs = messages_from_events(read_table(spark, SF_SMALL, "events"))
+    msgs = messages_from_events(read_source(spark, SF_SMALL, "events"))
     landing.land_batch(msgs, 0, f"{workdir}/raw", f"{workdir}/q")
     landing.land_batch(msgs, 1, f"{workdir}/raw", f"{workdir}/q", keep_extra=True)
     merged = read_raw(spark, f"{workdir}/raw", merge_schema=True)
@@ -82,7 +82,7 @@ def test_batches_with_and_without_extra_fields_read_together(spark, workdir):
 
 
 def test_new_files_after_a_drain_are_picked_up_once(spark, workdir):
-    msgs = messages_from_events(read_table(spark, SF_SMALL, "events"))
+    msgs = messages_from_events(read_source(spark, SF_SMALL, "events"))
     first, second = msgs.randomSplit([0.5, 0.5], seed=3)
     first.select("value").write.text(f"{workdir}/in/part=1")
     run = lambda: landing.land_stream(value_stream(spark, "text", f"{workdir}/in/*"), f"{workdir}/raw",
