@@ -189,6 +189,9 @@ def _range(start: str, end: str) -> str:
     return f"cast(timestamp as date) between date '{start}' and date '{end}'"
 
 
+# earliest delivery first, then every other column (Spark orders structs field by field, nulls first)
+FIRST_ORDER = ", ".join(f"{c} asc nulls first" for c in
+                        ["ingestion_time", "timestamp", "location", "latitude", "longitude", *MEASURES])
 RAWK_CTE = RAW_CTE + f""",
 rawk as (select {RAW_LIST}, k from p)"""
 
@@ -309,8 +312,10 @@ def oracle_sql() -> dict[str, str]:
         f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\n"
         f"select * from h where date_trunc('hour', timestamp) + interval 1 hour <= "
         f"(select max(timestamp) from acc) - interval 2 hour")
-    q["stream_dedup"] = (f"{acc}\nselect distinct station_id, timestamp, location, latitude, longitude, "
-                         f"{MEASURE_LIST} from acc")
+    q["stream_dedup"] = (
+        f"{acc}\nselect {RAW_LIST} from (select *, row_number() over (partition by station_id, timestamp "
+        f"order by {FIRST_ORDER}) as rn from acc) x where rn = 1 "
+        f"and timestamp <= (select max(timestamp) from acc) - interval 2 hour")
     q["stream_quality_flags"] = (f"{acc}\nselect station_id, timestamp, ingestion_time,\n    {FLAGS_SQL}\n"
                                  f"from acc")
     q["stored_daily_summary"] = q["daily_summary"]

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stationlake.operators.cleanse import reject_counts
-from stationlake.schemas import MEASURES, RAW_COLUMNS
+from stationlake.schemas import RAW_COLUMNS
 from stationlake.session import shared_dir
 from stationlake.sources.fixtures import messages_from_events, read_source
 from stationlake.sources.messages import value_stream
@@ -63,8 +63,7 @@ def q_stream_hourly_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = ["station_id", "timestamp", "location", "latitude", "longitude", *MEASURES]
-    return _run(spark, sf_dir, "dedup", landing.dedup_stream).select(*cols)
+    return _run(spark, sf_dir, "dedup", landing.dedup_stream).select(*RAW_COLUMNS)
 
 
 def q_stream_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,10 +86,21 @@ def cleansed_stream(messages: DataFrame) -> DataFrame:
 
 
 def dedup_stream(obs: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Drop re-polled copies of an observation (same station and event time) seen within the
-    watermark delay (T5). State is kept per key only until the watermark passes it."""
+    """One row per observation (station, event time): re-polled and re-delivered copies collapse
+    to the earliest-ingested copy (T5).
+
+    Written as a watermarked aggregation keyed on the event time rather than
+    ``dropDuplicatesWithinWatermark``: the aggregate is combined map-side before the state store,
+    so even an observation whose copies are a third of a batch costs one row per task, and the
+    kept copy is fixed (earliest ingestion, then the other columns) instead of arrival order. Rows
+    are emitted once the watermark passes their event time; state lives only until then.
+    """
+    row = F.struct(*RAW_COLUMNS)
+    order = F.struct("ingestion_time", *[c for c in RAW_COLUMNS if c != "ingestion_time"])
     return (event_time(obs).withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(["station_id", "timestamp"]).drop("event_time"))
+            .groupBy("station_id", "event_time")
+            .agg(F.min_by(row, order).alias("first"))
+            .select("first.*"))
 
 
 def hourly_latest_stream(obs: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
