@@ -145,6 +145,34 @@ def read_daily(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.parquet(layout.daily)
 
 
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """Expose the stored tables to ``spark.sql`` under their usual names.
+
+    One partitioned table replaces each family of per-day (or per-station) tables, so a query on
+    "the summary of day D" becomes ``... FROM daily_summary WHERE observation_date = DATE 'D'``,
+    which prunes to that day's folder. Tables not written yet are skipped.
+    """
+    from stationlake.sources.tables import RAW_TABLE_SCHEMA
+
+    names = []
+    sources = {
+        "raw_observations": lambda: read_table(spark, layout.raw, RAW_TABLE_SCHEMA),
+        "daily_observations": lambda: spark.read.parquet(layout.daily),
+        "daily_summary": lambda: spark.read.parquet(layout.summary),
+        "quality_report": lambda: spark.read.parquet(layout.report),
+        "station_history": lambda: read_table(spark, layout.history, HISTORY_TABLE_SCHEMA),
+        "quarantine": lambda: spark.read.parquet(layout.quarantine),
+    }
+    for name, load in sources.items():
+        try:
+            load().createOrReplaceTempView(name)
+            names.append(name)
+        except Exception as e:  # a table that does not exist yet
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+    return names
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m stationlake.plans.daily_job --root PATH --date YYYY-MM-DD`` (what a scheduler runs)."""
     import argparse

@@ -58,3 +58,24 @@ def test_station_subset_and_missing_tables(spark, workdir):
     assert rows and {r["station_id"] for r in rows} == {5}
     assert min(r["timestamp"] for r in rows) >= dt.datetime(2024, 1, 24)
     assert [r["timestamp"] for r in rows] == sorted(r["timestamp"] for r in rows)
+
+
+def test_sql_over_registered_views(spark, workdir):
+    from stationlake.plans.daily_job import register_views
+
+    lay = Layout(workdir)
+    append_batch(raw_observations(spark, SF_SMALL), lay.raw, 0)
+    run_days(spark, lay, run_ts=dt.datetime(2024, 2, 1, 1))
+    names = register_views(spark, lay)
+    assert {"raw_observations", "daily_observations", "daily_summary", "quality_report", "station_history"} <= set(names)
+    # the dashboard's "latest observation per station for a day", as SQL
+    latest = spark.sql("""
+        SELECT * EXCEPT (rn) FROM (
+          SELECT station_id, location, temperature, timestamp,
+                 ROW_NUMBER() OVER (PARTITION BY station_id ORDER BY timestamp DESC, ingestion_time DESC) AS rn
+          FROM raw_observations WHERE observation_date = DATE '2024-01-15') WHERE rn = 1""")
+    assert latest.count() == spark.sql(
+        "SELECT COUNT(DISTINCT station_id) FROM raw_observations WHERE observation_date = DATE '2024-01-15'").first()[0]
+    day = spark.sql("SELECT * FROM daily_summary WHERE observation_date = DATE '2024-01-15' ORDER BY station_id")
+    report = spark.sql("SELECT overall_quality_rating FROM quality_report WHERE report_date = DATE '2024-01-15'")
+    assert day.count() > 0 and report.count() == 1
