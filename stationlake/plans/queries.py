@@ -1,4 +1,9 @@
-"""The registered queries: each takes (spark, sf_dir) and returns a DataFrame over whole tables."""
+"""The registered queries: each takes (spark, sf_dir) and returns a DataFrame over whole tables.
+
+Inputs are derived in Spark from the driver's tables (``sources/fixtures``); dates and times
+below are the parameters of the feature being shown (a report day, a lookback, a backfill), not
+filters to make checks cheap: every query still reads all rows.
+"""
 
 from __future__ import annotations
 
@@ -8,21 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.functions import completeness_score, quality_columns
-from stationlake.operators import curate, summarize
+from stationlake.operators import curate, lookup, reports, summarize, views
 from stationlake.operators import history as hist
-from stationlake.operators import lookup, reports, views
-from stationlake.sources import catalog as cat
-from stationlake.schemas import DAILY_COLUMNS, QUALITY_COLUMNS, RAW_COLUMNS
 from stationlake.operators.cleanse import cleanse, reject_counts
 from stationlake.plans.stored import STORED_QUERIES
-from stationlake.session import shared_dir
-from stationlake.sources.tables import stage
 from stationlake.plans.streams import STREAM_QUERIES
+from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
+from stationlake.session import shared_dir
+from stationlake.sources import catalog as cat
 from stationlake.sources.fixtures import (
     messages_from_events, payloads_from_events, raw_observations, read_source,
 )
 from stationlake.sources.messages import decode_messages, encode_messages
 from stationlake.sources.payload import decode_payloads, payload_rejects
+from stationlake.sources.tables import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 REPORT_DAY = "2024-01-15"
