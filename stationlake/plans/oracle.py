@@ -301,6 +301,11 @@ def oracle_sql() -> dict[str, str]:
     q["payload_decode"] = (f"with {BASE_CTE}\n{_payload_line(20)}\nunion all {_payload_line(10)}\n"
                            f"union all {_payload_line(0)}")
     q["payload_latest"] = f"with {BASE_CTE}\n{_payload_line(0)}"
+    q["daily_observations_exact"] = q["daily_observations"]
+    q["producer_records"] = (
+        f"with {BASE_CTE}{CATALOG_CTE},\npl as ({_payload_line(0)})\n"
+        f"select pl.station_id, {', '.join('pl.' + c for c in ['latitude', 'longitude', 'timestamp', *MEASURES])}, "
+        f"l.station_name as location from pl left join lookup l on pl.station_id = l.station_id")
     q["payload_reject_counts"] = (
         f"with {BASE_CTE}\nselect case k when 3 then 'missing_values' else 'malformed_xml' end as reject_reason, "
         f"count(*) as rejected from b where k in (3, 4) group by 1")

@@ -59,6 +59,11 @@ def q_daily_observations_day(spark, sf_dir):
     return curate.daily_observations(raw_observations(spark, sf_dir), start=REPORT_DAY).select(*DAILY_COLUMNS)
 
 
+def q_daily_observations_exact(spark, sf_dir):
+    """C5 with the reference's DISTINCT step replayed literally (same table as the default path)."""
+    return curate.daily_observations(raw_observations(spark, sf_dir), exact_distinct=True).select(*DAILY_COLUMNS)
+
+
 def q_daily_summary(spark, sf_dir):
     return summarize.daily_summary(_daily(spark, sf_dir))
 
@@ -252,6 +257,12 @@ def q_payload_latest(spark, sf_dir):
     return decode_payloads(_payloads(spark, sf_dir), latest_only=True)
 
 
+def q_producer_records(spark, sf_dir):
+    """The producer's record per poll: newest payload line, named from the active catalogue."""
+    latest = decode_payloads(_payloads(spark, sf_dir), latest_only=True)
+    return lookup.enrich_station(latest, _lookup_catalog(spark, sf_dir))
+
+
 def q_payload_reject_counts(spark, sf_dir):
     return (payload_rejects(_payloads(spark, sf_dir)).groupBy("reject_reason")
             .agg(F.count(F.lit(1)).alias("rejected")))
@@ -264,6 +275,7 @@ def queries() -> dict[str, Query]:
         "quality_flags": q_quality_flags,
         "daily_observations": q_daily_observations,
         "daily_observations_day": q_daily_observations_day,
+        "daily_observations_exact": q_daily_observations_exact,
         "daily_summary": q_daily_summary,
         "quality_report": q_quality_report,
         "quality_rating_by_station_day": q_quality_rating_by_station_day,
@@ -300,6 +312,7 @@ def queries() -> dict[str, Query]:
         "payload_decode": q_payload_decode,
         "payload_latest": q_payload_latest,
         "payload_reject_counts": q_payload_reject_counts,
+        "producer_records": q_producer_records,
         **STREAM_QUERIES,
         **STORED_QUERIES,
     }
