@@ -4,39 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Measures carried by every observation, in payload order.
+# ---------------------------------------------------------------------------------------------
+# Fixed values that must equal the reference's for right results.
+#
+# Measures of an observation, in payload value-line order (also the table column names).
 MEASURES = [
     "temperature", "humidity", "wind_speed", "wind_direction",
     "pressure", "precipitation", "cloud_cover", "visibility",
 ]
-
-# Columns of the landed raw table (the reference's 14 columns; the id is called station_id here).
-RAW_COLUMNS = ["timestamp", "station_id", "location", "latitude", "longitude", *MEASURES, "ingestion_time"]
-
-RAW_SCHEMA = T.StructType(
-    [
-        T.StructField("timestamp", T.TimestampNTZType(), False),
-        T.StructField("station_id", T.LongType(), False),
-        T.StructField("location", T.StringType(), True),
-        T.StructField("latitude", T.DoubleType(), True),
-        T.StructField("longitude", T.DoubleType(), True),
-        *[T.StructField(m, T.DoubleType(), True) for m in MEASURES],
-        T.StructField("ingestion_time", T.TimestampNTZType(), False),
-    ]
-)
-
-# Numeric fields cast leniently at cleansing (everything numeric except the id).
-NUMERIC_FIELDS = ["latitude", "longitude", *MEASURES]
-
-# Message value as it travels: every field is text so one malformed field cannot void the record.
-MESSAGE_FIELDS = ["fmisid", "latitude", "longitude", "timestamp", *MEASURES, "ingestion_time", "location"]
-# (``fmisid`` is the wire name of the station id.) ``_corrupt_record`` receives malformed text.
-MESSAGE_STRING_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in MESSAGE_FIELDS]
-                                     + [T.StructField("_corrupt_record", T.StringType(), True)])
-
-# ---------------------------------------------------------------------------------------------
-# Fixed values that must equal the reference's for right results.
-#
+# Field names of a message value on the wire; ``fmisid`` is the station id.
+MESSAGE_FIELDS = [
+    "fmisid", "latitude", "longitude", "timestamp",
+    "temperature", "humidity", "wind_speed", "wind_direction",
+    "pressure", "precipitation", "cloud_cover", "visibility",
+    "ingestion_time", "location",
+]
+# Header of the station catalogue CSV.
+CATALOG_CSV_COLUMNS = ["Name", "FMISID", "lat", "lon", "start", "finish"]
 # Quality rules, per measure: (measure, lowest valid value, highest valid value).
 #   temperature -50 .. 50, humidity 0 .. 100, wind_speed 0 .. 50, pressure 900 .. 1100
 QUALITY_RULES = [
@@ -65,6 +49,30 @@ PAYLOAD_VALUES_TAG = "gml:doubleOrNilReasonTupleList"
 PAYLOAD_NAN_TOKEN = "NaN"
 # ---------------------------------------------------------------------------------------------
 
+# Columns of the landed raw table (the reference's 14 columns; the id is called station_id here).
+RAW_COLUMNS = ["timestamp", "station_id", "location", "latitude", "longitude", *MEASURES, "ingestion_time"]
+
+RAW_SCHEMA = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampNTZType(), False),
+        T.StructField("station_id", T.LongType(), False),
+        T.StructField("location", T.StringType(), True),
+        T.StructField("latitude", T.DoubleType(), True),
+        T.StructField("longitude", T.DoubleType(), True),
+        *[T.StructField(m, T.DoubleType(), True) for m in MEASURES],
+        T.StructField("ingestion_time", T.TimestampNTZType(), False),
+    ]
+)
+
+# Numeric fields cast leniently at cleansing (everything numeric except the id).
+NUMERIC_FIELDS = ["latitude", "longitude", *MEASURES]
+
+# Message value as it travels: every field is text so one malformed field cannot void the record;
+# ``_corrupt_record`` receives malformed text.
+MESSAGE_STRING_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in MESSAGE_FIELDS]
+                                     + [T.StructField("_corrupt_record", T.StringType(), True)])
+
+
 QUALITY_MEASURES = [m for m, _, _ in QUALITY_RULES]
 QUALITY_COLUMNS = [f"{m}_quality" for m in QUALITY_MEASURES]
 
@@ -76,14 +84,9 @@ HISTORY_COLUMNS = [
     "precipitation", "cloud_cover", "visibility", "data_completeness_score", "processing_time",
 ]
 
-# Station catalogue CSV as published: Name,FMISID,lat,lon,start,finish
+# Station catalogue CSV as published (ids read as text and cast leniently).
 CATALOG_CSV_SCHEMA = T.StructType(
-    [
-        T.StructField("Name", T.StringType(), True),
-        T.StructField("FMISID", T.StringType(), True),
-        T.StructField("lat", T.DoubleType(), True),
-        T.StructField("lon", T.DoubleType(), True),
-        T.StructField("start", T.IntegerType(), True),
-        T.StructField("finish", T.StringType(), True),
-    ]
+    [T.StructField(name, typ, True) for name, typ in zip(
+        CATALOG_CSV_COLUMNS,
+        [T.StringType(), T.StringType(), T.DoubleType(), T.DoubleType(), T.IntegerType(), T.StringType()])]
 )
