@@ -48,6 +48,21 @@ def _canon(cols, rows):
     return [cols[i] for i in order], Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def type_mismatches(df, con, sql) -> list[str]:
+    """Columns whose Spark type does not correspond to the DuckDB result type."""
+    duck = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
+    out = []
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck.get(f.name) != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs duck {duck.get(f.name)}")
+    return out
+
+
 def spark_result(df):
     return df.columns, [tuple(r) for r in df.collect()]
 
@@ -60,14 +75,18 @@ def duck_result(con, sql):
 
 def compare(spark, con, name, query, sql, sf_dir):
     t0 = time.time()
-    s_cols, s_rows = spark_result(query(spark, sf_dir))
+    df = query(spark, sf_dir)
+    types = type_mismatches(df, con, sql)
+    s_cols, s_rows = spark_result(df)
     t1 = time.time()
     d_cols, d_rows = duck_result(con, sql)
     sc, sv = _canon(s_cols, s_rows)
     dc, dv = _canon(d_cols, d_rows)
-    ok = sc == dc and len(s_rows) == len(d_rows) and sv == dv
+    ok = sc == dc and len(s_rows) == len(d_rows) and sv == dv and not types
     detail = ""
-    if sc != dc:
+    if types:
+        detail = f"types {types}"
+    elif sc != dc:
         detail = f"cols spark={sc} duck={dc}"
     elif len(s_rows) != len(d_rows):
         detail = f"rows spark={len(s_rows)} duck={len(d_rows)}"
