@@ -100,3 +100,16 @@ def test_new_files_after_a_drain_are_picked_up_once(spark, workdir):
     run()
     want, _ = cleanse(decode_messages(msgs))
     assert n1 < read_raw(spark, f"{workdir}/raw").count() == want.count()
+
+
+def test_continuous_trigger_lands_then_stops(spark, workdir):
+    msgs, src = _files(spark, workdir, 3)
+    q = landing.land_stream(value_stream(spark, "text", src, max_per_trigger=1), f"{workdir}/raw", f"{workdir}/q",
+                            f"{workdir}/ck", trigger="1 second", name="landing_test")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    want, _ = cleanse(decode_messages(msgs))
+    assert read_raw(spark, f"{workdir}/raw").count() == want.count()
