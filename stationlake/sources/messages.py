@@ -49,17 +49,20 @@ def decode_messages(msgs: DataFrame, value: str = "value", key: str | None = "ke
 
 
 def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str | None = None,
-                 max_per_trigger: int | None = None, starting: str = "earliest") -> DataFrame:
+                 max_per_trigger: int | None = None, starting: str = "earliest",
+                 fail_on_data_loss: bool = True) -> DataFrame:
     """A streaming DataFrame with ``key`` and ``value`` columns.
 
     ``fmt="kafka"`` subscribes to ``topic`` from ``starting`` offsets, ``max_per_trigger`` capping
-    records per micro-batch (the reference's batch of 100). ``fmt="text"`` reads one message per
-    line from files in a folder, ``max_per_trigger`` capping files per micro-batch.
+    records per micro-batch (the reference's batch of 100). Offsets that vanished before they
+    were read (retention) stop the query unless ``fail_on_data_loss=False``: results stay whole
+    or fail loudly. ``fmt="text"`` reads one message per line from files in a folder,
+    ``max_per_trigger`` capping files per micro-batch.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("kafka.bootstrap.servers", path_or_servers).option("subscribe", topic)
-        reader = reader.option("startingOffsets", starting).option("failOnDataLoss", "false")
+        reader = reader.option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_data_loss).lower())
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return reader.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
