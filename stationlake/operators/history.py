@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationlake.functions import ntz_literal
 from stationlake.schemas import HISTORY_COLUMNS, MEASURES
 
 HISTORY_KEY = ["station_id", "timestamp"]
@@ -13,7 +14,7 @@ HISTORY_KEY = ["station_id", "timestamp"]
 def history_rows(daily: DataFrame, processing_time=None) -> DataFrame:
     """Project daily observations to history rows; ``processing_time`` may be a literal or column."""
     if processing_time is not None:
-        pt = processing_time if isinstance(processing_time, F.Column) else F.lit(processing_time)
+        pt = processing_time if isinstance(processing_time, F.Column) else ntz_literal(processing_time)
         daily = daily.withColumn("processing_time", pt.cast("timestamp_ntz"))
     return daily.select(*HISTORY_COLUMNS, F.to_date("timestamp").alias("observation_date"))
 
