@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "daily_summary", "quality_report", "daily_observations", "latest_by_station", "hottest_10",
+    "daily_summary", "daily_summary_hot_station", "quality_report", "daily_observations", "latest_by_station", "hottest_10",
     "history_upsert", "cleanse_accept", "payload_decode", "station_name_lookup", "stream_landed_rows",
     "stored_daily_summary",
 ]

@@ -51,8 +51,10 @@ _FLAGS = ",\n    ".join(
 _SCORE = " + ".join(f"cast({m} is not null as int)" for m, _, _ in QUALITY_RULES) 
 FLAGS_SQL = f"{_FLAGS},\n    ({_SCORE}) / 4.0E0 as data_completeness_score"
 
-DAILY_CTE = RAW_CTE + f""",
-dedup as (select distinct {RAW_LIST} from raw),
+def curated_ctes(source: str = "raw") -> str:
+    """distinct → hourly pick → flags, reading the CTE named ``source``."""
+    return f""",
+dedup as (select distinct {RAW_LIST} from {source}),
 hourly as (
   select {RAW_LIST} from (
     select *, row_number() over (partition by station_id, date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn
@@ -63,6 +65,9 @@ daily as (select *,
     {FLAGS_SQL}
   from hourly)"""
 
+
+DAILY_CTE = RAW_CTE + curated_ctes()
+
 SUMMARY_SELECT = f"""
   select station_id, location, latitude, longitude, cast(timestamp as date) as observation_date,
     count(temperature) as temperature_count,
@@ -353,4 +358,8 @@ def oracle_sql() -> dict[str, str]:
         f"as date_suffix, cast(stations_reporting as varchar) as stations_reporting_text, "
         f"format('{{:,}}', total_observations) as total_observations_text, "
         f"printf('%.2f%%', {rnd('avg_data_quality * 100', 2)}) as avg_data_quality_text from dk")
+    hot = RAW_CTE + f""",
+raw_hot as (select {RAW_LIST.replace('station_id,', 'case when station_id % 3 = 0 then 0 else station_id end as station_id,', 1)}
+  from raw)""" + curated_ctes("raw_hot")
+    q["daily_summary_hot_station"] = f"with {hot},\nsummary as ({SUMMARY_SELECT})\nselect * from summary"
     return q

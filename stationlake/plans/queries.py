@@ -68,6 +68,15 @@ def q_daily_summary(spark, sf_dir):
     return summarize.daily_summary(_daily(spark, sf_dir))
 
 
+def q_daily_summary_hot_station(spark, sf_dir):
+    """The summary when one station sends a third of all observations (every id divisible by 3 is
+    sent as station 0): the skew case the hourly pick and the aggregates must absorb."""
+    raw = raw_observations(spark, sf_dir)
+    hot = raw.withColumn("station_id", F.when(F.col("station_id") % 3 == 0, F.lit(0).cast("bigint"))
+                         .otherwise(F.col("station_id")))
+    return summarize.daily_summary(curate.daily_observations(hot))
+
+
 def q_quality_report(spark, sf_dir):
     return summarize.quality_report(_daily(spark, sf_dir))
 
@@ -277,6 +286,7 @@ def queries() -> dict[str, Query]:
         "daily_observations_day": q_daily_observations_day,
         "daily_observations_exact": q_daily_observations_exact,
         "daily_summary": q_daily_summary,
+        "daily_summary_hot_station": q_daily_summary_hot_station,
         "quality_report": q_quality_report,
         "quality_rating_by_station_day": q_quality_rating_by_station_day,
 
