@@ -5,6 +5,8 @@ every station id divisible by 3), runs the curated summary, and reads the per-ta
 metrics from Spark's event log (written to a fresh scratch folder). For contrast it also runs a
 top-1 window keyed by the station alone, the layout that would put the hot station in one task.
 
+A second run puts a third of all rows into one (station, hour) group, copies of one reading.
+
 Usage: python tools/skew_check.py [sf_dir]
 """
 
@@ -66,6 +68,11 @@ def main(argv):
         df.write.format("noop").mode("overwrite").save()
 
     run("summary (window on station+hour, partial top-1)", summarize.daily_summary(curate.daily_observations(hot)))
+    # a third of all rows as copies inside ONE (station, hour) group
+    one = F.col("station_id") % 3 == 0
+    copies = raw.withColumn("station_id", F.when(one, F.lit(0)).otherwise(F.col("station_id"))).withColumn(
+        "timestamp", F.when(one, F.lit("2024-01-15 10:30:00").cast("timestamp_ntz")).otherwise(F.col("timestamp")))
+    run("one station-hour holding a third of the rows", curate.daily_observations(copies))
     w = Window.partitionBy("station_id").orderBy(*curate.latest_order())
     run("contrast: window keyed by station only", hot.withColumn("rn", F.row_number().over(w)).where("rn > 0"))
     spark.stop()  # flushes the event log
