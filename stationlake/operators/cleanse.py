@@ -59,16 +59,28 @@ def extra_fields(value: str = "value") -> F.Column:
 def cleanse(decoded: DataFrame, keep_extra: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted raw observations, quarantined messages with ``reject_reason``).
 
-    Both come from one projection; persist ``decoded`` (as the landing job does per micro-batch)
-    when both are written, so the source is read once. ``keep_extra`` adds ``extra_fields``.
+    Both come from one projection that decodes each message once; persist ``decoded`` (as the
+    landing job does per micro-batch) when both are written, so the source is read once.
+    ``keep_extra`` adds ``extra_fields``.
     """
     checked = _checked(decoded)
     if keep_extra:
         checked = checked.withColumn("extra_fields", extra_fields())
     cols = [*RAW_COLUMNS, "extra_fields"] if keep_extra else RAW_COLUMNS
-    accepted = checked.where(F.col("reject_reason").isNull()).select(*cols)
-    rejected = checked.where(F.col("reject_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
-    return accepted, rejected
+    return _keep(checked, cols, accepted=True), _keep(checked, QUARANTINE_COLUMNS, accepted=False)
+
+
+def _keep(checked: DataFrame, cols: list[str], accepted: bool) -> DataFrame:
+    """Rows of one outcome, as a zero-or-one-row ``inline`` (a flatMap) rather than a filter.
+
+    A filter on ``reject_reason`` would be pushed below the projection that computes it, copying
+    the JSON decode and every parse into the predicate (and, for a derived input, whatever built
+    the message text). A generator is not crossed by predicate pushdown, so each message is
+    parsed exactly once.
+    """
+    bad = F.col("reject_reason").isNotNull()
+    row = F.array(F.struct(*[F.col(c) for c in cols]))
+    return checked.select(F.inline(F.when(~bad if accepted else bad, row)))
 
 
 def reject_counts(rejected: DataFrame) -> DataFrame:
