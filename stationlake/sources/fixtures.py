@@ -90,11 +90,17 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Payloads: k=3 no values element, k=4 truncated XML (rejected); k=8 value lines of 5 tokens.
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
-    """Keyed JSON messages for every raw observation (re-polls included), with the defects above."""
+def messages_from_events(events: DataFrame, time_ordered_parts: int | None = None) -> DataFrame:
+    """Keyed JSON messages for every raw observation (re-polls included), with the defects above.
+
+    ``time_ordered_parts`` range-partitions the messages by event time first, so files written
+    from them arrive in time order like a live feed (each file covers one stretch of time).
+    """
     from stationlake.sources.messages import iso, message_struct
 
     obs = observations_from_events(events, keep_key=True)
+    if time_ordered_parts:
+        obs = obs.repartitionByRange(time_ordered_parts, "timestamp", "station_id")
     k = F.col("k")
     ts_text = (F.when(k == 7, F.lit(None).cast("string")).when(k == 17, F.lit("  "))
                .when(k == 27, F.lit("not-a-time"))
