@@ -288,6 +288,7 @@ def oracle_sql() -> dict[str, str]:
     q["station_name_lookup"] = (
         f"with {RAW_CTE}{CATALOG_CTE}\nselect r.station_id, r.timestamp, r.ingestion_time, l.station_name as location "
         f"from raw r left join lookup l on r.station_id = l.station_id")
+    q["catalog_csv_lookup"] = f"with {RAW_CTE}{CATALOG_CTE}\nselect station_id, station_name from lookup"
     q["silent_stations"] = (
         f"with {RAW_CTE}{CATALOG_CTE}\nselect station_id, station_name from lookup "
         f"where station_id not in (select station_id from raw)")

@@ -228,6 +228,15 @@ def q_station_name_lookup(spark, sf_dir):
         "station_id", "timestamp", "ingestion_time", "location")
 
 
+def q_catalog_csv_lookup(spark, sf_dir):
+    """The catalogue round-tripped through its published CSV layout, then the producer's rules:
+    active stations only, first row per id."""
+    path = f"{shared_dir(spark, 'catalog')}/stations_csv"
+    cat.write_station_catalog(cat.catalog_from_tables(read_source(spark, sf_dir, "supplier"),
+                                                      read_source(spark, sf_dir, "nation")), path)
+    return cat.lookup_catalog(cat.read_station_catalog(spark, path)).select("station_id", "station_name")
+
+
 def q_silent_stations(spark, sf_dir):
     return lookup.silent_stations(_lookup_catalog(spark, sf_dir), raw_observations(spark, sf_dir))
 
@@ -315,6 +324,7 @@ def queries() -> dict[str, Query]:
         "geo_distribution": q_geo_distribution,
         "station_name_lookup": q_station_name_lookup,
         "silent_stations": q_silent_stations,
+        "catalog_csv_lookup": q_catalog_csv_lookup,
         "poll_outcome_counts": q_poll_outcome_counts,
         "cleanse_accept": q_cleanse_accept,
         "cleanse_reject_counts": q_cleanse_reject_counts,

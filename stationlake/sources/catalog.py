@@ -14,13 +14,16 @@ CATALOG_COLUMNS = ["station_id", "station_name", "lat", "lon", "start", "finish"
 def read_station_catalog(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """Read the published ``Name,FMISID,lat,lon,start,finish`` CSV with an explicit schema.
 
-    ``catalog_order`` numbers rows in file order (taken right at the scan), so "first row wins"
-    lookups stay reproducible when an id appears twice.
+    ``catalog_order`` orders rows as they appear in the file(s), taken right at the scan, so
+    "first row wins" lookups stay reproducible when an id appears twice.
     """
     df = spark.read.csv(path, header=True, schema=CATALOG_CSV_SCHEMA, encoding=encoding, mode="PERMISSIVE")
+    # File order: by file name, then by position in the file (one split per catalogue-sized file,
+    # where the generated id grows with the row position).
+    order = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
     return df.select(
         to_id("FMISID").alias("station_id"), F.col("Name").alias("station_name"), "lat", "lon", "start",
-        F.col("finish"), F.monotonically_increasing_id().alias("catalog_order"))
+        F.col("finish"), order.alias("catalog_order"))
 
 
 def catalog_from_tables(supplier: DataFrame, nation: DataFrame) -> DataFrame:
@@ -58,3 +61,11 @@ def dedupe_catalog(catalog: DataFrame) -> DataFrame:
 def lookup_catalog(catalog: DataFrame) -> DataFrame:
     """The catalogue as the producer uses it: active rows, one per id."""
     return dedupe_catalog(active_stations(catalog))
+
+
+def write_station_catalog(catalog: DataFrame, path: str, parts: int = 4) -> None:
+    """Write a catalogue as the published CSV layout, rows in ``catalog_order`` across ``parts``
+    range-ordered files (no single-task write)."""
+    out = catalog.repartitionByRange(parts, "catalog_order").sortWithinPartitions("catalog_order")
+    out.select(F.col("station_name").alias("Name"), F.col("station_id").cast("string").alias("FMISID"),
+               "lat", "lon", "start", "finish").write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
