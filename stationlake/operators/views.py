@@ -48,14 +48,21 @@ def _fixed(x: Column, digits: int, unit: str = "") -> Column:
     return F.format_string(f"%.{digits}f{unit.replace('%', '%%')}", round_stable(x, digits))
 
 
-def overview_display(kpis: DataFrame) -> DataFrame:
-    """KPI card texts of the overview page: 1 decimal with units."""
+def overview_display(latest: DataFrame) -> DataFrame:
+    """KPI card texts of the overview page: 1 decimal with units.
+
+    Aggregated from the latest rows and rounded once, so the text shows the mean itself to one
+    decimal (formatting the 2-decimal KPI columns would round twice).
+    """
+    kpis = latest.groupBy("observation_date").agg(
+        F.count(F.lit(1)).alias("active_stations"), F.avg("temperature").alias("t"),
+        F.avg("humidity").alias("h"), F.max("wind_speed").alias("w"))
     return kpis.select(
         "observation_date", date_suffix("observation_date").alias("date_suffix"),
         F.col("active_stations").cast("string").alias("active_stations_text"),
-        _fixed(F.col("avg_temperature"), 1, "°C").alias("avg_temperature_text"),
-        _fixed(F.col("avg_humidity"), 1, "%").alias("avg_humidity_text"),
-        _fixed(F.col("max_wind_speed"), 1, " m/s").alias("max_wind_speed_text"))
+        _fixed(F.col("t"), 1, "°C").alias("avg_temperature_text"),
+        _fixed(F.col("h"), 1, "%").alias("avg_humidity_text"),
+        _fixed(F.col("w"), 1, " m/s").alias("max_wind_speed_text"))
 
 
 def daily_display(kpis: DataFrame) -> DataFrame:

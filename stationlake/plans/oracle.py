@@ -342,9 +342,8 @@ def oracle_sql() -> dict[str, str]:
     q["stored_history_union_rerun"] = f"with {DAILY_CTE}\n{first}\nunion\n{second}"
     q["latest_table"] = (f"with {RAW_CTE}{LATEST_CTE}\nselect observation_date, station_id, location, temperature, "
                          f"humidity, wind_speed, pressure, timestamp from latest order by timestamp desc, station_id")
-    ov = (f"select observation_date, count(*) as active_stations, {rnd('avg(temperature)', 2)} as avg_temperature, "
-          f"{rnd('avg(humidity)', 2)} as avg_humidity, {rnd('max(wind_speed)', 2)} as max_wind_speed "
-          f"from latest group by observation_date")
+    ov = (f"select observation_date, count(*) as active_stations, avg(temperature) as avg_temperature, "
+          f"avg(humidity) as avg_humidity, max(wind_speed) as max_wind_speed from latest group by observation_date")
     q["overview_display"] = (
         f"with {RAW_CTE}{LATEST_CTE},\nov as ({ov})\nselect observation_date, strftime(observation_date, '%Y%m%d') "
         f"as date_suffix, cast(active_stations as varchar) as active_stations_text, "

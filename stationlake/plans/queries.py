@@ -128,7 +128,7 @@ def q_latest_table(spark, sf_dir):
 
 
 def q_overview_display(spark, sf_dir):
-    return views.overview_display(views.overview_kpis(views.latest_by_station(raw_observations(spark, sf_dir))))
+    return views.overview_display(views.latest_by_station(raw_observations(spark, sf_dir)))
 
 
 def q_daily_display(spark, sf_dir):
