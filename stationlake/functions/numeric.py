@@ -63,6 +63,20 @@ def ntz_literal(value) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+# A zone designator after a time of day: Z, +hh, +hhmm or +hh:mm.
+_ZONED = r"(?i)[T ]\d{1,2}:\d{2}(:\d{2}(\.\d*)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def parse_timestamp(x) -> Column:
-    """ISO-8601 text (with or without fraction, ``T`` or space) → TIMESTAMP_NTZ, bad text → null."""
-    return strip_ws(x).try_cast("timestamp_ntz")
+    """ISO-8601 text (with or without fraction, ``T`` or space) → TIMESTAMP_NTZ in UTC wall time;
+    bad text → null.
+
+    Naive text is taken as UTC wall time as written. Text with an explicit zone (``Z``, ``+02:00``)
+    names an instant, which is converted to UTC through epoch microseconds, so neither the
+    offset nor the session zone leaks into the stored value.
+    """
+    text = strip_ws(x)
+    # "+0200" → "+02:00", the offset form the cast accepts
+    instant = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
+    utc_wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), ntz_literal("1970-01-01 00:00:00"))
+    return F.when(text.rlike(_ZONED), utc_wall).otherwise(text.try_cast("timestamp_ntz"))

@@ -71,3 +71,15 @@ def test_parse_timestamp_both_forms(spark):
     assert _one(spark, parse_timestamp, "2026-01-01T10:04:11", "string") == dt.datetime(2026, 1, 1, 10, 4, 11)
     assert _one(spark, parse_timestamp, "\t2026-01-01 10:04:11\n", "string") == dt.datetime(2026, 1, 1, 10, 4, 11)
     assert _one(spark, parse_timestamp, "not-a-time", "string") is None
+    # explicit zones name an instant: stored as UTC wall time, whatever the session zone
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert _one(spark, parse_timestamp, "2026-01-01T10:00:00+02:00", "string") == dt.datetime(2026, 1, 1, 8, 0)
+            assert _one(spark, parse_timestamp, "2026-01-01T10:00:00.5Z", "string") == dt.datetime(2026, 1, 1, 10, 0, 0, 500000)
+            assert _one(spark, parse_timestamp, "2026-01-01 23:30:00-0100", "string") == dt.datetime(2026, 1, 2, 0, 30)
+            assert _one(spark, parse_timestamp, "2026-01-01", "string") == dt.datetime(2026, 1, 1)
+            assert _one(spark, parse_timestamp, "2026-01-01T10:00:00", "string") == dt.datetime(2026, 1, 1, 10, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
