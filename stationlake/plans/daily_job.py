@@ -11,7 +11,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.functions import ntz_literal
@@ -21,6 +23,7 @@ from stationlake.operators.summarize import daily_summary, quality_report
 from stationlake.sources.tables import read_raw, read_table, replace_day, stage
 
 HISTORY_MODES = ("upsert", "union_distinct")
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -79,7 +82,8 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
              history_mode: str = "upsert", stations=None, exact_distinct: bool = False) -> dict[str, object]:
     """Process [start, end] (one day when ``end`` is None, every stored day when ``start`` is None).
 
-    Returns the processed dates and the audit time used.
+    Returns the processed dates, the audit time used and the rows written per table (observed
+    during the writes, no extra jobs).
     """
     if history_mode not in HISTORY_MODES:
         raise ValueError(f"history_mode must be one of {HISTORY_MODES}")
@@ -97,11 +101,16 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
         e = dt.date.fromisoformat(str(end if end is not None else start))
         days = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
 
-    write_days(daily, layout.daily, "observation_date", days, present, ["station_id", "timestamp"])
+    seen = {name: Observation(f"{name}_rows") for name in ("daily", "summary", "report", "history")}
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.observe(seen[name], F.count(F.lit(1)).alias("n"))
+
+    write_days(counted(daily, "daily"), layout.daily, "observation_date", days, present, ["station_id", "timestamp"])
     summary = daily_summary(daily).withColumn("processing_time", ntz_literal(run_ts))
-    write_days(summary, layout.summary, "observation_date", days, present, ["station_id"])
+    write_days(counted(summary, "summary"), layout.summary, "observation_date", days, present, ["station_id"])
     report = quality_report(daily).withColumn("generated_at", ntz_literal(run_ts))
-    write_days(report, layout.report, "report_date", days, present)
+    write_days(counted(report, "report"), layout.report, "report_date", days, present)
 
     new = hist.history_rows(daily)
     if stations is not None:
@@ -113,8 +122,11 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
     # The history partitions are read above, so the result is staged before replacing them.
     merged = stage(merged, layout.staging("history"))
     history_present = {r[0] for r in merged.select("observation_date").distinct().collect()}
-    write_days(merged, layout.history, "observation_date", days, history_present, ["station_id", "timestamp"])
-    return {"days": days, "run_ts": run_ts}
+    write_days(counted(merged, "history"), layout.history, "observation_date", days, history_present,
+               ["station_id", "timestamp"])
+    rows = {name: obs.get.get("n", 0) for name, obs in seen.items()}
+    log.info("processed %d day(s) at %s: %s", len(days), run_ts, rows)
+    return {"days": days, "run_ts": run_ts, "rows": rows}
 
 
 def run_day(spark: SparkSession, layout: Layout, day, run_ts: dt.datetime | None = None, **kw) -> dict[str, object]:
@@ -194,7 +206,7 @@ def main(argv: list[str] | None = None) -> None:
     stations = [int(x) for x in a.stations.split(",")] if a.stations else None
     spark = get_session()
     done = run_days(spark, Layout(a.root), start, end, run_ts=run_ts, history_mode=a.history_mode, stations=stations)
-    print(f"processed {len(done['days'])} day(s) at {done['run_ts']}")
+    print(f"processed {len(done['days'])} day(s) at {done['run_ts']}: rows written {done['rows']}")
 
 
 if __name__ == "__main__":

@@ -20,8 +20,9 @@ def test_rerun_is_idempotent_and_empty_day_clears(spark, workdir):
     lay = Layout(workdir)
     append_batch(raw_observations(spark, SF_SMALL), lay.raw, 0)
     ts = dt.datetime(2024, 2, 1, 1)
-    run_days(spark, lay, "2024-01-01", "2024-01-30", run_ts=ts)
+    done = run_days(spark, lay, "2024-01-01", "2024-01-30", run_ts=ts)
     once = _snapshot(spark, lay)
+    assert done["rows"] == {k: len(v) for k, v in once.items()}
     run_day(spark, lay, "2024-01-10", run_ts=ts)
     assert _snapshot(spark, lay) == once
     # a day with no raw rows leaves empty partitions, and replaces anything that was there
