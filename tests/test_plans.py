@@ -59,3 +59,18 @@ def test_day_read_prunes_partitions(spark, workdir):
     p = plan(df)
     assert "PartitionFilters: [isnotnull(observation_date" in p and "2024-01-15" in p
     assert df.count() > 0
+
+
+def test_stateful_streams_combine_before_the_state_store(spark, workdir):
+    from stationlake.sources.messages import value_stream
+    from stationlake.streaming import landing
+
+    with open(f"{workdir}/m.txt", "w") as f:
+        f.write('{"fmisid": 1}\n')
+    src = landing.cleansed_stream(value_stream(spark, "text", workdir))
+    for stream, partial in ((landing.dedup_stream(src), "partial_min_by"),
+                            (landing.hourly_latest_stream(src), "partial_max_by")):
+        p = plan(stream, "simple")
+        assert partial in p and "StateStoreSave" in p
+        # the partial aggregate sits below the exchange that feeds the state store
+        assert p.index("Exchange hashpartitioning") < p.index(partial)
