@@ -12,6 +12,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -106,24 +107,37 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.observe(seen[name], F.count(F.lit(1)).alias("n"))
 
-    write_days(counted(daily, "daily"), layout.daily, "observation_date", days, present, ["station_id", "timestamp"])
-    summary = daily_summary(daily).withColumn("processing_time", ntz_literal(run_ts))
-    write_days(counted(summary, "summary"), layout.summary, "observation_date", days, present, ["station_id"])
-    report = quality_report(daily).withColumn("generated_at", ntz_literal(run_ts))
-    write_days(counted(report, "report"), layout.report, "report_date", days, present)
-
-    new = hist.history_rows(daily)
-    if stations is not None:
-        new = new.where(F.col("station_id").isin(list(stations)))
-    existing = read_table(spark, layout.history, HISTORY_TABLE_SCHEMA)
-    existing = existing.where(F.col("observation_date").isin(days)) if days else existing.limit(0)
-    merged = (hist.upsert_history(existing, new) if history_mode == "upsert"
-              else hist.union_distinct_history(existing, new))
-    # The history partitions are read above, so the result is staged before replacing them.
-    merged = stage(merged, layout.staging("history"))
-    history_present = {r[0] for r in merged.select("observation_date").distinct().collect()}
-    write_days(counted(merged, "history"), layout.history, "observation_date", days, history_present,
-               ["station_id", "timestamp"])
+    def write_daily():
+        write_days(counted(daily, "daily"), layout.daily, "observation_date", days, present,
+                   ["station_id", "timestamp"])
+
+    def write_summary():
+        summary = daily_summary(daily).withColumn("processing_time", ntz_literal(run_ts))
+        write_days(counted(summary, "summary"), layout.summary, "observation_date", days, present, ["station_id"])
+
+    def write_report():
+        report = quality_report(daily).withColumn("generated_at", ntz_literal(run_ts))
+        write_days(counted(report, "report"), layout.report, "report_date", days, present)
+
+    def write_history():
+        new = hist.history_rows(daily)
+        if stations is not None:
+            new = new.where(F.col("station_id").isin(list(stations)))
+        existing = read_table(spark, layout.history, HISTORY_TABLE_SCHEMA)
+        existing = existing.where(F.col("observation_date").isin(days)) if days else existing.limit(0)
+        merged = (hist.upsert_history(existing, new) if history_mode == "upsert"
+                  else hist.union_distinct_history(existing, new))
+        # The history partitions are read above, so the result is staged before replacing them.
+        merged = stage(merged, layout.staging("history"))
+        history_present = {r[0] for r in merged.select("observation_date").distinct().collect()}
+        write_days(counted(merged, "history"), layout.history, "observation_date", days, history_present,
+                   ["station_id", "timestamp"])
+
+    # The four outputs read only the staged copy (and history its own partitions), so they run as
+    # concurrent Spark jobs, as the reference runs summary and report side by side.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for f in [pool.submit(w) for w in (write_daily, write_summary, write_report, write_history)]:
+            f.result()
     rows = {name: obs.get.get("n", 0) for name, obs in seen.items()}
     log.info("processed %d day(s) at %s: %s", len(days), run_ts, rows)
     return {"days": days, "run_ts": run_ts, "rows": rows}
