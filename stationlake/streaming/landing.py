@@ -11,6 +11,7 @@ from __future__ import annotations
 
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -46,9 +47,14 @@ def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path:
     try:
         accepted, rejected = cleanse(decoded, keep_extra=keep_extra)
         seen_ok, seen_bad = Observation(f"accepted_{batch_id}"), Observation(f"rejected_{batch_id}")
-        append_batch(accepted.observe(seen_ok, F.count(F.lit(1)).alias("n")), raw_path, batch_id)
-        append_batch(rejected.observe(seen_bad, F.count(F.lit(1)).alias("n")), quarantine_path, batch_id,
-                     date_col=None)
+        # Both writes read the persisted batch, so they run as two concurrent jobs.
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            jobs = [pool.submit(append_batch, accepted.observe(seen_ok, F.count(F.lit(1)).alias("n")), raw_path,
+                                batch_id),
+                    pool.submit(append_batch, rejected.observe(seen_bad, F.count(F.lit(1)).alias("n")),
+                                quarantine_path, batch_id, None)]
+            for j in jobs:
+                j.result()
         counts = {"batch_id": batch_id, "accepted": seen_ok.get["n"], "rejected": seen_bad.get["n"]}
         if counts["rejected"]:
             log.warning("batch %s: %s of %s messages quarantined", batch_id, counts["rejected"],
