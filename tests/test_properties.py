@@ -84,3 +84,114 @@ def test_summary_matches_brute_force(spark, rows):
         else:
             assert s["stddev_temperature"] is None
         assert s["temperature_outliers"] == sum(1 for t in temps if t < -50 or t > 50)
+
+
+# ---- cleansing: random messages vs the rules in plain Python ---------------------------------
+import json  # noqa: E402
+
+from stationlake.operators.cleanse import cleanse  # noqa: E402
+from stationlake.sources.messages import decode_messages  # noqa: E402
+
+ts_text = st.sampled_from([None, "", "  ", "garbage", "2024-01-01T10:00:00", "2024-01-01T10:00:00.250000",
+                           "2024-01-01 10:00:00"])
+id_val = st.sampled_from([None, "", "abc", 7, "7", 7.0, "7.5"])
+measure_val = st.sampled_from([None, 1.5, "2.5", "warm", "NaN", -3])
+message = st.fixed_dictionaries({
+    "fmisid": id_val, "timestamp": ts_text, "ingestion_time": ts_text, "temperature": measure_val,
+    "drop": st.sampled_from([None, "ingestion_time", "timestamp", "fmisid"]),
+    "broken": st.booleans(),
+})
+
+
+def _py_parse_ts(v):
+    if v is None:
+        return None
+    v = str(v).strip()
+    for fmt in ("%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S"):
+        try:
+            return dt.datetime.strptime(v, fmt)
+        except ValueError:
+            pass
+    return None
+
+
+def _py_id(v):
+    try:
+        f = float(str(v).strip())
+    except ValueError:
+        return None
+    return int(f) if f == int(f) else None
+
+
+def _py_reason(m):
+    if m["broken"]:
+        return "malformed_json"
+    d = {k: m[k] for k in ("fmisid", "timestamp", "ingestion_time") if k != m["drop"]}
+    ts, sid, ing = d.get("timestamp"), d.get("fmisid"), d.get("ingestion_time")
+    if ts is None or sid is None:
+        return "missing_required"
+    if str(ts).strip() == "":
+        return "blank_timestamp"
+    if ing is not None and str(ing).strip() == "":
+        return "blank_ingestion_time"
+    if _py_parse_ts(ts) is None:
+        return "bad_timestamp"
+    if _py_parse_ts(ing) is None:
+        return "bad_ingestion_time"
+    if _py_id(sid) is None:
+        return "bad_station_id"
+    return None
+
+
+def _to_text(m):
+    d = {k: m[k] for k in ("fmisid", "timestamp", "ingestion_time", "temperature") if k != m["drop"]}
+    text = json.dumps(d)
+    return text[:-3] if m["broken"] else text
+
+
+@SETTINGS
+@given(st.lists(message, min_size=1, max_size=25))
+def test_cleanse_matches_the_rules(spark, msgs):
+    df = spark.createDataFrame([(str(i), _to_text(m)) for i, m in enumerate(msgs)], "key string, value string")
+    accepted, rejected = cleanse(decode_messages(df))
+    got = {int(r["key"]): r["reject_reason"] for r in rejected.collect()}
+    want = {i: _py_reason(m) for i, m in enumerate(msgs) if _py_reason(m)}
+    assert got == want
+    assert accepted.count() == len(msgs) - len(want)
+    for r in accepted.collect():
+        assert r["temperature"] in (None, 1.5, 2.5, -3.0)
+
+
+# ---- payloads: random whitespace tables vs a plain-Python reading ----------------------------
+from stationlake.sources.payload import decode_payloads  # noqa: E402
+
+token = st.one_of(st.sampled_from(["NaN"]), st.integers(-50, 50).map(lambda i: f"{i / 4}"))
+vline = st.lists(token, min_size=1, max_size=8)
+payload = st.lists(st.tuples(st.integers(0, 10 ** 6), vline), min_size=1, max_size=4)
+HEAD = ('<wfs:FeatureCollection xmlns:wfs="http://www.opengis.net/wfs/2.0" xmlns:gml="http://www.opengis.net/gml/3.2" '
+        'xmlns:gmlcov="http://www.opengis.net/gmlcov/1.0">')
+
+
+def _doc(lines):
+    pos = "\n".join(f"  60.5 25.25 {1704067200 + e}" for e, _ in lines)
+    val = "\n".join("   " + " ".join(v) for _, v in lines)
+    return (f"{HEAD}<gmlcov:positions>\n{pos}\n</gmlcov:positions>"
+            f"<gml:doubleOrNilReasonTupleList>\n{val}\n</gml:doubleOrNilReasonTupleList></wfs:FeatureCollection>")
+
+
+@SETTINGS
+@given(st.lists(payload, min_size=1, max_size=6))
+def test_payload_lines_match_python_reading(spark, docs):
+    df = spark.createDataFrame([(str(i), _doc(d)) for i, d in enumerate(docs)], "station_id string, xml string")
+    got = sorted((r["station_id"], r["timestamp"], tuple(r[m] for m in MEASURE_NAMES))
+                 for r in decode_payloads(df).collect())
+    want = []
+    for i, d in enumerate(docs):
+        for e, v in d:
+            vals = [None if t == "NaN" else float(t) for t in v] + [None] * (8 - len(v))
+            want.append((i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=e), tuple(vals)))
+    assert got == sorted(want)
+
+
+MEASURE_NAMES = ["temperature", "humidity", "wind_speed", "wind_direction", "pressure", "precipitation",
+                 "cloud_cover", "visibility"]
