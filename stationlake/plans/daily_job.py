@@ -71,7 +71,11 @@ def write_days(df: DataFrame, path: str, date_col: str, days: list[dt.date], pre
     """Replace the partitions of ``days``: dynamic overwrite for days with rows, and an empty
     partition for requested days that came out empty (a dynamic overwrite alone would leave
     their old rows behind)."""
-    out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
+    # REBALANCE on the partition column: AQE sizes the write tasks from the real data (few files
+    # per small day) and splits a day that is too big for one task, instead of one file per
+    # (task, day) pair.
+    out = df.hint("rebalance", date_col)
+    out = out.sortWithinPartitions(*sort_cols) if sort_cols else out
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
     for d in days:
@@ -103,6 +107,8 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
         days = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
 
     seen = {name: Observation(f"{name}_rows") for name in ("daily", "summary", "report", "history")}
+    # An observation only reports when its write ran over rows; empty outputs count as 0.
+    wrote = {"daily": bool(present), "summary": bool(present), "report": bool(present), "history": False}
 
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.observe(seen[name], F.count(F.lit(1)).alias("n"))
@@ -130,6 +136,7 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
         # The history partitions are read above, so the result is staged before replacing them.
         merged = stage(merged, layout.staging("history"))
         history_present = {r[0] for r in merged.select("observation_date").distinct().collect()}
+        wrote["history"] = bool(history_present)
         write_days(counted(merged, "history"), layout.history, "observation_date", days, history_present,
                    ["station_id", "timestamp"])
 
@@ -138,7 +145,7 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
     with ThreadPoolExecutor(max_workers=4) as pool:
         for f in [pool.submit(w) for w in (write_daily, write_summary, write_report, write_history)]:
             f.result()
-    rows = {name: obs.get.get("n", 0) for name, obs in seen.items()}
+    rows = {name: (obs.get.get("n", 0) if wrote[name] else 0) for name, obs in seen.items()}
     log.info("processed %d day(s) at %s: %s", len(days), run_ts, rows)
     return {"days": days, "run_ts": run_ts, "rows": rows}
 

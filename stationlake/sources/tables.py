@@ -38,6 +38,9 @@ def append_batch(df: DataFrame, path: str, batch_id: int, date_col: str | None =
     if date_col is not None:
         out = out.withColumn("observation_date", F.to_date(date_col))
         parts = ["observation_date", "batch_id"]
+    # REBALANCE by the partition columns: AQE right-sizes the write tasks (a micro-batch lands as
+    # a few files per day, not one per task and day) and splits a day too big for one task.
+    out = out.hint("rebalance", *parts)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
 

@@ -45,6 +45,8 @@ def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path:
     """
     decoded = decode_messages(batch).persist()
     try:
+        if decoded.isEmpty():  # nothing arrived (reads from the cache being built)
+            return {"batch_id": batch_id, "accepted": 0, "rejected": 0}
         accepted, rejected = cleanse(decoded, keep_extra=keep_extra)
         seen_ok, seen_bad = Observation(f"accepted_{batch_id}"), Observation(f"rejected_{batch_id}")
         # Both writes read the persisted batch, so they run as two concurrent jobs.

@@ -121,3 +121,13 @@ def test_kafka_source_needs_only_the_connector(spark):
     # The connector jar is not installed here: the reader is configured and fails only at load.
     with pytest.raises(Exception, match="Failed to find data source: kafka"):
         value_stream(spark, "kafka", "localhost:9092", topic="observations", max_per_trigger=100)
+
+
+def test_batches_without_rejects_or_rows(spark, workdir):
+    good = ('{"fmisid": 5, "timestamp": "2024-01-01T10:00:00", "ingestion_time": "2024-01-01T10:01:00", '
+            '"temperature": 1.0}')
+    one = spark.createDataFrame([("5", good)], "key string, value string")
+    assert landing.land_batch(one, 0, f"{workdir}/raw", f"{workdir}/q") == {"batch_id": 0, "accepted": 1, "rejected": 0}
+    none = spark.createDataFrame([], "key string, value string")
+    assert landing.land_batch(none, 1, f"{workdir}/raw", f"{workdir}/q") == {"batch_id": 1, "accepted": 0, "rejected": 0}
+    assert read_raw(spark, f"{workdir}/raw").count() == 1
