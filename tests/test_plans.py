@@ -74,3 +74,13 @@ def test_stateful_streams_combine_before_the_state_store(spark, workdir):
         assert partial in p and "StateStoreSave" in p
         # the partial aggregate sits below the exchange that feeds the state store
         assert p.index("Exchange hashpartitioning") < p.index(partial)
+
+
+def test_sources_are_widened_only_when_narrower_than_the_cluster(spark):
+    from stationlake.sources.fixtures import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spread(spark.range(0, 1000, 1, 1))
+    wide = spread(spark.range(0, 1000, 1, cores * 2))
+    assert "RoundRobinPartitioning" in plan(narrow) and narrow.rdd.getNumPartitions() == cores
+    assert "Exchange" not in plan(wide) and wide.rdd.getNumPartitions() == cores * 2
