@@ -323,6 +323,11 @@ def oracle_sql() -> dict[str, str]:
         f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\n"
         f"select * from h where date_trunc('hour', timestamp) + interval 1 hour <= "
         f"(select max(timestamp) from acc) - interval 2 hour")
+    q["stream_curated"] = (
+        f"{acc},\nh as (select {RAW_LIST} from (select *, row_number() over (partition by station_id, "
+        f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\n"
+        f"select {RAW_LIST},\n    {FLAGS_SQL}\nfrom h where date_trunc('hour', timestamp) + interval 1 hour <= "
+        f"(select max(timestamp) from acc) - interval 2 hour")
     q["stream_dedup"] = (
         f"{acc}\nselect {RAW_LIST} from (select *, row_number() over (partition by station_id, timestamp "
         f"order by {FIRST_ORDER}) as rn from acc) x where rn = 1 "

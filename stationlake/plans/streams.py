@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stationlake.operators.cleanse import reject_counts
-from stationlake.schemas import RAW_COLUMNS
+from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from stationlake.session import shared_dir
 from stationlake.sources.fixtures import messages_from_events, read_source
 from stationlake.sources.messages import value_stream
@@ -48,11 +48,11 @@ def q_stream_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_counts(read_table(spark, f"{root}/quarantine", QUARANTINE_SCHEMA))
 
 
-def _run(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _run(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None) -> DataFrame:
     root = shared_dir(spark, name)
     src = _message_files(spark, sf_dir, root)
     stream = build(landing.cleansed_stream(value_stream(spark, "text", src)))
-    q = landing.run_to_table(stream, f"{root}/out", f"{root}/_checkpoint")
+    q = landing.run_to_table(stream, f"{root}/out", f"{root}/_checkpoint", partition_by=partition_by)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
@@ -73,10 +73,15 @@ def q_stream_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         "wind_speed_quality", "pressure_quality", "data_completeness_score")
 
 
+def q_stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, "curated", landing.curated_stream, ["observation_date"]).select(*DAILY_COLUMNS)
+
+
 STREAM_QUERIES = {
     "stream_landed_rows": q_stream_landed_rows,
     "stream_quarantine_counts": q_stream_quarantine_counts,
     "stream_hourly_latest": q_stream_hourly_latest,
     "stream_dedup": q_stream_dedup,
     "stream_quality_flags": q_stream_quality_flags,
+    "stream_curated": q_stream_curated,
 }

@@ -124,6 +124,12 @@ def hourly_latest_stream(obs: DataFrame, delay: str = DEFAULT_DELAY) -> DataFram
             .select("latest.*"))
 
 
+def curated_stream(obs: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
+    """The daily observations table as a stream (C5 = T7 + T8): each closed station-hour's latest
+    row, flagged and scored, with its ``observation_date`` for a date-partitioned sink."""
+    return flag_quality(hourly_latest_stream(obs, delay)).withColumn("observation_date", F.to_date("timestamp"))
+
+
 def flagged_stream(obs: DataFrame) -> DataFrame:
     """Quality flags and completeness applied on the stream (T8), stateless."""
     return flag_quality(obs)
@@ -137,10 +143,12 @@ def latest_in_batch(batch: DataFrame) -> DataFrame:
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
-                 trigger: str | None = "availableNow") -> StreamingQuery:
+                 trigger: str | None = "availableNow", partition_by: list[str] | None = None) -> StreamingQuery:
     """Run a streaming DataFrame into a parquet table (file sink: exactly-once via its log)."""
     writer = (stream.writeStream.format("parquet").option("path", path)
               .option("checkpointLocation", checkpoint).outputMode(output_mode))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return _trigger(writer, trigger).start()
 
 
