@@ -18,6 +18,11 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.mergeSchema": "false",
     "spark.ui.enabled": "false",
+    # Streaming state (de-dup keys, open hours) kept in RocksDB, off the JVM heap, so state
+    # size tracks the watermark window, not executor memory. Chosen before a query's first
+    # checkpoint; an existing checkpoint keeps the provider it was created with.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
