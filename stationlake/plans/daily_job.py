@@ -220,6 +220,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--run-ts", help="audit time (ISO); default now")
     ap.add_argument("--history-mode", choices=HISTORY_MODES, default="upsert")
     ap.add_argument("--stations", help="comma-separated station ids kept in the history")
+    ap.add_argument("--compact-days-ago", type=int, default=None,
+                    help="also fold the raw table's landed batches of the day N days ago (N >= 2)")
     a = ap.parse_args(argv)
     start = a.start or a.date or (dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
     end = a.end or start
@@ -228,6 +230,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_session()
     done = run_days(spark, Layout(a.root), start, end, run_ts=run_ts, history_mode=a.history_mode, stations=stations)
     print(f"processed {len(done['days'])} day(s) at {done['run_ts']}: rows written {done['rows']}")
+    if a.compact_days_ago is not None:
+        from stationlake.sources.tables import compact_days
+
+        layout = Layout(a.root)
+        day = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=a.compact_days_ago)
+        print("compacted", compact_days(spark, layout.raw, [day], layout.path("_staging")))
 
 
 if __name__ == "__main__":

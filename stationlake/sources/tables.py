@@ -106,3 +106,38 @@ def days_between(start, end) -> list[dt.date]:
     s = dt.date.fromisoformat(_date_text(start))
     e = dt.date.fromisoformat(_date_text(end))
     return [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
+
+
+COMPACTED_BATCH = -1
+
+
+def compact_days(spark: SparkSession, path: str, days, staging_root: str, min_age_days: int = 2,
+                 today: dt.date | None = None, parallel: int = 4) -> dict[str, int]:
+    """Fold each closed day's ``batch_id`` folders of a landed table into one compacted batch.
+
+    Landing writes one folder per micro-batch and day (what makes replays exact); a day of
+    per-minute triggers is ~1,440 folders, which whole-table listings pay for. Compaction rewrites
+    a day as ``batch_id=-1`` with right-sized files (REBALANCE): the day is read, staged in the
+    shared folder, then its folder is replaced from the stage. Only days at least
+    ``min_age_days`` old are touched, so a replay of a recent batch still overwrites its own
+    folder; replaying a batch of a compacted day would add its rows again.
+    """
+    today = today or dt.datetime.now(dt.timezone.utc).date()
+    todo = [dt.date.fromisoformat(_date_text(d)) for d in days]
+    too_new = [d for d in todo if (today - d).days < min_age_days]
+    if too_new:
+        raise ValueError(f"refusing to compact days newer than {min_age_days} days: {too_new}")
+
+    def one(day: dt.date) -> int:
+        src = read_day(spark, path, day, RAW_TABLE_SCHEMA).drop("observation_date", "batch_id")
+        staged = stage(src, f"{staging_root.rstrip('/')}/compact/observation_date={day.isoformat()}")
+        out = staged.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("bigint")).hint("rebalance")
+        (out.sortWithinPartitions("station_id", "timestamp").write.mode("overwrite")
+         .partitionBy("batch_id").parquet(f"{path.rstrip('/')}/observation_date={day.isoformat()}"))
+        return staged.count()
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        counts = list(pool.map(one, todo))
+    return {d.isoformat(): n for d, n in zip(todo, counts)}

@@ -131,3 +131,26 @@ def test_batches_without_rejects_or_rows(spark, workdir):
     none = spark.createDataFrame([], "key string, value string")
     assert landing.land_batch(none, 1, f"{workdir}/raw", f"{workdir}/q") == {"batch_id": 1, "accepted": 0, "rejected": 0}
     assert read_raw(spark, f"{workdir}/raw").count() == 1
+
+
+def test_compaction_folds_batches_without_changing_rows(spark, workdir):
+    import datetime as dt
+    import os
+
+    from stationlake.sources.tables import compact_days
+
+    msgs = messages_from_events(read_source(spark, SF_SMALL, "events"))
+    parts = msgs.randomSplit([1.0, 1.0, 1.0], seed=11)
+    for i, p in enumerate(parts):
+        landing.land_batch(p, i, f"{workdir}/raw", f"{workdir}/q")
+    before = sorted(map(tuple, read_raw(spark, f"{workdir}/raw").drop("batch_id").collect()))
+    day = "2024-01-15"
+    folder = f"{workdir}/raw/observation_date={day}"
+    assert len([d for d in os.listdir(folder) if d.startswith("batch_id=")]) == 3
+    counts = compact_days(spark, f"{workdir}/raw", [day], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
+    assert [d for d in os.listdir(folder) if d.startswith("batch_id=")] == ["batch_id=-1"]
+    after = sorted(map(tuple, read_raw(spark, f"{workdir}/raw").drop("batch_id").collect()))
+    assert after == before and counts[day] > 0
+    import pytest
+    with pytest.raises(ValueError):
+        compact_days(spark, f"{workdir}/raw", ["2024-01-31"], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
