@@ -131,10 +131,13 @@ def compact_days(spark: SparkSession, path: str, days, staging_root: str, min_ag
     def one(day: dt.date) -> int:
         src = read_day(spark, path, day, RAW_TABLE_SCHEMA).drop("observation_date", "batch_id")
         staged = stage(src, f"{staging_root.rstrip('/')}/compact/observation_date={day.isoformat()}")
+        n = staged.count()
+        if n == 0:  # nothing landed that day: leave the table alone (no empty day folder)
+            return 0
         out = staged.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("bigint")).hint("rebalance")
         (out.sortWithinPartitions("station_id", "timestamp").write.mode("overwrite")
          .partitionBy("batch_id").parquet(f"{path.rstrip('/')}/observation_date={day.isoformat()}"))
-        return staged.count()
+        return n
 
     from concurrent.futures import ThreadPoolExecutor
 

@@ -151,6 +151,10 @@ def test_compaction_folds_batches_without_changing_rows(spark, workdir):
     assert [d for d in os.listdir(folder) if d.startswith("batch_id=")] == ["batch_id=-1"]
     after = sorted(map(tuple, read_raw(spark, f"{workdir}/raw").drop("batch_id").collect()))
     assert after == before and counts[day] > 0
+    assert compact_days(spark, f"{workdir}/raw", ["2023-06-01"], f"{workdir}/_staging",
+                        today=dt.date(2024, 2, 1)) == {"2023-06-01": 0}
+    assert not os.path.exists(f"{workdir}/raw/observation_date=2023-06-01")
+    assert read_raw(spark, f"{workdir}/raw").count() == len(before)
     import pytest
     with pytest.raises(ValueError):
         compact_days(spark, f"{workdir}/raw", ["2024-01-31"], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
