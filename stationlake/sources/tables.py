@@ -129,7 +129,10 @@ def compact_days(spark: SparkSession, path: str, days, staging_root: str, min_ag
         raise ValueError(f"refusing to compact days newer than {min_age_days} days: {too_new}")
 
     def one(day: dt.date) -> int:
-        src = read_day(spark, path, day, RAW_TABLE_SCHEMA).drop("observation_date", "batch_id")
+        # merged schema: batches landed with extra fields keep them through compaction
+        src = (read_raw(spark, path, merge_schema=True)
+               .where(F.col("observation_date") == F.lit(day.isoformat()).cast("date"))
+               .drop("observation_date", "batch_id"))
         staged = stage(src, f"{staging_root.rstrip('/')}/compact/observation_date={day.isoformat()}")
         n = staged.count()
         if n == 0:  # nothing landed that day: leave the table alone (no empty day folder)

@@ -142,8 +142,9 @@ def test_compaction_folds_batches_without_changing_rows(spark, workdir):
     msgs = messages_from_events(read_source(spark, SF_SMALL, "events"))
     parts = msgs.randomSplit([1.0, 1.0, 1.0], seed=11)
     for i, p in enumerate(parts):
-        landing.land_batch(p, i, f"{workdir}/raw", f"{workdir}/q")
+        landing.land_batch(p, i, f"{workdir}/raw", f"{workdir}/q", keep_extra=(i == 2))
     before = sorted(map(tuple, read_raw(spark, f"{workdir}/raw").drop("batch_id").collect()))
+    extras = read_raw(spark, f"{workdir}/raw", merge_schema=True).where("extra_fields is not null").count()
     day = "2024-01-15"
     folder = f"{workdir}/raw/observation_date={day}"
     assert len([d for d in os.listdir(folder) if d.startswith("batch_id=")]) == 3
@@ -151,6 +152,7 @@ def test_compaction_folds_batches_without_changing_rows(spark, workdir):
     assert [d for d in os.listdir(folder) if d.startswith("batch_id=")] == ["batch_id=-1"]
     after = sorted(map(tuple, read_raw(spark, f"{workdir}/raw").drop("batch_id").collect()))
     assert after == before and counts[day] > 0
+    assert read_raw(spark, f"{workdir}/raw", merge_schema=True).where("extra_fields is not null").count() == extras > 0
     assert compact_days(spark, f"{workdir}/raw", ["2023-06-01"], f"{workdir}/_staging",
                         today=dt.date(2024, 2, 1)) == {"2023-06-01": 0}
     assert not os.path.exists(f"{workdir}/raw/observation_date=2023-06-01")
