@@ -53,17 +53,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (unit tests on one machine) is a fresh local folder made and
-    registered, so lineage cuts and staged tables always land where every executor can read them.
+    The setting is read from the session (it is static: fixed when the application starts). Only
+    when it is absent, as in unit tests on one machine, is a fresh local folder made and
+    registered as the context's checkpoint folder, so lineage cuts and staged tables always land
+    where every executor can read them.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="stationlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    existing = spark.sparkContext.getCheckpointDir()
+    if existing:
+        return existing
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stationlake-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
