@@ -29,9 +29,9 @@ def union_distinct_history(existing: DataFrame, new: DataFrame) -> DataFrame:
 def upsert_history(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Keyed upsert (U2): one row per (station, timestamp), the newest processing time wins.
 
-    Only dates present in ``new`` can change, so the caller should pass ``existing`` restricted to
-    those dates (``touched_dates``); on a date-partitioned table that restriction is a partition
-    filter (or dynamic partition pruning) and history size stops mattering.
+    Only dates present in ``new`` can change, so pass ``existing`` restricted to those dates
+    (``merge_history`` does; the daily job filters the partition column), and history size stops
+    mattering.
     """
     cols = [*HISTORY_COLUMNS, "observation_date"]
     both = existing.select(*cols).unionByName(new.select(*cols))
@@ -45,11 +45,6 @@ def touched_dates(new: DataFrame) -> DataFrame:
     return new.select("observation_date").distinct()
 
 
-def restrict_to_touched(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Existing history rows on dates the new batch touches (a semi join on the partition column)."""
-    return existing.join(touched_dates(new), "observation_date", "left_semi")
-
-
 def merge_history(existing: DataFrame, new: DataFrame) -> DataFrame:
     """The whole history after a keyed upsert of ``new``: untouched dates pass through as they
     are, and only the touched dates go through the upsert window."""
