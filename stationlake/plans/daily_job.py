@@ -174,10 +174,6 @@ def _history_schema():
 HISTORY_TABLE_SCHEMA = _history_schema()
 
 
-def read_daily(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(layout.daily)
-
-
 def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     """Expose the stored tables to ``spark.sql`` under their usual names.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from stationlake.schemas import RAW_COLUMNS, RAW_SCHEMA
+from stationlake.schemas import RAW_SCHEMA
 
 RAW_TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("observation_date", T.DateType(), True),
                                  T.StructField("batch_id", T.LongType(), True)])
@@ -98,16 +98,6 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def raw_columns(df: DataFrame) -> DataFrame:
-    return df.select(*RAW_COLUMNS)
-
-
-def days_between(start, end) -> list[dt.date]:
-    s = dt.date.fromisoformat(_date_text(start))
-    e = dt.date.fromisoformat(_date_text(end))
-    return [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
-
-
 COMPACTED_BATCH = -1
 
 
