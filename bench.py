@@ -1,7 +1,7 @@
 """Benchmark: headline queries on $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS].
 
 Each query is executed in full into Spark's ``noop`` sink (every row computed, nothing collected),
-once to warm up and then timed as the best of $BENCH_REPEAT runs. Prints one JSON line.
+once to warm up and then timed as the best of $BENCH_REPEAT (default 3) runs. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from stationlake import get_session
