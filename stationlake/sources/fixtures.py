@@ -20,7 +20,7 @@ def spread(df: DataFrame) -> DataFrame:
     table already has at least that many splits and passes through untouched."""
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
+        have = df.rdd.getNumPartitions()  # planned split count only; no data goes through the RDD
     except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the plan as is
         return df
     return df.repartition(want) if have < want else df
