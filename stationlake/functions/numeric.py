@@ -63,6 +63,20 @@ def ntz_literal(value) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def utc_wall_time(df, name: str) -> Column:
+    """Column ``name`` of ``df`` as TIMESTAMP_NTZ holding UTC wall time.
+
+    TIMESTAMP_NTZ passes through. A zone-aware TIMESTAMP (an instant; e.g. parquet read with
+    NTZ inference turned off) is converted through epoch microseconds, so the result never
+    depends on the session time zone.
+    """
+    from pyspark.sql import types as T
+
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.timestamp_add("MICROSECOND", F.unix_micros(F.col(name)), ntz_literal("1970-01-01 00:00:00"))
+    return F.col(name)
+
+
 # A zone designator after a time of day: Z, +hh, +hhmm or +hh:mm.
 _ZONED = r"(?i)[T ]\d{1,2}:\d{2}(:\d{2}(\.\d*)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.functions import utc_wall_time
 from stationlake.schemas import MEASURES, RAW_COLUMNS
 
 
@@ -43,7 +44,7 @@ def observation_base(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
     null = F.lit(None).cast("double")
     return events.select(
-        F.col("user_id").alias("station_id"), F.col("ts").alias("timestamp"), event_key().alias("k"),
+        F.col("user_id").alias("station_id"), utc_wall_time(events, "ts").alias("timestamp"), event_key().alias("k"),
         "event_type", "value",
     ).select(
         "station_id", "timestamp", "k",

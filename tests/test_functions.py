@@ -83,3 +83,19 @@ def test_parse_timestamp_both_forms(spark):
             assert _one(spark, parse_timestamp, "2026-01-01T10:00:00", "string") == dt.datetime(2026, 1, 1, 10, 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_source_times_are_utc_wall_time_whatever_the_type(spark):
+    import datetime as dt
+
+    from stationlake.functions import utc_wall_time
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        ltz = spark.sql("select timestamp'2024-01-15 10:00:00+00:00' as ts")           # an instant
+        ntz = spark.sql("select timestamp_ntz'2024-01-15 10:00:00' as ts")             # a wall time
+        for df in (ltz, ntz):
+            assert df.select(utc_wall_time(df, "ts").alias("t")).first()["t"] == dt.datetime(2024, 1, 15, 10, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
