@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import lines
+from stationlake.llm import lines, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash": simhash.op1_simhash,
         "op4_line_dedup": lines.op4_line_dedup,
     }
 
