@@ -44,14 +44,16 @@ def line_dedup(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     # the operator's own columns carry a prefix so that no column of the input can clash
     exploded = docs.select(doc_key().alias("_d"), _text_hash().alias("_t"), F.posexplode(_lines()).alias("_pos", "_line"))
     key = line_key(F.col("_line"))
-    hashed = exploded.where(F.char_length(key) >= min_chars).select(
-        "_d", "_t", "_pos", F.xxhash64(F.lit(0), key).alias("_h1"), F.xxhash64(F.lit(1), key).alias("_h2"))
+    hashed = staged(exploded.withColumn("_key", key).where(F.char_length("_key") >= min_chars).select(
+        "_d", "_t", "_pos", F.xxhash64(F.lit(0), "_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2")),
+        "line-hashes")
     repeated = staged(hashed.groupBy("_h1", "_h2").agg(F.min("_d").alias("_first"), F.max("_d").alias("_last"))
                       .where(F.col("_first") < F.col("_last")).select("_h1", "_h2", "_first"), "repeated-lines")
     drops = (hashed.join(repeated, ["_h1", "_h2"]).where(F.col("_d") > F.col("_first"))
              .groupBy("_d", "_t").agg(F.array_sort(F.collect_set("_pos")).alias("_drop")))
     none = F.array().cast("array<int>")
-    out = (docs.withColumns({"_d": doc_key(), "_t": _text_hash()}).join(drops, ["_d", "_t"], "left")
+    # built from the positions (4 bytes a line at most), so the texts stream past and are not sorted
+    out = (docs.withColumns({"_d": doc_key(), "_t": _text_hash()}).join(drops.hint("shuffle_hash"), ["_d", "_t"], "left")
            .withColumn("_drop", F.coalesce("_drop", none)).withColumn("_all", _lines())
            .withColumn("_cut", F.concat(F.array(F.lit(-1)), F.col("_drop"), F.array(F.size("_all")))))
     # slices between neighbouring dropped positions: linear in the number of lines
