@@ -1,0 +1,79 @@
+"""Document fingerprints against sets and a plain sketch."""
+
+import hashlib
+import re
+
+from stationlake.llm import iblt
+
+DIR = "/root/testdata/sf0.001"
+
+
+def parts(text):
+    out = []
+    for line in text.split("\n"):
+        out += re.split(r"(?<=[.!?])\s+", line, flags=re.A) if len(line.encode()) > iblt.LONG else [line]
+    return {p.strip(" ") for p in out} - {""}
+
+
+def likeness(a, b):
+    a, b = parts(a), parts(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def brute(rows):
+    rows = sorted((i, t or "") for i, t in rows)
+    out = {}
+    for n, (i, t) in enumerate(rows):
+        nxt = rows[(n + 1) % len(rows)][1]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + nxt[:half]
+        out[i] = (len(t), hashlib.sha256(edited.encode()).hexdigest(), likeness(t, edited), likeness(t, nxt))
+    return out
+
+
+def values(df):
+    return {r.doc_id: (r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in df.collect()}
+
+
+def test_query_against_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
+    df = iblt.op3_fingerprints(spark, DIR)
+    assert values(df) == brute(docs)
+    text = dict(docs)
+    by_text, by_print = {}, {}
+    for r in df.collect():
+        by_text.setdefault(text[r.doc_id], set()).add(r.fingerprint)
+        by_print.setdefault(r.fingerprint, set()).add(frozenset(parts(text[r.doc_id])))
+    assert all(len(v) == 1 for v in by_text.values())
+    assert all(len(v) == 1 for v in by_print.values())
+
+
+def test_edges_against_brute_force(spark):
+    big = "\n".join(f"line {i} of a very long text" for i in range(6000))
+    rows = [(7, None), (1, ""), (3, "one\ntwo\nthree\nfour"), (4, "one\ntwo\nthree\nfive"), (5, "😀é" * 1001), (9, big),
+            (10, big + "\nand one more"), (11, "a\n\n\n  a  \n"), (12, "x"), (20, "A sentence. " * 100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _d", "'k' AS keys", "2 AS n_chars")
+    assert values(iblt.fingerprint_documents(df)) == brute(rows)
+    assert iblt.fingerprint_documents(df.limit(0)).count() == 0
+    one = iblt.fingerprint_documents(df.where("doc_id = 3")).first()
+    assert (one.near_next, one.n_chars) == (1.0, 18)
+
+
+def test_repeated_and_unnamed_rows(spark):
+    df = spark.createDataFrame([(1, "p\nq"), (1, "p\nq"), (None, "r"), (None, "s")], "doc_id long, text string")
+    got = iblt.fingerprint_documents(df).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 0, 1, 1]
+    assert len({r.fingerprint for r in got if r.doc_id == 1}) == 1
+    assert sorted(r.near_next for r in got) == [0.0, 0.0, 0.0, 1.0]
+
+
+def test_too_small_sketches_are_retried(spark, monkeypatch):
+    monkeypatch.setattr(iblt, "SPARE", 0.2)
+    monkeypatch.setattr(iblt, "SLACK", 3)
+    rows = [(i, "\n".join(f"p{i}-{j // 2 if i % 2 else j}" for j in range(60 + i))) for i in range(12)]
+    assert values(iblt.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_plan_is_native(spark):
+    plan = iblt.op3_fingerprints(spark, DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
