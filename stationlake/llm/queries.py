@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import bpe, html_text, langid, lines, simhash, tokens, toxicity, urlfilter
+from stationlake.llm import bpe, decontam, html_text, iblt, langid, lines, simhash, tokens, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": simhash.op1_simhash,
         "op2_token_output": tokens.op2_token_output,
+        "op3_fingerprints": iblt.op3_fingerprints,
         "op4_line_dedup": lines.op4_line_dedup,
         "op5_language": langid.op5_language,
         "op6_bpe": bpe.op6_bpe,
         "op7_html_text": html_text.op7_html_text,
+        "op8_decontaminate": decontam.op8_decontaminate,
         "op9_url_filter": urlfilter.op9_url_filter,
         "op10_toxicity": toxicity.op10_toxicity,
     }
