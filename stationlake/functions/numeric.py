@@ -25,11 +25,11 @@ def round_stable(x, digits: int) -> Column:
     """Round half away from zero on the decimal value, then back to double.
 
     Rounding a double directly rounds its binary value in some engines and its decimal text in
-    others; going through DECIMAL(28,6) first gives one answer everywhere. Values that do not fit
-    a decimal (infinities) pass through unchanged instead of failing the query under ANSI mode.
+    others; going through DECIMAL(38,10) first gives one answer everywhere. A value that does not
+    fit (1e28 and more, infinities) has no fraction to round, so it is returned as it is.
     """
     x = _c(x)
-    as_dec = x.try_cast("decimal(28,6)")
+    as_dec = x.try_cast("decimal(38,10)")
     return F.when(as_dec.isNull(), x).otherwise(F.round(as_dec, digits).cast("double"))
 
 
@@ -41,11 +41,11 @@ def num_or_null(x) -> Column:
 
 def to_id(x) -> Column:
     """Station id → bigint: integer text, or a number with no fraction ("100971.0"); blank,
-    fractional or non-numeric ids become null (they are quarantined by the caller)."""
-    text = strip_ws(x)
-    as_double = text.try_cast("double")
-    integral = as_double.isNotNull() & ~F.isnan(as_double) & (F.floor(as_double) == as_double)
-    return F.coalesce(text.try_cast("bigint"), F.when(integral, as_double.try_cast("bigint")))
+    fractional, non-numeric or too large ids become null (they are quarantined by the caller).
+
+    Exact: the text goes through DECIMAL(38,18), which holds every bigint and its fraction."""
+    number = strip_ws(x).try_cast("decimal(38,18)")
+    return F.when(number == F.floor(number), F.floor(number)).try_cast("bigint")
 
 
 def ntz_literal(value) -> Column:

@@ -49,23 +49,31 @@ def extra_fields(value: str = "value") -> F.Column:
     """Fields of a message value outside the known set, as a text map (nested values as JSON).
 
     The reference lets a load add new columns to the raw table; here unknown fields land in one
-    map column, so the table schema stays fixed while nothing sent is lost.
+    map column (null if there are none), so the table schema stays fixed while nothing sent is lost.
     """
     known = F.array(*[F.lit(f) for f in MESSAGE_FIELDS])
     allf = F.from_json(F.col(value), "map<string,string>", {"mode": "PERMISSIVE"})
-    return F.map_filter(allf, lambda k, v: ~F.array_contains(known, k))
+    extra = F.map_filter(allf, lambda k, v: ~F.array_contains(known, k))
+    return F.when(F.size(extra) > 0, extra)
 
 
-def cleanse(decoded: DataFrame, keep_extra: bool = False) -> tuple[DataFrame, DataFrame]:
+def cleanse(decoded: DataFrame, keep_extra: bool = True) -> tuple[DataFrame, DataFrame]:
     """(accepted raw observations, quarantined messages with ``reject_reason``).
 
-    Both come from one projection that decodes each message once; persist ``decoded`` (as the
-    landing job does per micro-batch) when both are written, so the source is read once.
-    ``keep_extra`` adds ``extra_fields``.
+    Both come from one projection that decodes each message once; persist ``check_messages`` (as the
+    landing job does per micro-batch) when both are written, so every message is parsed once.
+    Unknown fields are kept in ``extra_fields`` unless ``keep_extra`` is off.
     """
+    return split_checked(check_messages(decoded, keep_extra), keep_extra)
+
+
+def check_messages(decoded: DataFrame, keep_extra: bool = True) -> DataFrame:
+    """Typed columns and ``reject_reason`` of every decoded message."""
     checked = _checked(decoded)
-    if keep_extra:
-        checked = checked.withColumn("extra_fields", extra_fields())
+    return checked.withColumn("extra_fields", extra_fields()) if keep_extra else checked
+
+
+def split_checked(checked: DataFrame, keep_extra: bool = True) -> tuple[DataFrame, DataFrame]:
     cols = [*RAW_COLUMNS, "extra_fields"] if keep_extra else RAW_COLUMNS
     return _keep(checked, cols, accepted=True), _keep(checked, QUARANTINE_COLUMNS, accepted=False)
 

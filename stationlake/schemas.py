@@ -40,11 +40,17 @@ RATING_MARK_DEFAULT = "⚪"
 # Parameter labels of the long-form missing/outlier views.
 PARAMETER_LABELS = {"temperature": "Temperature", "humidity": "Humidity",
                     "wind_speed": "Wind Speed", "pressure": "Pressure"}
+# Hours that a poll looks back: an observation can be delivered again for so long.
+POLL_LOOKBACK_HOURS = 2
+# Minutes between two polls of all stations.
+POLL_INTERVAL_MINUTES = 10
+# Units of the display texts.
+UNIT_TEMPERATURE, UNIT_PERCENT, UNIT_WIND = "°C", "%", " m/s"
 # Catalogue rule: a station is active when `finish` is empty or a year >= 2020.
 ACTIVE_FINISH_YEAR = 2020
-# Payload element names: positions (lat lon epoch per line) and values (8 measures per line).
-PAYLOAD_POSITIONS_TAG = "gmlcov:positions"
-PAYLOAD_VALUES_TAG = "gml:doubleOrNilReasonTupleList"
+# Payload elements (namespace, name): positions (lat lon epoch per line) and values (8 measures per line).
+PAYLOAD_POSITIONS = ("http://www.opengis.net/gmlcov/1.0", "positions")
+PAYLOAD_VALUES = ("http://www.opengis.net/gml/3.2", "doubleOrNilReasonTupleList")
 # Token the payload uses for a missing value.
 PAYLOAD_NAN_TOKEN = "NaN"
 # ---------------------------------------------------------------------------------------------
@@ -67,10 +73,8 @@ RAW_SCHEMA = T.StructType(
 # Numeric fields cast leniently at cleansing (everything numeric except the id).
 NUMERIC_FIELDS = ["latitude", "longitude", *MEASURES]
 
-# Message value as it travels: every field is text so one malformed field cannot void the record;
-# ``_corrupt_record`` receives malformed text.
-MESSAGE_STRING_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in MESSAGE_FIELDS]
-                                     + [T.StructField("_corrupt_record", T.StringType(), True)])
+# Message value as it travels: every field is text so one malformed field cannot void the record.
+MESSAGE_STRING_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in MESSAGE_FIELDS])
 
 
 QUALITY_MEASURES = [m for m, _, _ in QUALITY_RULES]

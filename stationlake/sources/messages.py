@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stationlake.functions import strip_ws
 from stationlake.schemas import MEASURES, MESSAGE_STRING_SCHEMA
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -34,8 +36,11 @@ def encode_messages(obs: DataFrame) -> DataFrame:
 
 def decode_messages(msgs: DataFrame, value: str = "value", key: str | None = "key") -> DataFrame:
     """Parse message values with an all-text schema (a typed schema would void a whole record
-    for one field of an unexpected JSON type); malformed text lands in ``_corrupt_record``.
+    for one field of an unexpected JSON type); what is not exactly one JSON object lands in
+    ``_corrupt_record``.
 
+    The parser stops after a first value and ignores what follows, so the text is wrapped, as the
+    member of an object and as the element of an array: what is no single object spoils either.
     Binary key/value columns (Kafka) are decoded as UTF-8 first; a null key stays null.
     """
     cols = [F.col(value).cast("string").alias("value")]
@@ -43,9 +48,30 @@ def decode_messages(msgs: DataFrame, value: str = "value", key: str | None = "ke
         cols.insert(0, F.col(key).cast("string").alias("key"))
     else:
         cols.insert(0, F.lit(None).cast("string").alias("key"))
-    parsed = F.from_json("value", MESSAGE_STRING_SCHEMA,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return msgs.select(*cols).select("key", "value", parsed.alias("m")).select("key", "value", "m.*")
+    wrapped = F.concat(F.lit('{"m":'), F.col("value"), F.lit(',"end":"1"}'))
+    parsed = F.from_json(wrapped, T.StructType([T.StructField("m", MESSAGE_STRING_SCHEMA), T.StructField("end", T.StringType())]))
+    elements = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), "array<struct<fmisid:string>>")
+    one_object = (F.col("p.end").isNotNull() & F.col("p.m").isNotNull() & (F.size(elements) == 1)
+                  & strip_ws("value").startswith("{"))
+    return (msgs.select(*cols).select("key", "value", parsed.alias("p"))
+            .select("key", "value", "p.m.*", F.when(~F.coalesce(one_object, F.lit(False)), F.coalesce("value", F.lit("")))
+                    .alias("_corrupt_record")))
+
+
+def write_messages(msgs: DataFrame, fmt: str, target: str, topic: str | None = None) -> None:
+    """Publish keyed messages (S4): ``fmt="kafka"`` to ``topic`` at the servers ``target``, ``fmt="json"`` as
+    files of ``{"key": …, "value": …}`` lines in the folder ``target``.
+
+    Spark retries a failed task, so a message may be sent twice; the landing tables' readers keep
+    one observation of each.
+    """
+    out = msgs.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    if fmt == "kafka":
+        out.write.format("kafka").option("kafka.bootstrap.servers", target).option("topic", topic).save()
+    elif fmt == "json":
+        out.write.mode("append").json(target)
+    else:
+        raise ValueError(f"unknown message sink {fmt!r}")
 
 
 def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str | None = None,
@@ -56,8 +82,8 @@ def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str
     ``fmt="kafka"`` subscribes to ``topic`` from ``starting`` offsets, ``max_per_trigger`` capping
     records per micro-batch (the reference's batch of 100). Offsets that vanished before they
     were read (retention) stop the query unless ``fail_on_data_loss=False``: results stay whole
-    or fail loudly. ``fmt="text"`` reads one message per line from files in a folder,
-    ``max_per_trigger`` capping files per micro-batch.
+    or fail loudly. ``fmt="text"`` reads one message per line from files in a folder and ``fmt="json"``
+    the keyed lines of ``write_messages``; ``max_per_trigger`` then caps files per micro-batch.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -68,4 +94,6 @@ def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str
         return reader.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
+    if fmt == "json":
+        return reader.schema("key string, value string").load(path_or_servers)
     return reader.load(path_or_servers).select(F.lit(None).cast("string").alias("key"), F.col("value"))

@@ -7,9 +7,8 @@ line of each; here line *i* is paired with line *i* and every observation become
 
 Each document is first checked with ``from_xml`` in PERMISSIVE mode (its ``_corrupt_record`` is
 set for anything not well-formed: truncated, mis-nested, plain text); only documents that pass
-are read. Element names are matched on their qualified names, so payloads must use the standard
-``gmlcov``/``gml`` prefixes (as the service does); section text is taken as-is (no entity
-decoding), which is all a whitespace table of numbers needs.
+are read. Elements are found by namespace: the prefix is the one the document binds to it. Commented-out
+markup is not read; character references and CDATA inside a section are decoded.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.functions import ntz_literal, num_or_null, strip_ws
-from stationlake.schemas import MEASURES, PAYLOAD_NAN_TOKEN, PAYLOAD_POSITIONS_TAG, PAYLOAD_VALUES_TAG
+from stationlake.schemas import MEASURES, PAYLOAD_NAN_TOKEN, PAYLOAD_POSITIONS, PAYLOAD_VALUES
 
 DECODED_COLUMNS = ["station_id", "latitude", "longitude", "timestamp", *MEASURES]
 
@@ -28,35 +27,49 @@ def _epoch() -> F.Column:
     return ntz_literal("1970-01-01 00:00:00")
 
 
-LINE_SPLIT = r"\s*\n\s*"
 TOKEN_SPLIT = r"\s+"
+# Epochs that are a timestamp (years 1 to 9999).
+MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
 
 
-def _section_pattern(tag: str) -> str:
-    """Text of the first ``tag`` element (attributes allowed, no child elements)."""
-    return f"<{tag}(?:\\s[^>]*)?>([^<]*)</{tag}>"
+def _section(xml: str, element: tuple[str, str]) -> F.Column:
+    """Text of the first such element (attributes allowed, no child elements), empty if there is none."""
+    uri, name = element
+    bound = r"xmlns(?::([A-Za-z_][\w.-]*))?\s*=\s*[\"']" + uri.replace(".", "\\.") + r"[\"']"
+    prefix = F.regexp_extract(xml, bound, 1)
+    tag = F.when(prefix == "", F.lit(name)).otherwise(F.concat(prefix, F.lit(f":{name}")))
+    pattern = F.concat(F.lit("<"), tag, F.lit(r"(?:\s[^>]*)?>((?:[^<]|<!\[CDATA\[[\s\S]*?\]\]>)*)</"), tag, F.lit(r"\s*>"))
+    text = F.call_function("regexp_extract", F.col(xml), pattern, F.lit(1))
+    # only what needs it goes through an XML parser again
+    decoded = F.when(text.rlike("[&]|<!"), F.xpath_string(F.concat(F.lit("<t>"), text, F.lit("</t>")), F.lit("/t"))).otherwise(text)
+    return strip_ws(F.when(F.col(xml).rlike(bound), decoded).otherwise(F.lit("")))
 
 
-def _sections(payloads: DataFrame, station: str, xml: str) -> DataFrame:
+def _sections(payloads: DataFrame, station: str, xml: str, latest_only: bool) -> DataFrame:
     """Per document: well-formedness, then the positions and values text, then a reject reason.
 
     The XML check is one ``from_xml`` parse in its own projection (Catalyst will not inline it
     into the next ones, which use it repeatedly). The two sections are then cut out of the
-    checked text with ``regexp_extract``: on a well-formed document the first element of that
-    name is the one an any-depth search finds, and this avoids one DOM parse per XPath call.
+    checked text, less its comments, with ``regexp_extract``: on a well-formed document the first
+    element of that name is the one an any-depth search finds, and this avoids a DOM parse per section.
     """
     doc = F.col(xml)
     corrupt = F.from_xml(doc, "_corrupt_record string", {"mode": "PERMISSIVE"})["_corrupt_record"]
     checked = payloads.select(F.col(station).cast("string").alias("payload_station"), doc.alias("xml"),
                               (doc.isNotNull() & corrupt.isNull()).alias("well_formed"))
     ok = F.col("well_formed")
-    sections = checked.select(
+    plain = checked.select("payload_station", "xml", "well_formed",
+                           F.when(ok, F.regexp_replace("xml", r"<!--[\s\S]*?-->", "")).alias("plain"))
+    sections = plain.select(
         "payload_station", "xml", "well_formed",
-        F.when(ok, strip_ws(F.regexp_extract("xml", _section_pattern(PAYLOAD_POSITIONS_TAG), 1))).alias("pos_text"),
-        F.when(ok, strip_ws(F.regexp_extract("xml", _section_pattern(PAYLOAD_VALUES_TAG), 1))).alias("val_text"))
+        F.when(ok, _section("plain", PAYLOAD_POSITIONS)).alias("pos_text"),
+        F.when(ok, _section("plain", PAYLOAD_VALUES)).alias("val_text"))
+    lines = lambda c: F.size(F.split(c, "\n"))
     reason = (F.when(~ok, F.lit("malformed_xml"))
               .when(F.col("pos_text") == "", F.lit("missing_positions"))
               .when(F.col("val_text") == "", F.lit("missing_values")))
+    if not latest_only:  # lines are paired by number, so the two tables must have as many
+        reason = reason.when(lines("pos_text") != lines("val_text"), F.lit("line_count_mismatch"))
     return sections.select("payload_station", "xml", reason.alias("reject_reason"), "pos_text", "val_text")
 
 
@@ -71,11 +84,12 @@ def _parse_lines(rows: DataFrame) -> DataFrame:
         F.split(strip_ws("p"), TOKEN_SPLIT).alias("pt"), F.split(strip_ws("v"), TOKEN_SPLIT).alias("vt"),
         (F.coalesce(strip_ws("v"), F.lit("")) == "").alias("empty_values"))
     pt, vt = F.col("pt"), F.col("vt")
+    epoch = F.get(pt, 2).try_cast("bigint")
     parsed = toks.select(
         "xml", "doc_reason", "station_id",
         num_or_null(F.get(pt, 0)).alias("latitude"),
         num_or_null(F.get(pt, 1)).alias("longitude"),
-        F.timestamp_add("SECOND", F.get(pt, 2).try_cast("bigint"), _epoch()).alias("timestamp"),
+        F.timestamp_add("SECOND", F.when(epoch.between(MIN_EPOCH, MAX_EPOCH), epoch), _epoch()).alias("timestamp"),
         *[num_or_null(F.get(vt, i)).alias(m) for i, m in enumerate(MEASURES)],
         "empty_values")
     reason = (F.when(F.col("doc_reason").isNotNull(), F.col("doc_reason"))
@@ -92,9 +106,9 @@ def _lines(payloads: DataFrame, station: str, xml: str, latest_only: bool) -> Da
     Nothing is filtered before the explode: a filter there would be pushed into the XML checks
     and repeat them. Bad documents explode to a single placeholder pair instead.
     """
-    sec = _sections(payloads, station, xml)
-    pos_lines = F.split("pos_text", LINE_SPLIT)
-    val_lines = F.split("val_text", LINE_SPLIT)
+    sec = _sections(payloads, station, xml, latest_only)
+    pos_lines = F.split("pos_text", "\n")
+    val_lines = F.split("val_text", "\n")
     if latest_only:
         pairs = F.array(F.struct(F.element_at(pos_lines, -1).alias("p"), F.element_at(val_lines, -1).alias("v")))
     else:

@@ -29,6 +29,31 @@ def test_lines_pair_up_and_nan_and_short_lines(spark):
     assert len(latest) == 1 and latest[0]["timestamp"] == dt.datetime(2024, 1, 1, 10, 10)
 
 
+def test_lines_are_paired_strictly(spark):
+    pos = "60 24 1704103200\n60 24 1704103800\n60 24 1704104400"
+    docs = [doc(pos, "1 11\n\n3 33"), doc(pos, "1 11\n3 33"), doc(pos.replace("1704103800", "9" * 17), "1\n2\n3")]
+    rows = sorted((r["station_id"], r["timestamp"].minute, r["temperature"]) for r in decode_payloads(_df(spark, docs)).collect())
+    assert rows == [(100, 0, 1.0), (100, 20, 3.0), (102, 0, 1.0), (102, 20, 3.0)]
+    assert sorted(r["reject_reason"] for r in payload_rejects(_df(spark, docs)).collect()) == [
+        "bad_position", "empty_values", "line_count_mismatch"]
+    latest = decode_payloads(_df(spark, docs), latest_only=True).collect()
+    assert sorted((r["station_id"], r["temperature"]) for r in latest) == [(100, 3.0), (101, 3.0), (102, 3.0)]
+
+
+def test_comments_prefixes_references_and_cdata(spark):
+    good = doc("60 24 1704103200", "1 2 3")
+    docs = [good.replace("<gmlcov:positions>", "<!-- <gmlcov:positions>9 9 0</gmlcov:positions> --><gmlcov:positions>"),
+            good.replace("gmlcov:", "c:").replace(":gmlcov=", ":c=").replace("gml:", "g:").replace(":gml=", ":g="),
+            good.replace("60 24", "60&#32;24"), good.replace("60 24 1704103200", "<![CDATA[60 24 1704103200]]>"),
+            good.replace("<gmlcov:positions>", '<positions xmlns="http://www.opengis.net/gmlcov/1.0">')
+                .replace("</gmlcov:positions>", "</positions>").replace('xmlns:gmlcov="http://www.opengis.net/gmlcov/1.0"', ""),
+            good.replace("http://www.opengis.net/gmlcov/1.0", "http://other")]
+    rows = decode_payloads(_df(spark, docs)).collect()
+    assert sorted(r["station_id"] for r in rows) == [100, 101, 102, 103, 104]
+    assert {(r["latitude"], r["timestamp"], r["temperature"]) for r in rows} == {(60.0, dt.datetime(2024, 1, 1, 10), 1.0)}
+    assert [r["reject_reason"] for r in payload_rejects(_df(spark, docs)).collect()] == ["missing_positions"]
+
+
 def test_bad_payloads_are_rejected_with_reason(spark):
     docs = [doc("60 24 1704103200", None), doc(None, "1 2 3"), "<a><b>", "plain text", None,
             doc("60 24 notanumber", "1 2 3"), doc("60 24 1704103200", "1 2 3")]
