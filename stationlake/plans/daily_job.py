@@ -1,9 +1,8 @@
 """The daily job (C14): curate a date range of the raw table, then summarise, report and update
 the station history, every output replaced per date partition so reruns are idempotent.
 
-Lineage is cut once: the curated rows are written to a staging folder (the cluster-shared table
-root) and the three consumers read that copy instead of recomputing the hourly pick, the way the
-reference materialises ``daily_observations`` for its three later tasks.
+Lineage is cut once: the curated rows are written to ``daily_observations`` and the three consumers
+read those date folders back instead of recomputing the hourly pick.
 """
 
 from __future__ import annotations
@@ -21,7 +20,9 @@ from stationlake.functions import ntz_literal
 from stationlake.operators import history as hist
 from stationlake.operators.curate import daily_observations
 from stationlake.operators.summarize import daily_summary, quality_report
-from stationlake.sources.tables import read_raw, read_table, replace_day, stage
+from stationlake.sources.tables import (
+    RAW_TABLE_SCHEMA, clear_days, path_exists, read_days, read_raw, read_table, stage,
+)
 
 HISTORY_MODES = ("upsert", "union_distinct")
 log = logging.getLogger(__name__)
@@ -68,9 +69,9 @@ class Layout:
 
 def write_days(df: DataFrame, path: str, date_col: str, days: list[dt.date], present: set[dt.date],
                sort_cols: list[str] | None = None) -> None:
-    """Replace the partitions of ``days``: dynamic overwrite for days with rows, and an empty
-    partition for requested days that came out empty (a dynamic overwrite alone would leave
-    their old rows behind)."""
+    """Replace the partitions of ``days``: dynamic overwrite for days with rows, and the folders of
+    requested days that came out empty removed (a dynamic overwrite alone would leave their old
+    rows behind)."""
     # REBALANCE on the partition column: AQE sizes the write tasks from the real data (few files
     # per small day) and splits a day that is too big for one task, instead of one file per
     # (task, day) pair.
@@ -78,9 +79,7 @@ def write_days(df: DataFrame, path: str, date_col: str, days: list[dt.date], pre
     out = out.sortWithinPartitions(*sort_cols) if sort_cols else out
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
-    for d in days:
-        if d not in present:
-            replace_day(df.limit(0), path, d, date_col)
+    clear_days(df.sparkSession, path, [d for d in days if d not in present], date_col)
 
 
 def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts: dt.datetime | None = None,
@@ -93,29 +92,30 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
     if history_mode not in HISTORY_MODES:
         raise ValueError(f"history_mode must be one of {HISTORY_MODES}")
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    raw = read_raw(spark, layout.raw)
-    curated = daily_observations(raw, start, end, run_ts=run_ts, exact_distinct=exact_distinct)
-    daily = stage(curated.withColumn("observation_date", F.to_date("timestamp")), layout.staging("daily"))
-
-    # Distinct dates of the staged copy: at most one row per day of the range.
-    present = {r[0] for r in daily.select("observation_date").distinct().collect()}
     if start is None:
-        days = sorted(present)
+        raw = read_raw(spark, layout.raw)
+        # at most one row per stored day
+        days = sorted(r[0] for r in raw.where("observation_date IS NOT NULL").select("observation_date").distinct().collect())
     else:
         s = dt.date.fromisoformat(str(start))
         e = dt.date.fromisoformat(str(end if end is not None else start))
         days = [s + dt.timedelta(days=i) for i in range((e - s).days + 1)]
+        raw = read_days(spark, layout.raw, days, RAW_TABLE_SCHEMA)
+    curated = daily_observations(raw, start, end, run_ts=run_ts, exact_distinct=exact_distinct)
+    curated = curated.withColumn("observation_date", F.to_date("timestamp"))
 
     seen = {name: Observation(f"{name}_rows") for name in ("daily", "summary", "report", "history")}
     # An observation only reports when its write ran over rows; empty outputs count as 0.
-    wrote = {"daily": bool(present), "summary": bool(present), "report": bool(present), "history": False}
+    wrote = dict.fromkeys(seen, False)
 
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.observe(seen[name], F.count(F.lit(1)).alias("n"))
 
-    def write_daily():
-        write_days(counted(daily, "daily"), layout.daily, "observation_date", days, present,
-                   ["station_id", "timestamp"])
+    # Days with raw rows are the days with curated rows: the hourly pick keeps one of every hour.
+    present = set(days) if start is None else {r[0] for r in raw.select("observation_date").distinct().collect()}
+    wrote |= dict.fromkeys(("daily", "summary", "report"), bool(present))
+    write_days(counted(curated, "daily"), layout.daily, "observation_date", days, present, ["station_id", "timestamp"])
+    daily = read_days(spark, layout.daily, sorted(present), curated.schema)
 
     def write_summary():
         summary = daily_summary(daily).withColumn("processing_time", ntz_literal(run_ts))
@@ -129,8 +129,7 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
         new = hist.history_rows(daily)
         if stations is not None:
             new = new.where(F.col("station_id").isin(list(stations)))
-        existing = read_table(spark, layout.history, HISTORY_TABLE_SCHEMA)
-        existing = existing.where(F.col("observation_date").isin(days)) if days else existing.limit(0)
+        existing = read_days(spark, layout.history, days, HISTORY_TABLE_SCHEMA)
         merged = (hist.upsert_history(existing, new) if history_mode == "upsert"
                   else hist.union_distinct_history(existing, new))
         # The history partitions are read above, so the result is staged before replacing them.
@@ -140,10 +139,10 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
         write_days(counted(merged, "history"), layout.history, "observation_date", days, history_present,
                    ["station_id", "timestamp"])
 
-    # The four outputs read only the staged copy (and history its own partitions), so they run as
-    # concurrent Spark jobs, as the reference runs summary and report side by side.
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        for f in [pool.submit(w) for w in (write_daily, write_summary, write_report, write_history)]:
+    # The three outputs read only the daily observations (and history its own partitions), so they run
+    # as concurrent Spark jobs.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for f in [pool.submit(w) for w in (write_summary, write_report, write_history)]:
             f.result()
     rows = {name: (obs.get.get("n", 0) if wrote[name] else 0) for name, obs in seen.items()}
     log.info("processed %d day(s) at %s: %s", len(days), run_ts, rows)
@@ -181,24 +180,16 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     "the summary of day D" becomes ``... FROM daily_summary WHERE observation_date = DATE 'D'``,
     which prunes to that day's folder. Tables not written yet are skipped.
     """
-    from stationlake.sources.tables import RAW_TABLE_SCHEMA
-
     names = []
-    sources = {
-        "raw_observations": lambda: read_table(spark, layout.raw, RAW_TABLE_SCHEMA),
-        "daily_observations": lambda: spark.read.parquet(layout.daily),
-        "daily_summary": lambda: spark.read.parquet(layout.summary),
-        "quality_report": lambda: spark.read.parquet(layout.report),
-        "station_history": lambda: read_table(spark, layout.history, HISTORY_TABLE_SCHEMA),
-        "quarantine": lambda: spark.read.parquet(layout.quarantine),
+    tables = {
+        "raw_observations": (layout.raw, RAW_TABLE_SCHEMA), "daily_observations": (layout.daily, None),
+        "daily_summary": (layout.summary, None), "quality_report": (layout.report, None),
+        "station_history": (layout.history, HISTORY_TABLE_SCHEMA), "quarantine": (layout.quarantine, None),
     }
-    for name, load in sources.items():
-        try:
-            load().createOrReplaceTempView(name)
+    for name, (path, schema) in tables.items():
+        if path_exists(spark, path):
+            read_table(spark, path, schema).createOrReplaceTempView(name)
             names.append(name)
-        except Exception as e:  # a table that does not exist yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
     return names
 
 

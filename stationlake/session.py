@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -54,9 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     The setting is read from the session (it is static: fixed when the application starts). Only
-    when it is absent, as in unit tests on one machine, is a fresh local folder made and
-    registered as the context's checkpoint folder, so lineage cuts and staged tables always land
-    where every executor can read them.
+    on a local master, as in unit tests, may it be absent: then a fresh local folder is made and
+    registered as the context's checkpoint folder. On a cluster a folder of the driver's disk would
+    be invisible to the executors, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -64,14 +64,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stationlake-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-folder of the shared checkpoint root for one run of ``name``."""
+    """A new, unique sub-folder of the shared checkpoint root for one run of ``name``.
+
+    It holds intermediate tables that a returned DataFrame still reads, so it cannot go when the
+    call returns; it is removed when the application ends, on whatever file system it is.
+    """
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/stationlake/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
     return path

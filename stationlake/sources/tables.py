@@ -1,8 +1,10 @@
 """Date-partitioned parquet tables: create/append/replace/read.
 
-Layout: ``<table>/observation_date=YYYY-MM-DD/[batch_id=N/]part-*.parquet``. The date is a stored
-column because parquet has no partition transforms; filters on it prune folders before any file
-is opened, and a half-open ``timestamp`` range on top is pushed to row groups.
+Layout: ``<table>/observation_date=YYYY-MM-DD/[source_id=S/batch_id=N/]part-*.parquet``. The date is a
+stored column because parquet has no partition transforms; readers of a date range are pointed at
+those folders alone, and a half-open ``timestamp`` range on top is pushed to row groups. A landed
+batch is known by its source (the streaming query's own id, kept in its checkpoint) and its number
+there, so two sources, or a source begun anew, never overwrite each other.
 """
 
 from __future__ import annotations
@@ -12,32 +14,34 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from stationlake.schemas import RAW_SCHEMA
 
-RAW_TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("observation_date", T.DateType(), True),
-                                 T.StructField("batch_id", T.LongType(), True)])
+_BATCH_FIELDS = [T.StructField("source_id", T.StringType(), True), T.StructField("batch_id", T.LongType(), True)]
+RAW_TABLE_SCHEMA = T.StructType([
+    *RAW_SCHEMA.fields, T.StructField("extra_fields", T.MapType(T.StringType(), T.StringType()), True),
+    T.StructField("observation_date", T.DateType(), True), *_BATCH_FIELDS])
 QUARANTINE_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
-                                  T.StructField("reject_reason", T.StringType()),
-                                  T.StructField("batch_id", T.LongType())])
+                                  T.StructField("reject_reason", T.StringType()), *_BATCH_FIELDS])
+DEFAULT_SOURCE = "batch"
 
 
 def _date_text(d) -> str:
     return d if isinstance(d, str) else d.isoformat()
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, date_col: str | None = "timestamp") -> None:
-    """Write one micro-batch as its own ``batch_id`` partition(s), replacing that batch only.
+def append_batch(df: DataFrame, path: str, batch_id: int, date_col: str | None = "timestamp",
+                 source_id: str = DEFAULT_SOURCE) -> None:
+    """Write one micro-batch as its own ``source_id``/``batch_id`` partition(s), replacing that batch only.
 
-    Dynamic partition overwrite makes a replayed batch (same id, same rows after a restart)
-    overwrite what the failed attempt wrote, so at-least-once delivery lands exactly once.
+    Dynamic partition overwrite makes a replayed batch (same source and id, same rows after a
+    restart) overwrite what the failed attempt wrote, so at-least-once delivery lands exactly once.
     """
-    out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    parts = ["batch_id"]
+    out = df.withColumn("source_id", F.lit(source_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    parts = ["source_id", "batch_id"]
     if date_col is not None:
         out = out.withColumn("observation_date", F.to_date(date_col))
-        parts = ["observation_date", "batch_id"]
+        parts = ["observation_date", *parts]
     # REBALANCE by the partition columns: AQE right-sizes the write tasks (a micro-batch lands as
     # a few files per day, not one per task and day) and splits a day too big for one task.
     out = out.hint("rebalance", *parts)
@@ -45,47 +49,62 @@ def append_batch(df: DataFrame, path: str, batch_id: int, date_col: str | None =
      .partitionBy(*parts).parquet(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, on whatever file system the path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType | None, folders: list[str] | None = None,
+          merge_schema: bool = False) -> DataFrame:
+    """The table at ``path``, or only some of its ``folders``; what does not exist reads as empty (S13),
+    and every other error of a read is raised."""
+    there = [f for f in (folders if folders is not None else [path]) if path_exists(spark, f)]
+    if not there and schema is not None:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("basePath", path)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    elif schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(*(there or [path]))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a partitioned table; a table that does not exist yet reads as empty."""
-    try:
-        reader = spark.read.option("basePath", path)
-        return (reader.schema(schema) if schema is not None else reader).parquet(path)
-    except AnalysisException:
-        if schema is None:
-            raise
-        return spark.createDataFrame([], schema)
+    return _read(spark, path, schema)
 
 
 def read_raw(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """The raw table with its fixed schema, or (``merge_schema``) the union of every batch's
-    columns, e.g. ``extra_fields`` written by landings that kept unknown fields (S9)."""
-    if merge_schema:
-        try:
-            return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(path)
-        except AnalysisException:
-            return spark.createDataFrame([], RAW_TABLE_SCHEMA)
-    return read_table(spark, path, RAW_TABLE_SCHEMA)
+    """The raw table with its fixed schema, or (``merge_schema``) the union of every batch's columns."""
+    return _read(spark, path, RAW_TABLE_SCHEMA, merge_schema=merge_schema)
 
 
-def read_day(spark: SparkSession, path: str, day, schema: T.StructType, date_col: str = "observation_date") -> DataFrame:
-    """One date partition of a table (S12): the filter is on the partition column, so only that
-    folder is listed and read. Missing table or day → empty result with the declared schema."""
-    df = read_table(spark, path, schema)
-    return df.where(F.col(date_col) == F.lit(_date_text(day)).cast("date"))
+def day_folder(path: str, day, date_col: str = "observation_date") -> str:
+    return f"{path.rstrip('/')}/{date_col}={_date_text(day)}"
 
 
-def replace_day(df: DataFrame, path: str, day, date_col: str = "observation_date",
-                sort_cols: list[str] | None = None) -> None:
-    """Replace one date partition with ``df`` (S10/S11), even when ``df`` has no rows.
+def read_days(spark: SparkSession, path: str, days: list, schema: T.StructType,
+              date_col: str = "observation_date") -> DataFrame:
+    """Some date partitions of a table (S12): only their folders are listed and read, whatever else the
+    table holds. Missing table or days → no rows, with the declared schema."""
+    return _read(spark, path, schema, [day_folder(path, d, date_col) for d in days])
 
-    The write goes straight to the partition folder: a dynamic overwrite of the whole table would
-    leave an old partition in place when the new result is empty. ``df`` must not read the same
-    partition (stage it first, see ``stage``).
-    """
-    out = df.drop(date_col)
-    if sort_cols:
-        out = out.sortWithinPartitions(*sort_cols)
-    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{date_col}={_date_text(day)}")
+
+def read_day(spark: SparkSession, path: str, day, schema: T.StructType, date_col: str = "observation_date") -> DataFrame:
+    """One date partition of a table."""
+    return read_days(spark, path, [day], schema, date_col)
+
+
+def clear_days(spark: SparkSession, path: str, days: list, date_col: str = "observation_date") -> None:
+    """Empty date partitions (S10/S11): their folders go. File-system calls only, no Spark job."""
+    for d in days:
+        _remove(spark, day_folder(path, d, date_col))
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -98,18 +117,19 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-COMPACTED_BATCH = -1
+COMPACTED_SOURCE, COMPACTED_BATCH = "compacted", -1
 
 
 def compact_days(spark: SparkSession, path: str, days, staging_root: str, min_age_days: int = 2,
                  today: dt.date | None = None, parallel: int = 4) -> dict[str, int]:
-    """Fold each closed day's ``batch_id`` folders of a landed table into one compacted batch.
+    """Fold each closed day's batch folders of a landed table into one compacted batch.
 
     Landing writes one folder per micro-batch and day (what makes replays exact); a day of
     per-minute triggers is ~1,440 folders, which whole-table listings pay for. Compaction rewrites
-    a day as ``batch_id=-1`` with right-sized files (REBALANCE): the day is read, staged in the
-    shared folder, then its folder is replaced from the stage. Only days at least
-    ``min_age_days`` old are touched, so a replay of a recent batch still overwrites its own
+    a day as one batch with right-sized files (REBALANCE). Only that day's folder is read; the day
+    is staged in the shared folder, replaced from there, and the stage is removed once the day holds
+    as many rows as before. A day that is already one compacted batch is left alone. Only days at
+    least ``min_age_days`` old are touched, so a replay of a recent batch still overwrites its own
     folder; replaying a batch of a compacted day would add its rows again.
     """
     today = today or dt.datetime.now(dt.timezone.utc).date()
@@ -119,17 +139,26 @@ def compact_days(spark: SparkSession, path: str, days, staging_root: str, min_ag
         raise ValueError(f"refusing to compact days newer than {min_age_days} days: {too_new}")
 
     def one(day: dt.date) -> int:
+        folder = day_folder(path, day)
+        if not path_exists(spark, folder):  # nothing landed that day
+            return 0
         # merged schema: batches landed with extra fields keep them through compaction
-        src = (read_raw(spark, path, merge_schema=True)
-               .where(F.col("observation_date") == F.lit(day.isoformat()).cast("date"))
-               .drop("observation_date", "batch_id"))
-        staged = stage(src, f"{staging_root.rstrip('/')}/compact/observation_date={day.isoformat()}")
+        landed = _read(spark, path, None, [folder], merge_schema=True)
+        batches = [tuple(r) for r in landed.select("source_id", "batch_id").distinct().take(2)]
+        if batches == [(COMPACTED_SOURCE, COMPACTED_BATCH)]:
+            return landed.count()
+        stage_path = f"{staging_root.rstrip('/')}/compact/observation_date={day.isoformat()}"
+        staged = stage(landed.drop("observation_date", "source_id", "batch_id"), stage_path)
         n = staged.count()
-        if n == 0:  # nothing landed that day: leave the table alone (no empty day folder)
-            return 0
-        out = staged.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("bigint")).hint("rebalance")
+        out = (staged.withColumn("source_id", F.lit(COMPACTED_SOURCE))
+               .withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("bigint")).hint("rebalance"))
+        # static: the day's old batch folders go, whatever overwrite mode the session has
         (out.sortWithinPartitions("station_id", "timestamp").write.mode("overwrite")
-         .partitionBy("batch_id").parquet(f"{path.rstrip('/')}/observation_date={day.isoformat()}"))
+         .option("partitionOverwriteMode", "static").partitionBy("source_id", "batch_id").parquet(folder))
+        left = _read(spark, path, None, [folder]).count()
+        if left != n:
+            raise RuntimeError(f"compacting {day} left {left} of {n} rows; the whole day is staged at {stage_path}")
+        _remove(spark, stage_path)
         return n
 
     from concurrent.futures import ThreadPoolExecutor

@@ -1,31 +1,34 @@
 """Stream landing.
 
 ``land_stream`` is the consumer: a micro-batch per trigger (``maxOffsetsPerTrigger`` /
-``maxFilesPerTrigger`` bound its size), each batch decoded once, cleansed, appended to the raw
-table and its rejects to the quarantine, both keyed by batch id so a replay is idempotent.
+``maxFilesPerTrigger`` bound its size), each batch parsed once, appended to the raw table and its
+rejects to the quarantine, both keyed by the query's id and the batch id so a replay is idempotent.
 Progress lives in the checkpoint, so a restarted query resumes where the last committed batch
 ended (at-least-once delivery, exactly-once tables).
+
+De-duplication and the hourly pick keep *winners*: each batch is reduced to its own winners before
+it is appended, and readers reduce the stored winners once more. So a row that comes hours late
+still changes its closed hour, the newest hours are there after every batch, and no state grows with
+the stream; a watermark would drop the one and hold back the other.
 """
 
 from __future__ import annotations
 
-
 import logging
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stationlake.functions import ntz_literal
-from stationlake.operators.cleanse import cleanse
-from stationlake.operators.curate import TIE_BREAK_COLUMNS, flag_quality
+from stationlake.operators.cleanse import check_messages, cleanse, split_checked
+from stationlake.operators.curate import flag_quality, hourly_latest
 from stationlake.schemas import RAW_COLUMNS
 from stationlake.sources.messages import decode_messages
-from stationlake.sources.tables import append_batch
+from stationlake.sources.tables import DEFAULT_SOURCE, RAW_TABLE_SCHEMA, append_batch, read_table
 
 log = logging.getLogger(__name__)
-DEFAULT_DELAY = "2 hours"  # the producer's lookback: an observation can recur for two hours
 
 
 def _trigger(writer, trigger: str | None):
@@ -36,25 +39,31 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def _query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that runs this batch: kept in its checkpoint, so the same after a
+    restart and another for another checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or DEFAULT_SOURCE
+
+
 def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str,
-               keep_extra: bool = False) -> dict[str, int]:
-    """Decode and cleanse one micro-batch; write accepted rows and rejects for this batch id.
+               keep_extra: bool = True, source_id: str = DEFAULT_SOURCE) -> dict[str, int]:
+    """Decode and cleanse one micro-batch; write accepted rows and rejects for this source and batch id.
 
     Returns (and logs) the accepted and rejected counts, observed while the two writes run (P9)
     rather than by extra counting jobs.
     """
-    decoded = decode_messages(batch).persist()
+    checked = check_messages(decode_messages(batch), keep_extra).persist()
     try:
-        if decoded.isEmpty():  # nothing arrived (reads from the cache being built)
+        if checked.isEmpty():  # nothing arrived (reads from the cache being built)
             return {"batch_id": batch_id, "accepted": 0, "rejected": 0}
-        accepted, rejected = cleanse(decoded, keep_extra=keep_extra)
+        accepted, rejected = split_checked(checked, keep_extra)
         seen_ok, seen_bad = Observation(f"accepted_{batch_id}"), Observation(f"rejected_{batch_id}")
         # Both writes read the persisted batch, so they run as two concurrent jobs.
         with ThreadPoolExecutor(max_workers=2) as pool:
             jobs = [pool.submit(append_batch, accepted.observe(seen_ok, F.count(F.lit(1)).alias("n")), raw_path,
-                                batch_id),
+                                batch_id, "timestamp", source_id),
                     pool.submit(append_batch, rejected.observe(seen_bad, F.count(F.lit(1)).alias("n")),
-                                quarantine_path, batch_id, None)]
+                                quarantine_path, batch_id, None, source_id)]
             for j in jobs:
                 j.result()
         counts = {"batch_id": batch_id, "accepted": seen_ok.get["n"], "rejected": seen_bad.get["n"]}
@@ -63,71 +72,53 @@ def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path:
                         counts["accepted"] + counts["rejected"])
         return counts
     finally:
-        decoded.unpersist()
+        checked.unpersist()
 
 
 def land_stream(messages: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str,
                 trigger: str | None = "availableNow", name: str | None = None,
-                keep_extra: bool = False) -> StreamingQuery:
+                keep_extra: bool = True) -> StreamingQuery:
     """Start the landing query over a (``key``, ``value``) stream."""
     writer = (messages.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: land_batch(df, bid, raw_path, quarantine_path, keep_extra)))
+              .foreachBatch(lambda df, bid: land_batch(df, bid, raw_path, quarantine_path, keep_extra, _query_id(df))))
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, trigger).start()
 
 
-def event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Add ``event_time`` (TIMESTAMP, which watermarks need) for the TIMESTAMP_NTZ event time.
-
-    The wall time is read as UTC through epoch microseconds rather than a cast, so windows line up
-    with the stored clock hours whatever the session time zone is.
-    """
-    epoch = ntz_literal("1970-01-01 00:00:00")
-    return df.withColumn("event_time", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts))))
-
-
 def cleansed_stream(messages: DataFrame) -> DataFrame:
     """Stateless decode + cleanse on a message stream (accepted rows only)."""
     accepted, _ = cleanse(decode_messages(messages))
     return accepted
 
 
-def dedup_stream(obs: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """One row per observation (station, event time): re-polled and re-delivered copies collapse
-    to the earliest-ingested copy (T5).
+def first_deliveries(obs: DataFrame) -> DataFrame:
+    """One row per observation (station, event time): re-polled and re-delivered copies collapse to the
+    earliest-ingested copy (T5). The order covers every column, so equal winners are identical rows."""
+    order = ["ingestion_time", *[c for c in RAW_COLUMNS if c not in ("ingestion_time", "station_id", "timestamp")]]
+    w = Window.partitionBy("station_id", "timestamp").orderBy(*order)
+    return obs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
-    Written as a watermarked aggregation keyed on the event time rather than
-    ``dropDuplicatesWithinWatermark``: the aggregate is combined map-side before the state store,
-    so even an observation whose copies are a third of a batch costs one row per task, and the
-    kept copy is fixed (earliest ingestion, then the other columns) instead of arrival order. Rows
-    are emitted once the watermark passes their event time; state lives only until then.
-    """
-    row = F.struct(*RAW_COLUMNS)
-    order = F.struct("ingestion_time", *[c for c in RAW_COLUMNS if c != "ingestion_time"])
-    return (event_time(obs).withWatermark("event_time", delay)
-            .groupBy("station_id", "event_time")
-            .agg(F.min_by(row, order).alias("first"))
-            .select("first.*"))
 
+def keep_winners(obs: DataFrame, rule: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                 trigger: str | None = "availableNow") -> StreamingQuery:
+    """Append each micro-batch's winners under ``rule`` (``first_deliveries`` for T5, ``hourly_latest`` for
+    T7) to the table at ``path``, keyed by query and batch id."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(rule(batch.select(*RAW_COLUMNS)), path, batch_id, "timestamp", _query_id(batch))
+
+    writer = obs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _trigger(writer, trigger).start()
 
-def hourly_latest_stream(obs: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Latest observation per station and clock hour as a stream (T7), emitted in append mode
-    once the watermark closes the hour. ``max_by`` over a struct of the tie-break columns picks
-    the same row as the batch ``row_number`` rule; it is a partial/final aggregate, so a hot
-    station is combined map-side before the state store sees it."""
-    row = F.struct(*RAW_COLUMNS)
-    order = F.struct(*TIE_BREAK_COLUMNS)
-    return (event_time(obs).withWatermark("event_time", delay)
-            .groupBy("station_id", F.window("event_time", "1 hour").alias("hour"))
-            .agg(F.max_by(row, order).alias("latest"))
-            .select("latest.*"))
 
+def read_winners(spark: SparkSession, path: str, rule: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The winners over all batches: the winners among the batches' winners."""
+    return rule(read_table(spark, path, RAW_TABLE_SCHEMA).select(*RAW_COLUMNS))
 
-def curated_stream(obs: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """The daily observations table as a stream (C5 = T7 + T8): each closed station-hour's latest
-    row, flagged and scored, with its ``observation_date`` for a date-partitioned sink."""
-    return flag_quality(hourly_latest_stream(obs, delay)).withColumn("observation_date", F.to_date("timestamp"))
+
+def curated_observations(spark: SparkSession, path: str) -> DataFrame:
+    """The daily observations of a stream kept under ``hourly_latest`` (C5 = T7 + T8): flagged and scored."""
+    return flag_quality(read_winners(spark, path, hourly_latest)).withColumn("observation_date", F.to_date("timestamp"))
 
 
 def flagged_stream(obs: DataFrame) -> DataFrame:
@@ -135,13 +126,6 @@ def flagged_stream(obs: DataFrame) -> DataFrame:
     return flag_quality(obs)
 
 
-def latest_in_batch(batch: DataFrame) -> DataFrame:
-    """Hourly latest within one micro-batch (the batch rule), for ``foreachBatch`` sinks."""
-    w = Window.partitionBy("station_id", F.date_trunc("hour", "timestamp")).orderBy(
-        *[F.col(c).desc_nulls_last() for c in TIE_BREAK_COLUMNS])
-    return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                  trigger: str | None = "availableNow", partition_by: list[str] | None = None) -> StreamingQuery:
     """Run a streaming DataFrame into a parquet table (file sink: exactly-once via its log)."""
@@ -166,18 +150,20 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", help="bootstrap servers")
     src.add_argument("--files", help="folder of newline-delimited JSON messages")
+    src.add_argument("--keyed-files", help="folder of keyed messages as write_messages leaves them")
     ap.add_argument("--topic", default="observations")
     ap.add_argument("--max-per-trigger", type=int, default=None)
     ap.add_argument("--trigger", default="1 minute", help="processing-time interval")
     ap.add_argument("--drain", action="store_true", help="process what is available, then stop")
-    ap.add_argument("--keep-extra", action="store_true", help="keep unknown message fields in extra_fields")
+    ap.add_argument("--drop-extra", action="store_true", help="leave out unknown message fields (kept in extra_fields)")
     a = ap.parse_args(argv)
     spark = get_session()
     lay = Layout(a.root)
     stream = (value_stream(spark, "kafka", a.kafka, topic=a.topic, max_per_trigger=a.max_per_trigger) if a.kafka
-              else value_stream(spark, "text", a.files, max_per_trigger=a.max_per_trigger))
+              else value_stream(spark, "text" if a.files else "json", a.files or a.keyed_files,
+                                max_per_trigger=a.max_per_trigger))
     q = land_stream(stream, lay.raw, lay.quarantine, lay.path("_checkpoints/landing"),
-                    trigger="availableNow" if a.drain else a.trigger, name="landing", keep_extra=a.keep_extra)
+                    trigger="availableNow" if a.drain else a.trigger, name="landing", keep_extra=not a.drop_extra)
     q.awaitTermination()
 
 

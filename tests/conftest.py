@@ -11,18 +11,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
-
-    ckpt = tempfile.mkdtemp(prefix="stationlake-tests-")
-    s = (SparkSession.builder.master("local[4]").appName("stationlake-tests")
-         .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.ui.enabled", "false")
-         .config("spark.checkpoint.dir", ckpt)
-         .getOrCreate())
-    s.sparkContext.setLogLevel("ERROR")
-    yield s
+    from stationlake.session import get_session
+
+    # the production settings, so that tests see the overwrite modes and the rest as a user does
+    yield get_session("local[4]", 8, "stationlake-tests", {
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="stationlake-tests-"), "spark.driver.memory": "6g"})
 
 
 @pytest.fixture()

@@ -10,6 +10,21 @@ def test_shared_folders_live_under_the_sessions_checkpoint_dir(spark):
     assert a != b and a.startswith(root) and os.path.isdir(a)
 
 
+def test_folders_are_removed_when_the_application_ends_and_a_cluster_needs_the_setting(spark):
+    import pytest
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Cluster)
+
+
 def test_a_local_folder_is_made_only_when_the_setting_is_missing(tmp_path):
     """Needs a JVM without the setting (it is static), so it runs in a child process whose
     configuration folder is empty."""

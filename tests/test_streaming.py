@@ -1,6 +1,6 @@
-import datetime as dt
-
 from stationlake.operators.cleanse import cleanse
+from stationlake.operators.curate import hourly_latest
+from stationlake.schemas import RAW_COLUMNS
 from stationlake.sources.fixtures import messages_from_events, read_source
 from stationlake.sources.messages import decode_messages, value_stream
 from stationlake.sources.tables import read_raw
@@ -28,8 +28,7 @@ def test_landing_equals_batch_cleanse_and_restart_adds_nothing(spark, workdir):
     raw = read_raw(spark, f"{workdir}/raw")
     assert raw.select("batch_id").distinct().count() == 3
     want, _ = cleanse(decode_messages(msgs))
-    cols = want.columns
-    assert _rows(raw.select(*cols)) == _rows(want)
+    assert _rows(raw.select(*RAW_COLUMNS)) == _rows(want.select(*RAW_COLUMNS))
     q = landing.land_stream(value_stream(spark, "text", src, max_per_trigger=2), f"{workdir}/raw",
                             f"{workdir}/q", f"{workdir}/ck")
     q.awaitTermination()
@@ -45,40 +44,54 @@ def test_replayed_batch_is_idempotent(spark, workdir):
     assert read_raw(spark, f"{workdir}/raw").count() == n
 
 
-def test_watermarked_hourly_latest_matches_batch_rule_on_closed_hours(spark, workdir):
-    msgs, src = _files(spark, workdir, 1)
-    stream = landing.hourly_latest_stream(landing.cleansed_stream(value_stream(spark, "text", src)))
-    q = landing.run_to_table(stream, f"{workdir}/out", f"{workdir}/ck")
-    q.awaitTermination()
-    got = spark.read.parquet(f"{workdir}/out")
+def _winners(spark, workdir, rule, files=6, per_trigger=2):
+    msgs, src = _files(spark, workdir, files)
+    stream = landing.cleansed_stream(value_stream(spark, "text", src, max_per_trigger=per_trigger))
+    landing.keep_winners(stream, rule, f"{workdir}/out", f"{workdir}/ck").awaitTermination()
     accepted, _ = cleanse(decode_messages(msgs))
-    closed = accepted.agg({"timestamp": "max"}).first()[0] - dt.timedelta(hours=2)
-    want = landing.latest_in_batch(accepted).where(
-        f"date_trunc('hour', timestamp) + interval 1 hour <= timestamp_ntz'{closed.isoformat(sep=' ')}'")
-    assert _rows(got.select(*want.columns)) == _rows(want)
+    return accepted.select(*RAW_COLUMNS), landing.read_winners(spark, f"{workdir}/out", rule)
 
 
-def test_dedup_stream_keeps_one_copy_per_observation(spark, workdir):
-    msgs, src = _files(spark, workdir, 1)
-    stream = landing.dedup_stream(landing.cleansed_stream(value_stream(spark, "text", src)))
-    q = landing.run_to_table(stream, f"{workdir}/out", f"{workdir}/ck")
-    q.awaitTermination()
-    got = spark.read.parquet(f"{workdir}/out")
-    assert got.count() == got.select("station_id", "timestamp").distinct().count()
-    accepted, _ = cleanse(decode_messages(msgs))
-    closed = accepted.agg({"timestamp": "max"}).first()[0] - dt.timedelta(hours=2)
-    keys = accepted.where(f"timestamp <= timestamp_ntz'{closed.isoformat(sep=' ')}'").select("station_id", "timestamp")
-    assert got.count() == keys.distinct().count() > 0
-    # the kept copy is the earliest delivery
+def test_hourly_winners_equal_the_batch_rule_in_any_order(spark, workdir):
+    # the files are shuffled, so rows of an hour come in several batches, hours late
+    accepted, got = _winners(spark, workdir, hourly_latest)
+    assert spark.read.parquet(f"{workdir}/out").select("batch_id").distinct().count() == 3
+    assert _rows(got.select(*RAW_COLUMNS)) == _rows(hourly_latest(accepted).select(*RAW_COLUMNS))
+
+
+def test_first_deliveries_keep_one_copy_per_observation(spark, workdir):
+    accepted, got = _winners(spark, workdir, landing.first_deliveries)
+    assert got.count() == accepted.select("station_id", "timestamp").distinct().count() > 0
     first = accepted.groupBy("station_id", "timestamp").agg({"ingestion_time": "min"}).withColumnRenamed(
         "min(ingestion_time)", "ingestion_time")
     assert got.join(first, ["station_id", "timestamp", "ingestion_time"], "left_anti").count() == 0
 
 
+def test_a_late_row_changes_its_closed_hour(spark, workdir):
+    row = lambda ts, t: (f'{{"fmisid": 5, "timestamp": "{ts}", "ingestion_time": "2024-01-01T23:00:00", "temperature": {t}}}',)
+    run = lambda: landing.keep_winners(landing.cleansed_stream(value_stream(spark, "text", f"{workdir}/in/*")),
+                                       hourly_latest, f"{workdir}/out", f"{workdir}/ck").awaitTermination()
+    spark.createDataFrame([row("2024-01-01T10:10:00", 1.0), row("2024-01-01T20:00:00", 2.0)], "value string").write.text(f"{workdir}/in/1")
+    run()
+    assert _rows(landing.read_winners(spark, f"{workdir}/out", hourly_latest).select("temperature")) == [(1.0,), (2.0,)]
+    spark.createDataFrame([row("2024-01-01T10:50:00", 3.0)], "value string").write.text(f"{workdir}/in/2")
+    run()
+    assert _rows(landing.read_winners(spark, f"{workdir}/out", hourly_latest).select("temperature")) == [(2.0,), (3.0,)]
+
+
+def test_two_checkpoints_share_a_raw_table(spark, workdir):
+    msgs, src = _files(spark, workdir, 2)
+    for n in (0, 1):
+        landing.land_stream(value_stream(spark, "text", src), f"{workdir}/raw", f"{workdir}/q", f"{workdir}/ck{n}").awaitTermination()
+    want, _ = cleanse(decode_messages(msgs))
+    assert read_raw(spark, f"{workdir}/raw").count() == 2 * want.count()
+    assert read_raw(spark, f"{workdir}/raw").select("source_id").distinct().count() == 2
+
+
 def test_batches_with_and_without_extra_fields_read_together(spark, workdir):
     msgs = messages_from_events(read_source(spark, SF_SMALL, "events"))
-    landing.land_batch(msgs, 0, f"{workdir}/raw", f"{workdir}/q")
-    landing.land_batch(msgs, 1, f"{workdir}/raw", f"{workdir}/q", keep_extra=True)
+    landing.land_batch(msgs, 0, f"{workdir}/raw", f"{workdir}/q", keep_extra=False)
+    landing.land_batch(msgs, 1, f"{workdir}/raw", f"{workdir}/q")
     merged = read_raw(spark, f"{workdir}/raw", merge_schema=True)
     assert "extra_fields" in merged.columns
     by_batch = {r["batch_id"]: r["n"] for r in merged.where("extra_fields is not null")
@@ -143,20 +156,49 @@ def test_compaction_folds_batches_without_changing_rows(spark, workdir):
     parts = msgs.randomSplit([1.0, 1.0, 1.0], seed=11)
     for i, p in enumerate(parts):
         landing.land_batch(p, i, f"{workdir}/raw", f"{workdir}/q", keep_extra=(i == 2))
-    before = sorted(map(tuple, read_raw(spark, f"{workdir}/raw").drop("batch_id").collect()))
-    extras = read_raw(spark, f"{workdir}/raw", merge_schema=True).where("extra_fields is not null").count()
+    plain = lambda: _rows(read_raw(spark, f"{workdir}/raw").select(*RAW_COLUMNS))
+    extras = lambda: read_raw(spark, f"{workdir}/raw").where("extra_fields IS NOT NULL").count()
+    before, kept = plain(), extras()
     day = "2024-01-15"
     folder = f"{workdir}/raw/observation_date={day}"
-    assert len([d for d in os.listdir(folder) if d.startswith("batch_id=")]) == 3
-    counts = compact_days(spark, f"{workdir}/raw", [day], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
-    assert [d for d in os.listdir(folder) if d.startswith("batch_id=")] == ["batch_id=-1"]
-    after = sorted(map(tuple, read_raw(spark, f"{workdir}/raw").drop("batch_id").collect()))
-    assert after == before and counts[day] > 0
-    assert read_raw(spark, f"{workdir}/raw", merge_schema=True).where("extra_fields is not null").count() == extras > 0
+    batches = lambda: {f"{s}/{b}" for s in os.listdir(folder) if "=" in s for b in os.listdir(f"{folder}/{s}") if "=" in b}
+    assert len(batches()) == 3
+    for _ in range(2):  # the second run changes nothing
+        counts = compact_days(spark, f"{workdir}/raw", [day], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
+        assert batches() == {"source_id=compacted/batch_id=-1"}
+        assert plain() == before and counts[day] > 0 and extras() == kept > 0
+    assert not os.path.exists(f"{workdir}/_staging/compact/observation_date={day}")
     assert compact_days(spark, f"{workdir}/raw", ["2023-06-01"], f"{workdir}/_staging",
                         today=dt.date(2024, 2, 1)) == {"2023-06-01": 0}
     assert not os.path.exists(f"{workdir}/raw/observation_date=2023-06-01")
-    assert read_raw(spark, f"{workdir}/raw").count() == len(before)
     import pytest
     with pytest.raises(ValueError):
         compact_days(spark, f"{workdir}/raw", ["2024-01-31"], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
+
+
+def test_keyed_messages_keep_their_key(spark, workdir):
+    from stationlake.sources.messages import encode_messages, write_messages
+    from stationlake.sources.fixtures import raw_observations
+
+    raw = raw_observations(spark, SF_SMALL)
+    write_messages(encode_messages(raw), "json", f"{workdir}/m")
+    back = spark.read.schema("key string, value string").json(f"{workdir}/m")
+    assert back.where("key = get_json_object(value, '$.fmisid')").count() == raw.count()
+    assert value_stream(spark, "json", f"{workdir}/m").columns == ["key", "value"]
+
+
+def test_only_the_requested_days_are_listed_and_read_errors_are_raised(spark, workdir):
+    import pytest
+    from stationlake.sources.fixtures import raw_observations
+    from stationlake.sources.tables import RAW_TABLE_SCHEMA, append_batch, read_day, read_days, read_table
+
+    append_batch(raw_observations(spark, SF_SMALL), f"{workdir}/raw", 0)
+    day = read_day(spark, f"{workdir}/raw", "2024-01-15", RAW_TABLE_SCHEMA)
+    assert {f.split("observation_date=")[1][:10] for f in day.inputFiles()} == {"2024-01-15"}
+    assert day.where("to_date(timestamp) <> DATE '2024-01-15'").count() == 0 < day.count()
+    two = read_days(spark, f"{workdir}/raw", ["2024-01-15", "2024-01-16", "2030-01-01"], RAW_TABLE_SCHEMA)
+    assert {f.split("observation_date=")[1][:10] for f in two.inputFiles()} == {"2024-01-15", "2024-01-16"}
+    assert read_day(spark, f"{workdir}/raw", "2030-01-01", RAW_TABLE_SCHEMA).count() == 0
+    (spark.createDataFrame([("not a parquet file",)], "value string").coalesce(1).write.text(f"{workdir}/broken"))
+    with pytest.raises(Exception):
+        read_table(spark, f"{workdir}/broken", RAW_TABLE_SCHEMA).count()
