@@ -27,9 +27,9 @@ def main(argv):
     root = argv[1] if len(argv) > 1 else shared_dir(spark, "example")
     lay = Layout(root)
 
-    # 1. a message feed: one JSON message per line, files in event-time order
+    # 1. a message feed: one JSON message per line, files in the order of arrival
     feed = lay.path("feed")
-    messages_from_events(read_source(spark, sf_dir, "events"), time_ordered_parts=8).select("value").write.text(feed)
+    messages_from_events(read_source(spark, sf_dir, "events"), arrival_ordered=True).select("value").write.text(feed)
 
     # 2. the consumer: land everything available, 2 files per micro-batch
     q = land_stream(value_stream(spark, "text", feed, max_per_trigger=2), lay.raw, lay.quarantine,

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from stationlake.functions import ntz_literal
 from stationlake.schemas import HISTORY_COLUMNS, MEASURES
 
-HISTORY_KEY = ["station_id", "timestamp"]
 
 
 def history_rows(daily: DataFrame, processing_time=None) -> DataFrame:
@@ -27,28 +26,29 @@ def union_distinct_history(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def upsert_history(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Keyed upsert (U2): one row per (station, timestamp), the newest processing time wins.
+    """Keyed upsert (U2): one row per (station, clock hour), as in the daily observations; the newest
+    processing time wins, then the newest observation.
 
-    Only dates present in ``new`` can change, so pass ``existing`` restricted to those dates
-    (``merge_history`` does; the daily job filters the partition column), and history size stops
-    mattering.
+    Keyed by the hour and not the timestamp: a late row can change which observation stands for
+    its hour, and a rerun must then replace the old one. Only dates present in ``new`` can change,
+    so pass ``existing`` restricted to those dates (``merge_history`` does; the daily job filters the
+    partition column), and history size stops mattering.
     """
     cols = [*HISTORY_COLUMNS, "observation_date"]
     both = existing.select(*cols).unionByName(new.select(*cols))
-    order = [F.col("processing_time").desc_nulls_last(),
+    order = [F.col("processing_time").desc_nulls_last(), F.col("timestamp").desc_nulls_last(),
              *[F.col(c).desc_nulls_last() for c in [*MEASURES, "data_completeness_score"]]]
-    w = Window.partitionBy(*HISTORY_KEY).orderBy(*order)
+    w = Window.partitionBy("station_id", F.date_trunc("hour", "timestamp")).orderBy(*order)
     return both.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def touched_dates(new: DataFrame) -> DataFrame:
-    return new.select("observation_date").distinct()
+def merge_history(existing: DataFrame, new: DataFrame, start, end) -> DataFrame:
+    """The whole history after a keyed upsert of ``new``, whose dates are ``start`` to ``end``.
 
-
-def merge_history(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """The whole history after a keyed upsert of ``new``: untouched dates pass through as they
-    are, and only the touched dates go through the upsert window."""
+    The range is a constant predicate on the partition date: dates outside it pass through as they
+    are, those inside go through the upsert window, and neither side reads the other's folders.
+    """
     cols = [*HISTORY_COLUMNS, "observation_date"]
-    dates = touched_dates(new)
-    untouched = existing.join(dates, "observation_date", "left_anti").select(*cols)
-    return untouched.unionByName(upsert_history(existing.join(dates, "observation_date", "left_semi"), new).select(*cols))
+    inside = F.col("observation_date").between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
+    untouched = existing.where(~F.coalesce(inside, F.lit(False))).select(*cols)
+    return untouched.unionByName(upsert_history(existing.where(inside), new.where(inside)).select(*cols))

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.functions import ntz_literal
+from stationlake.schemas import POLL_INTERVAL_MINUTES, RAW_COLUMNS
+
 
 def enrich_station(obs: DataFrame, catalog: DataFrame) -> DataFrame:
     """Set ``location`` from the catalogue; ids not in the active catalogue get null."""
@@ -30,11 +33,35 @@ def silent_stations(catalog: DataFrame, obs: DataFrame) -> DataFrame:
 def poll_outcome_counts(catalog: DataFrame, obs: DataFrame) -> DataFrame:
     """Per day: active stations polled, stations that delivered, stations that did not.
 
-    The number of polled stations is one scalar subquery, not a join, so nothing is paired.
+    The number of polled stations is one scalar subquery, not a join, so nothing is paired. Days
+    are those from the first to the last observation, whether or not anything came.
     """
+    days = obs.agg(F.to_date(F.min("timestamp")).alias("a"), F.to_date(F.max("timestamp")).alias("b")).where("a IS NOT NULL")
+    calendar = days.select(F.explode(F.sequence("a", "b")).alias("observation_date"))
+    return _outcomes(catalog, obs.select(F.to_date("timestamp").alias("observation_date"), "station_id"), calendar,
+                     "observation_date")
+
+
+def poll_cycle_outcomes(catalog: DataFrame, obs: DataFrame, minutes: int = POLL_INTERVAL_MINUTES) -> DataFrame:
+    """The same per poll cycle of ``minutes``, by ingestion time, cycles in which nothing came included."""
+    start = F.window("ingestion_time", f"{minutes} minutes")["start"].cast("timestamp_ntz")
+    seen = obs.select(start.alias("cycle_start"), "station_id")
+    ends = seen.agg(F.min("cycle_start").alias("a"), F.max("cycle_start").alias("b")).where("a IS NOT NULL")
+    calendar = ends.select(F.explode(F.expr(f"sequence(a, b, interval {minutes} minutes)")).alias("cycle_start"))
+    return _outcomes(catalog, seen, calendar, "cycle_start")
+
+
+def _outcomes(catalog: DataFrame, seen: DataFrame, calendar: DataFrame, period: str) -> DataFrame:
     polled = catalog.select(F.count(F.lit(1))).scalar()
-    station_days = obs.select(F.to_date("timestamp").alias("observation_date"), "station_id").distinct()
-    delivered = (station_days.join(catalog.select("station_id"), "station_id", "left_semi")
-                 .groupBy("observation_date").agg(F.count(F.lit(1)).alias("succeeded")))
-    counted = delivered.select("observation_date", polled.alias("polled"), "succeeded")
+    delivered = (seen.distinct().join(catalog.select("station_id"), "station_id", "left_semi")
+                 .groupBy(period).agg(F.count(F.lit(1)).alias("succeeded")))
+    counted = calendar.join(delivered, period, "left").select(
+        period, polled.alias("polled"), F.coalesce("succeeded", F.lit(0)).alias("succeeded"))
     return counted.withColumn("failed", F.col("polled") - F.col("succeeded"))
+
+
+def producer_records(decoded: DataFrame, catalog: DataFrame, ingestion_time) -> DataFrame:
+    """The producer's 14-field records: decoded payload rows, named from the catalogue, stamped with the
+    ``ingestion_time`` (a column, or one time for the whole poll)."""
+    at = ingestion_time if isinstance(ingestion_time, F.Column) else ntz_literal(ingestion_time)
+    return enrich_station(decoded.withColumn("ingestion_time", at), catalog).select(*RAW_COLUMNS)

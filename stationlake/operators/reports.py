@@ -35,6 +35,12 @@ def temp_humidity_corr(daily: DataFrame) -> DataFrame:
     )
 
 
+def temp_humidity_pairs(daily: DataFrame) -> DataFrame:
+    """The points of the temperature–humidity scatter: observations that have both."""
+    return daily.where(F.col("temperature").isNotNull() & F.col("humidity").isNotNull()).select(
+        "station_id", "timestamp", "temperature", "humidity")
+
+
 def station_comparison(daily: DataFrame) -> DataFrame:
     """Per-station averages for the comparison bars."""
     return daily.groupBy("station_id", "location").agg(
@@ -52,6 +58,15 @@ def temperature_trend(daily: DataFrame) -> DataFrame:
     )
 
 
+def wind_trend(daily: DataFrame) -> DataFrame:
+    """Mean and highest wind speed per day over all stations."""
+    return with_date(daily).groupBy("observation_date").agg(
+        round_stable(F.avg("wind_speed"), 2).alias("avg_wind_speed"),
+        round_stable(F.max("wind_speed"), 2).alias("max_wind_speed"),
+        F.count("wind_speed").alias("observations"),
+    )
+
+
 def station_completeness(daily: DataFrame) -> DataFrame:
     """Observation count and mean completeness per station."""
     return daily.groupBy("station_id").agg(

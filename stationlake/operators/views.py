@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import ntz_literal, rating_mark, round_stable
 from stationlake.operators.curate import latest_order
-from stationlake.schemas import PARAMETER_LABELS
+from stationlake.schemas import PARAMETER_LABELS, UNIT_PERCENT, UNIT_TEMPERATURE, UNIT_WIND
 
 LATEST_COLUMNS = ["station_id", "location", "latitude", "longitude", "temperature", "humidity",
                   "wind_speed", "pressure", "timestamp"]
@@ -60,9 +60,9 @@ def overview_display(latest: DataFrame) -> DataFrame:
     return kpis.select(
         "observation_date", date_suffix("observation_date").alias("date_suffix"),
         F.col("active_stations").cast("string").alias("active_stations_text"),
-        _fixed(F.col("t"), 1, "°C").alias("avg_temperature_text"),
-        _fixed(F.col("h"), 1, "%").alias("avg_humidity_text"),
-        _fixed(F.col("w"), 1, " m/s").alias("max_wind_speed_text"))
+        _fixed(F.col("t"), 1, UNIT_TEMPERATURE).alias("avg_temperature_text"),
+        _fixed(F.col("h"), 1, UNIT_PERCENT).alias("avg_humidity_text"),
+        _fixed(F.col("w"), 1, UNIT_WIND).alias("max_wind_speed_text"))
 
 
 def daily_display(kpis: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def daily_display(kpis: DataFrame) -> DataFrame:
         "observation_date", date_suffix("observation_date").alias("date_suffix"),
         F.col("stations_reporting").cast("string").alias("stations_reporting_text"),
         F.format_number(F.col("total_observations"), 0).alias("total_observations_text"),
-        _fixed(F.col("avg_data_quality") * 100, 2, "%").alias("avg_data_quality_text"))
+        _fixed(F.col("avg_data_quality") * 100, 2, UNIT_PERCENT).alias("avg_data_quality_text"))
 
 
 def overview_kpis(latest: DataFrame) -> DataFrame:
@@ -115,13 +115,13 @@ def daily_kpis(summary: DataFrame) -> DataFrame:
 
 
 def station_trend(history: DataFrame, as_of, days: int = 30, station_ids=None, sort: bool = True) -> DataFrame:
-    """History rows of the last ``days`` days before ``as_of`` (P13, O3), optionally for some stations."""
+    """History rows of the ``days`` days up to ``as_of`` (P13, O3), optionally for some stations."""
     if isinstance(as_of, str):
         as_of = dt.datetime.fromisoformat(as_of)
     since = as_of - dt.timedelta(days=days)
-    out = history.where(F.col("timestamp") >= ntz_literal(since))
+    out = history.where((F.col("timestamp") >= ntz_literal(since)) & (F.col("timestamp") <= ntz_literal(as_of)))
     if "observation_date" in history.columns:  # lets the reader skip whole date folders
-        out = out.where(F.col("observation_date") >= F.lit(since.date()))
+        out = out.where(F.col("observation_date").between(F.lit(since.date()), F.lit(as_of.date())))
     if station_ids is not None:
         out = out.where(F.col("station_id").isin(list(station_ids)))
     out = out.select("station_id", "timestamp", "temperature", "humidity", "wind_speed", "pressure",
@@ -140,6 +140,28 @@ def trend_kpis(trend: DataFrame) -> DataFrame:
     )
 
 
+def trend_display(trend: DataFrame) -> DataFrame:
+    """KPI card texts of the trend page per station: mean and range to 1 decimal, thousands separator."""
+    kpis = trend.groupBy("station_id").agg(
+        F.avg("temperature").alias("t"), F.min("temperature").alias("lo"), F.max("temperature").alias("hi"),
+        F.avg("humidity").alias("h"), F.count(F.lit(1)).alias("n"))
+    return kpis.select(
+        "station_id", _fixed(F.col("t"), 1, UNIT_TEMPERATURE).alias("avg_temperature_text"),
+        F.concat(_fixed(F.col("lo"), 1, UNIT_TEMPERATURE), F.lit(" to "), _fixed(F.col("hi"), 1, UNIT_TEMPERATURE))
+        .alias("temperature_range_text"),
+        _fixed(F.col("h"), 1, UNIT_PERCENT).alias("avg_humidity_text"), F.format_number("n", 0).alias("data_points_text"))
+
+
+def quality_display(report: DataFrame) -> DataFrame:
+    """Texts of the quality page per day: the rating with its mark, counts, valid shares to 1 decimal."""
+    return report.select(
+        "report_date",
+        F.concat_ws(" ", rating_mark("overall_quality_rating"), F.col("overall_quality_rating")).alias("rating_text"),
+        F.col("active_stations").cast("string").alias("active_stations_text"),
+        F.format_number("total_observations", 0).alias("total_observations_text"),
+        *[_fixed(F.col(f"{m}_valid_pct"), 1, UNIT_PERCENT).alias(f"{m}_valid_text") for m in PARAMETER_LABELS])
+
+
 def trend_series_long(trend: DataFrame) -> DataFrame:
     """Temperature and humidity as one long series per station."""
     return trend.unpivot(["station_id", "timestamp"], ["temperature", "humidity"], "series", "value")

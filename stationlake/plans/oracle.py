@@ -2,7 +2,7 @@
 
 Each statement rebuilds the same inputs from the driver's tables (FIXTURES.md §3 adapter) and
 states the reference's semantics in plain SQL: computed floats rounded with
-``cast(round(cast(x as decimal(28,6)), n) as double)``, float literals written with ``E0``.
+``cast(round(cast(x as decimal(38,10)), n) as double)``, float literals written with ``E0``.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ TIE_BREAK = ", ".join(f"{c} desc nulls last" for c in
 
 
 def rnd(x: str, n: int) -> str:
-    return f"cast(round(cast({x} as decimal(28,6)), {n}) as double)"
+    return f"cast(round(cast({x} as decimal(38,10)), {n}) as double)"
 
 
 # FIXTURES.md §3 adapter (DuckDB spelling of k).
@@ -149,12 +149,12 @@ hist_new as (
   from daily where cast(timestamp as date) between date '2024-01-16' and date '2024-01-30'
 )"""
 
-_HIST_ORDER = ", ".join(f"{c} desc nulls last" for c in ["processing_time", *MEASURES, "data_completeness_score"])
+_HIST_ORDER = ", ".join(f"{c} desc nulls last" for c in ["processing_time", "timestamp", *MEASURES, "data_completeness_score"])
 
 TREND_CTE = HISTORY_CTE + """,
 trend as (
   select station_id, timestamp, temperature, humidity, wind_speed, pressure, data_completeness_score
-  from hist_old where timestamp >= timestamp '2024-01-17 00:00:00'
+  from hist_old where timestamp between timestamp '2024-01-11 12:00:00' and timestamp '2024-01-25 12:00:00'
 )"""
 
 CATALOG_CTE = """,
@@ -200,16 +200,29 @@ FIRST_ORDER = ", ".join(f"{c} asc nulls first" for c in
 RAWK_CTE = RAW_CTE + f""",
 rawk as (select {RAW_LIST}, k from p)"""
 
+_REJECTED = "7, 17, 27, 37, 47, 57, 61, 62, 63, 64"
 _ACCEPT = ("case when k = 77 then date_trunc('second', timestamp) else timestamp end as timestamp, station_id, "
            "location, latitude, longitude, case when k = 67 then null else temperature end as temperature, humidity, "
            "wind_speed, wind_direction, pressure, precipitation, cloud_cover, visibility, ingestion_time")
 
 
-def _payload_line(back_minutes: int) -> str:
+def _payload_line(back_minutes: int, latest_only: bool = False) -> str:
     short = {m: f"case when k = 8 then null else {m} end as {m}" for m in ("precipitation", "cloud_cover", "visibility")}
     vals = ", ".join(short.get(m, m) for m in MEASURES)
+    # k = 11: no line at all unless only the newest is read; k = 9 loses its second line, k = 12 its last
+    bad = "3, 4" + ("" if latest_only else ", 11") + {0: ", 12", 10: ", 9"}.get(back_minutes, "")
     return (f"select station_id, latitude, longitude, date_trunc('second', timestamp) - interval {back_minutes} minute "
-            f"as timestamp, {vals} from b where k not in (3, 4)")
+            f"as timestamp, {vals} from b where k not in ({bad})")
+
+
+def _text(x: str, unit: str) -> str:
+    return f"printf('%.1f{unit}', {rnd(x, 1)})"
+
+
+def _outcomes(name: str) -> str:
+    return (f"select c.p as {name}, (select count(*) from lookup) as polled, count(distinct s.station_id) as succeeded, "
+            f"(select count(*) from lookup) - count(distinct s.station_id) as failed from calendar c left join "
+            f"(select * from seen where station_id in (select station_id from lookup)) s on c.p = s.p group by c.p")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -259,8 +272,8 @@ def oracle_sql() -> dict[str, str]:
                                    f"select * from hist_old union select * from hist_new")
     q["history_upsert"] = (
         f"with {DAILY_CTE}{HISTORY_CTE},\nu as (select * from hist_old union all select * from hist_new)\n"
-        f"select * exclude (rn) from (select *, row_number() over (partition by station_id, timestamp "
-        f"order by {_HIST_ORDER}) as rn from u) x where rn = 1")
+        f"select * exclude (rn) from (select *, row_number() over (partition by station_id, "
+        f"date_trunc('hour', timestamp) order by {_HIST_ORDER}) as rn from u) x where rn = 1")
     q["station_daily_range"] = (
         f"with {DAILY_CTE}\nselect station_id, cast(timestamp as date) as observation_date, "
         f"{rnd('min(temperature)', 2)} as min_temperature, {rnd('avg(temperature)', 2)} as avg_temperature, "
@@ -293,48 +306,73 @@ def oracle_sql() -> dict[str, str]:
         f"with {RAW_CTE}{CATALOG_CTE}\nselect station_id, station_name from lookup "
         f"where station_id not in (select station_id from raw)")
     q["poll_outcome_counts"] = (
-        f"with {RAW_CTE}{CATALOG_CTE}\nselect cast(timestamp as date) as observation_date, "
-        f"(select count(*) from lookup) as polled, count(distinct station_id) as succeeded, "
-        f"(select count(*) from lookup) - count(distinct station_id) as failed from raw "
-        f"where station_id in (select station_id from lookup) group by cast(timestamp as date)")
-    q["cleanse_accept"] = f"with {RAWK_CTE}\nselect {_ACCEPT} from rawk where k not in (7, 17, 27, 37, 47, 57)"
+        f"with {RAW_CTE}{CATALOG_CTE},\nseen as (select cast(timestamp as date) as p, station_id from raw),\n"
+        f"calendar as (select cast(unnest(generate_series((select min(p) from seen), (select max(p) from seen), interval 1 day)) as date) as p)\n"
+        + _outcomes("observation_date"))
+    q["poll_cycle_outcomes"] = (
+        f"with {RAW_CTE}{CATALOG_CTE},\nseen as (select time_bucket(interval 10 minute, ingestion_time) as p, station_id from raw),\n"
+        f"calendar as (select unnest(generate_series((select min(p) from seen), (select max(p) from seen), interval 10 minute)) as p)\n"
+        + _outcomes("cycle_start"))
+    q["cleanse_accept"] = f"with {RAWK_CTE}\nselect {_ACCEPT} from rawk where k not in ({_REJECTED})"
     q["cleanse_reject_counts"] = (
         f"with {RAWK_CTE}\nselect reject_reason, count(*) as rejected from (select case k when 7 then "
         f"'missing_required' when 17 then 'blank_timestamp' when 27 then 'bad_timestamp' when 37 then "
-        f"'bad_station_id' when 47 then 'bad_ingestion_time' when 57 then 'malformed_json' end as reject_reason "
+        f"'bad_station_id' when 63 then 'bad_station_id' when 47 then 'bad_ingestion_time' when 64 then "
+        f"'blank_ingestion_time' when 57 then 'malformed_json' when 61 then 'malformed_json' "
+        f"when 62 then 'malformed_json' end as reject_reason "
         f"from rawk) x where reject_reason is not null group by reject_reason")
     q["json_roundtrip"] = f"with {RAW_CTE}\nselect {RAW_LIST} from raw"
     q["payload_decode"] = (f"with {BASE_CTE}\n{_payload_line(20)}\nunion all {_payload_line(10)}\n"
                            f"union all {_payload_line(0)}")
-    q["payload_latest"] = f"with {BASE_CTE}\n{_payload_line(0)}"
+    q["payload_latest"] = f"with {BASE_CTE}\n{_payload_line(0, True)}"
     q["daily_observations_exact"] = q["daily_observations"]
     q["producer_records"] = (
-        f"with {BASE_CTE}{CATALOG_CTE},\npl as ({_payload_line(0)})\n"
+        f"with {BASE_CTE}{CATALOG_CTE},\npl as ({_payload_line(0, True)})\n"
         f"select pl.station_id, {', '.join('pl.' + c for c in ['latitude', 'longitude', 'timestamp', *MEASURES])}, "
         f"l.station_name as location from pl left join lookup l on pl.station_id = l.station_id")
     q["payload_reject_counts"] = (
-        f"with {BASE_CTE}\nselect case k when 3 then 'missing_values' else 'malformed_xml' end as reject_reason, "
-        f"count(*) as rejected from b where k in (3, 4) group by 1")
-    acc = f"with {RAWK_CTE},\nacc as (select {_ACCEPT} from rawk where k not in (7, 17, 27, 37, 47, 57))"
+        f"with {BASE_CTE}\nselect case k when 3 then 'missing_values' when 4 then 'malformed_xml' when 9 then 'empty_values' "
+        f"when 11 then 'line_count_mismatch' else 'bad_position' end as reject_reason, "
+        f"count(*) as rejected from b where k in (3, 4, 9, 11, 12) group by 1")
+    acc = f"with {RAWK_CTE},\nacc as (select {_ACCEPT} from rawk where k not in ({_REJECTED}))"
     q["stream_landed_rows"] = f"{acc}\nselect {RAW_LIST} from acc"
     q["stream_quarantine_counts"] = q["cleanse_reject_counts"]
     q["stream_hourly_latest"] = (
         f"{acc},\nh as (select {RAW_LIST} from (select *, row_number() over (partition by station_id, "
-        f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\n"
-        f"select * from h where date_trunc('hour', timestamp) + interval 1 hour <= "
-        f"(select max(timestamp) from acc) - interval 2 hour")
+        f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\nselect * from h")
     q["stream_curated"] = (
         f"{acc},\nh as (select {RAW_LIST} from (select *, row_number() over (partition by station_id, "
         f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\n"
-        f"select {RAW_LIST},\n    {FLAGS_SQL}\nfrom h where date_trunc('hour', timestamp) + interval 1 hour <= "
-        f"(select max(timestamp) from acc) - interval 2 hour")
+        f"select {RAW_LIST},\n    {FLAGS_SQL}\nfrom h")
     q["stream_dedup"] = (
         f"{acc}\nselect {RAW_LIST} from (select *, row_number() over (partition by station_id, timestamp "
-        f"order by {FIRST_ORDER}) as rn from acc) x where rn = 1 "
-        f"and timestamp <= (select max(timestamp) from acc) - interval 2 hour")
+        f"order by {FIRST_ORDER}) as rn from acc) x where rn = 1")
     q["stream_quality_flags"] = (f"{acc}\nselect station_id, timestamp, ingestion_time,\n    {FLAGS_SQL}\n"
                                  f"from acc")
+    q["stream_two_sources"] = q["stream_landed_rows"]
+    q["stream_extra_fields"] = (f"with {RAWK_CTE}\nselect station_id, timestamp, ingestion_time, 'extra_field' as field, "
+                                f"'1' as text from rawk where k = 87")
+    iso = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
+    records = f"{BASE_CTE}{CATALOG_CTE},\npl as ({_payload_line(0, True)})"
+    q["producer_messages"] = (
+        f"with {records}\nselect cast(pl.station_id as varchar) as key, cast(pl.station_id as varchar) as fmisid, "
+        f"{iso.format('pl.timestamp')} as timestamp_text, '2024-02-01T00:00:00.000000' as ingestion_text, "
+        f"l.station_name as location from pl left join lookup l on pl.station_id = l.station_id")
+    q["payload_landed_rows"] = (
+        f"with {records}\nselect pl.timestamp, pl.station_id, l.station_name as location, "
+        f"{', '.join('pl.' + c for c in ['latitude', 'longitude', *MEASURES])}, timestamp '2024-02-01 00:00:00' as ingestion_time "
+        f"from pl left join lookup l on pl.station_id = l.station_id")
     q["stored_daily_summary"] = q["daily_summary"]
+    q["stored_compacted_rows"] = f"with {RAW_CTE}\nselect {RAW_LIST} from raw"
+    q["stored_read_day"] = q["daily_observations_day"]
+    q["stored_missing_counts"] = (f"with {RAW_CTE}\nselect 'no table' as what, cast(0 as bigint) as n union all select 'no day', 0 "
+                                  f"union all select 'table', count(*) from raw")
+    q["stored_station_history"] = (
+        f"with {DAILY_CTE}\nselect station_id, timestamp, temperature, humidity, wind_speed, pressure, data_completeness_score "
+        f"from daily where station_id = 5 and timestamp between timestamp '2024-01-01 00:00:00' and timestamp '2024-01-31 00:00:00'")
+    q["stored_order_checks"] = (
+        f"with {DAILY_CTE}{LATEST_CTE}\nselect 'daily_observations' as what, count(*) as n, cast(0 as bigint) as inversions from daily "
+        f"union all select 'station_history', count(*), 0 from daily union all select 'latest_table', count(*), 0 from latest")
     q["stored_quality_report"] = q["quality_report"]
     rerun = "cast(timestamp as date) between date '2024-01-16' and date '2024-01-30'"
     first = f"select {HIST_COLS}, timestamp '2024-01-31 01:00:00' as processing_time, cast(timestamp as date) as observation_date from daily"
@@ -344,7 +382,28 @@ def oracle_sql() -> dict[str, str]:
         f"with {DAILY_CTE}\nselect {HIST_COLS}, case when {rerun} then timestamp '2024-02-01 01:00:00' "
         f"else timestamp '2024-01-31 01:00:00' end as processing_time, cast(timestamp as date) as observation_date "
         f"from daily")
+    timely = RAWK_CTE + """,
+timely as (select * from rawk where k <> 71)""" + curated_ctes("timely")
+    q["stored_history_late_row"] = (
+        f"select {HIST_COLS}, timestamp '2024-01-31 01:00:00' as processing_time, cast(timestamp as date) as observation_date "
+        f"from (with {timely} select * from daily) where not ({rerun})\nunion all\n"
+        f"select {HIST_COLS}, timestamp '2024-02-01 01:00:00', cast(timestamp as date) "
+        f"from (with {DAILY_CTE} select * from daily) where {rerun}")
     q["stored_history_union_rerun"] = f"with {DAILY_CTE}\n{first}\nunion\n{second}"
+    q["trend_display"] = (
+        f"with {DAILY_CTE}{TREND_CTE}\nselect station_id, {_text('avg(temperature)', '°C')} as avg_temperature_text, "
+        f"{_text('min(temperature)', '°C')} || ' to ' || {_text('max(temperature)', '°C')} as temperature_range_text, "
+        f"{_text('avg(humidity)', '%%')} as avg_humidity_text, format('{{:,}}', count(*)) as data_points_text "
+        f"from trend group by station_id")
+    q["quality_display"] = (
+        f"with {REPORT_CTE}\nselect report_date, {_mark('overall_quality_rating')} || ' ' || overall_quality_rating as rating_text, "
+        f"cast(active_stations as varchar) as active_stations_text, format('{{:,}}', total_observations) as total_observations_text, "
+        + ", ".join(f"{_text(f'{m}_valid_pct', '%%')} as {m}_valid_text" for m in PARAMETER_LABELS) + " from report")
+    q["temp_humidity_pairs"] = (f"with {DAILY_CTE}\nselect station_id, timestamp, temperature, humidity from daily "
+                                f"where temperature is not null and humidity is not null")
+    q["wind_trend"] = (
+        f"with {DAILY_CTE}\nselect cast(timestamp as date) as observation_date, {rnd('avg(wind_speed)', 2)} as avg_wind_speed, "
+        f"{rnd('max(wind_speed)', 2)} as max_wind_speed, count(wind_speed) as observations from daily group by cast(timestamp as date)")
     q["latest_table"] = (f"with {RAW_CTE}{LATEST_CTE}\nselect observation_date, station_id, location, temperature, "
                          f"humidity, wind_speed, pressure, timestamp from latest order by timestamp desc, station_id")
     ov = (f"select observation_date, count(*) as active_stations, avg(temperature) as avg_temperature, "

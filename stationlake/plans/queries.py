@@ -87,7 +87,7 @@ def q_quality_rating_by_station_day(spark, sf_dir):
 
 # ---- views, history, reports, lookups -------------------------------------------------------
 
-TREND_AS_OF = "2024-01-31 00:00:00"
+TREND_AS_OF = "2024-01-25 12:00:00"
 TREND_DAYS = 14
 BACKFILL_FROM, BACKFILL_TO = "2024-01-16", "2024-01-30"
 BACKFILL_RUN = "2024-02-01 01:00:00"
@@ -171,6 +171,14 @@ def q_trend_series_long(spark, sf_dir):
     return views.trend_series_long(_trend(spark, sf_dir, sort=False))
 
 
+def q_trend_display(spark, sf_dir):
+    return views.trend_display(_trend(spark, sf_dir, sort=False))
+
+
+def q_quality_display(spark, sf_dir):
+    return views.quality_display(_report(spark, sf_dir))
+
+
 def q_missing_long(spark, sf_dir):
     return views.missing_long(_report(spark, sf_dir))
 
@@ -195,7 +203,7 @@ def q_history_union_distinct(spark, sf_dir):
 
 def q_history_upsert(spark, sf_dir):
     daily = _daily_staged(spark, sf_dir)
-    return hist.merge_history(_nightly_history(daily), _backfill(daily))
+    return hist.merge_history(_nightly_history(daily), _backfill(daily), BACKFILL_FROM, BACKFILL_TO)
 
 
 def q_station_daily_range(spark, sf_dir):
@@ -206,6 +214,14 @@ def q_temp_humidity_corr(spark, sf_dir):
     return reports.temp_humidity_corr(_daily(spark, sf_dir))
 
 
+def q_temp_humidity_pairs(spark, sf_dir):
+    return reports.temp_humidity_pairs(_daily(spark, sf_dir))
+
+
+def q_wind_trend(spark, sf_dir):
+    return reports.wind_trend(_daily(spark, sf_dir))
+
+
 def q_station_comparison(spark, sf_dir):
     return reports.station_comparison(_daily(spark, sf_dir))
 
@@ -245,13 +261,17 @@ def q_poll_outcome_counts(spark, sf_dir):
     return lookup.poll_outcome_counts(_lookup_catalog(spark, sf_dir), raw_observations(spark, sf_dir))
 
 
+def q_poll_cycle_outcomes(spark, sf_dir):
+    return lookup.poll_cycle_outcomes(_lookup_catalog(spark, sf_dir), raw_observations(spark, sf_dir))
+
+
 # ---- messages, cleansing, payloads ----------------------------------------------------------
 def _cleansed(spark, sf_dir):
     return cleanse(decode_messages(messages_from_events(read_source(spark, sf_dir, "events"))))
 
 
 def q_cleanse_accept(spark, sf_dir):
-    return _cleansed(spark, sf_dir)[0]
+    return _cleansed(spark, sf_dir)[0].select(*RAW_COLUMNS)
 
 
 def q_cleanse_reject_counts(spark, sf_dir):
@@ -260,7 +280,7 @@ def q_cleanse_reject_counts(spark, sf_dir):
 
 def q_json_roundtrip(spark, sf_dir):
     accepted, _ = cleanse(decode_messages(encode_messages(raw_observations(spark, sf_dir))))
-    return accepted
+    return accepted.select(*RAW_COLUMNS)
 
 
 def _payloads(spark, sf_dir):
@@ -311,6 +331,8 @@ def queries() -> dict[str, Query]:
         "station_trend_14d": q_station_trend,
         "trend_kpis": q_trend_kpis,
         "trend_series_long": q_trend_series_long,
+        "trend_display": q_trend_display,
+        "quality_display": q_quality_display,
         "missing_long": q_missing_long,
         "outlier_long": q_outlier_long,
         "rating_view": q_rating_view,
@@ -318,6 +340,8 @@ def queries() -> dict[str, Query]:
         "history_upsert": q_history_upsert,
         "station_daily_range": q_station_daily_range,
         "temp_humidity_corr": q_temp_humidity_corr,
+        "temp_humidity_pairs": q_temp_humidity_pairs,
+        "wind_trend": q_wind_trend,
         "station_comparison": q_station_comparison,
         "temperature_trend": q_temperature_trend,
         "station_completeness": q_station_completeness,
@@ -326,6 +350,7 @@ def queries() -> dict[str, Query]:
         "silent_stations": q_silent_stations,
         "catalog_csv_lookup": q_catalog_csv_lookup,
         "poll_outcome_counts": q_poll_outcome_counts,
+        "poll_cycle_outcomes": q_poll_cycle_outcomes,
         "cleanse_accept": q_cleanse_accept,
         "cleanse_reject_counts": q_cleanse_reject_counts,
         "json_roundtrip": q_json_roundtrip,

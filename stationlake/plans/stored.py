@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from stationlake.operators import views
 from stationlake.plans.daily_job import HISTORY_TABLE_SCHEMA, Layout, run_days
+from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from stationlake.session import shared_dir
-from stationlake.sources.fixtures import raw_observations
-from stationlake.sources.tables import append_batch, read_table
+from stationlake.sources.fixtures import LATE_KEY, observations_from_events, raw_observations, read_source
+from stationlake.sources.tables import RAW_TABLE_SCHEMA, append_batch, compact_days, read_day, read_raw, read_table
 
 FIRST_RUN = dt.datetime(2024, 1, 31, 1, 0)
 RERUN = dt.datetime(2024, 2, 1, 1, 0)
@@ -49,7 +52,83 @@ def q_stored_history_union_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rerun_history(spark, sf_dir, "union_distinct")
 
 
+def q_stored_history_late_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that land after a first run change their hours' winners; a rerun of half the month replaces
+    those hours' history rows."""
+    layout = Layout(shared_dir(spark, "stored-history-late"))
+    rows = observations_from_events(read_source(spark, sf_dir, "events"), keep_key=True)
+    late = F.col("k") == LATE_KEY
+    append_batch(rows.where(~late).drop("k"), layout.raw, 0)
+    run_days(spark, layout, run_ts=FIRST_RUN)
+    append_batch(rows.where(late).drop("k"), layout.raw, 1)
+    run_days(spark, layout, RERUN_FROM, RERUN_TO, run_ts=RERUN)
+    return read_table(spark, layout.history, HISTORY_TABLE_SCHEMA)
+
+
+def q_stored_compacted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table landed in three batches by two sources, every day compacted, twice."""
+    layout = Layout(shared_dir(spark, "stored-compacted"))
+    rows = raw_observations(spark, sf_dir)
+    part = F.pmod(F.xxhash64("station_id", "timestamp", "ingestion_time"), F.lit(3))
+    for n, (source, batch) in enumerate([("a", 0), ("a", 1), ("b", 0)]):
+        append_batch(rows.where(part == n), layout.raw, batch, source_id=source)
+    days = [r[0] for r in read_raw(spark, layout.raw).select("observation_date").distinct().collect()]
+    for _ in range(2):
+        compact_days(spark, layout.raw, days, layout.path("_staging"), today=dt.date(2024, 3, 1))
+    return read_raw(spark, layout.raw).select(*RAW_COLUMNS)
+
+
+def q_stored_read_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of the stored daily observations."""
+    layout = _loaded(spark, sf_dir, "stored-day")
+    run_days(spark, layout, run_ts=FIRST_RUN)
+    schema = spark.read.parquet(layout.daily).schema
+    return read_day(spark, layout.daily, "2024-01-15", schema).select(*DAILY_COLUMNS)
+
+
+def q_stored_missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table not created yet, and a day not stored, have no rows."""
+    layout = Layout(shared_dir(spark, "stored-missing"))
+    one = lambda name, df: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
+    out = one("no table", read_raw(spark, layout.raw))
+    append_batch(raw_observations(spark, sf_dir), layout.raw, 0)
+    return out.union(one("no day", read_day(spark, layout.raw, "2030-01-01", RAW_TABLE_SCHEMA))).union(
+        one("table", read_raw(spark, layout.raw)))
+
+
+def q_stored_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History kept for some stations (P12), read for one of them."""
+    layout = _loaded(spark, sf_dir, "stored-station")
+    run_days(spark, layout, run_ts=FIRST_RUN, stations=[3, 5])
+    return views.station_trend(read_table(spark, layout.history, HISTORY_TABLE_SCHEMA), "2024-01-31 00:00:00", 30, station_ids=[5])
+
+
+def q_stored_order_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the ordered outputs that stand before their predecessor within a file or partition."""
+    layout = _loaded(spark, sf_dir, "stored-order")
+    run_days(spark, layout, run_ts=FIRST_RUN)
+
+    def inversions(name: str, df: DataFrame, part, key) -> DataFrame:
+        placed = df.select(part.alias("part"), F.monotonically_increasing_id().alias("at"), key.alias("key"))
+        before = F.lag("key").over(Window.partitionBy("part").orderBy("at"))
+        return placed.withColumn("bad", before > F.col("key")).agg(
+            F.count("*").alias("n"), F.count(F.when(F.col("bad"), 1)).alias("inversions")).select(F.lit(name).alias("what"), "n", "inversions")
+
+    stored = F.struct("station_id", "timestamp")
+    latest = views.latest_table(views.latest_by_station(read_raw(spark, layout.raw)))
+    newest_first = F.struct((-F.unix_micros(F.col("timestamp").cast("timestamp"))).alias("t"), "station_id")
+    return (inversions("daily_observations", spark.read.parquet(layout.daily), F.input_file_name(), stored)
+            .union(inversions("station_history", spark.read.parquet(layout.history), F.input_file_name(), stored))
+            .union(inversions("latest_table", latest, F.spark_partition_id().cast("string"), newest_first)))
+
+
 STORED_QUERIES = {
+    "stored_history_late_row": q_stored_history_late_row,
+    "stored_compacted_rows": q_stored_compacted_rows,
+    "stored_read_day": q_stored_read_day,
+    "stored_missing_counts": q_stored_missing_counts,
+    "stored_station_history": q_stored_station_history,
+    "stored_order_checks": q_stored_order_checks,
     "stored_daily_summary": q_stored_daily_summary,
     "stored_quality_report": q_stored_quality_report,
     "stored_history_upsert_rerun": q_stored_history_upsert_rerun,

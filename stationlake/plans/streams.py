@@ -1,87 +1,139 @@
-"""Registered streaming queries: each runs a stream to completion (``availableNow``) over message
-files derived from the driver tables, in a fresh folder under the shared checkpoint root, and
-returns a batch read of what the stream wrote."""
+"""Registered streaming queries: each runs a stream to completion (``availableNow``, several batches)
+over message files derived from the driver tables, in a fresh folder under the shared checkpoint
+root, and returns a batch read of what the stream wrote."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stationlake.operators.cleanse import reject_counts
+from stationlake.operators.curate import hourly_latest
+from stationlake.operators.lookup import producer_records
 from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from stationlake.session import shared_dir
-from stationlake.sources.fixtures import messages_from_events, read_source
-from stationlake.sources.messages import value_stream
-from stationlake.sources.tables import QUARANTINE_SCHEMA, read_raw
-from stationlake.sources.tables import read_table
+from stationlake.sources import catalog as cat
+from stationlake.sources.fixtures import messages_from_events, payloads_from_events, read_source
+from stationlake.sources.messages import encode_messages, value_stream, write_messages
+from stationlake.sources.payload import decode_payloads
+from stationlake.sources.tables import QUARANTINE_SCHEMA, read_raw, read_table
 from stationlake.streaming import landing
 
-FILES = 16            # message files written for the stream source
-FILES_PER_TRIGGER = 4  # landing runs 4 micro-batches
+FILES_PER_TRIGGER = 2  # several micro-batches whatever the number of files
+POLL_TIME = "2024-02-01 00:00:00"
 
 
 def _message_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     path = f"{root}/messages"
-    # A live feed arrives in time order: each file holds one stretch of event time.
-    (messages_from_events(read_source(spark, sf_dir, "events"), time_ordered_parts=FILES).select("value")
-     .write.text(path))
+    # A live feed comes in the order of arrival: each file holds one stretch of it.
+    messages_from_events(read_source(spark, sf_dir, "events"), arrival_ordered=True).select("value").write.text(path)
     return path
 
 
+def _await(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
+
+
 def _land(spark: SparkSession, sf_dir: str) -> str:
     root = shared_dir(spark, "landing")
     src = _message_files(spark, sf_dir, root)
-    q = landing.land_stream(value_stream(spark, "text", src, max_per_trigger=FILES_PER_TRIGGER),
-                            f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint")
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    _await(landing.land_stream(value_stream(spark, "text", src, max_per_trigger=FILES_PER_TRIGGER),
+                               f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint"))
     return root
 
 
 def q_stream_landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _land(spark, sf_dir)
-    return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
+    return read_raw(spark, f"{_land(spark, sf_dir)}/raw").select(*RAW_COLUMNS)
+
+
+def q_stream_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown message fields, kept in the raw table."""
+    raw = read_raw(spark, f"{_land(spark, sf_dir)}/raw").where("extra_fields IS NOT NULL")
+    return raw.select("station_id", "timestamp", "ingestion_time", F.explode("extra_fields").alias("field", "text"))
 
 
 def q_stream_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _land(spark, sf_dir)
-    return reject_counts(read_table(spark, f"{root}/quarantine", QUARANTINE_SCHEMA))
+    return reject_counts(read_table(spark, f"{_land(spark, sf_dir)}/quarantine", QUARANTINE_SCHEMA))
+
+
+def q_stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries with checkpoints of their own land the two halves of the feed in one raw table."""
+    root = shared_dir(spark, "two-sources")
+    msgs = messages_from_events(read_source(spark, sf_dir, "events"))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for n in (0, 1):
+        msgs.where(half == n).select("value").write.text(f"{root}/messages{n}")
+        _await(landing.land_stream(value_stream(spark, "text", f"{root}/messages{n}", max_per_trigger=FILES_PER_TRIGGER),
+                                   f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint{n}"))
+    return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
+
+
+def _messages_of_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = cat.lookup_catalog(cat.catalog_from_tables(read_source(spark, sf_dir, "supplier"), read_source(spark, sf_dir, "nation")))
+    latest = decode_payloads(payloads_from_events(read_source(spark, sf_dir, "events")), latest_only=True)
+    return encode_messages(producer_records(latest, names, POLL_TIME))
+
+
+def q_producer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The producer's keyed messages: the key and what its value says."""
+    msgs = _messages_of_payloads(spark, sf_dir)
+    field = lambda f: F.get_json_object("value", f"$.{f}")
+    return msgs.select("key", field("fmisid").alias("fmisid"), field("timestamp").alias("timestamp_text"),
+                       field("ingestion_time").alias("ingestion_text"), field("location").alias("location"))
 
 
-def _run(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None) -> DataFrame:
+def q_payload_landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads → records → keyed messages → stream → raw table."""
+    root = shared_dir(spark, "payload-landing")
+    write_messages(_messages_of_payloads(spark, sf_dir), "json", f"{root}/messages")
+    _await(landing.land_stream(value_stream(spark, "json", f"{root}/messages", max_per_trigger=FILES_PER_TRIGGER),
+                               f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint"))
+    return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
+
+
+def _winners(spark: SparkSession, sf_dir: str, name: str, rule) -> str:
     root = shared_dir(spark, name)
     src = _message_files(spark, sf_dir, root)
-    stream = build(landing.cleansed_stream(value_stream(spark, "text", src)))
-    q = landing.run_to_table(stream, f"{root}/out", f"{root}/_checkpoint", partition_by=partition_by)
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
-    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+    stream = landing.cleansed_stream(value_stream(spark, "text", src, max_per_trigger=FILES_PER_TRIGGER))
+    _await(landing.keep_winners(stream, rule, f"{root}/out", f"{root}/_checkpoint"))
+    return f"{root}/out"
 
 
 def q_stream_hourly_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, "hourly", landing.hourly_latest_stream).select(*RAW_COLUMNS)
+    return landing.read_winners(spark, _winners(spark, sf_dir, "hourly", hourly_latest), hourly_latest)
 
 
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, "dedup", landing.dedup_stream).select(*RAW_COLUMNS)
+    rule = landing.first_deliveries
+    return landing.read_winners(spark, _winners(spark, sf_dir, "dedup", rule), rule)
+
+
+def q_stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.curated_observations(spark, _winners(spark, sf_dir, "curated", hourly_latest)).select(*DAILY_COLUMNS)
 
 
 def q_stream_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, "flags", landing.flagged_stream).select(
+    root = shared_dir(spark, "flags")
+    src = _message_files(spark, sf_dir, root)
+    stream = landing.flagged_stream(landing.cleansed_stream(
+        value_stream(spark, "text", src, max_per_trigger=FILES_PER_TRIGGER)))
+    _await(landing.run_to_table(stream, f"{root}/out", f"{root}/_checkpoint"))
+    return spark.read.schema(stream.schema).parquet(f"{root}/out").select(
         "station_id", "timestamp", "ingestion_time", "temperature_quality", "humidity_quality",
         "wind_speed_quality", "pressure_quality", "data_completeness_score")
 
 
-def q_stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, "curated", landing.curated_stream, ["observation_date"]).select(*DAILY_COLUMNS)
-
-
 STREAM_QUERIES = {
     "stream_landed_rows": q_stream_landed_rows,
+    "stream_extra_fields": q_stream_extra_fields,
     "stream_quarantine_counts": q_stream_quarantine_counts,
+    "stream_two_sources": q_stream_two_sources,
     "stream_hourly_latest": q_stream_hourly_latest,
     "stream_dedup": q_stream_dedup,
     "stream_quality_flags": q_stream_quality_flags,
     "stream_curated": q_stream_curated,
+    "producer_messages": q_producer_messages,
+    "payload_landed_rows": q_payload_landed_rows,
 }

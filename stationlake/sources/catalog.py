@@ -63,9 +63,9 @@ def lookup_catalog(catalog: DataFrame) -> DataFrame:
     return dedupe_catalog(active_stations(catalog))
 
 
-def write_station_catalog(catalog: DataFrame, path: str, parts: int = 4) -> None:
-    """Write a catalogue as the published CSV layout, rows in ``catalog_order`` across ``parts``
-    range-ordered files (no single-task write)."""
-    out = catalog.repartitionByRange(parts, "catalog_order").sortWithinPartitions("catalog_order")
+def write_station_catalog(catalog: DataFrame, path: str) -> None:
+    """Write a catalogue as the published CSV layout, rows in ``catalog_order`` across range-ordered
+    files, as many as the session's shuffles have partitions (fewer where those are small)."""
+    out = catalog.repartitionByRange("catalog_order").sortWithinPartitions("catalog_order")
     out.select(F.col("station_name").alias("Name"), F.col("station_id").cast("string").alias("FMISID"),
                "lat", "lon", "start", "finish").write.mode("overwrite").csv(path, header=True, encoding="UTF-8")

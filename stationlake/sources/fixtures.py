@@ -15,21 +15,9 @@ from stationlake.functions import utc_wall_time
 from stationlake.schemas import MEASURES, RAW_COLUMNS
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that is narrower than the cluster (e.g. one small single-row-group
-    file read as one task) so per-row work before the first shuffle uses every core. A real
-    table already has at least that many splits and passes through untouched."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()  # planned split count only; no data goes through the RDD
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the plan as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's source tables (``<sf_dir>/<name>.parquet``)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def event_key() -> F.Column:
@@ -85,24 +73,30 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- derived message and payload fixtures ---------------------------------------------------
 # Defects are assigned by the event key k (0..99), one kind per value of k:
 #   k=7 null timestamp, k=17 blank timestamp, k=27 unparsable timestamp, k=37 non-numeric id,
-#   k=47 no ingestion time, k=57 truncated JSON                          -> rejected
+#   k=47 no ingestion time, k=57 truncated JSON, k=61 text after the object, k=62 two objects,
+#   k=63 id one above the largest, k=64 blank ingestion time                 -> rejected
 #   k=67 non-numeric temperature (-> null), k=77 timestamp without fraction,
-#   k=87 unknown extra field, k=97 id sent as text                       -> kept
-# Payloads: k=3 no values element, k=4 truncated XML (rejected); k=8 value lines of 5 tokens.
+#   k=87 unknown extra field, k=97 id sent as text                           -> kept
+# In an arrival-ordered feed, k=71 comes LATE_HOURS after its time.
+# Payloads: k=3 no values element, k=4 truncated XML, k=11 a value line too few (rejected);
+#   k=9 blank second value line, k=12 last epoch no timestamp (that line rejected); k=8 value lines of
+#   5 tokens, k=13 commented-out positions, k=14 other prefixes, k=15 character references (read).
+LATE_KEY, LATE_HOURS = 71, 5
 
 
-def messages_from_events(events: DataFrame, time_ordered_parts: int | None = None) -> DataFrame:
+def messages_from_events(events: DataFrame, arrival_ordered: bool = False) -> DataFrame:
     """Keyed JSON messages for every raw observation (re-polls included), with the defects above.
 
-    ``time_ordered_parts`` range-partitions the messages by event time first, so files written
-    from them arrive in time order like a live feed (each file covers one stretch of time).
+    ``arrival_ordered`` range-partitions the messages by arrival first, so files written from them
+    are in the order of a live feed (each file covers one stretch of time).
     """
     from stationlake.sources.messages import iso, message_struct
 
     obs = observations_from_events(events, keep_key=True)
-    if time_ordered_parts:
-        obs = obs.repartitionByRange(time_ordered_parts, "timestamp", "station_id")
     k = F.col("k")
+    if arrival_ordered:
+        arrival = F.timestamp_add("HOUR", F.when(k == LATE_KEY, LATE_HOURS).otherwise(0), F.col("timestamp"))
+        obs = obs.repartitionByRange(arrival, "station_id")
     ts_text = (F.when(k == 7, F.lit(None).cast("string")).when(k == 17, F.lit("  "))
                .when(k == 27, F.lit("not-a-time"))
                .when(k == 77, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
@@ -112,6 +106,9 @@ def messages_from_events(events: DataFrame, time_ordered_parts: int | None = Non
     v = (F.when(k == 37, F.regexp_replace(v, r'"fmisid":-?[0-9]+', '"fmisid":"abc"'))
          .when(k == 97, F.regexp_replace(v, r'"fmisid":(-?[0-9]+)', '"fmisid":"$1"'))
          .when(k == 67, F.regexp_replace(v, r'"temperature":[^,]*', '"temperature":"warm"'))
+         .when(k == 63, F.regexp_replace(v, r'"fmisid":-?[0-9]+', '"fmisid":9223372036854775808'))
+         .when(k == 64, F.regexp_replace(v, r'"ingestion_time":"[^"]*"', '"ingestion_time":"  "'))
+         .when(k == 61, F.concat(v, F.lit(" xx"))).when(k == 62, F.concat(v, v))
          .when(k == 47, F.regexp_replace(v, r',"ingestion_time":"[^"]*"', ""))
          .when(k == 57, F.expr("substring(v_json, 1, length(v_json) - 7)"))
          .when(k == 87, F.concat(F.expr("substring(v_json, 1, length(v_json) - 1)"), F.lit(',"extra_field":1}')))
@@ -120,6 +117,9 @@ def messages_from_events(events: DataFrame, time_ordered_parts: int | None = Non
             .select(F.col("station_id").cast("string").alias("key"), v.alias("value")))
 
 
+_VALUES = r"(<gml:doubleOrNilReasonTupleList>\n)([^\n]*)\n([^\n]*)\n([^\n]*)(\n</gml:doubleOrNilReasonTupleList>)"
+
+
 def payloads_from_events(events: DataFrame) -> DataFrame:
     """One payload per event: the observation and the two 10-minute polls before it (the overlap
     of the reference's 2-hour lookback), with the payload defects above."""
@@ -134,6 +134,14 @@ def payloads_from_events(events: DataFrame) -> DataFrame:
     doc = F.col("xml_doc")
     doc = (F.when(k == 3, F.regexp_replace(doc, r"<gml:doubleOrNilReasonTupleList>[\s\S]*</gml:doubleOrNilReasonTupleList>", ""))
            .when(k == 4, F.expr("substring(xml_doc, 1, length(xml_doc) - 40)"))
+           .when(k == 9, F.regexp_replace(doc, _VALUES, "$1$2\n\n$4$5"))
+           .when(k == 11, F.regexp_replace(doc, _VALUES, "$1$3\n$4$5"))
+           # (the pattern has one group, so "$1" ends at the 1)
+           .when(k == 12, F.regexp_replace(doc, r"(<gmlcov:positions>\n[^\n]*\n[^\n]*\n\S+ \S+ )\S+", "$199999999999999999"))
+           .when(k == 13, F.replace(doc, F.lit("<gmlcov:positions>"), F.lit("<!-- <gmlcov:positions>1 2 3</gmlcov:positions> --><gmlcov:positions>")))
+           .when(k == 14, F.replace(F.replace(F.replace(F.replace(doc, F.lit("gmlcov:"), F.lit("cov:")), F.lit("xmlns:gmlcov="), F.lit("xmlns:cov=")),
+                                              F.lit("gml:"), F.lit("g:")), F.lit("xmlns:gml="), F.lit("xmlns:g=")))
+           .when(k == 15, F.regexp_replace(doc, r"(<gmlcov:positions>\n\S+) ", "$1&#32;"))
            .otherwise(doc))
     return (b.withColumn("xml_doc", encode_payload(lines))
             .select(F.col("station_id").cast("string").alias("station_id"), doc.alias("xml")))

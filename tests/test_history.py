@@ -32,4 +32,13 @@ def test_merge_equals_upsert_over_everything(spark):
     daily = _daily(spark)
     old = hist.history_rows(daily, F.lit("2024-02-01 01:00:00"))
     new = hist.history_rows(daily.where("timestamp >= '2024-01-20'"), F.lit("2024-02-05 01:00:00"))
-    assert _rows(hist.merge_history(old, new)) == _rows(hist.upsert_history(old, new))
+    assert _rows(hist.merge_history(old, new, "2024-01-20", "2024-02-28")) == _rows(hist.upsert_history(old, new))
+
+
+def test_upsert_is_keyed_by_the_hour(spark):
+    daily = _daily(spark)
+    old = hist.history_rows(daily, F.lit("2024-02-01 01:00:00"))
+    # the rerun has another observation standing for each hour
+    moved = old.withColumn("timestamp", F.expr("date_trunc('hour', timestamp) + interval 59 minutes").cast("timestamp_ntz"))
+    new = moved.withColumn("processing_time", F.lit("2024-02-02 01:00:00").cast("timestamp_ntz"))
+    assert _rows(hist.upsert_history(old, new)) == _rows(new)

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from stationlake.plans import oracle, queries
 from tests.oracle_compare import compare, duck_connect
 
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(queries.queries())
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
+    assert set(NAMES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -8,9 +8,6 @@ import pytest
 from stationlake.plans import queries as Q
 from stationlake.plans.stored import STORED_QUERIES
 from stationlake.plans.streams import STREAM_QUERIES
-from stationlake.sources.fixtures import raw_observations
-from stationlake.sources.tables import RAW_TABLE_SCHEMA, append_batch, read_day
-
 from tests.conftest import SF_SMALL
 
 PURE = sorted(set(Q.queries()) - set(STREAM_QUERIES) - set(STORED_QUERIES))
@@ -53,34 +50,19 @@ def test_aggregations_are_partial_before_the_shuffle(spark):
     assert "partial_avg" in p and "partial_stddev_samp" in p
 
 
-def test_day_read_prunes_partitions(spark, workdir):
-    append_batch(raw_observations(spark, SF_SMALL), f"{workdir}/raw", 0)
-    df = read_day(spark, f"{workdir}/raw", "2024-01-15", RAW_TABLE_SCHEMA)
-    p = plan(df)
-    assert "PartitionFilters: [isnotnull(observation_date" in p and "2024-01-15" in p
-    assert df.count() > 0
-
-
-def test_stateful_streams_combine_before_the_state_store(spark, workdir):
-    from stationlake.sources.messages import value_stream
-    from stationlake.streaming import landing
-
-    with open(f"{workdir}/m.txt", "w") as f:
-        f.write('{"fmisid": 1}\n')
-    src = landing.cleansed_stream(value_stream(spark, "text", workdir))
-    for stream, partial in ((landing.dedup_stream(src), "partial_min_by"),
-                            (landing.hourly_latest_stream(src), "partial_max_by")):
-        p = plan(stream, "simple")
-        assert partial in p and "StateStoreSave" in p
-        # the partial aggregate sits below the exchange that feeds the state store
-        assert p.index("Exchange hashpartitioning") < p.index(partial)
+def test_registered_queries_shuffle_no_source_round_robin(spark):
+    for name in PURE:
+        assert "RoundRobinPartitioning" not in plan(Q.queries()[name](spark, SF_SMALL)), name
 
 
-def test_sources_are_widened_only_when_narrower_than_the_cluster(spark):
-    from stationlake.sources.fixtures import spread
+def test_history_merge_prunes_by_constant_dates(spark, workdir):
+    from stationlake.operators import history as hist
 
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spread(spark.range(0, 1000, 1, 1))
-    wide = spread(spark.range(0, 1000, 1, cores * 2))
-    assert "RoundRobinPartitioning" in plan(narrow) and narrow.rdd.getNumPartitions() == cores
-    assert "Exchange" not in plan(wide) and wide.rdd.getNumPartitions() == cores * 2
+    daily = Q._daily(spark, SF_SMALL)
+    rows = hist.history_rows(daily, "2024-02-01 01:00:00")
+    rows.write.partitionBy("observation_date").parquet(f"{workdir}/h")
+    old = spark.read.schema(rows.schema).parquet(f"{workdir}/h")
+    p = plan(hist.merge_history(old, old, "2024-01-16", "2024-01-30"))
+    filters = [line for line in p.splitlines() if "PartitionFilters" in line]
+    assert len(filters) == 3 and all("2024-01-16" in f for f in filters)
+    assert p.count("Exchange hashpartitioning") <= 2  # the upsert window alone (the plan is printed with its node list)
