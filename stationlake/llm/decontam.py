@@ -3,10 +3,12 @@
 Every training text is cut into overlapping passages, each a query against the index. Scores are
 relative: an item's BM25 score for a passage over its score for itself, so one threshold serves all
 items. Postings carry their share of that score; each term knows its largest share (``top``), and
-its largest share in each block of items (``block_top``). For a passage, the terms of least ``top``
-whose sum stays below the threshold cannot make a candidate on their own; only the postings of the
-others are read. An item goes on while its score so far plus the ``top`` of the skipped terms, then
-plus their ``block_top`` in the item's block, reaches the threshold; what is left is scored in full.
+its largest share in each block of items (``block_top``). A passage whose block maxima over the
+rarer terms, with the most that common terms make up in one item of the block, do not add up to the
+threshold passes that block by; most passages pass by all of them. In what is left, the terms
+of least ``top`` whose sum stays below the threshold cannot make a candidate on their own; only the
+postings of the others are read. An item goes on while its score so far plus the ``block_top`` of
+the skipped terms in its block reaches the threshold; what is left is scored in full.
 Passages are worked off many at a time with numpy; no candidate is dropped that could reach the
 threshold. Every item retrieved is verified: the words of its question and of its answer
 that lie in a five-word shingle shared with the passage.
@@ -25,21 +27,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm.common import staged, table
 
 K1, B = 1.2, 0.75
-RETRIEVE = 0.5             # share of an item's own score that retrieves it
+RETRIEVE = 0.6             # share of an item's own score that retrieves it
 SHINGLE = 5                # words
 OVERLAP = 0.8              # share of the item's words in shared shingles, over the item as a whole
 PART_OVERLAP = 0.5         # and at least, in the question and in the answer
 SHARD_WORDS = 1_000_000    # words of test items in one index shard
+COMMON = 16                # a term in more than this share of a shard's items counts as common
 SMALLEST_CLASS = 6         # items of up to 2 ** 6 words are one length class, longer ones one per power of two
-BLOCK = 16                 # items of a block with its own maxima
-CACHE_WORDS = 300_000      # chunks outside the index that a worker remembers
-RUN_WORDS = 1 << 18        # words of passages worked off at once
+BLOCKS = 32                # blocks of items, each with its own maxima per term
+CACHE_WORDS = 1_000_000    # chunks outside the index that a worker remembers
+RUN_CHARS = 4_000_000      # texts worked off at once
 
 _NOT_WORD = re.compile(r"[\W_]+")
 
@@ -71,9 +76,10 @@ class Index:
     item: np.ndarray         # item of a posting, ascending within a term
     share: np.ndarray        # its share of the item's score for itself
     top: np.ndarray          # per term: largest share
-    block_key: np.ndarray    # term * blocks + block, ascending
-    block_top: np.ndarray    # largest share there
-    blocks: int
+    block_top: np.ndarray    # per term and block of items: largest share
+    rare_top: np.ndarray     # block_top without the terms that many items have
+    common: np.ndarray       # per block: what those terms make up in one item at most
+    per_block: int           # items of a block
     words: list[np.ndarray]  # term of every word of an item
     ids: list[int]
     question: list[int]      # words of the question
@@ -99,12 +105,19 @@ def build_index(items: list[tuple[int, str]], df: dict[str, int], n_items: int,
     flat = np.concatenate(posts, axis=1) if posts else np.zeros((3, 0))
     flat = flat[:, np.lexsort((flat[1], flat[0]))]
     term, item, share = flat[0].astype(np.int64), flat[1].astype(np.int64), flat[2]
-    blocks = max(1, -(-len(ids) // BLOCK))
-    block_key, first = np.unique(term * blocks + item // BLOCK, return_index=True)
+    per_block = max(1, -(-len(ids) // BLOCKS))
+    block_top = np.zeros((len(terms), BLOCKS), np.float32)
+    # rounded up, so that the maxima stay bounds in single precision
+    np.maximum.at(block_top, (term, item // per_block), np.nextafter(share.astype(np.float32), np.float32(2)))
     top = np.zeros(len(terms))
     np.maximum.at(top, term, share)
-    return Index(terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, share, top, block_key,
-                 np.maximum.reduceat(share, first) if len(first) else share, blocks, words, ids, question, 2 * longest)
+    many = np.bincount(term, minlength=len(terms)) > max(4, len(ids) // COMMON)
+    rare_top = np.where(many[:, None], np.float32(0), block_top)
+    common = np.zeros(BLOCKS, np.float32)
+    in_many = np.bincount(item[many[term]], share[many[term]], len(ids))
+    np.maximum.at(common, np.arange(len(ids)) // per_block, in_many.astype(np.float32))
+    return Index(terms, np.searchsorted(term, np.arange(len(terms) + 1)), item, share, top, block_top, rare_top, common, per_block,
+                 words, ids, question, 2 * longest)
 
 
 # ---- search -----------------------------------------------------------------------------------
@@ -117,37 +130,36 @@ def _spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n), which
 
 
-def search(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Passages given as distinct (passage, term) pairs, ascending → (passage, item, score) from the threshold on."""
+def search(index: Index, passage: np.ndarray, term: np.ndarray, open_blocks: np.ndarray,
+           threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passages given as distinct (passage, term) pairs, ascending → (passage, item, score) from the threshold on.
+
+    ``open_blocks``: passage × block, whether an item of the block can reach the threshold at all.
+    """
+    none = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    if not len(passage):
+        return none
     # terms of each passage by rising top; those whose running sum stays below the threshold are skipped
     order = np.lexsort((term, index.top[term], passage))
     passage, term = passage[order], term[order]
-    start = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1]))) if len(passage) else np.zeros(0, int)
+    start = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
     running = np.cumsum(index.top[term])
-    before = np.concatenate(([0.0], running))[start]
-    running -= np.repeat(before, np.diff(np.append(start, len(passage))))
+    running -= np.repeat(np.concatenate(([0.0], running))[start], np.diff(np.append(start, len(passage))))
     read = running >= threshold - 1e-9
-    if not read.any():
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    skipped = np.bincount(passage[~read], index.top[term[~read]], int(passage[-1]) + 1)
     at, which = _spans(index.ptr[term[read]], index.ptr[term[read] + 1])
-    n = len(index.ids)
-    pair, inverse = np.unique(passage[read][which] * n + index.item[at], return_inverse=True)
-    score = np.bincount(inverse, index.share[at], len(pair))
-    go = score + skipped[pair // n] >= threshold - 1e-9
-    pair, score = pair[go], score[go]
+    n, holder, item = len(index.ids), passage[read][which], index.item[at]
+    live = open_blocks[holder, item // index.per_block]
+    pair, inverse = np.unique(holder[live] * n + item[live], return_inverse=True)
+    score = np.bincount(inverse, index.share[at[live]], len(pair))
     if not len(pair):
-        return pair, pair, score
+        return none
     # the passage's skipped terms, for every pair left: first their maxima in the item's block
     p_skip, t_skip = passage[~read], term[~read]
     lo, hi = np.searchsorted(p_skip, pair // n), np.searchsorted(p_skip, pair // n, "right")
     at, which = _spans(lo, hi)
-    bound = score + np.bincount(which, _lookup(index.block_key, index.block_top,
-                                               t_skip[at] * index.blocks + (pair[which] % n) // BLOCK), len(pair))
-    go = bound >= threshold - 1e-9
+    bound = score + np.bincount(which, index.block_top[t_skip[at], (pair[which] % n) // index.per_block], len(pair))
+    go = bound >= threshold - 1e-6
     pair, score, lo, hi = pair[go], score[go], lo[go], hi[go]
-    if not len(pair):
-        return pair, pair, score
     # then their own postings
     at, which = _spans(lo, hi)
     post_key = np.repeat(np.arange(len(index.top)), np.diff(index.ptr)) * n + index.item
@@ -181,7 +193,7 @@ class _Terms(dict):
         self.terms = terms
 
     def __missing__(self, chunk: str) -> int:
-        w = _NOT_WORD.sub("", chunk)
+        w = chunk if chunk.isalnum() else _NOT_WORD.sub("", chunk)
         got = self.terms.get(w, -1) if w else -2
         if len(chunk) <= 64:
             if len(self) > CACHE_WORDS:
@@ -192,49 +204,62 @@ class _Terms(dict):
 
 def match_texts(index: Index, texts: list[str | None], cache: _Terms, threshold: float) -> Iterator[tuple[int, int, float, float, float]]:
     """(text number, item id, score, question overlap, answer overlap) of every verified item."""
+    at = 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and size < RUN_CHARS:
+            size += len(texts[stop] or "")
+            stop += 1
+        # Arrow cuts the texts and numbers their distinct chunks; each is normalised once a run
+        cut = pc.utf8_split_whitespace(pa.array([(t or "").lower() for t in texts[at:stop]], pa.large_string()))
+        chunks = cut.flatten().dictionary_encode()
+        term = np.fromiter(map(cache.__getitem__, chunks.dictionary.to_pylist()), np.int64, len(chunks.dictionary))
+        seq = term[chunks.indices.to_numpy()] if len(chunks) else np.empty(0, np.int64)
+        word = seq != -2
+        text = np.repeat(np.arange(stop - at), np.diff(cut.offsets.to_numpy()))
+        lengths = np.bincount(text[word], minlength=stop - at)
+        yield from _match_run(index, seq[word], lengths, at, threshold)
+        at = stop
+
+
+def _match_run(index: Index, seq: np.ndarray, lengths: np.ndarray, base: int, threshold: float):
+    """``seq``: the terms of texts of ``lengths`` words, one after the other."""
     stride = index.window // 2
-    run, base, size = [], [], 0
-    for n, text in enumerate(texts):
-        seq = np.fromiter(map(cache.__getitem__, (text or "").lower().split()), np.int64)
-        seq = seq[seq != -2]
-        run.append(seq)
-        base.append(n)
-        size += len(seq)
-        if size >= RUN_WORDS or n == len(texts) - 1:
-            yield from _match_run(index, run, base, stride, threshold)
-            run, base, size = [], [], 0
-
-
-def _match_run(index: Index, run: list[np.ndarray], base: list[int], stride: int, threshold: float):
-    lengths = np.array([len(s) for s in run])
+    begin = np.cumsum(lengths) - lengths
     slots = np.maximum(1, -(-lengths // stride))                    # half passages of each text
     first = np.cumsum(slots) - slots
-    seq = np.concatenate(run)
-    text = np.repeat(np.arange(len(run)), lengths)
-    half = first[text] + (np.arange(len(seq)) - np.repeat(np.cumsum(lengths) - lengths, lengths)) // stride
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    half = first[text] + (np.arange(len(seq)) - begin[text]) // stride
     inside = seq >= 0
     half, term = half[inside], seq[inside]
-    n = len(index.top)
-    # passage h is the halves h and h + 1 of one text
-    total = int(slots.sum())
-    keep = np.ones(total + 1, bool)
-    keep[first] = False                                             # a text's first half has none before it
-    pairs = np.concatenate([half * n + term, ((half - 1) * n + term)[keep[half]]])
-    # first bound: all of a passage's tops, repeats included
-    bound = np.bincount(pairs // n, index.top[pairs % n], total)
-    pairs = np.unique(pairs[bound[pairs // n] >= threshold])
-    p, i, score = search(index, pairs // n, pairs % n, threshold)
+    n, total = len(index.top), int(slots.sum())
+    begins = np.zeros(total + 1, bool)
+    begins[first] = True
+    begins[total] = True
+    # passage h is the halves h and h + 1 of one text; what the block maxima of its rare terms add up to,
+    # repeats included, and what the common ones can add at most
+    bound = np.zeros((total + 1, index.rare_top.shape[1]), np.float32)
+    if len(half):
+        starts = np.flatnonzero(np.concatenate(([True], half[1:] != half[:-1])))
+        bound[half[starts]] = np.add.reduceat(index.rare_top[term], starts, axis=0)
+    bound[:-1] += np.where(begins[1:, None], np.float32(0), bound[1:])
+    open_blocks = bound[:-1] + index.common >= threshold - 1e-3
+    live = open_blocks.any(axis=1)
+    mine = live[half]
+    before = ~begins[half] & live[half - 1]                         # a text's first half has none before it
+    pairs = np.unique(np.concatenate([half[mine] * n + term[mine], (half[before] - 1) * n + term[before]]))
+    p, i, score = search(index, pairs // n, pairs % n, open_blocks, threshold)
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
     for h, it, s in zip(p.tolist(), i.tolist(), score.tolist()):
         t = int(np.searchsorted(first, h, "right")) - 1
-        at = (h - int(first[t])) * stride
-        mask = covered(index.words[it], run[t][at:at + index.window])
+        at = int(begin[t]) + (h - int(first[t])) * stride
+        mask = covered(index.words[it], seq[at:min(at + index.window, int(begin[t] + lengths[t]))])
         q = index.question[it]
         parts = [float(m.mean()) if len(m) else 1.0 for m in (mask[:q], mask[q:])]
         if mask.mean() >= OVERLAP and min(parts) >= PART_OVERLAP:
             best[t, it] = max(best.get((t, it), (0.0, 0.0, 0.0)), (s, *parts))
     for (t, it), (s, q, a) in sorted(best.items()):
-        yield base[t], index.ids[it], s, q, a
+        yield base + t, index.ids[it], s, q, a
 
 
 # ---- operator ---------------------------------------------------------------------------------

@@ -89,7 +89,7 @@ def test_planted_passages_against_brute_force(spark, monkeypatch):
     b = spark.createDataFrame(bench, "item_id long, text string")
     assert pairs(D.find_leaks(d, b)) == want
     monkeypatch.setattr(D, "SHARD_WORDS", 400)  # many shards
-    monkeypatch.setattr(D, "BLOCK", 2)
+    monkeypatch.setattr(D, "BLOCKS", 3)
     assert pairs(D.find_leaks(d, b)) == want
 
 
@@ -114,7 +114,8 @@ def test_search_equals_full_scores():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, len(index.top), int(rng.integers(1, 120)))) for _ in range(50)]
     sets += [np.unique(w) for w in index.words[:20]]
-    p, i, s = D.search(index, np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets), 0.3)
+    p, i, s = D.search(index, np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets),
+                       np.ones((len(sets), D.BLOCKS), bool), 0.3)
     got = {(a, b): c for a, b, c in zip(p.tolist(), i.tolist(), s.tolist())}
     want = {}
     for a, terms in enumerate(sets):
