@@ -50,18 +50,14 @@ def daily_summary(daily: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(daily: DataFrame, approx_stations: bool = False) -> DataFrame:
+def quality_report(daily: DataFrame) -> DataFrame:
     """One row per day: stations, observations, missing/outlier counts, valid %, score and rating.
 
-    The exact station count is a two-level aggregate ((day, station), then day). With
-    ``approx_stations=True`` it is a HyperLogLog sketch per day instead (about 1 % relative error,
-    one exchange less), for very large days where an estimate will do.
+    The station count is exact: a two-level aggregate, (day, station) and then day, both partial.
     """
     n = F.count(F.lit(1))
-    stations = (F.approx_count_distinct("station_id", 0.01) if approx_stations
-                else F.count_distinct("station_id"))
     aggs = [
-        stations.alias("active_stations"),
+        F.count_distinct("station_id").alias("active_stations"),
         n.alias("total_observations"),
         *[_count_if(F.col(m).isNull()).alias(f"missing_{m}") for m in QUALITY_MEASURES],
         *[_count_if(F.col(f"{m}_quality") == OUTLIER).alias(f"outlier_{m}") for m in QUALITY_MEASURES],

@@ -88,24 +88,3 @@ def test_day_filter_and_audit_time_ignore_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want and len(got) > 0
-
-
-def test_approximate_station_count_is_close_and_saves_an_exchange(spark):
-    import contextlib
-    import io
-
-    daily = curate.daily_observations(raw_observations(spark, SF_SMALL))
-    exact = {r["report_date"]: r["active_stations"] for r in summarize.quality_report(daily).collect()}
-    approx_df = summarize.quality_report(daily, approx_stations=True)
-    approx = {r["report_date"]: r["active_stations"] for r in approx_df.collect()}
-    assert exact.keys() == approx.keys()
-    assert all(abs(approx[d] - exact[d]) <= max(1, 0.03 * exact[d]) for d in exact)
-
-    def exchanges(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue().count("Exchange hashpartitioning")
-    fresh_exact = summarize.quality_report(daily)
-    fresh_approx = summarize.quality_report(daily, approx_stations=True)
-    assert exchanges(fresh_approx) == exchanges(fresh_exact) - 1
