@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept: dict = {}
+
+
+def worker_state(key, make: Callable[[], object]):
+    """What a Python worker keeps from task to task (a vocabulary, a cache), for one operator at a time:
+    workers are reused by every stage of an application, and must not add up what each left."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def doc_key() -> F.Column:
     """``doc_id`` as a long; rows without an id share the largest one."""
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))

@@ -43,7 +43,7 @@ SHARD_WORDS = 1_000_000    # words of test items in one index shard
 COMMON = 16                # a term in more than this share of a shard's items counts as common
 SMALLEST_CLASS = 6         # items of up to 2 ** 6 words are one length class, longer ones one per power of two
 BLOCKS = 32                # blocks of items, each with its own maxima per term
-CACHE_WORDS = 1_000_000    # chunks outside the index that a worker remembers
+CACHE_WORDS = 500_000      # chunks outside the index that a worker remembers
 RUN_CHARS = 4_000_000      # texts worked off at once
 
 _NOT_WORD = re.compile(r"[\W_]+")
@@ -219,6 +219,7 @@ def match_texts(index: Index, texts: list[str | None], cache: _Terms, threshold:
         text = np.repeat(np.arange(stop - at), np.diff(cut.offsets.to_numpy()))
         lengths = np.bincount(text[word], minlength=stop - at)
         yield from _match_run(index, seq[word], lengths, at, threshold)
+        pa.default_memory_pool().release_unused()
         at = stop
 
 

@@ -20,13 +20,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import table
+from stationlake.llm.common import table, worker_state
 
 DIM = 1024                 # length of a hypervector
 GRAM = 3                   # letters of an n-gram
 SEED = 20_240_601
 UNKNOWN = "und"
-KEPT_GRAMS = 60_000        # n-gram vectors one worker remembers (one byte per sign)
+KEPT_GRAMS = 40_000        # n-gram vectors one worker remembers (one byte per sign)
 REJECT_BELOW = DIM ** -0.5  # cosine of unrelated vectors, about: the pipeline drops texts below it
 SPACE = 0                  # one symbol for everything between words
 
@@ -102,13 +102,8 @@ class Profiler:
         return total / norm if norm else total
 
 
-_profilers: list[Profiler] = []
-
-
 def _profiler() -> Profiler:
-    if not _profilers:
-        _profilers.append(Profiler())
-    return _profilers[0]
+    return worker_state("langid", Profiler)
 
 
 def train_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:

@@ -12,6 +12,7 @@ ids, is read from a few bytes of each level without decoding what stands before
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,8 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.bpe import encode_chunked, vocabulary_path
-from stationlake.llm.common import NO_ID, doc_key, table
+from stationlake.llm.bpe import ChunkCache, byte_letters, encode_chunked, vocabulary_path
+from stationlake.llm.common import NO_ID, doc_key, table, worker_state
 from stationlake.session import shared_dir
 
 CHUNK = 8                  # bits of an id kept at one level
@@ -113,32 +114,66 @@ class Codes:
 # ---- writing ----------------------------------------------------------------------------------
 
 
-_cache: dict[str, dict[str, bytes]] = {}
-_tokenizers: dict[str, object] = {}
+class LibraryEncoder:
+    """The tokenizers library over one vocabulary file, once per worker.
 
-
-def library_ids(texts: list[str | None], path: str) -> list[bytes]:
-    """The tokenizers library's ids of each whole text as little-endian 32-bit bytes.
-
-    The library encodes each distinct chunk (see ``bpe``) once per worker; ids of a text are those
-    of its chunks.
+    Ids of a whole text are those of its chunks (see ``bpe``), so the library encodes each distinct
+    chunk once and remembers it up to a bound. Chunks that start with a space are handed to it
+    joined together, which is a text whose chunks they are, and cut apart again by the byte lengths
+    of the tokens.
     """
-    if path not in _tokenizers:
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
-        tok.no_truncation()
-        tok.no_padding()
-        _tokenizers[path] = tok
-    tok = _tokenizers[path]
-
-    def fill(new: set[str]) -> dict[str, bytes]:
-        chunks = list(new)
-        coded = tok.encode_batch_fast(chunks, add_special_tokens=False)
-        return {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(chunks, coded)}
-
-    return encode_chunked(texts, _cache.setdefault(path, {}), fill)
+        self.tok = Tokenizer.from_file(path)
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        self.cache = ChunkCache(self._fill)
+        letters = byte_letters()
+        self.special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        self.width = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), np.int64)
+        for t, i in self.tok.get_vocab(with_added_tokens=True).items():
+            self.width[i] = len(t.encode()) if t in self.special else sum(c in letters for c in t)
+        marks = {t[0] for t in self.special if t}
+        self.mark = re.compile("[{0}]".format("".join(map(re.escape, sorted(marks))))) if marks else None
+
+    def _fill(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joint = [i for i, c in enumerate(chunks) if len(c) > 1 and c[0] == " " and not c[-1].isspace()
+                 and not (self.mark and self.mark.search(c))]
+        length = np.zeros(len(chunks), np.int64)
+        parts: list[np.ndarray] = []
+        for at in range(0, len(joint), 20_000):
+            some = [chunks[i] for i in joint[at:at + 20_000]]
+            ids = np.array(self.tok.encode("".join(some), add_special_tokens=False).ids, np.uint32)
+            sizes = np.fromiter((len(c.encode()) for c in some), np.int64, len(some))
+            last = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(sizes)) + 1
+            length[joint[at:at + 20_000]] = np.diff(last, prepend=0)
+            parts.append(ids)
+        alone = np.ones(len(chunks), bool)
+        alone[joint] = False
+        alone = np.flatnonzero(alone).tolist()
+        coded = self.tok.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False) if alone else []
+        for i, e in zip(alone, coded):
+            parts.append(np.array(e.ids, np.uint32))
+            length[i] = len(e.ids)
+        # back into the order of the chunks
+        order = np.array(joint + alone, np.int64)
+        begin = np.empty(len(chunks), np.int64)
+        begin[order] = np.cumsum(length[order]) - length[order]
+        ends = np.cumsum(length)
+        flat = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        return flat[np.repeat(begin - ends + length, length) + np.arange(len(flat))], length
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of every whole text (null: none)."""
+        return encode_chunked(texts, self.cache)
+
+
+def library_ids(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
+    """Ids of every whole text, by this worker's encoder."""
+    return worker_state(("library", path), lambda: LibraryEncoder(path)).encode(texts)
 
 
 def write_tokens(docs: DataFrame, out: str, path: str | None = None, segment_tokens: int = SEGMENT_TOKENS) -> None:
@@ -148,7 +183,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, segment_tok
     of id (rows of one id by their text's hash, rows without an id last).
     """
     path = path or vocabulary_path()
-    end = np.array([END_ID], "<u4").tobytes()
+    end = np.array([END_ID], np.uint32)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -159,14 +194,14 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, segment_tok
         def segment() -> pd.DataFrame:
             return pd.DataFrame({"part": [part], "seg": [seg], "part_start": [part_start], "n_tokens": [size],
                                  "doc_ids": [ids], "doc_starts": [starts],
-                                 "data": [pack(np.frombuffer(b"".join(coded), "<u4"))]})
+                                 "data": [pack(np.concatenate(coded))]})
 
         for pdf in batches:
-            for doc, b in zip(pdf["_d"].tolist(), library_ids(pdf["text"].tolist(), path)):
+            for doc, coded_text in zip(pdf["_d"].tolist(), library_ids(pdf["text"].tolist(), path)):
                 ids.append(doc)
                 starts.append(size)
-                coded += [b, end]
-                size += len(b) // 4 + 1
+                coded += [coded_text, end]
+                size += len(coded_text) + 1
                 if size >= segment_tokens:
                     yield segment()
                     seg, part_start, ids, starts, coded, size = seg + 1, part_start + size, [], [], [], 0
@@ -194,7 +229,8 @@ def document_digests(segments: DataFrame) -> DataFrame:
             for row in pdf.itertuples():
                 codes = Codes(row.data)
                 starts = np.append(np.asarray(row.doc_starts, np.int64), len(codes))
-                crc = [zlib.crc32(codes.run(a, b).astype("<u4").tobytes()) for a, b in zip(starts, starts[1:])]
+                ids = codes.run(0, len(codes)).astype("<u4")  # every document of the segment is wanted
+                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), starts[1:].tolist())]
                 yield pd.DataFrame({"part": row.part, "doc_id": row.doc_ids, "at": row.part_start + starts[:-1],
                                     "n_tokens": np.diff(starts), "ids_crc32": crc})
 
