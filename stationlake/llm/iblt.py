@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stationlake.llm.common import NO_ID, doc_key, staged, table
 
-LONG = 400                 # bytes from which a line is cut at sentence ends
+LONG = 80                  # bytes from which a line is cut at sentence ends
 TABLES = 3
 BASE = 4                   # cells per table of the fingerprint
 SPARE = 1.4                # cells per digest that may differ, at the first try

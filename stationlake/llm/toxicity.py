@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from stationlake.llm.common import table
 
-TOXIC_ROWS = 2_000         # labelled rows of each class that the fit may see at most
-CLEAN_ROWS = 4_000
+TOXIC_ROWS = 1_500         # labelled rows of each class that the fit may see at most
+CLEAN_ROWS = 3_000
 SPACE = 1 << 18            # hashed features
 STEMS = (4, 5, 6)          # lengths of the word beginnings used besides whole words
 LEXICON = 60               # mined voters
@@ -165,8 +165,8 @@ def fit(ids: list[np.ndarray], counts: list[np.ndarray], patterns: np.ndarray, w
     if labels.min() == labels.max():
         return Model(np.zeros(SPACE, np.float32), 3.0 if labels[0] else -3.0, 0.0)
     ptr = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
-    all_ids, all_counts = np.concatenate(ids).astype(np.int64), np.concatenate(counts).astype(np.int64)
-    rows = np.repeat(np.arange(len(labels)), np.diff(ptr))
+    all_ids, all_counts = np.concatenate(ids).astype(np.int32), np.concatenate(counts).astype(np.int32)
+    rows = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(ptr))
     df1 = np.bincount(all_ids, labels[rows] == 1, SPACE) / n1
     df0 = np.bincount(all_ids, labels[rows] == 0, SPACE) / n0
     seen = np.bincount(all_ids, minlength=SPACE)
@@ -190,7 +190,7 @@ def fit(ids: list[np.ndarray], counts: list[np.ndarray], patterns: np.ndarray, w
     keep = ((seen >= MIN_ROWS) & (apart >= CHANCE))[all_ids]
     kept_ptr = np.concatenate(([0], np.cumsum(np.bincount(rows[keep], minlength=len(labels)))))
     size = np.log1p(words)
-    weights, bias, per_word = _fit_linear(all_ids[keep], all_counts[keep].astype(float), kept_ptr, size - 5, target, weight)
+    weights, bias, per_word = _fit_linear(all_ids[keep], all_counts[keep].astype(np.float32), kept_ptr, size - 5, target, weight)
     return Model(weights, bias - 5 * per_word, per_word)
 
 
@@ -244,11 +244,13 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     sample = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")
               .mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, ids array<int>, "
                                 "counts array<int>, patterns array<boolean>, words int"))
-    pdf = sample.toPandas().sort_values("doc_id", kind="stable")
-    return fit([np.asarray(x) for x in pdf["ids"]], [np.asarray(x) for x in pdf["counts"]],
-               np.array(pdf["patterns"].tolist(), bool).reshape(len(pdf), len(_PATTERNS)), pdf["words"].to_numpy(np.int64),
-               pdf["toxic"].to_numpy(np.int64),
-               (shares.get(0, 0), shares.get(1, 0)))
+    rows = sample.toArrow().combine_chunks().sort_by("doc_id")
+    flat = lambda c: rows[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    n = rows["ids"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False) if len(rows) else np.empty(0, np.int64)
+    cut = np.cumsum(n)[:-1]
+    return fit(np.split(flat("ids"), cut) if len(rows) else [], np.split(flat("counts"), cut) if len(rows) else [],
+               flat("patterns").reshape(len(rows), len(_PATTERNS)).astype(bool), rows["words"].to_numpy().astype(np.int64),
+               rows["toxic"].to_numpy().astype(np.int64), (shares.get(0, 0), shares.get(1, 0)))
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
