@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from stationlake.llm.common import table, worker_state
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS = 1_200_000    # chunks remembered by one Python worker
+CACHE_WORDS = 700_000      # chunks remembered by one Python worker
 CACHE_BYTES = 64 << 20     # and their bytes
-KNOWN_PAIRS = 400_000      # token pairs remembered
+KNOWN_PAIRS = 250_000      # token pairs remembered
 SIGNS = 10_000             # runs of signs remembered
-RUN_CHARS = 8_000_000      # texts looked up at once
+RUN_CHARS = 6_000_000      # texts looked up at once
 
 #: cut before a space that follows a non-space character
 _CHUNK = re.compile(r"(?<=\S)(?= )")
@@ -179,8 +179,8 @@ class ChunkCache:
     ``fill`` takes a list of chunks and returns their ids one after the other and the number of each.
     """
 
-    def __init__(self, fill):
-        self.fill = fill
+    def __init__(self, fill, words: int = CACHE_WORDS, run_chars: int = RUN_CHARS):
+        self.fill, self.words, self.run_chars = fill, words, run_chars
         self.forget()
 
     def forget(self) -> None:
@@ -224,7 +224,7 @@ class ChunkCache:
         new = keys.filter(pa.array(~known))
         ids, length = self.fill([" " + k for k in new.to_pylist()])
         at = at.fill_null(-1).to_numpy().astype(np.int64)
-        if len(self.keys) + len(new) > CACHE_WORDS or self.keys.nbytes > CACHE_BYTES:
+        if len(self.keys) + len(new) > self.words or self.keys.nbytes > CACHE_BYTES:
             # only what this run uses again is kept
             used = np.sort(at[known])
             at[known] = np.searchsorted(used, at[known])
@@ -254,7 +254,7 @@ def encode_chunked(texts: list[str | None], cache: ChunkCache) -> Iterator[np.nd
     at = 0
     while at < len(texts):
         stop, size = at, 0
-        while stop < len(texts) and size < RUN_CHARS:
+        while stop < len(texts) and size < cache.run_chars:
             size += len(texts[stop] or "")
             stop += 1
         yield from _encode_run([t or "" for t in texts[at:stop]], cache)

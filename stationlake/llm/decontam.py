@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import staged, table
+from stationlake.llm.common import staged, table, worker_state
 
 K1, B = 1.2, 0.75
 RETRIEVE = 0.6             # share of an item's own score that retrieves it
@@ -307,9 +308,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = RETRIEV
         df = {r.term: r["count"] for r in frequency.join(wanted, "term").collect()}
         shared = spark.sparkContext.broadcast(build_index(held, df, n_items, mean_words, longest))
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        shard = uuid.uuid4().hex
+
+        def run(batches: Iterator[pd.DataFrame], shared=shared, shard=shard) -> Iterator[pd.DataFrame]:
             index = shared.value
-            cache = _Terms(index.terms)
+            cache = worker_state(("decontam", shard), lambda: _Terms(index.terms))
             for pdf in batches:
                 ids = pdf["doc_id"].tolist()
                 found = list(match_texts(index, pdf["text"].tolist(), cache, threshold)) if index.ids else []

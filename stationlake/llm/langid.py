@@ -26,7 +26,7 @@ DIM = 1024                 # length of a hypervector
 GRAM = 3                   # letters of an n-gram
 SEED = 20_240_601
 UNKNOWN = "und"
-KEPT_GRAMS = 40_000        # n-gram vectors one worker remembers (one byte per sign)
+KEPT_GRAMS = 20_000        # n-gram vectors one worker remembers (one byte per sign)
 REJECT_BELOW = DIM ** -0.5  # cosine of unrelated vectors, about: the pipeline drops texts below it
 SPACE = 0                  # one symbol for everything between words
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import NO_ID, doc_key, staged, table
+from stationlake.llm.common import NO_ID, doc_key, staged, table, worker_state
 from stationlake.llm.components import components
 
 BITS = 64
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fp = np.array([text_fingerprint(t, words) for t in pdf["text"]], np.uint64)
+            worker_state("simhash", object)  # nothing is kept, and what another operator kept goes
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "_d": pdf["_d"], "_fp": fp.view(np.int64)})
 
     id_type = docs.schema["doc_id"].dataType.simpleString()

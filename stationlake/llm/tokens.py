@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ CHUNK = 8                  # bits of an id kept at one level
 BLOCK = 512                # bits covered by one entry of the rank directory
 SEGMENT_TOKENS = 1 << 20   # a segment closes after the document that reaches this many ids
 END_ID = 0
+CACHE_WORDS = 2_500_000    # chunks remembered by one Python worker
+RUN_CHARS = 24_000_000     # texts looked up at once
 _MAGIC = 0x31434144        # "DAC1"
 
 SEGMENT_SCHEMA = ("part int, seg int, part_start long, n_tokens long, doc_ids array<long>, "
@@ -130,7 +133,7 @@ class LibraryEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.cache = ChunkCache(self._fill)
+        self.cache = ChunkCache(self._fill, CACHE_WORDS, RUN_CHARS)
         letters = byte_letters()
         self.special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
         self.width = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), np.int64)
@@ -224,17 +227,20 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 def document_digests(segments: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read from the codes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples():
-                codes = Codes(row.data)
-                starts = np.append(np.asarray(row.doc_starts, np.int64), len(codes))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                part, first, docs, at, data = (c[i] for c in batch.columns)
+                codes = Codes(data.as_buffer())
+                starts = np.append(at.values.to_numpy(), len(codes))
                 ids = codes.run(0, len(codes)).astype("<u4")  # every document of the segment is wanted
-                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), starts[1:].tolist())]
-                yield pd.DataFrame({"part": row.part, "doc_id": row.doc_ids, "at": row.part_start + starts[:-1],
-                                    "n_tokens": np.diff(starts), "ids_crc32": crc})
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), starts[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(crc), part.as_py(), np.int32)), docs.values, pa.array(first.as_py() + starts[:-1]),
+                     pa.array(np.diff(starts)), pa.array(crc, pa.int64())],
+                    names=["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    docs = segments.select("part", "part_start", "doc_ids", "doc_starts", "data").mapInPandas(
+    docs = segments.select("part", "part_start", "doc_ids", "doc_starts", "data").mapInArrow(
         run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long")
     # one row per write task: what stands before it is a running sum over that short table
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
