@@ -30,8 +30,8 @@ CHUNK = 8                  # bits of an id kept at one level
 BLOCK = 512                # bits covered by one entry of the rank directory
 SEGMENT_TOKENS = 1 << 20   # a segment closes after the document that reaches this many ids
 END_ID = 0
-CACHE_WORDS = 2_500_000    # chunks remembered by one Python worker
-RUN_CHARS = 24_000_000     # texts looked up at once
+CACHE_WORDS = 1_600_000    # chunks remembered by one Python worker
+RUN_CHARS = 10_000_000     # texts looked up at once
 _MAGIC = 0x31434144        # "DAC1"
 
 SEGMENT_SCHEMA = ("part int, seg int, part_start long, n_tokens long, doc_ids array<long>, "
