@@ -11,7 +11,8 @@ postings of the others are read. An item goes on while its score so far plus the
 the skipped terms in its block reaches the threshold; what is left is scored in full.
 Passages are worked off many at a time with numpy; no candidate is dropped that could reach the
 threshold. Every item retrieved is verified: the words of its question and of its answer
-that lie in a five-word shingle shared with the passage.
+that lie in a five-word shingle shared with the passage, or stand in their place beside one: a
+changed word breaks every shingle over a short part that is itself intact.
 
 Items are indexed by length class, since a passage is twice as long as the longest item of its
 class; an item is whole in at least one passage. The index goes to the tasks in shards of at most
@@ -39,7 +40,7 @@ K1, B = 1.2, 0.75
 RETRIEVE = 0.6             # share of an item's own score that retrieves it
 SHINGLE = 5                # words
 OVERLAP = 0.8              # share of the item's words in shared shingles, over the item as a whole
-PART_OVERLAP = 0.5         # and at least, in the question and in the answer
+PART_OVERLAP = 0.5         # and at least, in the question and in the answer; there also words in their place
 SHARD_WORDS = 1_000_000    # words of test items in one index shard
 COMMON = 16                # a term in more than this share of a shard's items counts as common
 SMALLEST_CLASS = 6         # items of up to 2 ** 6 words are one length class, longer ones one per power of two
@@ -186,6 +187,27 @@ def covered(item: np.ndarray, passage: np.ndarray) -> np.ndarray:
     return mask
 
 
+def in_place(item: np.ndarray, lo: int, hi: int, passage: np.ndarray) -> float:
+    """Share of the words ``lo`` to ``hi`` of ``item`` that stand in ``passage`` where a shared shingle puts them.
+
+    A part that is shorter than a shingle also counts if it is whole up to ``SHINGLE`` - 1 words beside its place.
+    """
+    k, n = min(SHINGLE, len(item)), hi - lo
+    at: dict[tuple[int, ...], list[int]] = {}
+    known, seq = passage.tolist(), item.tolist()
+    for p in range(len(known) - k + 1):
+        at.setdefault(tuple(known[p:p + k]), []).append(p)
+    offsets = {p - i for i in range(len(seq) - k + 1) for p in at.get(tuple(seq[i:i + k]), ())}
+    part, padded = item[lo:hi], np.concatenate([np.full(len(item) + n + SHINGLE, -1), passage, np.full(len(item) + n + SHINGLE, -1)])
+    start = len(item) + n + SHINGLE + lo
+    best = max((float((padded[start + d:start + d + n] == part).mean()) for d in offsets), default=0.0)
+    if best < 1 and n < SHINGLE:
+        beside = {d + shift for d in offsets for shift in range(1 - SHINGLE, SHINGLE)}
+        if any((padded[start + d:start + d + n] == part).all() for d in beside):
+            return 1.0
+    return best
+
+
 class _Terms(dict):
     """Chunk between white space → term of the index, -1 for a word outside it, -2 for no word."""
 
@@ -258,7 +280,13 @@ def _match_run(index: Index, seq: np.ndarray, lengths: np.ndarray, base: int, th
         mask = covered(index.words[it], seq[at:min(at + index.window, int(begin[t] + lengths[t]))])
         q = index.question[it]
         parts = [float(m.mean()) if len(m) else 1.0 for m in (mask[:q], mask[q:])]
-        if mask.mean() >= OVERLAP and min(parts) >= PART_OVERLAP:
+        if mask.mean() < OVERLAP:
+            continue
+        if min(parts) < PART_OVERLAP:
+            item, passage = index.words[it], seq[at:min(at + index.window, int(begin[t] + lengths[t]))]
+            parts = [m if m >= PART_OVERLAP else max(m, in_place(item, lo, hi, passage))
+                     for m, lo, hi in zip(parts, (0, q), (q, len(item)))]
+        if min(parts) >= PART_OVERLAP:
             best[t, it] = max(best.get((t, it), (0.0, 0.0, 0.0)), (s, *parts))
     for (t, it), (s, q, a) in sorted(best.items()):
         yield base + t, index.ids[it], s, q, a

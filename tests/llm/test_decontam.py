@@ -134,3 +134,18 @@ def test_stage_drops_only_leaks(spark):
     kept = D.stage(spark, docs, DIR)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - leaks
+
+
+def test_an_intact_short_answer_beside_a_changed_word_counts(spark):
+    q = [f"word{i}" for i in range(41)]
+    item = " ".join(q) + "?\nred green blue grey"
+    changed = " ".join([*q[:40], "other"])
+    docs = [(1, f"before {changed} red green blue grey after"), (2, f"before {changed} answer: red green blue grey after"),
+            (3, f"before {changed} one two three four after"), (4, f"before {changed} after " + "x " * 60 + "red green blue grey"),
+            (5, f"before {' '.join(q)} red green other grey after"),
+            # a short question before a long answer
+            (6, "is it so now other " + " ".join(f"reply{i}" for i in range(1, 41)))]
+    bench = [(10, item), (11, "is it so now?\n" + " ".join(f"reply{i}" for i in range(41)))]
+    got = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert pairs(got) == {(1, 10), (2, 10), (5, 10), (6, 11)}
+    assert all(r.answer_overlap == 1.0 for r in got.collect() if r.doc_id in (1, 2))
