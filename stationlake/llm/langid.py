@@ -27,7 +27,7 @@ GRAM = 3                   # letters of an n-gram
 SEED = 20_240_601
 UNKNOWN = "und"
 KEPT_GRAMS = 20_000        # n-gram vectors one worker remembers (one byte per sign)
-REJECT_BELOW = DIM ** -0.5  # cosine of unrelated vectors, about: the pipeline drops texts below it
+REJECT_BELOW = 3 * DIM ** -0.5  # three standard deviations of the cosine of unrelated vectors: the pipeline drops texts below it
 SPACE = 0                  # one symbol for everything between words
 
 

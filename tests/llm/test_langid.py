@@ -58,3 +58,19 @@ def test_stage_drops_only_unreadable_texts(spark):
     assert kept.columns == docs.columns
     ids = {r.doc_id for r in kept.collect()}
     assert ids == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text)}
+
+
+def test_stage_drops_unlearned_scripts_and_keeps_short_texts(spark):
+    rng = np.random.default_rng(3)
+    scripts = [(0x5D0, 27), (0x3B1, 25), (0x430, 32), (0x4E00, 3000)]
+    text = lambda at, n: " ".join("".join(chr(at + int(c)) for c in rng.integers(0, n, int(rng.integers(2, 10)))) for _ in range(200))
+    odd = [(1_000_000 + 100 * k + i, text(*script)) for k, script in enumerate(scripts) for i in range(100)]
+    short = [(2_000_000 + i, t) for i, t in enumerate(["the dog", "Le chat", "und der Hund", "The end.", "une"])]
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    extra = spark.createDataFrame(odd + short, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "CAST(NULL AS string) AS lang", "'s' AS source", "length(text) AS n_chars")
+    ids = {r.doc_id for r in langid.stage(spark, docs.unionByName(extra), DIR).select("doc_id").collect()}
+    assert {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")} <= ids
+    assert {i for i, _ in short} <= ids
+    for k in range(len(scripts)):  # unrelated vectors reach three standard deviations now and then
+        assert sum((i - 1_000_000) // 100 == k for i in ids if i < 2_000_000 and i >= 1_000_000) <= 3
