@@ -297,9 +297,9 @@ def _match_run(index: Index, seq: np.ndarray, lengths: np.ndarray, base: int, th
 
 def _shards(benchmark: DataFrame) -> list[tuple[int, int, DataFrame]]:
     """(length class, items, their rows) of every shard; the rows of a shard are bounded in words."""
-    counted = F.size(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+"), lambda w: w != ""))
+    counted = F.pandas_udf(lambda texts: texts.map(lambda t: len(normal_words(t))), "long")
     items = staged(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
-                   .withColumn("n_words", counted).where("n_words > 0")
+                   .withColumn("n_words", counted("text")).where("n_words > 0")
                    .withColumn("cls", F.greatest(F.lit(SMALLEST_CLASS), F.ceil(F.log2("n_words"))).cast("int")), "items")
     sizes = items.groupBy("cls").agg(F.sum("n_words").alias("w"), F.max("n_words").alias("m")).orderBy("cls").collect()
     out = []

@@ -149,3 +149,10 @@ def test_an_intact_short_answer_beside_a_changed_word_counts(spark):
     got = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
     assert pairs(got) == {(1, 10), (2, 10), (5, 10), (6, 11)}
     assert all(r.answer_overlap == 1.0 for r in got.collect() if r.doc_id in (1, 2))
+
+
+def test_items_with_other_white_space_are_found_whole(spark):
+    item = "".join(f"w{i}" + ("\u00a0", "\u2009", "\u3000")[i % 3] for i in range(200)) + "end"
+    bench = spark.createDataFrame([(10, item), (11, "a short one\nof two lines")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, "x " * (37 * i) + item + " y" * 90) for i in range(8)], "doc_id long, text string")
+    assert pairs(D.find_leaks(docs, bench)) == {(i, 10) for i in range(8)}
