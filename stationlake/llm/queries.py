@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import bpe, decontam, html_text, iblt, langid, lines, simhash, tokens, toxicity, urlfilter
+from stationlake.llm import (
+    bpe, decontam, fim, html_text, iblt, langid, lines, resample, simhash, tokens, toxicity, urlfilter, warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,10 +23,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": decontam.op8_decontaminate,
         "op9_url_filter": urlfilter.op9_url_filter,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_fill_in_middle": fim.op11_fill_in_middle,
+        "op12_warc": warc.op12_warc,
+        "op13_importance_resampling": resample.op13_importance_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_line_dedup": lines.OP4_SQL,
+        "op11_fill_in_middle": fim.OP11_SQL,
+        "op12_warc": warc.OP12_SQL,
+        "op13_importance_resampling": resample.OP13_SQL,
     }
