@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from stationlake.llm.common import table
 
 CHUNK = 65_536             # units of a piece at most
+TASK_BYTES = 64 << 20      # text that one task assembles
 SEED = 1                   # text before the document's id in the hash that decides cuts and form
 PLAIN_FROM = 90            # percent of documents cut up; the rest stay plain
 SPM_BELOW = 20             # percent of those with the suffix first
@@ -119,8 +120,11 @@ def _sorted_by_place(records: RDD, tasks: int) -> RDD:
     return records.repartitionAndSortWithinPartitions(tasks, _by_document)
 
 
-def _tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _tasks(docs: DataFrame, column: str) -> int:
+    """Tasks to deal the records to: adaptive execution does not size what is dealt by key outside a query, so
+    the text's bytes are summed first."""
+    size = docs.agg(F.sum(F.octet_length(F.col(column).cast("string")).cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
 
 
 def _documents(task: int, rows: Iterator) -> Iterator[tuple[bytes, int | None, tuple]]:
@@ -148,7 +152,7 @@ def output_records(docs: DataFrame, unit: str | None = None, chunk: int = CHUNK,
                 yield (key, 0, place), piece
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return _sorted_by_place(rows.rdd.map(tuple).mapPartitionsWithIndex(cut), _tasks(docs.sparkSession))
+    return _sorted_by_place(rows.rdd.map(tuple).mapPartitionsWithIndex(cut), _tasks(docs, "text"))
 
 
 def _each(records: Iterator, use: Callable) -> Iterator:
@@ -188,7 +192,7 @@ def restore(outputs: DataFrame, chunk: int = CHUNK) -> DataFrame:
         return _each(records, lambda key, head, pieces: [(*head, "".join(pieces))])
 
     rows = outputs.select(F.col("doc_id").cast("long"), "output", "form")
-    records = _sorted_by_place(rows.rdd.map(tuple).mapPartitionsWithIndex(cut), _tasks(outputs.sparkSession))
+    records = _sorted_by_place(rows.rdd.map(tuple).mapPartitionsWithIndex(cut), _tasks(outputs, "output"))
     return outputs.sparkSession.createDataFrame(records.mapPartitions(joined), "doc_id long, text string", verifySchema=False)
 
 
