@@ -36,6 +36,7 @@ DRAW_PERCENT = 10
 SEED = 2024
 HEAD_WORDS = 50_000        # frequent words whose state is broadcast
 HEAD_PAIRS = 50_000        # frequent pairs whose bucket is broadcast
+GROUPS = 64                # the head's words are chosen by groups of their hash
 FLUSH = 1 << 20            # features counted at once
 BLOCK = 1 << 22            # bytes of a text split at once
 
@@ -114,7 +115,7 @@ class Features:
 
 
 def _frequent(docs: DataFrame, run: int, keep: int) -> list[bytes]:
-    """The most frequent words (``run`` 1) or pairs (2). A task keeps at most eight times ``keep`` candidates while it counts
+    """The most frequent words (``run`` 1) or pairs (2) of every hash group. A task keeps at most eight times ``keep`` candidates while it counts
     and passes on twice ``keep``, so nothing grows with the data; what is missed is served by the tail."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,7 +134,10 @@ def _frequent(docs: DataFrame, run: int, keep: int) -> list[bytes]:
             yield pd.DataFrame({"word": [w for w, _ in top], "n": [n for _, n in top]})
 
     counted = docs.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counted.orderBy(F.desc("n"), "word").limit(keep).collect()]  # at most ``keep`` words
+    # the first of each group, so that what the tasks send to the driver adds up to ``keep`` words
+    groups = min(GROUPS, keep)
+    best = Window.partitionBy(F.pmod(F.hash("word"), F.lit(groups))).orderBy(F.desc("n"), "word")
+    return [bytes(r.word) for r in counted.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= keep // groups).collect()]
 
 
 def head_vocabulary(docs: DataFrame, max_run: int = MAX_RUN, buckets: int = BUCKETS, head_words: int = HEAD_WORDS,
