@@ -27,7 +27,10 @@ GRAM = 3                   # letters of an n-gram
 SEED = 20_240_601
 UNKNOWN = "und"
 KEPT_GRAMS = 20_000        # n-gram vectors one worker remembers (one byte per sign)
-REJECT_BELOW = 3 * DIM ** -0.5  # three standard deviations of the cosine of unrelated vectors: the pipeline drops texts below it
+REJECT_BELOW = 3 * DIM ** -0.5  # three standard deviations of the cosine of unrelated vectors
+JUDGED_GRAMS = 40          # the cosine of a text with fewer distinct n-grams says nothing about it
+LETTER_SHARE = 1e-5        # share of a language's letters from which a letter counts as learned
+FOREIGN_SHARE = 0.5        # a text with more letters than this that no language has is foreign
 SPACE = 0                  # one symbol for everything between words
 
 
@@ -91,15 +94,19 @@ class Profiler:
 
     def vector(self, text: str | None) -> np.ndarray | None:
         """Bundle of the text's n-grams as a unit vector; None if it has no letter."""
-        s = symbols(text).astype(np.int64)
+        return self.profile(symbols(text))[0]
+
+    def profile(self, letters: np.ndarray) -> tuple[np.ndarray | None, int]:
+        """The unit vector of a text's ``symbols``, and its number of distinct n-grams."""
+        s = letters.astype(np.int64)
         if len(s) < GRAM:
-            return None
+            return None, 0
         grams, counts = np.unique((s[:-2] << 42) | (s[1:-1] << 21) | s[2:], return_counts=True)
         total = np.zeros(DIM, np.float32)
         for at in range(0, len(grams), 8192):
             total += counts[at:at + 8192].astype(np.float32) @ self._rows(grams[at:at + 8192]).astype(np.float32)
         norm = float(np.sqrt(total @ total))
-        return total / norm if norm else total
+        return (total / norm if norm else total), len(grams)
 
 
 def _profiler() -> Profiler:
@@ -165,6 +172,64 @@ def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], pred_co
     return docs.select(*[f"`{c}`" for c in keep]).mapInPandas(run, f"{schema}, `{pred_col}` string, `{score_col}` double")
 
 
+def learned_letters(docs: DataFrame) -> np.ndarray:
+    """``docs`` (text, lang) → code points of the letters that make up ``LETTER_SHARE`` of some language's letters.
+
+    Letters are counted in every task and added up by language and letter, so what moves is bounded by
+    the number of code points.
+    """
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[str, np.ndarray] = {}
+        for pdf in batches:
+            for text, lang in zip(pdf["text"], pdf["lang"]):
+                have = sums.setdefault(lang, np.zeros(0x110000, np.int64))
+                at = np.bincount(symbols(text), minlength=1)
+                have[:len(at)] += at
+        for lang, have in sums.items():
+            have[SPACE] = 0
+            some = np.flatnonzero(have)
+            yield pd.DataFrame({"lang": lang, "letter": some, "n": have[some]})
+
+    counts = (docs.where(F.col("lang").isNotNull()).select("text", F.col("lang").cast("string").alias("lang"))
+              .mapInPandas(count, "lang string, letter int, n long").groupBy("lang", "letter").agg(F.sum("n").alias("n")))
+    per_lang: dict[str, list] = {}
+    for r in counts.collect():  # one row per language and letter
+        per_lang.setdefault(r.lang, []).append((r.letter, r.n))
+    known = {letter for found in per_lang.values() for letter, n in found if n >= LETTER_SHARE * sum(m for _, m in found)}
+    return np.array(sorted(known), np.uint32)
+
+
+def readable(docs: DataFrame, prototypes: dict[str, np.ndarray], letters: np.ndarray) -> DataFrame:
+    """The rows of ``docs`` in a learned language, as far as their ``text`` allows a judgement.
+
+    A text goes if it has no letter (null and empty texts too), if more than ``FOREIGN_SHARE`` of its letters
+    are not among the learned ``letters``, or if it has ``JUDGED_GRAMS`` distinct n-grams and its cosine with every
+    language is below ``REJECT_BELOW``. Few n-grams, in a short text or in a long one that repeats itself, are
+    no ground to drop it. If nothing was learned, every text goes.
+    """
+    langs = sorted(prototypes)
+    matrix = np.stack([prototypes[k] for k in langs]).astype(np.float32) if langs else np.zeros((0, DIM), np.float32)
+    known = np.zeros(0x110000, bool)
+    known[letters] = True
+
+    def kept(prof: Profiler, text: str | None) -> bool:
+        s = symbols(text)
+        if not langs or not len(s):
+            return False
+        only = s[s != SPACE]
+        if np.count_nonzero(known[only]) < (1 - FOREIGN_SHARE) * len(only):
+            return False
+        v, n_grams = prof.profile(s)
+        return n_grams < JUDGED_GRAMS or float((matrix @ v).max()) >= REJECT_BELOW
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        prof = _profiler()
+        for pdf in batches:
+            yield pdf[[kept(prof, text) for text in pdf["text"]]]
+
+    return docs.mapInPandas(run, docs.schema)
+
+
 def held_out() -> Column:
     """Rows that never teach: crc32 of the id as text, modulo 3, is 1 (a null id's is not)."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -178,7 +243,6 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without any letter, or unlike every learned language, go."""
-    prototypes = train_prototypes(docs.where(~held_out()))
-    judged = predict_language(docs, prototypes, "_lang_pred", "_lang_score")
-    return judged.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= REJECT_BELOW)).select(*docs.columns)
+    """Pipeline stage: documents without any letter, or not in a learned language, go (see ``readable``)."""
+    teach = docs.where(~held_out())
+    return readable(docs, train_prototypes(teach), learned_letters(teach))

@@ -74,3 +74,32 @@ def test_stage_drops_unlearned_scripts_and_keeps_short_texts(spark):
     assert {i for i, _ in short} <= ids
     for k in range(len(scripts)):  # unrelated vectors reach three standard deviations now and then
         assert sum((i - 1_000_000) // 100 == k for i in ids if i < 2_000_000 and i >= 1_000_000) <= 3
+
+
+def test_stage_keeps_short_texts_of_learned_languages_and_drops_short_foreign_ones(spark):
+    """At most 1 % of the texts of one to five words cut from held-out documents go, whatever the size, and nearly no
+    text of a script that was not learned stays, however short."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    teach = docs.where(~langid.held_out())
+    proto, letters = langid.train_prototypes(teach), langid.learned_letters(teach)
+    words = [r.text.split() for r in docs.where(langid.held_out()).where("text IS NOT NULL").collect()]
+    rng = np.random.default_rng(8)
+    clean, foreign = [], []
+    for n in (1, 2, 3, 4, 5, 8, 12, 20, 40):
+        for w in words:
+            at = int(rng.integers(0, max(1, len(w) - n + 1)))
+            text = " ".join(w[at:at + n])
+            if any(c.isalpha() for c in text):
+                clean.append((n, text))
+        for at, m in ((0x5D0, 27), (0x3B1, 25), (0x430, 32), (0x4E00, 3000)):
+            foreign += [(n, " ".join("".join(chr(at + int(c)) for c in rng.integers(0, m, int(rng.integers(2, 10)))) for _ in range(n)))
+                        for _ in range(25)]
+    clean += [(2, "los perros")] * 3 + [(9, "ok ok ok ok ok ok ok ok ok")]
+    for rows, least, most in ((clean, 0.99, 1), (foreign, 0, 0.01)):
+        df = spark.createDataFrame(rows, "n int, text string")
+        had, kept = df.groupBy("n").count(), langid.readable(df, proto, letters).groupBy("n").count()
+        left = {r["n"]: r["count"] for r in kept.collect()}
+        for r in had.collect():
+            share = left.get(r["n"], 0) / r["count"]
+            print(r["n"], r["count"], share)
+            assert least <= share <= most, (r["n"], share)
