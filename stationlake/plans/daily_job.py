@@ -1,5 +1,6 @@
 """The daily job (C14): curate a date range of the raw table, then summarise, report and update
-the station history, every output replaced per date partition so reruns are idempotent.
+the station history. Every output replaces the days of the range as one version of its table, so reruns
+are idempotent and a killed run leaves each table as it was or as it is to be.
 
 Lineage is cut once: the curated rows are written to ``daily_observations`` and the three consumers
 read those date folders back instead of recomputing the hourly pick.
@@ -8,10 +9,10 @@ read those date folders back instead of recomputing the hourly pick.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
-
 import logging
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,7 @@ from stationlake.functions import ntz_literal
 from stationlake.operators import history as hist
 from stationlake.operators.curate import daily_observations
 from stationlake.operators.summarize import daily_summary, quality_report
-from stationlake.sources.tables import (
-    RAW_TABLE_SCHEMA, clear_days, path_exists, read_days, read_raw, read_table, stage,
-)
+from stationlake.sources.tables import RAW_TABLE_SCHEMA, path_exists, read_days, read_raw, read_table, replace_days
 
 HISTORY_MODES = ("upsert", "union_distinct")
 log = logging.getLogger(__name__)
@@ -61,33 +60,14 @@ class Layout:
     def history(self) -> str:
         return self.path("station_history")
 
-    def staging(self, name: str) -> str:
-        """One staging folder per table, overwritten by each run: storage stays bounded, and one
-        job at a time may run on a layout (the nightly schedule runs them one after another)."""
-        return self.path(f"_staging/{name}")
-
-
-def write_days(df: DataFrame, path: str, date_col: str, days: list[dt.date], present: set[dt.date],
-               sort_cols: list[str] | None = None) -> None:
-    """Replace the partitions of ``days``: dynamic overwrite for days with rows, and the folders of
-    requested days that came out empty removed (a dynamic overwrite alone would leave their old
-    rows behind)."""
-    # REBALANCE on the partition column: AQE sizes the write tasks from the real data (few files
-    # per small day) and splits a day that is too big for one task, instead of one file per
-    # (task, day) pair.
-    out = df.hint("rebalance", date_col)
-    out = out.sortWithinPartitions(*sort_cols) if sort_cols else out
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(date_col).parquet(path))
-    clear_days(df.sparkSession, path, [d for d in days if d not in present], date_col)
-
 
 def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts: dt.datetime | None = None,
-             history_mode: str = "upsert", stations=None, exact_distinct: bool = False) -> dict[str, object]:
+             history_mode: str = "upsert", stations=None, exact_distinct: bool = False,
+             step: Callable[[str], None] = lambda at: None) -> dict[str, object]:
     """Process [start, end] (one day when ``end`` is None, every stored day when ``start`` is None).
 
     Returns the processed dates, the audit time used and the rows written per table (observed
-    during the writes, no extra jobs).
+    during the writes, no extra jobs). ``step`` is called between the steps of every table's change.
     """
     if history_mode not in HISTORY_MODES:
         raise ValueError(f"history_mode must be one of {HISTORY_MODES}")
@@ -111,33 +91,30 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.observe(seen[name], F.count(F.lit(1)).alias("n"))
 
-    # Days with raw rows are the days with curated rows: the hourly pick keeps one of every hour.
-    present = set(days) if start is None else {r[0] for r in raw.select("observation_date").distinct().collect()}
-    wrote |= dict.fromkeys(("daily", "summary", "report"), bool(present))
-    write_days(counted(curated, "daily"), layout.daily, "observation_date", days, present, ["station_id", "timestamp"])
-    daily = read_days(spark, layout.daily, sorted(present), curated.schema)
+    def written(df: DataFrame, name: str, path: str, date_col: str, sort_cols: list[str] | None = None) -> None:
+        present = replace_days(counted(df, name), path, date_col, days, sort_cols, lambda at: step(f"{name} {at}"))
+        wrote[name] = bool(present)
+
+    written(curated, "daily", layout.daily, "observation_date", ["station_id", "timestamp"])
+    daily = read_days(spark, layout.daily, days, curated.schema)
 
     def write_summary():
         summary = daily_summary(daily).withColumn("processing_time", ntz_literal(run_ts))
-        write_days(counted(summary, "summary"), layout.summary, "observation_date", days, present, ["station_id"])
+        written(summary, "summary", layout.summary, "observation_date", ["station_id"])
 
     def write_report():
         report = quality_report(daily).withColumn("generated_at", ntz_literal(run_ts))
-        write_days(counted(report, "report"), layout.report, "report_date", days, present)
+        written(report, "report", layout.report, "report_date")
 
     def write_history():
         new = hist.history_rows(daily)
         if stations is not None:
             new = new.where(F.col("station_id").isin(list(stations)))
+        # the old version's folders, which stay while the new version is written beside them
         existing = read_days(spark, layout.history, days, HISTORY_TABLE_SCHEMA)
         merged = (hist.upsert_history(existing, new) if history_mode == "upsert"
                   else hist.union_distinct_history(existing, new))
-        # The history partitions are read above, so the result is staged before replacing them.
-        merged = stage(merged, layout.staging("history"))
-        history_present = {r[0] for r in merged.select("observation_date").distinct().collect()}
-        wrote["history"] = bool(history_present)
-        write_days(counted(merged, "history"), layout.history, "observation_date", days, history_present,
-                   ["station_id", "timestamp"])
+        written(merged, "history", layout.history, "observation_date", ["station_id", "timestamp"])
 
     # The three outputs read only the daily observations (and history its own partitions), so they run
     # as concurrent Spark jobs.
@@ -222,7 +199,7 @@ def main(argv: list[str] | None = None) -> None:
 
         layout = Layout(a.root)
         day = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=a.compact_days_ago)
-        print("compacted", compact_days(spark, layout.raw, [day], layout.path("_staging")))
+        print("compacted", compact_days(spark, layout.raw, [day]))
 
 
 if __name__ == "__main__":

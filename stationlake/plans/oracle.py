@@ -344,6 +344,7 @@ def oracle_sql() -> dict[str, str]:
         f"{acc},\nh as (select {RAW_LIST} from (select *, row_number() over (partition by station_id, "
         f"date_trunc('hour', timestamp) order by {TIE_BREAK}) as rn from acc) x where rn = 1)\n"
         f"select {RAW_LIST},\n    {FLAGS_SQL}\nfrom h")
+    q["stream_curated_day"] = f"select * from ({q['stream_curated']}) where cast(timestamp as date) = date '2024-01-15'"
     q["stream_dedup"] = (
         f"{acc}\nselect {RAW_LIST} from (select *, row_number() over (partition by station_id, timestamp "
         f"order by {FIRST_ORDER}) as rn from acc) x where rn = 1")
@@ -389,6 +390,13 @@ timely as (select * from rawk where k <> 71)""" + curated_ctes("timely")
         f"from (with {timely} select * from daily) where not ({rerun})\nunion all\n"
         f"select {HIST_COLS}, timestamp '2024-02-01 01:00:00', cast(timestamp as date) "
         f"from (with {DAILY_CTE} select * from daily) where {rerun}")
+    per_day = lambda stopped, what, late: (
+        f"select '{stopped}' as stopped, '{what}' as what, cast(timestamp as date) as observation_date, count(*) as n, "
+        f"count(distinct station_id) as stations, {late} as processing_time from daily group by all")
+    new = f"case when {rerun} then timestamp '2024-02-01 01:00:00' else timestamp '2024-01-31 01:00:00' end"
+    q["stored_interrupted_backfill"] = f"with {DAILY_CTE}\n" + "\nunion all\n".join([
+        per_day("history written", "daily_observations", new), per_day("history written", "station_history", "timestamp '2024-01-31 01:00:00'"),
+        per_day("end", "daily_observations", new), per_day("end", "station_history", new)])
     q["stored_history_union_rerun"] = f"with {DAILY_CTE}\n{first}\nunion\n{second}"
     q["trend_display"] = (
         f"with {DAILY_CTE}{TREND_CTE}\nselect station_id, {_text('avg(temperature)', '°C')} as avg_temperature_text, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +20,20 @@ RERUN = dt.datetime(2024, 2, 1, 1, 0)
 RERUN_FROM, RERUN_TO = "2024-01-16", "2024-01-30"
 
 
+class Interrupted(RuntimeError):
+    """Stands for a killed run."""
+
+
+def interrupted(run, stop: str | None) -> None:
+    """Call ``run(step)``, ending it after the step ``stop``."""
+    def step(at: str) -> None:
+        if at == stop:
+            raise Interrupted(at)
+
+    with contextlib.suppress(Interrupted):
+        run(step)
+
+
 def _loaded(spark: SparkSession, sf_dir: str, name: str) -> Layout:
     layout = Layout(shared_dir(spark, name))
     append_batch(raw_observations(spark, sf_dir), layout.raw, 0)
@@ -28,13 +43,13 @@ def _loaded(spark: SparkSession, sf_dir: str, name: str) -> Layout:
 def q_stored_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _loaded(spark, sf_dir, "stored-summary")
     run_days(spark, layout, run_ts=FIRST_RUN)
-    return spark.read.parquet(layout.summary).drop("processing_time")
+    return read_table(spark, layout.summary).drop("processing_time")
 
 
 def q_stored_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _loaded(spark, sf_dir, "stored-report")
     run_days(spark, layout, run_ts=FIRST_RUN)
-    return spark.read.parquet(layout.report).drop("generated_at")
+    return read_table(spark, layout.report).drop("generated_at")
 
 
 def _rerun_history(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
@@ -66,24 +81,42 @@ def q_stored_history_late_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stored_compacted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A raw table landed in three batches by two sources, every day compacted, twice."""
+    """A raw table landed in three batches by two sources, every day compacted: stopped after each step in turn,
+    run to its end, and run once more."""
     layout = Layout(shared_dir(spark, "stored-compacted"))
     rows = raw_observations(spark, sf_dir)
     part = F.pmod(F.xxhash64("station_id", "timestamp", "ingestion_time"), F.lit(3))
     for n, (source, batch) in enumerate([("a", 0), ("a", 1), ("b", 0)]):
         append_batch(rows.where(part == n), layout.raw, batch, source_id=source)
     days = [r[0] for r in read_raw(spark, layout.raw).select("observation_date").distinct().collect()]
-    for _ in range(2):
-        compact_days(spark, layout.raw, days, layout.path("_staging"), today=dt.date(2024, 3, 1))
+    for stop in ("marked", "written", "committed", None, None):
+        interrupted(lambda step: compact_days(spark, layout.raw, days, today=dt.date(2024, 3, 1), step=step), stop)
     return read_raw(spark, layout.raw).select(*RAW_COLUMNS)
 
 
+def q_stored_interrupted_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily observations and history after a rerun of half the month that was stopped between writing and
+    committing the history, read as they stand, and again after the rerun that ends it."""
+    layout = _loaded(spark, sf_dir, "stored-interrupted")
+    run_days(spark, layout, run_ts=FIRST_RUN)
+    out = None
+    for stop in ("history written", None):
+        interrupted(lambda step: run_days(spark, layout, RERUN_FROM, RERUN_TO, run_ts=RERUN, step=step), stop)
+        for name, path in (("daily_observations", layout.daily), ("station_history", layout.history)):
+            rows = read_table(spark, path).groupBy("observation_date").agg(
+                F.count("*").alias("n"), F.count_distinct("station_id").alias("stations"), F.max("processing_time").alias("processing_time"))
+            rows = rows.select(F.lit(stop or "end").alias("stopped"), F.lit(name).alias("what"), "*")
+            # the folders that a version no longer needs go with later versions, so the counts are kept
+            rows = spark.createDataFrame(rows.collect(), rows.schema)  # one row per day
+            out = rows if out is None else out.union(rows)
+    return out
+
+
 def q_stored_read_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day of the stored daily observations."""
     layout = _loaded(spark, sf_dir, "stored-day")
     run_days(spark, layout, run_ts=FIRST_RUN)
-    schema = spark.read.parquet(layout.daily).schema
-    return read_day(spark, layout.daily, "2024-01-15", schema).select(*DAILY_COLUMNS)
+    return read_day(spark, layout.daily, "2024-01-15").select(*DAILY_COLUMNS)
 
 
 def q_stored_missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,14 +150,15 @@ def q_stored_order_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = F.struct("station_id", "timestamp")
     latest = views.latest_table(views.latest_by_station(read_raw(spark, layout.raw)))
     newest_first = F.struct((-F.unix_micros(F.col("timestamp").cast("timestamp"))).alias("t"), "station_id")
-    return (inversions("daily_observations", spark.read.parquet(layout.daily), F.input_file_name(), stored)
-            .union(inversions("station_history", spark.read.parquet(layout.history), F.input_file_name(), stored))
+    return (inversions("daily_observations", read_table(spark, layout.daily), F.input_file_name(), stored)
+            .union(inversions("station_history", read_table(spark, layout.history, HISTORY_TABLE_SCHEMA), F.input_file_name(), stored))
             .union(inversions("latest_table", latest, F.spark_partition_id().cast("string"), newest_first)))
 
 
 STORED_QUERIES = {
     "stored_history_late_row": q_stored_history_late_row,
     "stored_compacted_rows": q_stored_compacted_rows,
+    "stored_interrupted_backfill": q_stored_interrupted_backfill,
     "stored_read_day": q_stored_read_day,
     "stored_missing_counts": q_stored_missing_counts,
     "stored_station_history": q_stored_station_history,

@@ -97,7 +97,8 @@ def _winners(spark: SparkSession, sf_dir: str, name: str, rule) -> str:
     root = shared_dir(spark, name)
     src = _message_files(spark, sf_dir, root)
     stream = landing.cleansed_stream(value_stream(spark, "text", src, max_per_trigger=FILES_PER_TRIGGER))
-    _await(landing.keep_winners(stream, rule, f"{root}/out", f"{root}/_checkpoint"))
+    # a fan-in of two: a few batches already fill several levels
+    _await(landing.keep_winners(stream, rule, f"{root}/out", f"{root}/_checkpoint", fan_in=2))
     return f"{root}/out"
 
 
@@ -114,6 +115,11 @@ def q_stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.curated_observations(spark, _winners(spark, sf_dir, "curated", hourly_latest)).select(*DAILY_COLUMNS)
 
 
+def q_stream_curated_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of the stream's curated rows: only that day's merged folders are read."""
+    return landing.curated_observations(spark, _winners(spark, sf_dir, "curated-day", hourly_latest), "2024-01-15").select(*DAILY_COLUMNS)
+
+
 def q_stream_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "flags")
     src = _message_files(spark, sf_dir, root)
@@ -134,6 +140,7 @@ STREAM_QUERIES = {
     "stream_dedup": q_stream_dedup,
     "stream_quality_flags": q_stream_quality_flags,
     "stream_curated": q_stream_curated,
+    "stream_curated_day": q_stream_curated_day,
     "producer_messages": q_producer_messages,
     "payload_landed_rows": q_payload_landed_rows,
 }

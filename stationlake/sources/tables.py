@@ -4,18 +4,25 @@ Layout: ``<table>/observation_date=YYYY-MM-DD/[source_id=S/batch_id=N/]part-*.pa
 stored column because parquet has no partition transforms; readers of a date range are pointed at
 those folders alone, and a half-open ``timestamp`` range on top is pushed to row groups. A landed
 batch is known by its source (the streaming query's own id, kept in its checkpoint) and its number
-there, so two sources, or a source begun anew, never overwrite each other.
+there, so two sources, or a source begun anew, never overwrite each other. Tables whose days are
+replaced or whose batches are merged have versions (``versions``); every reader here resolves the
+live folders through them, so such a table is to be read by these functions.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.schemas import RAW_SCHEMA
+from stationlake.sources import versions
 
 _BATCH_FIELDS = [T.StructField("source_id", T.StringType(), True), T.StructField("batch_id", T.LongType(), True)]
 RAW_TABLE_SCHEMA = T.StructType([
@@ -55,24 +62,55 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def _read(spark: SparkSession, path: str, schema: T.StructType | None, folders: list[str] | None = None,
-          merge_schema: bool = False) -> DataFrame:
-    """The table at ``path``, or only some of its ``folders``; what does not exist reads as empty (S13),
-    and every other error of a read is raised."""
-    there = [f for f in (folders if folders is not None else [path]) if path_exists(spark, f)]
-    if not there and schema is not None:
-        return spark.createDataFrame([], schema)
+def _live_folders(spark: SparkSession, path: str, version: versions.Version, days: list[str] | None) -> list[list[str]]:
+    """Folders to read for ``days`` (None: all), by their depth below the table: a reader takes one depth at a time."""
+    if version.days is not None:
+        wanted = sorted(version.days) if days is None else [d for d in days if d in version.days]
+        plain = [versions.day_folder(path, version.column, d) for d in wanted if not version.days[d]]
+        labelled = [versions.day_folder(path, version.column, d, version.days[d]) for d in wanted if version.days[d]]
+        return [f for f in (plain, labelled) if f]
+    mark = f"{version.column}="
+    if days is None:
+        days = [n.removeprefix(mark) for n in versions.names(spark, path) if n.startswith(mark)]
+    folders = []
+    for day in days:
+        if day in version.merged or day in version.pending:
+            folders += [versions.batch_folder(path, day, s, b) for s, b in versions.batches(spark, path, day) if version.live(day, s, b)]
+        elif path_exists(spark, versions.day_folder(path, version.column, day)):
+            folders.append(versions.day_folder(path, version.column, day))
+    return [folders] if folders else []
+
+
+def _load(spark: SparkSession, path: str, schema: T.StructType | None, folders: list[str], merge_schema: bool = False) -> DataFrame:
     reader = spark.read.option("basePath", path)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     elif schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*(there or [path]))
+    return reader.parquet(*folders)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType | None, days: list[str] | None = None,
+          date_col: str = "observation_date", merge_schema: bool = False) -> DataFrame:
+    """The live rows of the table at ``path``, or of some of its days; what does not exist reads as empty (S13), and
+    every other error of a read is raised."""
+    path = path.rstrip("/")
+    version = versions.current(spark, path)
+    if version is None:
+        folders = [path] if days is None else [versions.day_folder(path, date_col, d) for d in days]
+        there = [f for f in folders if path_exists(spark, f)]
+        if not there and schema is not None:
+            return spark.createDataFrame([], schema)
+        return _load(spark, path, schema, there or [path], merge_schema)
+    if schema is None and version.schema is not None:
+        schema = T.StructType.fromJson(version.schema)
+    parts = [_load(spark, path, schema, f, merge_schema) for f in _live_folders(spark, path, version, days)]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out.select(*schema.names) if schema is not None and not merge_schema else out
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -85,84 +123,160 @@ def read_raw(spark: SparkSession, path: str, merge_schema: bool = False) -> Data
     return _read(spark, path, RAW_TABLE_SCHEMA, merge_schema=merge_schema)
 
 
-def day_folder(path: str, day, date_col: str = "observation_date") -> str:
-    return f"{path.rstrip('/')}/{date_col}={_date_text(day)}"
-
-
-def read_days(spark: SparkSession, path: str, days: list, schema: T.StructType,
+def read_days(spark: SparkSession, path: str, days: list, schema: T.StructType | None,
               date_col: str = "observation_date") -> DataFrame:
     """Some date partitions of a table (S12): only their folders are listed and read, whatever else the
     table holds. Missing table or days → no rows, with the declared schema."""
-    return _read(spark, path, schema, [day_folder(path, d, date_col) for d in days])
+    return _read(spark, path, schema, [_date_text(d) for d in days], date_col)
 
 
-def read_day(spark: SparkSession, path: str, day, schema: T.StructType, date_col: str = "observation_date") -> DataFrame:
+def read_day(spark: SparkSession, path: str, day, schema: T.StructType | None = None, date_col: str = "observation_date") -> DataFrame:
     """One date partition of a table."""
     return read_days(spark, path, [day], schema, date_col)
 
 
-def clear_days(spark: SparkSession, path: str, days: list, date_col: str = "observation_date") -> None:
-    """Empty date partitions (S10/S11): their folders go. File-system calls only, no Spark job."""
-    for d in days:
-        _remove(spark, day_folder(path, d, date_col))
+def _no_step(name: str) -> None:
+    """Called between the steps of a change; tests stop the run there."""
+
+
+def replace_days(df: DataFrame, path: str, date_col: str, days: list, sort_cols: list[str] | None = None,
+                 step: Callable[[str], None] = _no_step) -> list[str]:
+    """Replace the partitions of ``days`` by the rows of ``df``, as one step (S10/S11); the days that have rows now.
+
+    The rows are written under a new label beside the live folders, and one manifest makes them live for all
+    days; days that came out empty are empty from then on. ``df`` may read the very table, whose
+    folders stay until later versions. One writer at a time may change a table.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    texts = [_date_text(d) for d in days]
+    base = versions.adopt(spark, path, date_col)
+    label = f"{base.number + 1}-{uuid.uuid4().hex[:8]}"
+    # REBALANCE on the partition column: AQE sizes the write tasks from the real data (few files per
+    # small day) and splits a day that is too big for one task, instead of one file per (task, day)
+    # pair.
+    out = df.withColumn("version", F.lit(label)).hint("rebalance", date_col)
+    out = out.sortWithinPartitions(*sort_cols) if sort_cols else out
+    out.write.mode("append").partitionBy(date_col, "version").parquet(path)
+    step("written")
+    done = versions.commit_days(spark, path, base, label, texts, df.schema)
+    step("committed")
+    versions.clean_days(spark, path, texts)
+    step("cleaned")
+    return [d for d in texts if d in done.days]
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to a staging folder and return a DataFrame reading it back.
+    """Write ``df`` to a folder of the cluster's shared storage and return a DataFrame reading it back.
 
-    Cuts the lineage (no recompute by later jobs, nothing re-read from a table being replaced)
-    in the cluster-shared folder, so it survives executor loss unlike a local checkpoint.
+    Cuts the lineage: later jobs recompute nothing, and a lost executor costs nothing written.
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-COMPACTED_SOURCE, COMPACTED_BATCH = "compacted", -1
+def merge_batches(spark: SparkSession, path: str, inputs: dict[str, list[tuple[str, int]]], levels: dict[str, int],
+                  rule: Callable[[DataFrame], DataFrame] | None = None, parallel: int = 4,
+                  step: Callable[[str], None] = _no_step) -> None:
+    """Replace, for every day of ``inputs``, the named live batches by one merged batch, as one step for all days.
 
+    ``rule`` reduces the merged rows (stream winners); without one every row is kept, and the number of
+    rows is compared before anything goes live. What a killed run left half-written is removed first.
+    """
+    path = path.rstrip("/")
+    base = versions.current(spark, path) or versions.Version()
+    for day, batch in base.pending.items():  # never live
+        versions.remove(spark, versions.batch_folder(path, day, versions.MERGED_SOURCE, batch))
+    lowest = min([0, *(b for bs in inputs.values() for s, b in bs if s == versions.MERGED_SOURCE)])
+    new = min(-(base.number + 1), lowest - 1)
+    marked = versions.commit(spark, path, replace(base, number=base.number + 1, pending=dict.fromkeys(inputs, new)))
+    step("marked")
+
+    def write(day: str) -> None:
+        folders = [versions.batch_folder(path, day, s, b) for s, b in inputs[day]]
+        # merged schema: batches landed with other columns keep them
+        rows = _load(spark, path, None, folders, merge_schema=True).drop("observation_date", "source_id", "batch_id")
+        target = versions.batch_folder(path, day, versions.MERGED_SOURCE, new)
+        out = rows if rule is None else rule(rows)
+        out.hint("rebalance").sortWithinPartitions("station_id", "timestamp").write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(target)
+        if rule is None and (had := rows.count()) != (got := spark.read.parquet(target).count()):
+            raise RuntimeError(f"merging {day} wrote {got} of {had} rows; the table is as before")
 
-def compact_days(spark: SparkSession, path: str, days, staging_root: str, min_age_days: int = 2,
-                 today: dt.date | None = None, parallel: int = 4) -> dict[str, int]:
-    """Fold each closed day's batch folders of a landed table into one compacted batch.
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(write, inputs))
+    step("written")
+    done = marked
+    for day, found in inputs.items():
+        done = versions.fold(done, day, new, levels[day], found)
+    done = versions.commit(spark, path, replace(done, number=marked.number + 1, pending={}))
+    step("committed")
+    versions.clean_batches(spark, path, done, list(inputs))
+    step("cleaned")
+
+
+def live_batches(spark: SparkSession, path: str, day: str, version: versions.Version | None) -> list[tuple[str, int]]:
+    found = versions.batches(spark, path.rstrip("/"), day)
+    return found if version is None else [(s, b) for s, b in found if version.live(day, s, b)]
+
+
+def compact_days(spark: SparkSession, path: str, days, min_age_days: int = 2, today: dt.date | None = None,
+                 parallel: int = 4, step: Callable[[str], None] = _no_step) -> dict[str, int]:
+    """Fold each closed day's batch folders of a landed table into one compacted batch; rows per day.
 
     Landing writes one folder per micro-batch and day (what makes replays exact); a day of
     per-minute triggers is ~1,440 folders, which whole-table listings pay for. Compaction rewrites
-    a day as one batch with right-sized files (REBALANCE). Only that day's folder is read; the day
-    is staged in the shared folder, replaced from there, and the stage is removed once the day holds
-    as many rows as before. A day that is already one compacted batch is left alone. Only days at
-    least ``min_age_days`` old are touched, so a replay of a recent batch still overwrites its own
-    folder; replaying a batch of a compacted day would add its rows again.
+    a day as one batch with right-sized files (REBALANCE), all days going live in one manifest, so a
+    run killed anywhere loses and doubles nothing and a rerun finishes it. Only those days' folders
+    are read. A day that is already one compacted batch is left alone. A replay of a compacted batch
+    lands beside the compacted one and is not read. Only days at least ``min_age_days`` old are
+    touched: a batch must have landed whole before it is folded.
     """
     today = today or dt.datetime.now(dt.timezone.utc).date()
     todo = [dt.date.fromisoformat(_date_text(d)) for d in days]
     too_new = [d for d in todo if (today - d).days < min_age_days]
     if too_new:
         raise ValueError(f"refusing to compact days newer than {min_age_days} days: {too_new}")
+    texts = [d.isoformat() for d in todo]
+    version = versions.current(spark, path.rstrip("/"))
+    live = {d: live_batches(spark, path, d, version) for d in texts}
+    inputs = {d: bs for d, bs in live.items() if bs and (len(bs) > 1 or bs[0][0] != versions.MERGED_SOURCE)}
+    if inputs:
+        merge_batches(spark, path, inputs, dict.fromkeys(inputs, TOP_LEVEL), None, parallel, step)
+    rest = [d for d in texts if d not in inputs and live[d]]
+    if version is not None and rest:  # what a killed run did not remove
+        versions.clean_batches(spark, path.rstrip("/"), versions.current(spark, path.rstrip("/")), rest)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        counts = list(pool.map(lambda d: _read(spark, path, RAW_TABLE_SCHEMA, [d]).count() if live[d] else 0, texts))
+    return dict(zip(texts, counts))
 
-    def one(day: dt.date) -> int:
-        folder = day_folder(path, day)
-        if not path_exists(spark, folder):  # nothing landed that day
-            return 0
-        # merged schema: batches landed with extra fields keep them through compaction
-        landed = _read(spark, path, None, [folder], merge_schema=True)
-        batches = [tuple(r) for r in landed.select("source_id", "batch_id").distinct().take(2)]
-        if batches == [(COMPACTED_SOURCE, COMPACTED_BATCH)]:
-            return landed.count()
-        stage_path = f"{staging_root.rstrip('/')}/compact/observation_date={day.isoformat()}"
-        staged = stage(landed.drop("observation_date", "source_id", "batch_id"), stage_path)
-        n = staged.count()
-        out = (staged.withColumn("source_id", F.lit(COMPACTED_SOURCE))
-               .withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("bigint")).hint("rebalance"))
-        # static: the day's old batch folders go, whatever overwrite mode the session has
-        (out.sortWithinPartitions("station_id", "timestamp").write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy("source_id", "batch_id").parquet(folder))
-        left = _read(spark, path, None, [folder]).count()
-        if left != n:
-            raise RuntimeError(f"compacting {day} left {left} of {n} rows; the whole day is staged at {stage_path}")
-        _remove(spark, stage_path)
-        return n
-
-    from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        counts = list(pool.map(one, todo))
-    return {d.isoformat(): n for d, n in zip(todo, counts)}
+FAN_IN = 8      # live batches of one level that a day may have
+TOP_LEVEL = 99  # of a closed day's single batch
+
+
+def merge_levels(spark: SparkSession, path: str, days: list[str], rule: Callable[[DataFrame], DataFrame], source: str,
+                 fan_in: int = FAN_IN, step: Callable[[str], None] = _no_step) -> list[str]:
+    """Merge the batches that ``source`` landed in ``days`` by levels; the days that were merged.
+
+    ``fan_in`` landed batches of a day become one of level 1, ``fan_in`` of level 1 one of level 2, and so on, each
+    reduced by ``rule``. So a day has fewer than ``fan_in`` folders of each level, a number that grows as
+    the logarithm of its batches, and a row is rewritten once a level. Batches of other sources are left
+    to their own query, which alone knows that they have landed whole.
+    """
+    path = path.rstrip("/")
+    version = versions.current(spark, path) or versions.Version()
+    inputs, levels = {}, {}
+    for day in days:
+        by_level: dict[int, list[tuple[str, int]]] = {}
+        for s, b in live_batches(spark, path, day, version):
+            if s in (source, versions.MERGED_SOURCE):
+                by_level.setdefault(version.merged.get(day, {}).get(str(b), TOP_LEVEL) if s == versions.MERGED_SOURCE else 0, []).append((s, b))
+        level, found = 0, by_level.get(0, [])
+        if len(found) < fan_in:
+            continue
+        while len(more := by_level.get(level + 1, [])) + 1 >= fan_in:  # the new one fills the next level
+            level, found = level + 1, found + more
+        inputs[day], levels[day] = found, level + 1
+    if inputs:
+        merge_batches(spark, path, inputs, levels, rule, step=step)
+    return sorted(inputs)

@@ -7,7 +7,8 @@ Progress lives in the checkpoint, so a restarted query resumes where the last co
 ended (at-least-once delivery, exactly-once tables).
 
 De-duplication and the hourly pick keep *winners*: each batch is reduced to its own winners before
-it is appended, and readers reduce the stored winners once more. So a row that comes hours late
+it is appended, a day's batches are merged by levels as they come, and readers reduce the stored winners
+once more, of the days they ask for. So a row that comes hours late
 still changes its closed hour, the newest hours are there after every batch, and no state grows with
 the stream; a watermark would drop the one and hold back the other.
 """
@@ -26,7 +27,8 @@ from stationlake.operators.cleanse import check_messages, cleanse, split_checked
 from stationlake.operators.curate import flag_quality, hourly_latest
 from stationlake.schemas import RAW_COLUMNS
 from stationlake.sources.messages import decode_messages
-from stationlake.sources.tables import DEFAULT_SOURCE, RAW_TABLE_SCHEMA, append_batch, read_table
+from stationlake.sources.tables import DEFAULT_SOURCE, FAN_IN, RAW_TABLE_SCHEMA, append_batch, merge_levels, read_days, read_table
+from stationlake.sources.versions import ConcurrentCommit
 
 log = logging.getLogger(__name__)
 
@@ -101,24 +103,41 @@ def first_deliveries(obs: DataFrame) -> DataFrame:
 
 
 def keep_winners(obs: DataFrame, rule: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
-                 trigger: str | None = "availableNow") -> StreamingQuery:
+                 trigger: str | None = "availableNow", fan_in: int = FAN_IN) -> StreamingQuery:
     """Append each micro-batch's winners under ``rule`` (``first_deliveries`` for T5, ``hourly_latest`` for
-    T7) to the table at ``path``, keyed by query and batch id."""
+    T7) to the table at ``path``, keyed by query and batch id, and merge the days it touched by levels.
+
+    A day so keeps fewer than ``fan_in`` folders a level however many batches it has. Merging is upkeep: if
+    another query commits a version first, it is left to the next batch.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch(rule(batch.select(*RAW_COLUMNS)), path, batch_id, "timestamp", _query_id(batch))
+        source = _query_id(batch)
+        seen = Observation(f"days_{batch_id}")
+        winners = rule(batch.select(*RAW_COLUMNS))
+        # one value per day in the batch
+        days = F.collect_set(F.date_format("timestamp", "yyyy-MM-dd")).alias("days")
+        append_batch(winners.observe(seen, days, F.count(F.lit(1)).alias("n")), path, batch_id, "timestamp", source)
+        touched = [d for d in (seen.get.get("days") or []) if d]
+        try:
+            merge_levels(batch.sparkSession, path, sorted(touched), rule, source, fan_in)
+        except ConcurrentCommit as e:
+            log.warning("batch %s: %s; merging later", batch_id, e)
 
     writer = obs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, trigger).start()
 
 
-def read_winners(spark: SparkSession, path: str, rule: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The winners over all batches: the winners among the batches' winners."""
-    return rule(read_table(spark, path, RAW_TABLE_SCHEMA).select(*RAW_COLUMNS))
+def read_winners(spark: SparkSession, path: str, rule: Callable[[DataFrame], DataFrame], days: list | None = None) -> DataFrame:
+    """The winners over all batches, or over those of some ``days``: the winners among the stored winners. A rule's
+    groups lie within a day, so each day stands by itself and only its folders are listed."""
+    stored = read_table(spark, path, RAW_TABLE_SCHEMA) if days is None else read_days(spark, path, days, RAW_TABLE_SCHEMA)
+    return rule(stored.select(*RAW_COLUMNS))
 
 
-def curated_observations(spark: SparkSession, path: str) -> DataFrame:
-    """The daily observations of a stream kept under ``hourly_latest`` (C5 = T7 + T8): flagged and scored."""
-    return flag_quality(read_winners(spark, path, hourly_latest)).withColumn("observation_date", F.to_date("timestamp"))
+def curated_observations(spark: SparkSession, path: str, day=None) -> DataFrame:
+    """The daily observations (of one ``day``) of a stream kept under ``hourly_latest`` (C5 = T7 + T8): flagged and scored."""
+    winners = read_winners(spark, path, hourly_latest, None if day is None else [day])
+    return flag_quality(winners).withColumn("observation_date", F.to_date("timestamp"))
 
 
 def flagged_stream(obs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ def _rows(df):
 
 
 def _snapshot(spark, lay):
-    return {name: _rows(spark.read.parquet(p)) for name, p in
+    return {name: _rows(read_table(spark, p)) for name, p in
             [("daily", lay.daily), ("summary", lay.summary), ("report", lay.report), ("history", lay.history)]}
 
 
@@ -27,8 +27,8 @@ def test_rerun_is_idempotent_and_empty_day_clears(spark, workdir):
     assert _snapshot(spark, lay) == once
     # a day with no raw rows leaves empty partitions, and replaces anything that was there
     run_day(spark, lay, "2024-03-01", run_ts=ts)
-    assert spark.read.parquet(lay.daily).where("observation_date = '2024-03-01'").count() == 0
-    assert spark.read.parquet(lay.daily).count() == len(once["daily"])
+    assert read_table(spark, lay.daily).where("observation_date = '2024-03-01'").count() == 0
+    assert read_table(spark, lay.daily).count() == len(once["daily"])
 
 
 def test_upsert_history_keeps_latest_run(spark, workdir):

@@ -164,16 +164,14 @@ def test_compaction_folds_batches_without_changing_rows(spark, workdir):
     batches = lambda: {f"{s}/{b}" for s in os.listdir(folder) if "=" in s for b in os.listdir(f"{folder}/{s}") if "=" in b}
     assert len(batches()) == 3
     for _ in range(2):  # the second run changes nothing
-        counts = compact_days(spark, f"{workdir}/raw", [day], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
+        counts = compact_days(spark, f"{workdir}/raw", [day], today=dt.date(2024, 2, 1))
         assert batches() == {"source_id=compacted/batch_id=-1"}
         assert plain() == before and counts[day] > 0 and extras() == kept > 0
-    assert not os.path.exists(f"{workdir}/_staging/compact/observation_date={day}")
-    assert compact_days(spark, f"{workdir}/raw", ["2023-06-01"], f"{workdir}/_staging",
-                        today=dt.date(2024, 2, 1)) == {"2023-06-01": 0}
+    assert compact_days(spark, f"{workdir}/raw", ["2023-06-01"], today=dt.date(2024, 2, 1)) == {"2023-06-01": 0}
     assert not os.path.exists(f"{workdir}/raw/observation_date=2023-06-01")
     import pytest
     with pytest.raises(ValueError):
-        compact_days(spark, f"{workdir}/raw", ["2024-01-31"], f"{workdir}/_staging", today=dt.date(2024, 2, 1))
+        compact_days(spark, f"{workdir}/raw", ["2024-01-31"], today=dt.date(2024, 2, 1))
 
 
 def test_keyed_messages_keep_their_key(spark, workdir):
