@@ -42,13 +42,35 @@ def poll_outcome_counts(catalog: DataFrame, obs: DataFrame) -> DataFrame:
                      "observation_date")
 
 
-def poll_cycle_outcomes(catalog: DataFrame, obs: DataFrame, minutes: int = POLL_INTERVAL_MINUTES) -> DataFrame:
-    """The same per poll cycle of ``minutes``, by ingestion time, cycles in which nothing came included."""
-    start = F.window("ingestion_time", f"{minutes} minutes")["start"].cast("timestamp_ntz")
-    seen = obs.select(start.alias("cycle_start"), "station_id")
+CYCLES_PER_BLOCK = 4096
+
+
+def cycle_calendar(ends: DataFrame, minutes: int) -> DataFrame:
+    """Every cycle start from ``a`` to ``b`` of the one row of ``ends``, made where it is used.
+
+    Only the starts of blocks of cycles come from one row; they are dealt out, and each task counts through
+    its blocks. A bad ingestion time that lies centuries off so adds blocks to every task, not an array of
+    millions to one.
+    """
+    block = f"make_interval(0, 0, 0, 0, 0, {minutes * CYCLES_PER_BLOCK}, 0)"
+    blocks = ends.select("b", F.explode(F.expr(f"sequence(a, b, {block})")).alias("from"))
+    upto = F.expr(f"least(b, `from` + make_interval(0, 0, 0, 0, 0, {minutes * (CYCLES_PER_BLOCK - 1)}, 0))")
+    return (blocks.select("from", upto.alias("to")).repartition("from")
+            .select(F.explode(F.expr(f"sequence(`from`, `to`, make_interval(0, 0, 0, 0, 0, {minutes}, 0))")).alias("cycle_start")))
+
+
+def poll_cycle_outcomes(catalog: DataFrame, obs: DataFrame, minutes: int = POLL_INTERVAL_MINUTES, start=None, end=None) -> DataFrame:
+    """The same per poll cycle of ``minutes``, by ingestion time, cycles in which nothing came included.
+
+    ``start`` and ``end`` bound the cycles to the feed's own period; without them the first and the last
+    ingestion time do.
+    """
+    at = F.window("ingestion_time", f"{minutes} minutes")["start"].cast("timestamp_ntz")
+    seen = obs.select(at.alias("cycle_start"), "station_id")
+    for bound, keep in ((start, F.col("cycle_start") >= F.lit(start).cast("timestamp_ntz")), (end, F.col("cycle_start") <= F.lit(end).cast("timestamp_ntz"))):
+        seen = seen if bound is None else seen.where(keep)
     ends = seen.agg(F.min("cycle_start").alias("a"), F.max("cycle_start").alias("b")).where("a IS NOT NULL")
-    calendar = ends.select(F.explode(F.expr(f"sequence(a, b, interval {minutes} minutes)")).alias("cycle_start"))
-    return _outcomes(catalog, seen, calendar, "cycle_start")
+    return _outcomes(catalog, seen, cycle_calendar(ends, minutes), "cycle_start")
 
 
 def _outcomes(catalog: DataFrame, seen: DataFrame, calendar: DataFrame, period: str) -> DataFrame:

@@ -88,3 +88,29 @@ def test_day_filter_and_audit_time_ignore_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want and len(got) > 0
+
+
+def test_cycle_calendar_is_dealt_out(spark):
+    """A bad ingestion time far off gives every cycle between once, and no task more than a few blocks."""
+    import datetime as dt
+
+    from stationlake.operators import lookup
+
+    ends = spark.createDataFrame([(dt.datetime(1970, 1, 1), dt.datetime(2024, 1, 1, 3, 20))], "a timestamp_ntz, b timestamp_ntz")
+    cycles = lookup.cycle_calendar(ends, 10)
+    n = int((dt.datetime(2024, 1, 1, 3, 20) - dt.datetime(1970, 1, 1)).total_seconds() // 600) + 1
+    got = cycles.selectExpr("count(*) AS n", "count(DISTINCT cycle_start) AS d", "min(cycle_start) AS a", "max(cycle_start) AS b").first()
+    assert (got.n, got.d, got.a, got.b) == (n, n, dt.datetime(1970, 1, 1), dt.datetime(2024, 1, 1, 3, 20))
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = [r["count"] for r in cycles.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(parts) == 8 and max(parts) < n / 4
+    cat = spark.createDataFrame([(1, "a"), (2, "b")], "station_id long, station_name string")
+    obs = spark.createDataFrame([(1, dt.datetime(1970, 1, 1)), (1, dt.datetime(2024, 1, 1, 0, 1)), (2, dt.datetime(2024, 1, 1, 0, 25))],
+                                "station_id long, ingestion_time timestamp_ntz")
+    out = lookup.poll_cycle_outcomes(cat, obs, 10, start="2024-01-01 00:00:00")
+    assert sorted((r.cycle_start.minute, r.polled, r.succeeded, r.failed) for r in out.collect()) == [(0, 2, 1, 1), (10, 2, 0, 2), (20, 2, 1, 1)]
