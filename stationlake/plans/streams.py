@@ -18,6 +18,7 @@ from stationlake.sources.messages import encode_messages, value_stream, write_me
 from stationlake.sources.payload import decode_payloads
 from stationlake.sources.tables import QUARANTINE_SCHEMA, read_raw, read_table
 from stationlake.streaming import landing
+from stationlake.streaming import payloads as payload_streams
 
 FILES_PER_TRIGGER = 2  # several micro-batches whatever the number of files
 POLL_TIME = "2024-02-01 00:00:00"
@@ -78,7 +79,10 @@ def _messages_of_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_producer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The producer's keyed messages: the key and what its value says."""
-    msgs = _messages_of_payloads(spark, sf_dir)
+    return _message_fields(_messages_of_payloads(spark, sf_dir))
+
+
+def _message_fields(msgs: DataFrame) -> DataFrame:
     field = lambda f: F.get_json_object("value", f"$.{f}")
     return msgs.select("key", field("fmisid").alias("fmisid"), field("timestamp").alias("timestamp_text"),
                        field("ingestion_time").alias("ingestion_text"), field("location").alias("location"))
@@ -93,6 +97,49 @@ def q_payload_landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
 
 
+def _payload_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    payloads_from_events(read_source(spark, sf_dir, "events")).repartition(3 * FILES_PER_TRIGGER).write.json(f"{root}/payloads")
+    return f"{root}/payloads"
+
+
+def _landed_payloads(spark: SparkSession, sf_dir: str, name: str, latest_only: bool) -> str:
+    root = shared_dir(spark, name)
+    stream = payload_streams.payload_stream(spark, _payload_files(spark, sf_dir, root), max_per_trigger=FILES_PER_TRIGGER)
+    names = cat.lookup_catalog(cat.catalog_from_tables(read_source(spark, sf_dir, "supplier"), read_source(spark, sf_dir, "nation")))
+    _await(payload_streams.land_payloads(stream, names, f"{root}/raw", f"{root}/rejects", f"{root}/_checkpoint", POLL_TIME, latest_only))
+    return root
+
+
+def q_stream_payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload files → decoded rows as a stream, over several triggers."""
+    root = shared_dir(spark, "payload-rows")
+    stream = payload_streams.payload_stream(spark, _payload_files(spark, sf_dir, root), max_per_trigger=FILES_PER_TRIGGER)
+    rows = decode_payloads(stream)
+    _await(landing.run_to_table(rows, f"{root}/out", f"{root}/_checkpoint"))
+    return spark.read.schema(rows.schema).parquet(f"{root}/out")
+
+
+def q_stream_payload_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload files → named records in the raw table, the catalogue joined to the stream."""
+    return read_raw(spark, f"{_landed_payloads(spark, sf_dir, 'payload-landed', True)}/raw").select(*RAW_COLUMNS)
+
+
+def q_stream_payload_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads and lines that the stream quarantined."""
+    root = _landed_payloads(spark, sf_dir, "payload-rejects", False)
+    return read_table(spark, f"{root}/rejects", payload_streams.REJECT_SCHEMA).groupBy("reject_reason").agg(F.count("*").alias("rejected"))
+
+
+def q_stream_payload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload files → keyed messages as a stream, written by the file sink."""
+    root = shared_dir(spark, "payload-messages")
+    stream = payload_streams.payload_stream(spark, _payload_files(spark, sf_dir, root), max_per_trigger=FILES_PER_TRIGGER)
+    names = cat.lookup_catalog(cat.catalog_from_tables(read_source(spark, sf_dir, "supplier"), read_source(spark, sf_dir, "nation")))
+    msgs = payload_streams.message_stream(stream, names, POLL_TIME)
+    _await(landing.run_to_table(msgs, f"{root}/out", f"{root}/_checkpoint"))
+    return _message_fields(spark.read.schema(msgs.schema).parquet(f"{root}/out"))
+
+
 def _winners(spark: SparkSession, sf_dir: str, name: str, rule) -> str:
     root = shared_dir(spark, name)
     src = _message_files(spark, sf_dir, root)
@@ -143,4 +190,8 @@ STREAM_QUERIES = {
     "stream_curated_day": q_stream_curated_day,
     "producer_messages": q_producer_messages,
     "payload_landed_rows": q_payload_landed_rows,
+    "stream_payload_rows": q_stream_payload_rows,
+    "stream_payload_landed": q_stream_payload_landed,
+    "stream_payload_reject_counts": q_stream_payload_reject_counts,
+    "stream_payload_messages": q_stream_payload_messages,
 }

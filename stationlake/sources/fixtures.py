@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.functions import utc_wall_time
-from stationlake.schemas import MEASURES, RAW_COLUMNS
+from stationlake.schemas import MEASURES, PAYLOAD_POSITIONS, RAW_COLUMNS
 
 
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +80,9 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # In an arrival-ordered feed, k=71 comes LATE_HOURS after its time.
 # Payloads: k=3 no values element, k=4 truncated XML, k=11 a value line too few (rejected);
 #   k=9 blank second value line, k=12 last epoch no timestamp (that line rejected); k=8 value lines of
-#   5 tokens, k=13 commented-out positions, k=14 other prefixes, k=15 character references (read).
+#   5 tokens, k=13 commented-out positions, k=14 other prefixes, k=15 character references,
+#   k=16 a second prefix of the namespace, k=18 a default namespace beside the prefix, k=19 the prefix bound
+#   to another namespace in an element before (read).
 LATE_KEY, LATE_HOURS = 71, 5
 
 
@@ -141,6 +143,12 @@ def payloads_from_events(events: DataFrame) -> DataFrame:
            .when(k == 13, F.replace(doc, F.lit("<gmlcov:positions>"), F.lit("<!-- <gmlcov:positions>1 2 3</gmlcov:positions> --><gmlcov:positions>")))
            .when(k == 14, F.replace(F.replace(F.replace(F.replace(doc, F.lit("gmlcov:"), F.lit("cov:")), F.lit("xmlns:gmlcov="), F.lit("xmlns:cov=")),
                                               F.lit("gml:"), F.lit("g:")), F.lit("xmlns:gml="), F.lit("xmlns:g=")))
+           .when(k == 16, F.replace(F.replace(doc, F.lit("gmlcov:positions"), F.lit("two:positions")), F.lit(" xmlns:gml="),
+                                    F.lit(f' xmlns:two="{PAYLOAD_POSITIONS[0]}" xmlns:gml=')))
+           .when(k == 18, F.replace(F.replace(doc, F.lit("<gmlcov:positions>"), F.lit(f'<positions xmlns="{PAYLOAD_POSITIONS[0]}">')),
+                                    F.lit("</gmlcov:positions>"), F.lit("</positions>")))
+           .when(k == 19, F.replace(doc, F.lit("<gmlcov:positions>"), F.lit(
+               '<gmlcov:positions xmlns:gmlcov="http://other.example/ns">1 2 3</gmlcov:positions><gmlcov:positions>')))
            .when(k == 15, F.regexp_replace(doc, r"(<gmlcov:positions>\n\S+) ", "$1&#32;"))
            .otherwise(doc))
     return (b.withColumn("xml_doc", encode_payload(lines))

@@ -7,13 +7,13 @@ line of each; here line *i* is paired with line *i* and every observation become
 
 Each document is first checked with ``from_xml`` in PERMISSIVE mode (its ``_corrupt_record`` is
 set for anything not well-formed: truncated, mis-nested, plain text); only documents that pass
-are read. Elements are found by namespace: the prefix is the one the document binds to it. Commented-out
-markup is not read; character references and CDATA inside a section are decoded.
+are read. Elements are found by namespace, by the scopes of its declarations. Commented-out
+markup is not read; character references and CDATA inside a section are decoded. All of it works on a
+batch and on a stream of payloads alike.
 """
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,38 +32,104 @@ TOKEN_SPLIT = r"\s+"
 MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
 
 
-def _section(xml: str, element: tuple[str, str]) -> F.Column:
-    """Text of the first such element (attributes allowed, no child elements), empty if there is none."""
+def _first_element(text: str, name: str) -> F.Column:
+    """The first element of that local name, whatever its prefix, from its start tag to the ``</`` after its text
+    (attributes allowed, no child elements); empty if there is none. The pattern is constant."""
+    return F.regexp_extract(text, rf"<(?:[A-Za-z_][\w.-]*:)?{name}(?:\s(?:[^>]*[^>/])?)?>(?:[^<]|<!\[CDATA\[[\s\S]*?\]\]>)*</", 0)
+
+
+def _bound_once(text: str, element: str, uri: str) -> F.Column:
+    """Whether the prefix of a found element is declared exactly once in the document, for this URI: then every
+    element with that prefix is in the namespace, and no scopes need be looked at."""
+    declared = f"concat('xmlns:', split_part(split_part({element}, ':', 1), '<', 2), '=')"
+    at = F.expr(f"locate({declared}, {text})")
+    again = F.expr(f"locate({declared}, {text}, locate({declared}, {text}) + 1)")
+    value = F.expr(f"substr({text}, locate({declared}, {text}) + length({declared}), {len(uri) + 2})")
+    prefixed = F.expr(f"instr(split_part({element}, '>', 1), ':')") > 0
+    return prefixed & (at > 0) & (again == 0) & value.isin(f'"{uri}"', f"'{uri}'")
+
+
+_DECLARATION = r"""(?<![\w:.-])xmlns(?::([A-Za-z_][\w.-]*))?\s*=\s*("[^"]*"|'[^']*')"""
+
+
+_TAG = r"""^((?:[^>"']|"[^"]*"|'[^']*')*)>"""
+
+
+def _pieces(text: F.Column) -> F.Column:
+    """A document cut before its tags, each piece a tag and the text after it; plain CDATA sections become text."""
+    return F.split(F.regexp_replace(text, r"<!\[CDATA\[([^<&]*?)\]\]>", "$1"), "<")
+
+
+def _tags(pieces: F.Column) -> F.Column:
+    """The tags of a document: kind (start, end, other), prefix, local name, namespace declarations, the text
+    after it, and whether an end tag follows that."""
+    def one(piece: F.Column, i: F.Column) -> F.Column:
+        tag = F.regexp_extract(piece, _TAG, 1)
+        name = F.regexp_extract(tag, r"^[^\s/>]+", 0)
+        kind = (F.when((i == 0) | tag.rlike("^[?!]") | tag.endswith("/"), F.lit("other"))
+                .when(tag.startswith("/"), F.lit("end")).otherwise(F.lit("start")))
+        declared = F.zip_with(
+            F.regexp_extract_all(tag, F.lit(_DECLARATION), F.lit(1)), F.regexp_extract_all(tag, F.lit(_DECLARATION), F.lit(2)),
+            lambda p, u: F.struct(p.alias("p"), F.substr(u, F.lit(2), F.length(u) - 2).alias("u")))
+        return F.struct(
+            kind.alias("kind"), F.when(name.contains(":"), F.split_part(name, F.lit(":"), F.lit(1))).otherwise("").alias("prefix"),
+            F.split_part(name, F.lit(":"), F.lit(-1)).alias("local"), declared.alias("ns"),
+            F.get(pieces, i + 1).startswith("/").alias("leaf"), F.substr(piece, F.length(tag) + 2).alias("text"))
+
+    return F.transform(pieces, one)
+
+
+def _scoped_text(tags: F.Column, element: tuple[str, str]) -> F.Column:
+    """Text of the first element of a namespace, by the scopes of the declarations: a fold over the document's tags
+    that keeps the declarations of the open elements, innermost first."""
     uri, name = element
-    bound = r"xmlns(?::([A-Za-z_][\w.-]*))?\s*=\s*[\"']" + uri.replace(".", "\\.") + r"[\"']"
-    prefix = F.regexp_extract(xml, bound, 1)
-    tag = F.when(prefix == "", F.lit(name)).otherwise(F.concat(prefix, F.lit(f":{name}")))
-    pattern = F.concat(F.lit("<"), tag, F.lit(r"(?:\s[^>]*)?>((?:[^<]|<!\[CDATA\[[\s\S]*?\]\]>)*)</"), tag, F.lit(r"\s*>"))
-    text = F.call_function("regexp_extract", F.col(xml), pattern, F.lit(1))
-    # only what needs it goes through an XML parser again
-    decoded = F.when(text.rlike("[&]|<!"), F.xpath_string(F.concat(F.lit("<t>"), text, F.lit("</t>")), F.lit("/t"))).otherwise(text)
-    return strip_ws(F.when(F.col(xml).rlike(bound), decoded).otherwise(F.lit("")))
+
+    def step(a: F.Column, t: F.Column) -> F.Column:
+        inner = F.concat(F.transform(t["ns"], lambda x: F.struct((a["n"] + 1).alias("d"), x["p"].alias("p"), x["u"].alias("u"))), a["b"])
+        bound = F.get(F.filter(inner, lambda x: x["p"] == t["prefix"]), F.lit(0))["u"]
+        mine = (t["local"] == name) & t["leaf"] & (bound == uri)
+        opened = F.struct(inner.alias("b"), (a["n"] + 1).alias("n"), F.when(mine, t["text"]).alias("text"))
+        closed = F.struct(F.filter(a["b"], lambda x: x["d"] < a["n"]).alias("b"), (a["n"] - 1).alias("n"), a["text"].alias("text"))
+        return F.when(a["text"].isNotNull() | (t["kind"] == "other"), a).when(t["kind"] == "end", closed).otherwise(opened)
+
+    start = F.struct(F.array().cast("array<struct<d:int,p:string,u:string>>").alias("b"), F.lit(0).alias("n"),
+                     F.lit(None).cast("string").alias("text"))
+    return F.aggregate(tags, start, step, lambda a: a["text"])
 
 
 def _sections(payloads: DataFrame, station: str, xml: str, latest_only: bool) -> DataFrame:
     """Per document: well-formedness, then the positions and values text, then a reject reason.
 
     The XML check is one ``from_xml`` parse in its own projection (Catalyst will not inline it
-    into the next ones, which use it repeatedly). The two sections are then cut out of the
-    checked text, less its comments, with ``regexp_extract``: on a well-formed document the first
-    element of that name is the one an any-depth search finds, and this avoids a DOM parse per section.
+    into the next ones, which use it repeatedly). The two sections are then cut out of the checked
+    text, less its comments, by one constant pattern each, which avoids a DOM parse per section. An
+    element is known by its namespace: a prefix declared once settles it; any other document
+    (default namespaces, several prefixes for a URI, a prefix declared again) is read tag by tag.
     """
     doc = F.col(xml)
     corrupt = F.from_xml(doc, "_corrupt_record string", {"mode": "PERMISSIVE"})["_corrupt_record"]
     checked = payloads.select(F.col(station).cast("string").alias("payload_station"), doc.alias("xml"),
                               (doc.isNotNull() & corrupt.isNull()).alias("well_formed"))
+    plain = checked.select("payload_station", "xml", "well_formed", F.when(F.col("well_formed"), F.when(
+        F.contains("xml", F.lit("<!--")), F.regexp_replace("xml", r"<!--[\s\S]*?-->", "")).otherwise(F.col("xml"))).alias("plain"))
+    elements = {"pos": PAYLOAD_POSITIONS, "val": PAYLOAD_VALUES}
+    found = plain.select("*", *[_first_element("plain", name).alias(c) for c, (_, name) in elements.items()])
+    odd = F.rlike("plain", F.lit(r"xmlns(?::[\w.-]+)?\s"))  # a declaration that the prefix search would miss
+    judged = found.select("*", *[(~odd & _bound_once("plain", c, uri)).alias(f"{c}_sure") for c, (uri, _) in elements.items()])
+    sure = F.col("pos_sure") & F.col("val_sure")
+    tags = _tags(_pieces(F.col("plain")))
+
+    def text(c: str) -> F.Column:
+        cut = F.expr(f"substr({c}, locate('>', {c}) + 1, length({c}) - locate('>', {c}) - 2)")
+        return F.when(sure, cut).when(F.col("well_formed"), F.coalesce(_scoped_text(tags, elements[c]), F.lit("")))
+
+    texts = judged.select("payload_station", "xml", "well_formed", *[text(c).alias(f"{c}_raw") for c in elements])
+    # only what needs it goes through an XML parser again
+    decoded = lambda c: strip_ws(F.when(c.rlike("[&]|<!"), F.xpath_string(
+        F.concat(F.lit("<t>"), c, F.lit("</t>")), F.lit("/t"))).otherwise(c))
     ok = F.col("well_formed")
-    plain = checked.select("payload_station", "xml", "well_formed",
-                           F.when(ok, F.regexp_replace("xml", r"<!--[\s\S]*?-->", "")).alias("plain"))
-    sections = plain.select(
-        "payload_station", "xml", "well_formed",
-        F.when(ok, _section("plain", PAYLOAD_POSITIONS)).alias("pos_text"),
-        F.when(ok, _section("plain", PAYLOAD_VALUES)).alias("val_text"))
+    sections = texts.select("payload_station", "xml", "well_formed", *[
+        F.when(ok, decoded(F.col(f"{c}_raw"))).alias(f"{c}_text") for c in elements])
     lines = lambda c: F.size(F.split(c, "\n"))
     reason = (F.when(~ok, F.lit("malformed_xml"))
               .when(F.col("pos_text") == "", F.lit("missing_positions"))
@@ -123,7 +189,20 @@ def _lines(payloads: DataFrame, station: str, xml: str, latest_only: bool) -> Da
 def decode_payloads(payloads: DataFrame, station: str = "station_id", xml: str = "xml",
                     latest_only: bool = False) -> DataFrame:
     """Observation rows of every payload (one per line, or the newest line with ``latest_only``)."""
-    return _lines(payloads, station, xml, latest_only).where(F.col("reject_reason").isNull()).select(*DECODED_COLUMNS)
+    rows = _lines(payloads, station, xml, latest_only)
+    # a zero-or-one-row generator: a filter would be pushed down, and split and cast every line again
+    row = F.array(F.struct(*DECODED_COLUMNS))
+    return rows.select(F.inline(F.when(F.col("reject_reason").isNull(), row)))
+
+
+def decoded_and_rejected(payloads: DataFrame, station: str = "station_id", xml: str = "xml",
+                         latest_only: bool = False) -> DataFrame:
+    """Every line with its ``reject_reason`` (null: accepted), for callers that write both outcomes; ``xml`` is kept of
+    rejected lines only."""
+    rows = _lines(payloads, station, xml, latest_only)
+    bad = F.col("reject_reason").isNotNull()
+    return rows.select(*DECODED_COLUMNS, "reject_reason", F.col("station_id").cast("string").alias("station"),
+                       F.when(bad, F.col("xml")).alias("xml"))
 
 
 def payload_rejects(payloads: DataFrame, station: str = "station_id", xml: str = "xml",

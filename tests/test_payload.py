@@ -72,3 +72,69 @@ def test_prolog_comments_cdata_and_attributes(spark):
          '<gml:doubleOrNilReasonTupleList>\n 1.0 2.0\n</gml:doubleOrNilReasonTupleList></wfs:member></wfs:FeatureCollection>')
     rows = decode_payloads(_df(spark, [d, d.replace("</wfs:member>", "")])).collect()
     assert len(rows) == 1 and rows[0]["temperature"] == 1.0 and rows[0]["humidity"] == 2.0
+
+
+GMLCOV, GML = "http://www.opengis.net/gmlcov/1.0", "http://www.opengis.net/gml/3.2"
+
+
+def test_namespaces_go_by_scope(spark):
+    good = doc("60 24 1704103200", "1 2 3")
+    second = good.replace("<wfs:FeatureCollection ", f'<wfs:FeatureCollection xmlns:two="{GMLCOV}" ')
+    pos = "<gmlcov:positions>\n60 24 1704103200\n</gmlcov:positions>"
+    assert pos in good
+    other = '<gmlcov:positions xmlns:gmlcov="http://other">9 9 0</gmlcov:positions>'
+    decoded = [
+        second, second.replace("gmlcov:positions", "two:positions"),                                  # either of two prefixes
+        good.replace(pos, f'<positions xmlns="{GMLCOV}">60 24 1704103200</positions>'),               # default beside a prefix
+        good.replace(pos, other + pos),                                                               # declared again, then out of scope
+        good.replace(pos, f'<wfs:d xmlns:gmlcov="http://other"><gmlcov:positions>9 9 0</gmlcov:positions></wfs:d>{pos}'),
+        good.replace(pos, f'<wfs:d xmlns:gmlcov="http://other">{pos.replace("gmlcov:", "inner:").replace("<inner:positions", f"<inner:positions xmlns:inner={chr(39)}{GMLCOV}{chr(39)}")}</wfs:d>'),
+        good.replace("xmlns:gmlcov=", "xmlns:gmlcov = "), good.replace(f'"{GMLCOV}"', f"'{GMLCOV}'"),
+        good.replace(pos, '<wfs:e a="x>y"/>' + other + pos),
+        second.replace("<gmlcov:positions>\n60 24 1704103200\n", "<gmlcov:positions><![CDATA[60 24]]> 1704103200"),
+        good.replace(pos, "<gmlcov:positions/>" + pos), second.replace(pos, "<gmlcov:positions />" + pos),
+    ]
+    wrong = [good.replace(pos, other), good.replace(pos, '<wfs:d xmlns:gmlcov="http://other">' + pos + "</wfs:d>"),
+             good.replace(pos, "<positions>60 24 1704103200</positions>"),
+             good.replace(pos, f'<wfs:d xmlns="{GMLCOV}"/><positions>60 24 1704103200</positions>')]
+    df = _df(spark, decoded + wrong)
+    rows = decode_payloads(df).collect()
+    assert sorted(r["station_id"] for r in rows) == [100 + i for i in range(len(decoded))]
+    assert {(r["latitude"], r["timestamp"], r["temperature"]) for r in rows} == {(60.0, dt.datetime(2024, 1, 1, 10), 1.0)}
+    assert [r["reject_reason"] for r in payload_rejects(df).collect()] == ["missing_positions"] * len(wrong)
+
+
+def test_payload_stream_equals_the_batch_and_survives_a_replay(spark, workdir):
+    import shutil
+
+    from stationlake.operators.lookup import producer_records
+    from stationlake.sources.tables import read_raw, read_table
+    from stationlake.schemas import RAW_COLUMNS
+    from stationlake.streaming import payloads as P
+
+    docs = [doc(f"60 24 {1704103200 + 600 * i}", f"{i} 2 3") for i in range(9)] + ["<broken", doc(None, "1")]
+    df = _df(spark, docs)
+    df.repartition(4).write.json(f"{workdir}/in")
+    names = spark.createDataFrame([(100, "first"), (104, "fifth")], "station_id long, station_name string")
+
+    def run():
+        q = P.land_payloads(P.payload_stream(spark, f"{workdir}/in", max_per_trigger=1), names, f"{workdir}/raw", f"{workdir}/bad",
+                            f"{workdir}/cp", "2024-02-01 00:00:00")
+        q.awaitTermination()
+        return q
+
+    assert run().lastProgress["batchId"] >= 3
+    want = producer_records(decode_payloads(df, latest_only=True), names, "2024-02-01 00:00:00")
+    rows = lambda d: sorted((tuple(r) for r in d.select(*RAW_COLUMNS).collect()), key=str)
+    bad = lambda: sorted((r.station, r.reject_reason) for r in read_table(spark, f"{workdir}/bad", P.REJECT_SCHEMA).collect())
+    assert rows(read_raw(spark, f"{workdir}/raw")) == rows(want)
+    assert bad() == [("109", "malformed_xml"), ("110", "missing_positions")]
+    # the last batch was written but not committed: it is run again
+    import glob
+
+    last = sorted(glob.glob(f"{workdir}/cp/commits/[0-9]*"), key=lambda f: int(f.rsplit("/", 1)[1]))[-1]
+    folder, number = last.rsplit("/", 1)
+    shutil.move(last, f"{workdir}/moved-commit")
+    shutil.move(f"{folder}/.{number}.crc", f"{workdir}/moved-crc")
+    run()
+    assert rows(read_raw(spark, f"{workdir}/raw")) == rows(want) and len(bad()) == 2
