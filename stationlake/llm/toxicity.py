@@ -223,10 +223,11 @@ class Scorer:
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
     """Fit on ``labels`` (doc_id, toxic 0/1) and the texts of ``docs``; null or other labels teach nothing.
 
-    A label row whose document is missing is ignored; of repeated labels of a document each counts.
+    A label whose document is missing is ignored; a document with several labels has the one that most of them
+    give (toxic if they are even), and of several texts under one id the one with the smallest hash teaches.
     """
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
-        "doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        (F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     shares = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = known.where("toxic = 1").orderBy(*order).limit(toxic_rows).union(
@@ -240,9 +241,10 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
                                 "counts": [g[1].tolist() for g in got], "patterns": [g[2].tolist() for g in got],
                                 "words": [g[3] for g in got]})
 
-    # the picked ids are bounded by the two parameters, so they may be broadcast
-    sample = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")
-              .mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, ids array<int>, "
+    # the picked ids are bounded by the two parameters, so they may be broadcast; one row of each reaches the driver
+    rows_of = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    sample = (rows_of.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+              .select("doc_id", "toxic", "text").mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, ids array<int>, "
                                 "counts array<int>, patterns array<boolean>, words int"))
     rows = sample.toArrow().combine_chunks().sort_by("doc_id")
     flat = lambda c: rows[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)

@@ -57,3 +57,48 @@ def test_edges(spark):
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
     for few in (labels.limit(0), labels.where("toxic = 0"), labels.where("toxic = 1")):
         assert toxicity.score_toxicity(docs, toxicity.train(docs, few)).count() == 44
+
+
+def test_one_row_of_a_picked_document_teaches(spark, monkeypatch):
+    """A document that repeats thousands of times, and one with many labels, reach the fit once."""
+    many = [(i, f"nice text number {i}" if i % 2 else f"you stupid idiot {i}") for i in range(40)]
+    docs = spark.createDataFrame(many + [(0, "you stupid idiot 0")] * 3000 + [(1, "another text under this id")] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)] + [(2, 0)] * 5 + [(4, 0), (4, 1)], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda ids, counts, patterns, words, y, shares: seen.update(rows=len(y), toxic=int(y.sum()), shares=shares))
+    toxicity.train(docs, labels)
+    assert seen == {"rows": 40, "toxic": 19, "shares": (21, 19)}  # most of document 2's labels say clean
+
+
+def test_label_model_and_scores_against_plain_loops(spark):
+    """EM written with loops over rows and voters, and the score as a sum over a text's distinct words."""
+    rng = np.random.default_rng(5)
+    votes = rng.random((60, 4)) < 0.4
+    weight, start = rng.random(60) + 0.5, np.where(votes[:, -1], 0.9, 0.1)
+    got, model = toxicity.label_model(votes, weight, start, rounds=3)
+    post, share = list(start), [1.0] * 4
+    for n in range(3):
+        hit = [[0.0] * 4, [0.0] * 4]
+        for c in (0, 1):
+            w = [weight[i] * (post[i] if c else 1 - post[i]) for i in range(60)]
+            for j in range(4):
+                hit[c][j] = (sum(w[i] for i in range(60) if votes[i, j]) + 0.5) / (sum(w) + 1)
+        if n == 0:
+            dev = [[votes[i, j] - post[i] * hit[1][j] - (1 - post[i]) * hit[0][j] for j in range(4)] for i in range(60)]
+            cov = [[sum(weight[i] * dev[i][j] * dev[i][k] for i in range(60)) / sum(weight) for k in range(4)] for j in range(4)]
+            for j in range(4):
+                corr = [cov[j][k] / (cov[j][j] * cov[k][k]) ** 0.5 for k in range(4) if k != j]
+                share[j] = 1 + sum(x for x in corr if x > 0.1)
+        share[-1], hit[0][-1], hit[1][-1] = 1.0, toxicity.LABEL_ERROR, 1 - toxicity.LABEL_ERROR
+        for i in range(60):
+            z = sum(np.log(hit[1][j] / hit[0][j]) / share[j] for j in range(4) if votes[i, j])
+            z -= 0 if votes[i, -1] else np.log(hit[1][-1] / hit[0][-1])
+            post[i] = 1 / (1 + np.exp(-z))
+    assert np.allclose(got, post)
+    texts = ["You STUPID idiot, stupid!", "a nice day", "", None, "idiots and idiotic things " * 50]
+    m = toxicity.Model(rng.normal(size=toxicity.SPACE).astype(np.float32), -0.3, 0.2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score_toxicity(docs, m).collect():
+        words = {toxicity._EDGE.sub("", c) for c in (texts[r.doc_id] or "").lower().split()} - {""}
+        z = m.bias + m.per_word * np.log(1 + len(words)) + sum(float(m.weights[f]) for w in words for f in toxicity._word_features(w))
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-4 and r.predicted == int(r.score >= 0.5)
