@@ -10,13 +10,14 @@ of least ``top`` whose sum stays below the threshold cannot make a candidate on
 postings of the others are read. An item goes on while its score so far plus the ``block_top`` of
 the skipped terms in its block reaches the threshold; what is left is scored in full.
 Passages are worked off many at a time with numpy; no candidate is dropped that could reach the
-threshold. Every item retrieved is verified: the words of its question and of its answer
-that lie in a five-word shingle shared with the passage, or stand in their place beside one: a
-changed word breaks every shingle over a short part that is itself intact.
+threshold. Every item retrieved is verified: the words of its question and of its answer that stand
+in the passage where a shared five-word shingle puts them. A changed word breaks every shingle over
+it, but not the place of its neighbours.
 
 Items are indexed by length class, since a passage is twice as long as the longest item of its
 class; an item is whole in at least one passage. The index goes to the tasks in shards of at most
-``SHARD_WORDS`` words, so what is broadcast is bounded whatever the benchmark's size.
+``SHARD_WORDS`` words, length classes together, so what is broadcast is bounded whatever the benchmark's
+size; documents are read and cut into words once for all length classes of a shard.
 """
 
 from __future__ import annotations
@@ -39,13 +40,13 @@ from stationlake.llm.common import staged, table, worker_state
 K1, B = 1.2, 0.75
 RETRIEVE = 0.6             # share of an item's own score that retrieves it
 SHINGLE = 5                # words
-OVERLAP = 0.8              # share of the item's words in shared shingles, over the item as a whole
-PART_OVERLAP = 0.5         # and at least, in the question and in the answer; there also words in their place
+OVERLAP = 0.8              # share of the item's words in their place by a shared shingle, over the item as a whole
+PART_OVERLAP = 0.5         # and at least, in the question and in the answer
 SHARD_WORDS = 1_000_000    # words of test items in one index shard
 COMMON = 16                # a term in more than this share of a shard's items counts as common
 SMALLEST_CLASS = 6         # items of up to 2 ** 6 words are one length class, longer ones one per power of two
 BLOCKS = 32                # blocks of items, each with its own maxima per term
-CACHE_WORDS = 500_000      # chunks outside the index that a worker remembers
+CACHE_WORDS = 300_000      # chunks a worker remembers for each index
 RUN_CHARS = 4_000_000      # texts worked off at once
 
 _NOT_WORD = re.compile(r"[\W_]+")
@@ -175,37 +176,32 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndar
     return np.where(keys[at] == wanted, values[at], 0.0)
 
 
-def covered(item: np.ndarray, passage: np.ndarray) -> np.ndarray:
-    """Which words of ``item`` lie in a shingle of ``SHINGLE`` words (or in the whole, if shorter) of ``passage``."""
-    k = min(SHINGLE, len(item))
-    known = passage.tolist()
-    grams = {tuple(known[i:i + k]) for i in range(len(known) - k + 1)}
-    seq, mask = item.tolist(), np.zeros(len(item), bool)
-    for i in range(len(seq) - k + 1):
-        if tuple(seq[i:i + k]) in grams:
-            mask[i:i + k] = True
-    return mask
-
-
-def in_place(item: np.ndarray, lo: int, hi: int, passage: np.ndarray) -> float:
-    """Share of the words ``lo`` to ``hi`` of ``item`` that stand in ``passage`` where a shared shingle puts them.
+def ordered(item: np.ndarray, q: int, passage: np.ndarray) -> np.ndarray:
+    """Which words of ``item`` stand in ``passage`` where a shingle shared by both puts them.
 
-    A part that is shorter than a shingle also counts if it is whole up to ``SHINGLE`` - 1 words beside its place.
+    A shared shingle of ``SHINGLE`` words (the whole item, if shorter) lays the item over the passage at one offset;
+    every word that agrees there counts, so a changed word costs itself and not the shingles around it,
+    and words after an inserted or left-out one count by the offset of their own shingles. A question or
+    answer (before and from word ``q``) shorter than a shingle also counts if it is whole up to
+    ``SHINGLE`` - 1 words beside its place.
     """
-    k, n = min(SHINGLE, len(item)), hi - lo
+    k = min(SHINGLE, len(item))
     at: dict[tuple[int, ...], list[int]] = {}
     known, seq = passage.tolist(), item.tolist()
     for p in range(len(known) - k + 1):
         at.setdefault(tuple(known[p:p + k]), []).append(p)
     offsets = {p - i for i in range(len(seq) - k + 1) for p in at.get(tuple(seq[i:i + k]), ())}
-    part, padded = item[lo:hi], np.concatenate([np.full(len(item) + n + SHINGLE, -1), passage, np.full(len(item) + n + SHINGLE, -1)])
-    start = len(item) + n + SHINGLE + lo
-    best = max((float((padded[start + d:start + d + n] == part).mean()) for d in offsets), default=0.0)
-    if best < 1 and n < SHINGLE:
-        beside = {d + shift for d in offsets for shift in range(1 - SHINGLE, SHINGLE)}
-        if any((padded[start + d:start + d + n] == part).all() for d in beside):
-            return 1.0
-    return best
+    mask = np.zeros(len(item), bool)
+    pad = len(item) + SHINGLE
+    padded = np.concatenate([np.full(pad, -1), passage, np.full(pad, -1)])
+    for d in offsets:
+        mask |= padded[pad + d:pad + d + len(item)] == item
+    beside = sorted({d + shift for d in offsets for shift in range(1 - SHINGLE, SHINGLE)})
+    for lo, hi in ((0, q), (q, len(item))):
+        if 0 < hi - lo < SHINGLE and not mask[lo:hi].all():
+            if any((padded[max(0, pad + d + lo):max(0, pad + d + hi)] == item[lo:hi]).all() for d in beside if pad + d + lo >= 0 and pad + d + hi <= len(padded)):
+                mask[lo:hi] = True
+    return mask
 
 
 class _Terms(dict):
@@ -225,23 +221,27 @@ class _Terms(dict):
         return got
 
 
-def match_texts(index: Index, texts: list[str | None], cache: _Terms, threshold: float) -> Iterator[tuple[int, int, float, float, float]]:
-    """(text number, item id, score, question overlap, answer overlap) of every verified item."""
+def match_texts(indexes: list[Index], texts: list[str | None], caches: list[_Terms], threshold: float) -> Iterator[tuple[int, int, float, float, float]]:
+    """(text number, item id, score, question overlap, answer overlap) of every verified item of every index."""
     at = 0
     while at < len(texts):
         stop, size = at, 0
         while stop < len(texts) and size < RUN_CHARS:
             size += len(texts[stop] or "")
             stop += 1
-        # Arrow cuts the texts and numbers their distinct chunks; each is normalised once a run
+        # Arrow cuts the texts and numbers their distinct chunks; each is normalised once a run and index
         cut = pc.utf8_split_whitespace(pa.array([(t or "").lower() for t in texts[at:stop]], pa.large_string()))
         chunks = cut.flatten().dictionary_encode()
-        term = np.fromiter(map(cache.__getitem__, chunks.dictionary.to_pylist()), np.int64, len(chunks.dictionary))
-        seq = term[chunks.indices.to_numpy()] if len(chunks) else np.empty(0, np.int64)
-        word = seq != -2
+        distinct, place = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
         text = np.repeat(np.arange(stop - at), np.diff(cut.offsets.to_numpy()))
-        lengths = np.bincount(text[word], minlength=stop - at)
-        yield from _match_run(index, seq[word], lengths, at, threshold)
+        word = None
+        for index, cache in zip(indexes, caches):
+            term = np.fromiter(map(cache.__getitem__, distinct), np.int64, len(distinct))
+            seq = term[place] if len(place) else np.empty(0, np.int64)
+            if word is None:  # the same for every index
+                word = seq != -2
+                lengths = np.bincount(text[word], minlength=stop - at)
+            yield from _match_run(index, seq[word], lengths, at, threshold)
         pa.default_memory_pool().release_unused()
         at = stop
 
@@ -277,16 +277,10 @@ def _match_run(index: Index, seq: np.ndarray, lengths: np.ndarray, base: int, th
     for h, it, s in zip(p.tolist(), i.tolist(), score.tolist()):
         t = int(np.searchsorted(first, h, "right")) - 1
         at = int(begin[t]) + (h - int(first[t])) * stride
-        mask = covered(index.words[it], seq[at:min(at + index.window, int(begin[t] + lengths[t]))])
         q = index.question[it]
+        mask = ordered(index.words[it], q, seq[at:min(at + index.window, int(begin[t] + lengths[t]))])
         parts = [float(m.mean()) if len(m) else 1.0 for m in (mask[:q], mask[q:])]
-        if mask.mean() < OVERLAP:
-            continue
-        if min(parts) < PART_OVERLAP:
-            item, passage = index.words[it], seq[at:min(at + index.window, int(begin[t] + lengths[t]))]
-            parts = [m if m >= PART_OVERLAP else max(m, in_place(item, lo, hi, passage))
-                     for m, lo, hi in zip(parts, (0, q), (q, len(item)))]
-        if min(parts) >= PART_OVERLAP:
+        if mask.mean() >= OVERLAP and min(parts) >= PART_OVERLAP:
             best[t, it] = max(best.get((t, it), (0.0, 0.0, 0.0)), (s, *parts))
     for (t, it), (s, q, a) in sorted(best.items()):
         yield base + t, index.ids[it], s, q, a
@@ -295,19 +289,16 @@ def _match_run(index: Index, seq: np.ndarray, lengths: np.ndarray, base: int, th
 # ---- operator ---------------------------------------------------------------------------------
 
 
-def _shards(benchmark: DataFrame) -> list[tuple[int, int, DataFrame]]:
-    """(length class, items, their rows) of every shard; the rows of a shard are bounded in words."""
+def _shards(benchmark: DataFrame) -> list[DataFrame]:
+    """The items (item_id, text, n_words, cls) of every shard; a shard is bounded in words."""
     counted = F.pandas_udf(lambda texts: texts.map(lambda t: len(normal_words(t))), "long")
     items = staged(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
                    .withColumn("n_words", counted("text")).where("n_words > 0")
                    .withColumn("cls", F.greatest(F.lit(SMALLEST_CLASS), F.ceil(F.log2("n_words"))).cast("int")), "items")
-    sizes = items.groupBy("cls").agg(F.sum("n_words").alias("w"), F.max("n_words").alias("m")).orderBy("cls").collect()
-    out = []
-    for r in sizes:
-        n = max(1, math.ceil(r.w / (SHARD_WORDS / 2)))  # hashed shards of half the bound on average
-        shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-        out += [(1 << r.cls, items.where((F.col("cls") == r.cls) & (shard == k))) for k in range(n)]
-    return out
+    total = items.agg(F.sum("n_words")).first()[0] or 0
+    n = math.ceil(total / (SHARD_WORDS / 2))  # hashed shards of half the bound on average
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    return [items.where(shard == k) for k in range(n)]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = RETRIEVE) -> DataFrame:
@@ -330,20 +321,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = RETRIEV
     n_items, mean_words = bags.agg(F.count("*"), F.avg("words")).first()
     frequency = bags.select(F.explode("terms").alias("term")).groupBy("term").count()
     out = None
-    for longest, rows in shards:
-        held = [(r.item_id, r.text) for r in rows.select("item_id", "text").collect()]  # bounded by SHARD_WORDS
+    for rows in shards:
+        held = rows.select("item_id", "text", "cls").collect()  # bounded by SHARD_WORDS
         wanted = rows.select("text").mapInPandas(terms, "words long, terms array<string>").select(F.explode("terms").alias("term")).distinct()
         df = {r.term: r["count"] for r in frequency.join(wanted, "term").collect()}
-        shared = spark.sparkContext.broadcast(build_index(held, df, n_items, mean_words, longest))
-
+        by_class: dict[int, list] = {}
+        for r in held:
+            by_class.setdefault(r.cls, []).append((r.item_id, r.text))
+        shared = spark.sparkContext.broadcast(
+            [build_index(items, df, n_items, mean_words, 1 << cls) for cls, items in sorted(by_class.items())])
         shard = uuid.uuid4().hex
 
         def run(batches: Iterator[pd.DataFrame], shared=shared, shard=shard) -> Iterator[pd.DataFrame]:
-            index = shared.value
-            cache = worker_state(("decontam", shard), lambda: _Terms(index.terms))
+            indexes = shared.value
+            caches = worker_state(("decontam", shard), lambda: [_Terms(index.terms) for index in indexes])
             for pdf in batches:
                 ids = pdf["doc_id"].tolist()
-                found = list(match_texts(index, pdf["text"].tolist(), cache, threshold)) if index.ids else []
+                found = list(match_texts(indexes, pdf["text"].tolist(), caches, threshold)) if indexes else []
                 yield pd.DataFrame({"doc_id": pd.Series([ids[f[0]] for f in found], dtype=pdf["doc_id"].dtype),
                                     **{c: pd.Series([f[k] for f in found], dtype=t) for k, (c, t) in enumerate(
                                         [("item_id", "int64"), ("score", "float64"), ("question_overlap", "float64"),
