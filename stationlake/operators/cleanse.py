@@ -57,6 +57,12 @@ def extra_fields(value: str = "value") -> F.Column:
     return F.when(F.size(extra) > 0, extra)
 
 
+def extra_values(value: str = "value") -> F.Column:
+    """The same fields with their values as the message typed them, as VARIANT (``sources.fields`` makes columns of them)."""
+    known = F.array(*[F.lit(f) for f in MESSAGE_FIELDS])
+    return F.map_filter(F.from_json(F.col(value), "map<string,variant>"), lambda k, v: ~F.array_contains(known, k))
+
+
 def cleanse(decoded: DataFrame, keep_extra: bool = True) -> tuple[DataFrame, DataFrame]:
     """(accepted raw observations, quarantined messages with ``reject_reason``).
 
@@ -70,11 +76,15 @@ def cleanse(decoded: DataFrame, keep_extra: bool = True) -> tuple[DataFrame, Dat
 def check_messages(decoded: DataFrame, keep_extra: bool = True) -> DataFrame:
     """Typed columns and ``reject_reason`` of every decoded message."""
     checked = _checked(decoded)
-    return checked.withColumn("extra_fields", extra_fields()) if keep_extra else checked
+    if not keep_extra:
+        return checked
+    # parsed again only where there are such fields
+    checked = checked.withColumn("extra_fields", extra_fields())
+    return checked.withColumn("extra_values", F.when(F.col("extra_fields").isNotNull(), extra_values()))
 
 
 def split_checked(checked: DataFrame, keep_extra: bool = True) -> tuple[DataFrame, DataFrame]:
-    cols = [*RAW_COLUMNS, "extra_fields"] if keep_extra else RAW_COLUMNS
+    cols = [*RAW_COLUMNS, "extra_fields", "extra_values"] if keep_extra else RAW_COLUMNS
     return _keep(checked, cols, accepted=True), _keep(checked, QUARANTINE_COLUMNS, accepted=False)
 
 

@@ -353,6 +353,8 @@ def oracle_sql() -> dict[str, str]:
     q["stream_two_sources"] = q["stream_landed_rows"]
     q["stream_extra_fields"] = (f"with {RAWK_CTE}\nselect station_id, timestamp, ingestion_time, 'extra_field' as field, "
                                 f"'1' as text from rawk where k = 87")
+    q["stream_typed_fields"] = (f"with {RAWK_CTE}\nselect station_id, timestamp, ingestion_time, extra_field from (select {_ACCEPT}, "
+                                f"case when k = 87 then cast(1 as bigint) end as extra_field from rawk where k not in ({_REJECTED}))")
     iso = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
     records = f"{BASE_CTE}{CATALOG_CTE},\npl as ({_payload_line(0, True)})"
     q["producer_messages"] = (

@@ -13,6 +13,7 @@ from stationlake.operators.lookup import producer_records
 from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from stationlake.session import shared_dir
 from stationlake.sources import catalog as cat
+from stationlake.sources import fields
 from stationlake.sources.fixtures import messages_from_events, payloads_from_events, read_source
 from stationlake.sources.messages import encode_messages, value_stream, write_messages
 from stationlake.sources.payload import decode_payloads
@@ -55,6 +56,13 @@ def q_stream_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("station_id", "timestamp", "ingestion_time", F.explode("extra_fields").alias("field", "text"))
 
 
+def q_stream_typed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unknown field as a number column beside the known ones, null in the rows without it."""
+    raw = f"{_land(spark, sf_dir)}/raw"
+    fields.promote_fields(spark, raw)
+    return fields.read_typed(spark, raw).select("station_id", "timestamp", "ingestion_time", "extra_field")
+
+
 def q_stream_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_counts(read_table(spark, f"{_land(spark, sf_dir)}/quarantine", QUARANTINE_SCHEMA))
 
@@ -181,6 +189,7 @@ def q_stream_quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_landed_rows": q_stream_landed_rows,
     "stream_extra_fields": q_stream_extra_fields,
+    "stream_typed_fields": q_stream_typed_fields,
     "stream_quarantine_counts": q_stream_quarantine_counts,
     "stream_two_sources": q_stream_two_sources,
     "stream_hourly_latest": q_stream_hourly_latest,

@@ -27,6 +27,7 @@ from stationlake.sources import versions
 _BATCH_FIELDS = [T.StructField("source_id", T.StringType(), True), T.StructField("batch_id", T.LongType(), True)]
 RAW_TABLE_SCHEMA = T.StructType([
     *RAW_SCHEMA.fields, T.StructField("extra_fields", T.MapType(T.StringType(), T.StringType()), True),
+    T.StructField("extra_values", T.MapType(T.StringType(), T.VariantType()), True),
     T.StructField("observation_date", T.DateType(), True), *_BATCH_FIELDS])
 QUARANTINE_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
                                   T.StructField("reject_reason", T.StringType()), *_BATCH_FIELDS])
