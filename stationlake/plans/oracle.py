@@ -365,6 +365,7 @@ def oracle_sql() -> dict[str, str]:
         f"with {records}\nselect pl.timestamp, pl.station_id, l.station_name as location, "
         f"{', '.join('pl.' + c for c in ['latitude', 'longitude', *MEASURES])}, timestamp '2024-02-01 00:00:00' as ingestion_time "
         f"from pl left join lookup l on pl.station_id = l.station_id")
+    q["publish_landed_once"] = q["payload_landed_rows"]
     q["stream_payload_rows"] = q["payload_decode"]
     q["stream_payload_landed"] = q["payload_landed_rows"]
     q["stream_payload_reject_counts"] = q["payload_reject_counts"]

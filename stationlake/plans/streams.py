@@ -4,6 +4,8 @@ root, and returns a batch read of what the stream wrote."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from stationlake.operators.lookup import producer_records
 from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from stationlake.session import shared_dir
 from stationlake.sources import catalog as cat
-from stationlake.sources import fields
+from stationlake.sources import fields, outbox
 from stationlake.sources.fixtures import messages_from_events, payloads_from_events, read_source
 from stationlake.sources.messages import encode_messages, value_stream, write_messages
 from stationlake.sources.payload import decode_payloads
@@ -105,6 +107,26 @@ def q_payload_landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
 
 
+def q_publish_landed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in two batches published through the outbox, each sent, stopped before it was marked, and sent again;
+    landed with a ledger over several micro-batches: every message once."""
+    root = shared_dir(spark, "publish")
+    msgs = _messages_of_payloads(spark, sf_dir)
+
+    def stop(at: str) -> None:
+        if at == "sent":
+            raise InterruptedError(at)
+
+    for n in (0, 1):
+        half = msgs.where(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
+        for step in (stop, lambda at: None, stop):  # killed, run again, and once more when all is done
+            with contextlib.suppress(InterruptedError):
+                outbox.publish(half, "json", f"{root}/messages", f"{root}/outbox", "poller", n, step=step)
+    stream = value_stream(spark, "json", f"{root}/messages", max_per_trigger=FILES_PER_TRIGGER)
+    _await(landing.land_stream(stream, f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint", ledger=f"{root}/ledger"))
+    return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
+
+
 def _payload_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     payloads_from_events(read_source(spark, sf_dir, "events")).repartition(3 * FILES_PER_TRIGGER).write.json(f"{root}/payloads")
     return f"{root}/payloads"
@@ -199,6 +221,7 @@ STREAM_QUERIES = {
     "stream_curated_day": q_stream_curated_day,
     "producer_messages": q_producer_messages,
     "payload_landed_rows": q_payload_landed_rows,
+    "publish_landed_once": q_publish_landed_once,
     "stream_payload_rows": q_stream_payload_rows,
     "stream_payload_landed": q_stream_payload_landed,
     "stream_payload_reject_counts": q_stream_payload_reject_counts,

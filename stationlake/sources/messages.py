@@ -62,11 +62,15 @@ def write_messages(msgs: DataFrame, fmt: str, target: str, topic: str | None = N
     """Publish keyed messages (S4): ``fmt="kafka"`` to ``topic`` at the servers ``target``, ``fmt="json"`` as
     files of ``{"key": …, "value": …}`` lines in the folder ``target``.
 
-    Spark retries a failed task, so a message may be sent twice; the landing tables' readers keep
-    one observation of each.
+    Spark retries a failed task, so a message may be sent twice; a ``message_id`` column (``outbox``) goes with
+    each message, as a header or a field, for the landing job to leave the second one out.
     """
-    out = msgs.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    out = msgs.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                      *[c for c in ("message_id",) if c in msgs.columns])
     if fmt == "kafka":
+        if "message_id" in out.columns:
+            header = F.struct(F.lit("message_id").alias("key"), F.col("message_id").cast("binary").alias("value"))
+            out = out.select("key", "value", F.array(header).alias("headers"))
         out.write.format("kafka").option("kafka.bootstrap.servers", target).option("topic", topic).save()
     elif fmt == "json":
         out.write.mode("append").json(target)
@@ -83,7 +87,8 @@ def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str
     records per micro-batch (the reference's batch of 100). Offsets that vanished before they
     were read (retention) stop the query unless ``fail_on_data_loss=False``: results stay whole
     or fail loudly. ``fmt="text"`` reads one message per line from files in a folder and ``fmt="json"``
-    the keyed lines of ``write_messages``; ``max_per_trigger`` then caps files per micro-batch.
+    the keyed lines of ``write_messages``; ``max_per_trigger`` then caps files per micro-batch. Messages from
+    Kafka and keyed lines have a ``message_id`` too, null where they were sent without one.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -91,9 +96,11 @@ def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str
         reader = reader.option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_data_loss).lower())
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
-        return reader.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+        sent = F.get(F.filter("headers", lambda h: h["key"] == "message_id"), F.lit(0))["value"].cast("string")
+        return reader.option("includeHeaders", "true").load().select(
+            F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), sent.alias("message_id"))
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
     if fmt == "json":
-        return reader.schema("key string, value string").load(path_or_servers)
+        return reader.schema("key string, value string, message_id string").load(path_or_servers)
     return reader.load(path_or_servers).select(F.lit(None).cast("string").alias("key"), F.col("value"))

@@ -27,6 +27,7 @@ from stationlake.operators.cleanse import check_messages, cleanse, split_checked
 from stationlake.operators.curate import flag_quality, hourly_latest
 from stationlake.schemas import RAW_COLUMNS
 from stationlake.sources.messages import decode_messages
+from stationlake.sources.outbox import record, unseen
 from stationlake.sources.tables import DEFAULT_SOURCE, FAN_IN, RAW_TABLE_SCHEMA, append_batch, merge_levels, read_days, read_table
 from stationlake.sources.versions import ConcurrentCommit
 
@@ -48,13 +49,16 @@ def _query_id(batch: DataFrame) -> str:
 
 
 def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str,
-               keep_extra: bool = True, source_id: str = DEFAULT_SOURCE) -> dict[str, int]:
+               keep_extra: bool = True, source_id: str = DEFAULT_SOURCE, ledger: str | None = None) -> dict[str, int]:
     """Decode and cleanse one micro-batch; write accepted rows and rejects for this source and batch id.
+    With a ``ledger`` (``outbox``) messages whose id another micro-batch landed are left out.
 
     Returns (and logs) the accepted and rejected counts, observed while the two writes run (P9)
     rather than by extra counting jobs.
     """
-    checked = check_messages(decode_messages(batch), keep_extra).persist()
+    known = ledger is not None and "message_id" in batch.columns
+    fresh = unseen(batch, ledger, source_id, batch_id).persist() if known else batch
+    checked = check_messages(decode_messages(fresh), keep_extra).persist()
     try:
         if checked.isEmpty():  # nothing arrived (reads from the cache being built)
             return {"batch_id": batch_id, "accepted": 0, "rejected": 0}
@@ -68,6 +72,8 @@ def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path:
                                 quarantine_path, batch_id, None, source_id)]
             for j in jobs:
                 j.result()
+        if known:  # after the rows: a try that dies before this is replayed, and its rows replaced
+            record(fresh, ledger, source_id, batch_id)
         counts = {"batch_id": batch_id, "accepted": seen_ok.get["n"], "rejected": seen_bad.get["n"]}
         if counts["rejected"]:
             log.warning("batch %s: %s of %s messages quarantined", batch_id, counts["rejected"],
@@ -75,14 +81,16 @@ def land_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path:
         return counts
     finally:
         checked.unpersist()
+        if known:
+            fresh.unpersist()
 
 
 def land_stream(messages: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str,
                 trigger: str | None = "availableNow", name: str | None = None,
-                keep_extra: bool = True) -> StreamingQuery:
-    """Start the landing query over a (``key``, ``value``) stream."""
+                keep_extra: bool = True, ledger: str | None = None) -> StreamingQuery:
+    """Start the landing query over a (``key``, ``value``) stream, with a ``ledger`` of message ids if they carry any."""
     writer = (messages.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: land_batch(df, bid, raw_path, quarantine_path, keep_extra, _query_id(df))))
+              .foreachBatch(lambda df, bid: land_batch(df, bid, raw_path, quarantine_path, keep_extra, _query_id(df), ledger)))
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, trigger).start()
