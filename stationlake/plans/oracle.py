@@ -355,6 +355,11 @@ def oracle_sql() -> dict[str, str]:
                                 f"'1' as text from rawk where k = 87")
     q["stream_typed_fields"] = (f"with {RAWK_CTE}\nselect station_id, timestamp, ingestion_time, extra_field from (select {_ACCEPT}, "
                                 f"case when k = 87 then cast(1 as bigint) end as extra_field from rawk where k not in ({_REJECTED}))")
+    q["stream_failed_batches"] = (
+        f"with {RAWK_CTE}\nselect 'failures' as what, cast(2 as bigint) as n union all select 'ended with an error', 2 "
+        f"union all select 'runs', 3 union all select 'batches committed more than once', 0 "
+        f"union all select 'input rows of the batches', count(*) from rawk "
+        f"union all select 'rows landed', count(*) from rawk where k not in ({_REJECTED})")
     iso = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
     records = f"{BASE_CTE}{CATALOG_CTE},\npl as ({_payload_line(0, True)})"
     q["producer_messages"] = (
@@ -375,6 +380,12 @@ def oracle_sql() -> dict[str, str]:
     q["stored_read_day"] = q["daily_observations_day"]
     q["stored_missing_counts"] = (f"with {RAW_CTE}\nselect 'no table' as what, cast(0 as bigint) as n union all select 'no day', 0 "
                                   f"union all select 'table', count(*) from raw")
+    of_day = "where cast(timestamp as date) = date '2024-01-15'"
+    q["stored_empty_day"] = (
+        f"with {DAILY_CTE},\ncounts as (select 'daily' as what, count(*) as n from daily {of_day} union all select 'history', count(*) from daily {of_day} "
+        f"union all select 'summary', count(distinct station_id) from daily {of_day} union all select 'report', 1)\n"
+        f"select date '2024-01-15' as observation_date, what, n as written, n as stored from counts union all "
+        f"select date '2024-03-01', what, 0, 0 from counts")
     q["stored_station_history"] = (
         f"with {DAILY_CTE}\nselect station_id, timestamp, temperature, humidity, wind_speed, pressure, data_completeness_score "
         f"from daily where station_id = 5 and timestamp between timestamp '2024-01-01 00:00:00' and timestamp '2024-01-31 00:00:00'")

@@ -119,6 +119,22 @@ def q_stored_read_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_day(spark, layout.daily, "2024-01-15").select(*DAILY_COLUMNS)
 
 
+def q_stored_empty_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nightly job over a day with rows, and over one without (P17): rows written, and rows that each table then has
+    of the day."""
+    layout = _loaded(spark, sf_dir, "stored-empty")
+    out = None
+    for day in ("2024-01-15", "2024-03-01"):
+        done = run_days(spark, layout, day, day, run_ts=FIRST_RUN)
+        for name, path, column in (("daily", layout.daily, "observation_date"), ("summary", layout.summary, "observation_date"),
+                                   ("report", layout.report, "report_date"), ("history", layout.history, "observation_date")):
+            there = read_day(spark, path, day, date_col=column).agg(F.count("*").alias("stored"))
+            one = there.select(F.lit(day).cast("date").alias("observation_date"), F.lit(name).alias("what"),
+                               F.lit(done["rows"][name]).cast("long").alias("written"), "stored")
+            out = one if out is None else out.union(one)
+    return out
+
+
 def q_stored_missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table not created yet, and a day not stored, have no rows."""
     layout = Layout(shared_dir(spark, "stored-missing"))
@@ -161,6 +177,7 @@ STORED_QUERIES = {
     "stored_interrupted_backfill": q_stored_interrupted_backfill,
     "stored_read_day": q_stored_read_day,
     "stored_missing_counts": q_stored_missing_counts,
+    "stored_empty_day": q_stored_empty_day,
     "stored_station_history": q_stored_station_history,
     "stored_order_checks": q_stored_order_checks,
     "stored_daily_summary": q_stored_daily_summary,

@@ -20,7 +20,7 @@ from stationlake.sources.fixtures import messages_from_events, payloads_from_eve
 from stationlake.sources.messages import encode_messages, value_stream, write_messages
 from stationlake.sources.payload import decode_payloads
 from stationlake.sources.tables import QUARANTINE_SCHEMA, read_raw, read_table
-from stationlake.streaming import landing
+from stationlake.streaming import landing, monitor
 from stationlake.streaming import payloads as payload_streams
 
 FILES_PER_TRIGGER = 2  # several micro-batches whatever the number of files
@@ -65,6 +65,36 @@ def q_stream_typed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.read_typed(spark, raw).select("station_id", "timestamp", "ingestion_time", "extra_field")
 
 
+def q_stream_failed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing whose second batch fails after writing its rows and whose third fails before: what the listener saw,
+    and the rows that are there."""
+    root = shared_dir(spark, "failing")
+    src = _message_files(spark, sf_dir, root)
+    seen = monitor.RunLog()
+    write = monitor.failing_once(lambda df, n: landing.land_batch(df, n, f"{root}/raw", f"{root}/quarantine", source_id="feed"), [1])
+    write = monitor.failing_once(write, [2], after=False)
+
+    def start():
+        stream = value_stream(spark, "text", src, max_per_trigger=FILES_PER_TRIGGER)
+        return stream.writeStream.option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).foreachBatch(write).start()
+
+    spark.streams.addListener(seen)
+    try:
+        failures = monitor.supervise(start, attempts=5, wait_seconds=0, run_log=seen)
+    finally:
+        spark.streams.removeListener(seen)
+    seen.flush(spark, f"{root}/log")
+    events = spark.read.schema(monitor.LOG_SCHEMA).parquet(f"{root}/log")
+    count = lambda what, n: spark.range(1).select(F.lit(what).alias("what"), F.lit(n).cast("long").alias("n"))
+    done = events.where("event = 'progress' AND input_rows > 0")
+    out = count("failures", failures)
+    out = out.union(events.where("error IS NOT NULL").agg(F.lit("ended with an error"), F.count("*")))
+    out = out.union(events.where("event = 'started'").agg(F.lit("runs"), F.count("*")))
+    out = out.union(done.agg(F.lit("batches committed more than once"), F.count("*") - F.count_distinct("batch_id")))
+    out = out.union(done.agg(F.lit("input rows of the batches"), F.sum("input_rows")))
+    return out.union(read_raw(spark, f"{root}/raw").agg(F.lit("rows landed"), F.count("*")))
+
+
 def q_stream_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_counts(read_table(spark, f"{_land(spark, sf_dir)}/quarantine", QUARANTINE_SCHEMA))
 
@@ -212,6 +242,7 @@ STREAM_QUERIES = {
     "stream_landed_rows": q_stream_landed_rows,
     "stream_extra_fields": q_stream_extra_fields,
     "stream_typed_fields": q_stream_typed_fields,
+    "stream_failed_batches": q_stream_failed_batches,
     "stream_quarantine_counts": q_stream_quarantine_counts,
     "stream_two_sources": q_stream_two_sources,
     "stream_hourly_latest": q_stream_hourly_latest,

@@ -84,6 +84,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   k=16 a second prefix of the namespace, k=18 a default namespace beside the prefix, k=19 the prefix bound
 #   to another namespace in an element before (read).
 LATE_KEY, LATE_HOURS = 71, 5
+FEED_FILES = 8
 
 
 def messages_from_events(events: DataFrame, arrival_ordered: bool = False) -> DataFrame:
@@ -98,7 +99,7 @@ def messages_from_events(events: DataFrame, arrival_ordered: bool = False) -> Da
     k = F.col("k")
     if arrival_ordered:
         arrival = F.timestamp_add("HOUR", F.when(k == LATE_KEY, LATE_HOURS).otherwise(0), F.col("timestamp"))
-        obs = obs.repartitionByRange(arrival, "station_id")
+        obs = obs.repartitionByRange(FEED_FILES, arrival, "station_id")  # a fixed number, or small feeds become one file
     ts_text = (F.when(k == 7, F.lit(None).cast("string")).when(k == 17, F.lit("  "))
                .when(k == 27, F.lit("not-a-time"))
                .when(k == 77, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
