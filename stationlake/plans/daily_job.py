@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import ntz_literal
 from stationlake.operators import history as hist
+from stationlake.operators import partials
 from stationlake.operators.curate import daily_observations
+from stationlake.operators.partials import daily_partials
 from stationlake.operators.summarize import daily_summary, quality_report
 from stationlake.sources.tables import RAW_TABLE_SCHEMA, path_exists, read_days, read_raw, read_table, replace_days
 
@@ -56,6 +58,10 @@ class Layout:
     def report(self) -> str:
         return self.path("quality_report")
 
+    @property
+    def partials(self) -> str:
+        return self.path("daily_partials")
+
     @property
     def history(self) -> str:
         return self.path("station_history")
@@ -84,7 +90,7 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
     curated = daily_observations(raw, start, end, run_ts=run_ts, exact_distinct=exact_distinct)
     curated = curated.withColumn("observation_date", F.to_date("timestamp"))
 
-    seen = {name: Observation(f"{name}_rows") for name in ("daily", "summary", "report", "history")}
+    seen = {name: Observation(f"{name}_rows") for name in ("daily", "summary", "report", "partials", "history")}
     # An observation only reports when its write ran over rows; empty outputs count as 0.
     wrote = dict.fromkeys(seen, False)
 
@@ -106,6 +112,9 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
         report = quality_report(daily).withColumn("generated_at", ntz_literal(run_ts))
         written(report, "report", layout.report, "report_date")
 
+    def write_partials():
+        written(daily_partials(daily), "partials", layout.partials, "observation_date", ["station_id"])
+
     def write_history():
         new = hist.history_rows(daily)
         if stations is not None:
@@ -116,10 +125,10 @@ def run_days(spark: SparkSession, layout: Layout, start=None, end=None, run_ts:
                   else hist.union_distinct_history(existing, new))
         written(merged, "history", layout.history, "observation_date", ["station_id", "timestamp"])
 
-    # The three outputs read only the daily observations (and history its own partitions), so they run
+    # The four outputs read only the daily observations (and history its own partitions), so they run
     # as concurrent Spark jobs.
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        for f in [pool.submit(w) for w in (write_summary, write_report, write_history)]:
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for f in [pool.submit(w) for w in (write_summary, write_report, write_partials, write_history)]:
             f.result()
     rows = {name: (obs.get.get("n", 0) if wrote[name] else 0) for name, obs in seen.items()}
     log.info("processed %d day(s) at %s: %s", len(days), run_ts, rows)
@@ -150,6 +159,19 @@ def _history_schema():
 HISTORY_TABLE_SCHEMA = _history_schema()
 
 
+def trend_kpis(spark: SparkSession, layout: Layout, as_of: dt.datetime, days: int = 30) -> DataFrame:
+    """Per station, the KPIs of the ``days`` up to ``as_of``: whole days from their stored partials, the days that the
+    period cuts from their own observations."""
+    since = as_of - dt.timedelta(days=days)
+    first = since.date() if since.time() == dt.time() else since.date() + dt.timedelta(days=1)
+    whole = [first + dt.timedelta(days=i) for i in range((as_of.date() - first).days)]
+    cut = sorted({since.date(), as_of.date()} - set(whole))
+    stored = read_days(spark, layout.partials, whole, None)
+    edge = read_days(spark, layout.daily, cut, None)
+    edge = edge.where((F.col("timestamp") >= ntz_literal(since)) & (F.col("timestamp") <= ntz_literal(as_of)))
+    return partials.trend_kpis(stored.unionByName(daily_partials(edge).select(*stored.columns)))
+
+
 def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     """Expose the stored tables to ``spark.sql`` under their usual names.
 
@@ -161,7 +183,7 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     tables = {
         "raw_observations": (layout.raw, RAW_TABLE_SCHEMA), "daily_observations": (layout.daily, None),
         "daily_summary": (layout.summary, None), "quality_report": (layout.report, None),
-        "station_history": (layout.history, HISTORY_TABLE_SCHEMA), "quarantine": (layout.quarantine, None),
+        "daily_partials": (layout.partials, None), "station_history": (layout.history, HISTORY_TABLE_SCHEMA), "quarantine": (layout.quarantine, None),
     }
     for name, (path, schema) in tables.items():
         if path_exists(spark, path):

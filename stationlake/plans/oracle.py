@@ -380,6 +380,18 @@ def oracle_sql() -> dict[str, str]:
     q["stored_read_day"] = q["daily_observations_day"]
     q["stored_missing_counts"] = (f"with {RAW_CTE}\nselect 'no table' as what, cast(0 as bigint) as n union all select 'no day', 0 "
                                   f"union all select 'table', count(*) from raw")
+    q["stored_trend_from_partials"] = (
+        f"with {DAILY_CTE}\nselect station_id, {rnd('avg(temperature)', 2)} as avg_temperature, "
+        f"{rnd('min(temperature)', 2)} as min_temperature, {rnd('max(temperature)', 2)} as max_temperature, "
+        f"{rnd('avg(humidity)', 2)} as avg_humidity, count(*) as data_points from daily "
+        f"where timestamp between timestamp '2024-01-11 12:00:00' and timestamp '2024-01-25 12:00:00' group by station_id")
+    q["stored_statistics_from_partials"] = (
+        f"with {DAILY_CTE}\nselect station_id, count(*) as observations, {rnd('avg(temperature)', 2)} as avg_temperature, "
+        f"{rnd('stddev_samp(temperature)', 4)} as stddev_temperature, {rnd('avg(wind_speed)', 2)} as avg_wind_speed, "
+        f"{rnd('avg(data_completeness_score)', 4)} as avg_completeness_score, "
+        f"count(case when temperature is not null and humidity is not null then 1 end) as pairs, "
+        f"{rnd('corr(temperature, humidity)', 4)} as temp_humidity_corr from daily group by station_id")
+    q["stored_temperature_trend_from_partials"] = q["temperature_trend"]
     of_day = "where cast(timestamp as date) = date '2024-01-15'"
     q["stored_empty_day"] = (
         f"with {DAILY_CTE},\ncounts as (select 'daily' as what, count(*) as n from daily {of_day} union all select 'history', count(*) from daily {of_day} "

@@ -8,8 +8,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationlake.operators import views
-from stationlake.plans.daily_job import HISTORY_TABLE_SCHEMA, Layout, run_days
+from stationlake.operators import partials, views
+from stationlake.plans.daily_job import HISTORY_TABLE_SCHEMA, Layout, run_days, trend_kpis
 from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from stationlake.session import shared_dir
 from stationlake.sources.fixtures import LATE_KEY, observations_from_events, raw_observations, read_source
@@ -152,6 +152,26 @@ def q_stored_station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.station_trend(read_table(spark, layout.history, HISTORY_TABLE_SCHEMA), "2024-01-31 00:00:00", 30, station_ids=[5])
 
 
+def q_stored_trend_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend KPIs of 14 days that begin and end at noon, from stored partials and two cut days."""
+    layout = _loaded(spark, sf_dir, "stored-trend")
+    run_days(spark, layout, run_ts=FIRST_RUN)
+    return trend_kpis(spark, layout, dt.datetime(2024, 1, 25, 12), 14)
+
+
+def q_stored_statistics_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means, spread and correlation of the whole month per station, from stored partials alone."""
+    layout = _loaded(spark, sf_dir, "stored-statistics")
+    run_days(spark, layout, run_ts=FIRST_RUN)
+    return partials.station_statistics(read_table(spark, layout.partials))
+
+
+def q_stored_temperature_trend_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = _loaded(spark, sf_dir, "stored-temperature")
+    run_days(spark, layout, run_ts=FIRST_RUN)
+    return partials.temperature_trend(read_table(spark, layout.partials))
+
+
 def q_stored_order_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the ordered outputs that stand before their predecessor within a file or partition."""
     layout = _loaded(spark, sf_dir, "stored-order")
@@ -180,6 +200,9 @@ STORED_QUERIES = {
     "stored_empty_day": q_stored_empty_day,
     "stored_station_history": q_stored_station_history,
     "stored_order_checks": q_stored_order_checks,
+    "stored_trend_from_partials": q_stored_trend_from_partials,
+    "stored_statistics_from_partials": q_stored_statistics_from_partials,
+    "stored_temperature_trend_from_partials": q_stored_temperature_trend_from_partials,
     "stored_daily_summary": q_stored_daily_summary,
     "stored_quality_report": q_stored_quality_report,
     "stored_history_upsert_rerun": q_stored_history_upsert_rerun,

@@ -13,7 +13,7 @@ def _rows(df):
 
 def _snapshot(spark, lay):
     return {name: _rows(read_table(spark, p)) for name, p in
-            [("daily", lay.daily), ("summary", lay.summary), ("report", lay.report), ("history", lay.history)]}
+            [("daily", lay.daily), ("summary", lay.summary), ("report", lay.report), ("partials", lay.partials), ("history", lay.history)]}
 
 
 def test_rerun_is_idempotent_and_empty_day_clears(spark, workdir):
