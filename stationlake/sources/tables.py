@@ -140,13 +140,26 @@ def _no_step(name: str) -> None:
     """Called between the steps of a change; tests stop the run there."""
 
 
+def bloom_options(columns: list[str], max_bytes: int = 1 << 18) -> dict[str, str]:
+    """Parquet options for a Bloom filter on each of ``columns``, of a size fitted to the values of a row group.
+
+    Row groups are skipped by the extremes of a column, then by its dictionary, then by its filter; the
+    filter serves ids too many for a dictionary and too scattered for extremes.
+    """
+    if not columns:
+        return {}
+    return {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(max_bytes),
+            **{f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}}
+
+
 def replace_days(df: DataFrame, path: str, date_col: str, days: list, sort_cols: list[str] | None = None,
-                 step: Callable[[str], None] = _no_step) -> list[str]:
+                 step: Callable[[str], None] = _no_step, bloom: tuple[str, ...] = ("station_id",)) -> list[str]:
     """Replace the partitions of ``days`` by the rows of ``df``, as one step (S10/S11); the days that have rows now.
 
     The rows are written under a new label beside the live folders, and one manifest makes them live for all
     days; days that came out empty are empty from then on. ``df`` may read the very table, whose
-    folders stay until later versions. One writer at a time may change a table.
+    folders stay until later versions. One writer at a time may change a table. ``bloom`` columns, as far as
+    ``df`` has them, get Bloom filters, so that the rows of one station are found without reading every row group.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     texts = [_date_text(d) for d in days]
@@ -157,7 +170,7 @@ def replace_days(df: DataFrame, path: str, date_col: str, days: list, sort_cols:
     # pair.
     out = df.withColumn("version", F.lit(label)).hint("rebalance", date_col)
     out = out.sortWithinPartitions(*sort_cols) if sort_cols else out
-    out.write.mode("append").partitionBy(date_col, "version").parquet(path)
+    out.write.mode("append").options(**bloom_options([c for c in bloom if c in df.columns])).partitionBy(date_col, "version").parquet(path)
     step("written")
     done = versions.commit_days(spark, path, base, label, texts, df.schema)
     step("committed")
@@ -199,7 +212,7 @@ def merge_batches(spark: SparkSession, path: str, inputs: dict[str, list[tuple[s
         target = versions.batch_folder(path, day, versions.MERGED_SOURCE, new)
         out = rows if rule is None else rule(rows)
         out.hint("rebalance").sortWithinPartitions("station_id", "timestamp").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").parquet(target)
+            "partitionOverwriteMode", "static").options(**bloom_options(["station_id"])).parquet(target)
         if rule is None and (had := rows.count()) != (got := spark.read.parquet(target).count()):
             raise RuntimeError(f"merging {day} wrote {got} of {had} rows; the table is as before")
 

@@ -59,7 +59,7 @@ def test_num_or_null(spark):
 
 
 def test_to_id(spark):
-    cases = [("100971", 100971), (" 7 ", 7), ("100971.0", 100971), ("1.5", None), ("abc", None), ("", None),
+    cases = [("204518", 204518), (" 7 ", 7), ("204518.0", 204518), ("1.5", None), ("abc", None), ("", None),
              (None, None)]
     for v, want in cases:
         assert _one(spark, to_id, v, "string") == want, v

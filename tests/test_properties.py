@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from stationlake.operators import curate, summarize
-from stationlake.schemas import QUALITY_RULES, RAW_COLUMNS, RAW_SCHEMA
+from stationlake.schemas import MEASURES, QUALITY_RULES, RAW_COLUMNS, RAW_SCHEMA
 
 BASE = dt.datetime(2024, 1, 1)
 value = st.one_of(st.none(), st.floats(min_value=-120, max_value=1200, allow_nan=False).map(lambda x: round(x, 2)))
@@ -185,7 +185,7 @@ def _doc(lines):
 @given(st.lists(payload, min_size=1, max_size=6))
 def test_payload_lines_match_python_reading(spark, docs):
     df = spark.createDataFrame([(str(i), _doc(d)) for i, d in enumerate(docs)], "station_id string, xml string")
-    got = Counter((r["station_id"], r["timestamp"], tuple(r[m] for m in MEASURE_NAMES))
+    got = Counter((r["station_id"], r["timestamp"], tuple(r[m] for m in MEASURES))
                   for r in decode_payloads(df).collect())
     want = []
     for i, d in enumerate(docs):
@@ -193,7 +193,3 @@ def test_payload_lines_match_python_reading(spark, docs):
             vals = [None if t == "NaN" else float(t) for t in v] + [None] * (8 - len(v))
             want.append((i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=e), tuple(vals)))
     assert got == Counter(want)
-
-
-MEASURE_NAMES = ["temperature", "humidity", "wind_speed", "wind_direction", "pressure", "precipitation",
-                 "cloud_cover", "visibility"]
