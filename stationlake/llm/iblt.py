@@ -1,17 +1,19 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs (lines; lines over ``LONG`` bytes are cut at sentence ends) are hashed to 64-bit
-digests. A sketch has three tables of cells; each digest adds itself to one cell of each: a count,
-the XOR of the digests and the XOR of their check hashes. Sketches subtract cell by cell, so what
-two versions share cancels. A cell left with one digest (count 1 or -1 and a fitting check) is
+A text is cut at its own marks (line ends, and ends of sentences in any line) and the pieces are hashed to
+64-bit digests. A sketch has three tables of cells; each digest adds itself to one cell of each: a
+count, the XOR of the digests and the XOR of their check hashes. Sketches subtract cell by cell, so
+what two versions share cancels. A cell left with one digest (count 1 or -1 and a fitting check) is
 *pure*: the digest is recovered and taken out of its other cells, which makes more cells pure.
-If cells remain, the pair is tried again with twice the cells and other hashes.
 
-The fingerprint is the sketch of ``BASE`` cells per table as text. For the likeness of two texts,
-sketches are sized by their paragraph counts and peeled as DataFrames: a cell is a row, subtraction
-is a grouped sum and XOR, and peeling one table is an explode of its pure cells followed by the same
-aggregate. The recovered digests are the paragraphs that differ, so the likeness is exact: shared
-paragraphs over all distinct paragraphs. Everything runs on built-in functions.
+The fingerprint is the sketch of ``BASE`` cells per table as text. The likeness of two texts is that of their
+fingerprints: these are subtracted and peeled, within the row, since their size is fixed. If cells
+remain, more digests differ than so many cells can tell, and the pair is tried again with larger
+sketches, sized by the counts that the fingerprints hold, then twice as large until it is solved. Those are
+peeled as DataFrames: a cell is a row, subtraction is a grouped sum and XOR, and peeling one table is
+an explode of its pure cells followed by the same aggregate. The recovered digests are the paragraphs
+that differ, so the likeness is exact: shared paragraphs over all distinct paragraphs. Everything
+runs on built-in functions.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from pyspark.sql import functions as F
 
 from stationlake.llm.common import NO_ID, doc_key, staged, table
 
-LONG = 400                 # bytes from which a line is cut at sentence ends
+#: where a text is cut: line ends, and white space after the end of a sentence and up to three closing signs; the
+#: marks of scripts without spaces cut where they stand
+CUT = r"\n|(?<=[.!?][^\w\s]{0,3})\s+|(?<=[\u3002\uff01\uff1f\u0964\u06d4])"
 TABLES = 3
 BASE = 4                   # cells per table of the fingerprint
 SPARE = 1.4                # cells per digest that may differ, at the first try
@@ -31,10 +35,8 @@ _CHECK = 7_777
 
 
 def paragraphs(text: Column) -> Column:
-    """Trimmed non-empty paragraphs of a text, in order."""
-    cut = F.transform(F.split(text, "\n"), lambda line: F.when(
-        F.octet_length(line) > LONG, F.split(line, r"(?<=[.!?])\s+")).otherwise(F.array(line)))
-    return F.filter(F.transform(F.flatten(cut), lambda p: F.trim(p)), lambda p: p != "")
+    """Trimmed non-empty paragraphs of a text, in order. Where it is cut depends on the text beside the cut alone."""
+    return F.filter(F.transform(F.split(text, CUT), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def digests(text: Column) -> Column:
@@ -51,17 +53,56 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(_CHECK))
 
 
-def sketch_text(keys: Column) -> Column:
-    """The fingerprint: ``count:xor of digests:xor of checks`` of every cell, in hexadecimal."""
+def placed(keys: Column) -> Column:
+    """Every digest with its check and its cell in each table of a fingerprint."""
+    return F.transform(keys, lambda k: F.struct(
+        k.alias("k"), _check(k).alias("c"), F.array(*[_place(k, t, F.lit(BASE)) for t in range(TABLES)]).alias("at")))
+
+
+def sketch(held: Column) -> Column:
+    """``placed`` digests → the cells (n, k, c) of the fingerprint's tables, one after the other."""
     # (a lambda's second parameter would be the element's index, so loop values come in by closure)
-    def xor(xs: Column) -> Column:
-        return F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+    def xor(xs: Column, part: str) -> Column:
+        return F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x[part]))
 
     def cell(number: int, c: int) -> Column:
-        held = F.filter(keys, lambda k: _place(k, number, F.lit(BASE)) == number * BASE + c)
-        return F.concat_ws(":", F.hex(F.size(held)), F.hex(xor(held)), F.hex(xor(F.transform(held, lambda k: _check(k)))))
+        mine = F.filter(held, lambda x: F.get(x["at"], F.lit(number)) == number * BASE + c)
+        return F.struct(F.size(mine).cast("long").alias("n"), xor(mine, "k").alias("k"), xor(mine, "c").alias("c"))
+
+    return F.array(*[cell(number, c) for number in range(TABLES) for c in range(BASE)])
+
+
+def sketch_text(cells: Column) -> Column:
+    """The fingerprint: ``count:xor of digests:xor of checks`` of every cell, in hexadecimal."""
+    return F.lower(F.array_join(F.transform(cells, lambda x: F.concat_ws(":", F.hex(x["n"]), F.hex(x["k"]), F.hex(x["c"]))), ","))
+
+
+def _bind(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def peeled(a: Column, b: Column) -> Column:
+    """Two fingerprints' cells → (only_a, only_b, solved): digests recovered from their difference, and whether no
+    cell remains."""
+    minus = lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c"))
+    pure = lambda x: (F.abs(x["n"]) == 1) & (x["c"] == _check(x["k"]))
+
+    def step(s: Column, _: Column) -> Column:
+        def take(p: Column) -> Column:
+            def out_of(at: Column) -> Column:
+                cells = F.transform(s["cells"], lambda x, i: F.when(F.array_contains(at, i), minus(x, p)).otherwise(x))
+                return F.struct(cells.alias("cells"), (s["a"] + (p["n"] > 0).cast("int")).alias("a"), (s["b"] + (p["n"] < 0).cast("int")).alias("b"))
+
+            places = F.array(*[_place(p["k"], t, F.lit(BASE)) for t in range(TABLES)])
+            return F.when(p.isNull(), s).otherwise(_bind(places, out_of))
+
+        return _bind(F.get(F.filter(s["cells"], pure), F.lit(0)), take)
 
-    return F.lower(F.concat_ws(",", *[cell(number, c) for number in range(TABLES) for c in range(BASE)]))
+    start = F.struct(F.zip_with(a, b, minus).alias("cells"), F.lit(0).alias("a"), F.lit(0).alias("b"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(TABLES * BASE)), start, step, lambda s: F.struct(
+        s["a"].alias("only_a"), s["b"].alias("only_b"),
+        (~F.exists(s["cells"], lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["c"] != 0))).alias("solved")))
 
 
 # ---- neighbours -------------------------------------------------------------------------------
@@ -70,22 +111,30 @@ def sketch_text(keys: Column) -> Column:
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` (_d, _h and ``columns``) plus ``next_<column>`` of the row next in (_d, _h), the first following the last.
 
-    Rows go to buckets of the key at its approximate quantiles; the first row of each bucket is also
-    sent, as a guest, to the end of the bucket before it, so one shuffle finds every neighbour.
+    Rows go to buckets of the key at approximate quantiles of it: ids, and where one id fills several buckets the
+    hashes of its rows. The first row of each bucket is also sent, as a guest, to the end of the bucket
+    before it, so one shuffle finds every neighbour.
     """
     spark = docs.sparkSession
     buckets = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(docs.agg(F.percentile_approx("_d", shares, 20_000)).first()[0] or []))  # one id per bucket
-    bucket = F.lit(0) if not bounds else F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("_d")))
-    placed = docs.withColumn("_bucket", bucket)
+    cuts = docs.agg(F.percentile_approx("_d", shares, 20_000)).first()[0] or []
+    bounds = [(d, -(1 << 63)) for d in sorted(set(cuts))]
+    for d in sorted(d for d in set(cuts) if cuts.count(d) > 1):  # a hot id, or all rows without one
+        n = cuts.count(d)
+        hashes = docs.where(F.col("_d") == d).agg(F.percentile_approx("_h", [i / n for i in range(1, n)], 20_000)).first()[0]
+        bounds += [(d, h) for h in sorted(set(hashes))]
+    at = F.struct(F.col("_d").alias("d"), F.col("_h").alias("h"))
+    edges = F.array(*[F.struct(F.lit(d).cast("long").alias("d"), F.lit(h).cast("long").alias("h")) for d, h in sorted(bounds)])
+    bucket = F.size(F.filter(edges, lambda b: b <= at)) if bounds else F.lit(0)
+    placed_ = docs.withColumn("_bucket", bucket)
     firsts = sorted((r["_bucket"], r.f["_d"], r.f["_h"]) for r in
-                    placed.groupBy("_bucket").agg(F.min(F.struct("_d", "_h")).alias("f")).collect())
+                    placed_.groupBy("_bucket").agg(F.min(F.struct("_d", "_h")).alias("f")).collect())
     rows = [(b, d, h, firsts[i - 1][0]) for i, (b, d, h) in enumerate(firsts)]
     guests = spark.createDataFrame(rows, "_bucket int, _fd long, _fh long, _before int")
     first = (F.col("_d") == F.col("_fd")) & (F.col("_h") == F.col("_fh"))
     place = lambda b, guest: F.struct(F.col(b).alias("b"), F.lit(guest).alias("g"))
-    sent = placed.join(F.broadcast(guests), "_bucket").withColumn(  # one row per bucket
+    sent = placed_.join(F.broadcast(guests), "_bucket").withColumn(  # one row per bucket
         "_to", F.explode(F.when(first, F.array(place("_bucket", False), place("_before", True)))
                          .otherwise(F.array(place("_bucket", False)))))
     sent = sent.select("_d", "_h", *columns, F.col("_to.b").alias("_bucket"), F.col("_to.g").alias("_guest"))
@@ -126,18 +175,18 @@ def _peel(cells: DataFrame, number: int, attempt: int) -> DataFrame:
 
 
 def differences(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (_bucket, _row, kind, a, b: digest arrays) → (_bucket, _row, kind, only_a, only_b).
+    """``pairs`` (_bucket, _row, kind, a, b: digest arrays, dealt by _bucket and _row) → (_bucket, _row, kind, only_a, only_b).
 
     ``a`` and ``b`` hold distinct digests; the counts are of digests recovered by peeling, exact
     for every pair.
     """
     key = ["_bucket", "_row", "kind"]
-    done, attempt, open_pairs = [], 0, pairs
+    done, attempt, open_pairs = [], 1, pairs  # attempt 0 are the fingerprints themselves
     while True:
-        size = F.ceil(((F.size("a") + F.size("b")) * SPARE + SLACK) * 2**attempt / TABLES).cast("int")
+        size = F.ceil(((F.size("a") + F.size("b")) * SPARE + SLACK) * 2**(attempt - 1) / TABLES).cast("int")
         signed = F.concat(F.transform("a", lambda x: F.struct(x.alias("k"), F.lit(1).alias("n"))),
                           F.transform("b", lambda x: F.struct(x.alias("k"), F.lit(-1).alias("n"))))
-        cells = (open_pairs.repartition("_bucket", "_row").select(*key, size.alias("cells"), F.explode(signed).alias("s"))
+        cells = (open_pairs.select(*key, size.alias("cells"), F.explode(signed).alias("s"))
                  .select(*key, "cells", F.col("s.k").alias("k"), F.col("s.n").cast("long").alias("n"), _check(F.col("s.k")).alias("c"),
                          F.explode(F.array(*[_place(F.col("s.k"), t, F.col("cells"), attempt) for t in range(TABLES)])).alias("cell")))
         cells = _summed(cells)
@@ -153,7 +202,7 @@ def differences(pairs: DataFrame) -> DataFrame:
                 break
             cells = cells.repartition("_bucket", "_row")
         stuck = cells.select(*key).distinct()
-        failed = None if stuck.isEmpty() else staged(open_pairs.join(stuck, key, "left_semi"), "retry")
+        failed = None if stuck.isEmpty() else staged(open_pairs.join(stuck, key, "left_semi"), "retry").repartition("_bucket", "_row")
         if failed is not None:
             counts = counts.join(stuck, key, "left_anti")
         done.append(counts)
@@ -184,27 +233,36 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     the first follows the last). Null texts count as empty. Other columns of ``docs`` are not read.
     """
     rows = docs.select(doc_key().alias("_d"), F.coalesce("text", F.lit("")).alias("text")).select(
-        "_d", F.xxhash64("text").alias("_h"), "text", digests(F.col("text")).alias("keys"))
-    both = with_next(rows, ["text", "keys"])
+        "_d", F.xxhash64("text").alias("_h"), "text")
+    both = with_next(rows, ["text"])
     both = both.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("half", (F.col("n_chars") / 2).cast("int"))
     edited = F.concat(F.expr("left(text, cast(n_chars - half AS int))"), F.expr("left(next_text, half)"))
-    both = both.withColumn("edited", edited)
-    kept = staged(both.select(
-        "_bucket", "_row", "_d", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "keys", "next_keys",
-        digests(F.col("edited")).alias("edited_keys")), "paragraph-digests")
-    pair = lambda kind, b: F.struct(F.lit(kind).alias("kind"), F.col("keys").alias("a"), F.col(b).alias("b"))
-    pairs = kept.select("_bucket", "_row", F.explode(F.array(pair(0, "edited_keys"), pair(1, "next_keys"))).alias("p")).select(
-        "_bucket", "_row", "p.*")
-    of = lambda kind, c: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col(c))), F.lit(0))
+    kept = both.select("_bucket", "_row", "_d", "n_chars", edited.alias("edited"), "text", "next_text").select(
+        "_bucket", "_row", "_d", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        *[digests(F.col(t)).alias(k) for t, k in (("text", "keys"), ("edited", "edited_keys"), ("next_text", "next_keys"))])
+    kinds = {0: "edited_keys", 1: "next_keys"}
+    held = kept.select("*", *[placed(F.col(k)).alias(f"_{k}") for k in ("keys", *kinds.values())])
+    cells = held.select(*kept.columns, *[sketch(F.col(f"_{k}")).alias(f"_{k}") for k in ("keys", *kinds.values())])
+    kept = staged(cells.select(*kept.columns, *[peeled(F.col("_keys"), F.col(f"_{k}")).alias(f"first_{n}") for n, k in kinds.items()]),
+                  "paragraph-digests")
+    pair = lambda n: F.when(~F.col(f"first_{n}.solved"), F.struct(F.lit(n).alias("kind"), F.col("keys").alias("a"), F.col(kinds[n]).alias("b")))
+    # dealt out once a row, before it becomes pairs
+    unsolved = kept.where(~(F.col("first_0.solved") & F.col("first_1.solved"))).select(
+        "_bucket", "_row", "keys", *kinds.values(), "first_0", "first_1").repartition("_bucket", "_row")
+    pairs = unsolved.select("_bucket", "_row", F.explode(F.array_compact(F.array(*map(pair, kinds)))).alias("p")).select("_bucket", "_row", "p.*")
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
     diff = differences(pairs).groupBy("_bucket", "_row").agg(
-        *[of(kind, c).alias(f"{c}_{kind}") for kind in (0, 1) for c in ("only_a", "only_b")])
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))  # noqa: E731  equal texts leave no cell
+        *[of(kind, c).alias(f"{c}_{kind}") for kind in kinds for c in ("only_a", "only_b")])
+    # (equal digests leave no cell, but those are solved at first)
+    count = lambda c, n: F.when(F.col(f"first_{n}.solved"), F.col(f"first_{n}.{c}")).otherwise(F.coalesce(F.col(f"{c}_{n}"), F.lit(0)))
     size = F.size("keys")
-    return kept.join(diff, ["_bucket", "_row"], "left").select(
+    out = kept.join(diff, ["_bucket", "_row"], "left").select(
         F.when(F.col("_d") < NO_ID, F.col("_d")).alias("doc_id"), "n_chars", "edited_sha256",
-        sketch_text(F.col("keys")).alias("fingerprint"), sketch_text(F.col("edited_keys")).alias("edited_fingerprint"),
-        likeness(size, zero("only_a_0"), zero("only_b_0")).alias("near_edited"),
-        likeness(size, zero("only_a_1"), zero("only_b_1")).alias("near_next"))
+        likeness(size, count("only_a", 0), count("only_b", 0)).alias("near_edited"),
+        likeness(size, count("only_a", 1), count("only_b", 1)).alias("near_next"),
+        placed(F.col("keys")).alias("_a"), placed(F.col("edited_keys")).alias("_b"))
+    return out.select("doc_id", "n_chars", "edited_sha256", sketch_text(sketch(F.col("_a"))).alias("fingerprint"),
+                      sketch_text(sketch(F.col("_b"))).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

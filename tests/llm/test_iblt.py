@@ -9,9 +9,21 @@ DIR = "/root/testdata/sf0.001"
 
 
 def parts(text):
-    out = []
-    for line in text.split("\n"):
-        out += re.split(r"(?<=[.!?])\s+", line, flags=re.A) if len(line.encode()) > iblt.LONG else [line]
+    out, at = [], 0
+    for m in re.finditer(r"\n|\s+|[\u3002\uff01\uff1f\u0964\u06d4]", text, flags=re.A):
+        if m[0] == "\n" or not m[0].isspace():
+            cut = (m.start(), m.end()) if m[0] == "\n" else (m.end(), m.end())
+        elif re.search(r"[.!?][^\w\s]{0,3}\Z", text[max(0, m.start() - 4):m.start()], flags=re.A):
+            cut = m.span()
+        elif "\n" in m[0]:
+            out += text[at:m.end()].split("\n")[:-1]
+            at = m.start() + m[0].rindex("\n") + 1
+            continue
+        else:
+            continue
+        out.append(text[at:cut[0]])
+        at = cut[1]
+    out.append(text[at:])
     return {p.strip(" ") for p in out} - {""}
 
 
@@ -77,3 +89,71 @@ def test_too_small_sketches_are_retried(spark, monkeypatch):
 def test_plan_is_native(spark):
     plan = iblt.op3_fingerprints(spark, DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def cells_of(text):
+    to = lambda x: int(x, 16) - (1 << 64) if int(x, 16) >= 1 << 63 else int(x, 16)
+    return [tuple(map(to, c.split(":"))) for c in text.split(",")]
+
+
+def test_likeness_is_that_of_the_fingerprints(spark):
+    """Where the two strings can be peeled at all, peeling them by hand gives the likeness returned, and nothing else is
+    needed for it."""
+    rows = [(i, "\n".join(f"line {j // (2 if i % 3 else 1)} of {i // 2 if j % 5 else i}" for j in range(2 + i % 7))) for i in range(40)]
+    from pyspark.sql import functions as F
+
+    def place(k, t):
+        return (spark_hash[(k, t)] % iblt.BASE) + t * iblt.BASE
+
+    got = iblt.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    known = {k for r in rows for k in parts(r[1])} | {k for r in rows for s in rows for k in parts(r[1][:len(r[1]) - len(r[1]) // 2] + s[1][:len(r[1]) // 2])}
+    keys = spark.createDataFrame([(p,) for p in known], "p string").select(F.xxhash64("p").alias("k")).distinct()
+    hashed = keys.select("k", F.xxhash64("k", F.lit(iblt._CHECK)).alias("c"), *[F.xxhash64("k", F.lit(t)).alias(f"h{t}") for t in range(iblt.TABLES)]).collect()
+    check = {r.k: r.c for r in hashed}
+    spark_hash = {(r.k, t): r[f"h{t}"] for r in hashed for t in range(iblt.TABLES)}
+    solved = 0
+    for r in got:
+        a, b = cells_of(r.fingerprint), cells_of(r.edited_fingerprint)
+        cells = [[x[0] - y[0], x[1] ^ y[1], x[2] ^ y[2]] for x, y in zip(a, b)]
+        only = {1: 0, -1: 0}
+        while pure := [x for x in cells if abs(x[0]) == 1 and check.get(x[1]) == x[2]]:
+            n, k, c = pure[0]
+            only[n] += 1
+            for t in range(iblt.TABLES):
+                x = cells[place(k, t)]
+                x[0], x[1], x[2] = x[0] - n, x[1] ^ k, x[2] ^ c
+        if not any(any(x) for x in cells):
+            solved += 1
+            size = sum(x[0] for x in a[:iblt.BASE])
+            assert r.near_edited == ((size - only[1]) / (size + only[-1]) if size + only[-1] else 1.0)
+    assert solved > 10
+
+
+def test_cuts_do_not_depend_on_the_length_of_a_line(spark):
+    from pyspark.sql import functions as F
+
+    sentence = "A short sentence of some words! "
+    long = sentence * 12 + "x" * 400
+    texts = [sentence * 12, long, "Marked*** so.%% And (so?) there. Thus", "\u4e00\u4e8c\u3002\u4e09\u56db\uff01\u4e94", "a.b 3.14 e.g."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", iblt.paragraphs(F.col("t")).alias("p"))
+    got = {r.i: r.p for r in df.collect()}
+    assert got[0] == [sentence.strip()] * 12 and got[1][:12] == got[0]
+    assert got[2] == ["Marked*** so.%%", "And (so?)", "there.", "Thus"] and len(got[3]) == 3 and got[4] == ["a.b 3.14 e.g."]
+
+
+def test_few_long_documents_share_nothing_with_their_edit(spark):
+    df = iblt.op3_fingerprints(spark, "/root/testdata/sf0.01").where("n_chars >= 400")
+    r = df.selectExpr("count(*) AS n", "count_if(near_edited = 0) AS zero").first()
+    print(r)
+    assert r.zero <= 0.02 * r.n
+
+
+def test_rows_of_one_id_are_dealt_to_several_buckets(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(4000).select(F.lit(iblt.NO_ID).alias("_d"), F.xxhash64("id").alias("_h"), F.col("id").cast("string").alias("text"))
+    got = iblt.with_next(rows.union(spark.range(100).selectExpr("id AS _d", "id AS _h", "'x' AS text")), ["text"])
+    per = [r["count"] for r in got.groupBy("_bucket").count().collect()]
+    assert len(per) > 10 and max(per) < 1000 and sum(per) == 4100
+    order = [r.text for r in got.orderBy("_d", "_h").collect()]
+    assert [r.next_text for r in got.orderBy("_d", "_h").collect()] == order[1:] + order[:1]
