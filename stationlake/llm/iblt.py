@@ -25,7 +25,7 @@ from stationlake.llm.common import NO_ID, doc_key, staged, table
 
 #: where a text is cut: line ends, and white space after the end of a sentence and up to three closing signs; the
 #: marks of scripts without spaces cut where they stand
-CUT = r"\n|(?<=[.!?][^\w\s]{0,3})\s+|(?<=[\u3002\uff01\uff1f\u0964\u06d4])"
+CUT = r"\n|(?=\s)(?<=[.!?][^\w\s]{0,3})\s+|(?<=[\u3002\uff01\uff1f\u0964\u06d4])"
 TABLES = 3
 BASE = 4                   # cells per table of the fingerprint
 SPARE = 1.4                # cells per digest that may differ, at the first try
@@ -243,7 +243,11 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     kinds = {0: "edited_keys", 1: "next_keys"}
     held = kept.select("*", *[placed(F.col(k)).alias(f"_{k}") for k in ("keys", *kinds.values())])
     cells = held.select(*kept.columns, *[sketch(F.col(f"_{k}")).alias(f"_{k}") for k in ("keys", *kinds.values())])
-    kept = staged(cells.select(*kept.columns, *[peeled(F.col("_keys"), F.col(f"_{k}")).alias(f"first_{n}") for n, k in kinds.items()]),
+    # a cell gives one digest at most: sizes further apart than there are cells cannot be solved
+    far = F.struct(F.lit(0).alias("only_a"), F.lit(0).alias("only_b"), F.lit(False).alias("solved"))
+    solve = lambda k: F.when(F.abs(F.size("keys") - F.size(k)) > TABLES * BASE, far).otherwise(
+        peeled(F.col("_keys"), F.col(f"_{k}")))
+    kept = staged(cells.select(*kept.columns, *[solve(k).alias(f"first_{n}") for n, k in kinds.items()]),
                   "paragraph-digests")
     pair = lambda n: F.when(~F.col(f"first_{n}.solved"), F.struct(F.lit(n).alias("kind"), F.col("keys").alias("a"), F.col(kinds[n]).alias("b")))
     # dealt out once a row, before it becomes pairs
