@@ -152,7 +152,7 @@ def q_publish_landed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         for step in (stop, lambda at: None, stop):  # killed, run again, and once more when all is done
             with contextlib.suppress(InterruptedError):
                 outbox.publish(half, "json", f"{root}/messages", f"{root}/outbox", "poller", n, step=step)
-    stream = value_stream(spark, "json", f"{root}/messages", max_per_trigger=FILES_PER_TRIGGER)
+    stream = value_stream(spark, "json", f"{root}/messages", max_per_trigger=FILES_PER_TRIGGER, message_ids=True)
     _await(landing.land_stream(stream, f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint", ledger=f"{root}/ledger"))
     return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
 

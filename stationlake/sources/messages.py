@@ -80,15 +80,15 @@ def write_messages(msgs: DataFrame, fmt: str, target: str, topic: str | None = N
 
 def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str | None = None,
                  max_per_trigger: int | None = None, starting: str = "earliest",
-                 fail_on_data_loss: bool = True) -> DataFrame:
+                 fail_on_data_loss: bool = True, message_ids: bool = False) -> DataFrame:
     """A streaming DataFrame with ``key`` and ``value`` columns.
 
     ``fmt="kafka"`` subscribes to ``topic`` from ``starting`` offsets, ``max_per_trigger`` capping
     records per micro-batch (the reference's batch of 100). Offsets that vanished before they
     were read (retention) stop the query unless ``fail_on_data_loss=False``: results stay whole
     or fail loudly. ``fmt="text"`` reads one message per line from files in a folder and ``fmt="json"``
-    the keyed lines of ``write_messages``; ``max_per_trigger`` then caps files per micro-batch. Messages from
-    Kafka and keyed lines have a ``message_id`` too, null where they were sent without one.
+    the keyed lines of ``write_messages``; ``max_per_trigger`` then caps files per micro-batch. With ``message_ids``
+    messages from Kafka and keyed lines have a ``message_id`` too, null where they were sent without one.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -96,11 +96,14 @@ def value_stream(spark: SparkSession, fmt: str, path_or_servers: str, topic: str
         reader = reader.option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_data_loss).lower())
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
-        sent = F.get(F.filter("headers", lambda h: h["key"] == "message_id"), F.lit(0))["value"].cast("string")
-        return reader.option("includeHeaders", "true").load().select(
-            F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), sent.alias("message_id"))
+        text = [F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")]
+        if message_ids:
+            reader = reader.option("includeHeaders", "true")
+            sent = F.get(F.filter("headers", lambda h: h["key"] == "message_id"), F.lit(0))["value"].cast("string")
+            text.append(sent.alias("message_id"))
+        return reader.load().select(*text)
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
     if fmt == "json":
-        return reader.schema("key string, value string, message_id string").load(path_or_servers)
+        return reader.schema("key string, value string" + ", message_id string" * message_ids).load(path_or_servers)
     return reader.load(path_or_servers).select(F.lit(None).cast("string").alias("key"), F.col("value"))

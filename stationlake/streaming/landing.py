@@ -183,14 +183,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger", default="1 minute", help="processing-time interval")
     ap.add_argument("--drain", action="store_true", help="process what is available, then stop")
     ap.add_argument("--drop-extra", action="store_true", help="leave out unknown message fields (kept in extra_fields)")
+    ap.add_argument("--message-ids", action="store_true", help="land each message id once (messages published through an outbox)")
     a = ap.parse_args(argv)
     spark = get_session()
     lay = Layout(a.root)
-    stream = (value_stream(spark, "kafka", a.kafka, topic=a.topic, max_per_trigger=a.max_per_trigger) if a.kafka
+    stream = (value_stream(spark, "kafka", a.kafka, topic=a.topic, max_per_trigger=a.max_per_trigger, message_ids=a.message_ids) if a.kafka
               else value_stream(spark, "text" if a.files else "json", a.files or a.keyed_files,
-                                max_per_trigger=a.max_per_trigger))
+                                max_per_trigger=a.max_per_trigger, message_ids=a.message_ids and not a.files))
     q = land_stream(stream, lay.raw, lay.quarantine, lay.path("_checkpoints/landing"),
-                    trigger="availableNow" if a.drain else a.trigger, name="landing", keep_extra=not a.drop_extra)
+                    trigger="availableNow" if a.drain else a.trigger, name="landing", keep_extra=not a.drop_extra,
+                    ledger=lay.path("_ledger") if a.message_ids else None)
     q.awaitTermination()
 
 

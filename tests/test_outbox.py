@@ -33,7 +33,7 @@ def landed(spark, root):
 
 
 def drain(spark, root, files=2):
-    q = landing.land_stream(value_stream(spark, "json", f"{root}/m", max_per_trigger=files), f"{root}/raw", f"{root}/q", f"{root}/cp",
+    q = landing.land_stream(value_stream(spark, "json", f"{root}/m", max_per_trigger=files, message_ids=True), f"{root}/raw", f"{root}/q", f"{root}/cp",
                             ledger=f"{root}/ledger")
     q.awaitTermination()
 
