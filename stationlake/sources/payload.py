@@ -35,18 +35,18 @@ MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
 def _first_element(text: str, name: str) -> F.Column:
     """The first element of that local name, whatever its prefix, from its start tag to the ``</`` after its text
     (attributes allowed, no child elements); empty if there is none. The pattern is constant."""
-    return F.regexp_extract(text, rf"<(?:[A-Za-z_][\w.-]*:)?{name}(?:\s(?:[^>]*[^>/])?)?>(?:[^<]|<!\[CDATA\[[\s\S]*?\]\]>)*</", 0)
+    return F.regexp_extract(text, rf"<(?:[A-Za-z_][\w.-]*:)?{name}(?:\s(?:[^>]*[^>/])?)?>[^<]*+(?:<!\[CDATA\[[\s\S]*?\]\]>[^<]*+)*</", 0)
 
 
 def _bound_once(text: str, element: str, uri: str) -> F.Column:
     """Whether the prefix of a found element is declared exactly once in the document, for this URI: then every
     element with that prefix is in the namespace, and no scopes need be looked at."""
     declared = f"concat('xmlns:', split_part(split_part({element}, ':', 1), '<', 2), '=')"
-    at = F.expr(f"locate({declared}, {text})")
-    again = F.expr(f"locate({declared}, {text}, locate({declared}, {text}) + 1)")
-    value = F.expr(f"substr({text}, locate({declared}, {text}) + length({declared}), {len(uri) + 2})")
+    before, after = (F.expr(f"substring_index({text}, {declared}, {n})") for n in (1, -1))
+    # what stands before the first and after the last one is all the rest (both are the whole text if there is none)
+    once = F.octet_length(before) + F.expr(f"octet_length({declared})") + F.octet_length(after) == F.octet_length(text)
     prefixed = F.expr(f"instr(split_part({element}, '>', 1), ':')") > 0
-    return prefixed & (at > 0) & (again == 0) & value.isin(f'"{uri}"', f"'{uri}'")
+    return prefixed & once & (after.startswith(f'"{uri}"') | after.startswith(f"'{uri}'"))
 
 
 _DECLARATION = r"""(?<![\w:.-])xmlns(?::([A-Za-z_][\w.-]*))?\s*=\s*("[^"]*"|'[^']*')"""
@@ -55,6 +55,11 @@ _DECLARATION = r"""(?<![\w:.-])xmlns(?::([A-Za-z_][\w.-]*))?\s*=\s*("[^"]*"|'[^'
 _TAG = r"""^((?:[^>"']|"[^"]*"|'[^']*')*)>"""
 
 
+def _bind(value: F.Column, use) -> F.Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _pieces(text: F.Column) -> F.Column:
     """A document cut before its tags, each piece a tag and the text after it; plain CDATA sections become text."""
     return F.split(F.regexp_replace(text, r"<!\[CDATA\[([^<&]*?)\]\]>", "$1"), "<")
@@ -64,8 +69,10 @@ def _tags(pieces: F.Column) -> F.Column:
     """The tags of a document: kind (start, end, other), prefix, local name, namespace declarations, the text
     after it, and whether an end tag follows that."""
     def one(piece: F.Column, i: F.Column) -> F.Column:
-        tag = F.regexp_extract(piece, _TAG, 1)
-        name = F.regexp_extract(tag, r"^[^\s/>]+", 0)
+        return _bind(F.regexp_extract(piece, _TAG, 1), lambda tag: _bind(
+            F.regexp_extract(tag, r"^[^\s/>]+", 0), lambda name: read(piece, i, tag, name)))
+
+    def read(piece: F.Column, i: F.Column, tag: F.Column, name: F.Column) -> F.Column:
         kind = (F.when((i == 0) | tag.rlike("^[?!]") | tag.endswith("/"), F.lit("other"))
                 .when(tag.startswith("/"), F.lit("end")).otherwise(F.lit("start")))
         declared = F.zip_with(
@@ -85,10 +92,12 @@ def _scoped_text(tags: F.Column, element: tuple[str, str]) -> F.Column:
     uri, name = element
 
     def step(a: F.Column, t: F.Column) -> F.Column:
-        inner = F.concat(F.transform(t["ns"], lambda x: F.struct((a["n"] + 1).alias("d"), x["p"].alias("p"), x["u"].alias("u"))), a["b"])
+        inner = F.when(F.size(t["ns"]) == 0, a["b"]).otherwise(F.concat(
+            F.transform(t["ns"], lambda x: F.struct((a["n"] + 1).alias("d"), x["p"].alias("p"), x["u"].alias("u"))), a["b"]))
         bound = F.get(F.filter(inner, lambda x: x["p"] == t["prefix"]), F.lit(0))["u"]
-        mine = (t["local"] == name) & t["leaf"] & (bound == uri)
-        opened = F.struct(inner.alias("b"), (a["n"] + 1).alias("n"), F.when(mine, t["text"]).alias("text"))
+        # (the scopes are searched for elements of that name only)
+        mine = F.when((t["local"] == name) & t["leaf"], F.when(bound == uri, t["text"]))
+        opened = F.struct(inner.alias("b"), (a["n"] + 1).alias("n"), mine.alias("text"))
         closed = F.struct(F.filter(a["b"], lambda x: x["d"] < a["n"]).alias("b"), (a["n"] - 1).alias("n"), a["text"].alias("text"))
         return F.when(a["text"].isNotNull() | (t["kind"] == "other"), a).when(t["kind"] == "end", closed).otherwise(opened)
 
@@ -116,14 +125,15 @@ def _sections(payloads: DataFrame, station: str, xml: str, latest_only: bool) ->
     found = plain.select("*", *[_first_element("plain", name).alias(c) for c, (_, name) in elements.items()])
     odd = F.rlike("plain", F.lit(r"xmlns(?::[\w.-]+)?\s"))  # a declaration that the prefix search would miss
     judged = found.select("*", *[(~odd & _bound_once("plain", c, uri)).alias(f"{c}_sure") for c, (uri, _) in elements.items()])
-    sure = F.col("pos_sure") & F.col("val_sure")
-    tags = _tags(_pieces(F.col("plain")))
+    sure = F.coalesce(F.col("pos_sure") & F.col("val_sure"), F.lit(False))
+    # in a projection of their own: both elements read them
+    tagged = judged.select("*", F.when(F.col("well_formed") & ~sure, _tags(_pieces(F.col("plain")))).alias("tags"))
 
     def text(c: str) -> F.Column:
         cut = F.expr(f"substr({c}, locate('>', {c}) + 1, length({c}) - locate('>', {c}) - 2)")
-        return F.when(sure, cut).when(F.col("well_formed"), F.coalesce(_scoped_text(tags, elements[c]), F.lit("")))
+        return F.when(sure, cut).when(F.col("well_formed"), F.coalesce(_scoped_text(F.col("tags"), elements[c]), F.lit("")))
 
-    texts = judged.select("payload_station", "xml", "well_formed", *[text(c).alias(f"{c}_raw") for c in elements])
+    texts = tagged.select("payload_station", "xml", "well_formed", *[text(c).alias(f"{c}_raw") for c in elements])
     # only what needs it goes through an XML parser again
     decoded = lambda c: strip_ws(F.when(c.rlike("[&]|<!"), F.xpath_string(
         F.concat(F.lit("<t>"), c, F.lit("</t>")), F.lit("/t"))).otherwise(c))

@@ -138,3 +138,15 @@ def test_payload_stream_equals_the_batch_and_survives_a_replay(spark, workdir):
     shutil.move(f"{folder}/.{number}.crc", f"{workdir}/moved-crc")
     run()
     assert rows(read_raw(spark, f"{workdir}/raw")) == rows(want) and len(bad()) == 2
+
+
+def test_long_sections_are_read_without_recursion(spark):
+    n = 20_000
+    d = doc("\n".join(f"60 24 {1704103200 + 60 * i}" for i in range(n)), "\n".join(f"{i % 50} 2 3" for i in range(n)))
+    got = decode_payloads(_df(spark, [d])).selectExpr("count(*) AS n", "count(distinct timestamp) AS t", "sum(temperature) AS s").first()
+    assert (got.n, got.t, got.s) == (n, n, sum(i % 50 for i in range(n)))
+
+
+def test_tags_of_a_document_are_read_once_for_both_elements(spark):
+    plan = decode_payloads(_df(spark, [doc("60 24 1704103200", "1 2 3")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2  # prefixes and URIs
