@@ -58,9 +58,10 @@ def decode_messages(msgs: DataFrame, value: str = "value", key: str | None = "ke
                     .alias("_corrupt_record")))
 
 
-def write_messages(msgs: DataFrame, fmt: str, target: str, topic: str | None = None) -> None:
+def write_messages(msgs: DataFrame, fmt: str, target: str, topic: str | None = None, files: int | None = None) -> None:
     """Publish keyed messages (S4): ``fmt="kafka"`` to ``topic`` at the servers ``target``, ``fmt="json"`` as
-    files of ``{"key": …, "value": …}`` lines in the folder ``target``.
+    files of ``{"key": …, "value": …}`` lines in the folder ``target``, at most ``files`` of them: a stream that takes
+    some files a trigger then needs no more micro-batches for more messages.
 
     Spark retries a failed task, so a message may be sent twice; a ``message_id`` column (``outbox``) goes with
     each message, as a header or a field, for the landing job to leave the second one out.
@@ -73,7 +74,7 @@ def write_messages(msgs: DataFrame, fmt: str, target: str, topic: str | None = N
             out = out.select("key", "value", F.array(header).alias("headers"))
         out.write.format("kafka").option("kafka.bootstrap.servers", target).option("topic", topic).save()
     elif fmt == "json":
-        out.write.mode("append").json(target)
+        (out.coalesce(files) if files else out).write.mode("append").json(target)
     else:
         raise ValueError(f"unknown message sink {fmt!r}")
 

@@ -39,8 +39,9 @@ def number_messages(msgs: DataFrame, producer: str, batch: int) -> DataFrame:
 
 
 def publish(msgs: DataFrame, fmt: str, target: str, outbox: str, producer: str, batch: int, topic: str | None = None,
-            step: Callable[[str], None] = lambda at: None) -> bool:
-    """Send one batch through the outbox; False if it was sent before. ``step`` is called between the steps."""
+            step: Callable[[str], None] = lambda at: None, files: int | None = None) -> bool:
+    """Send one batch through the outbox (to at most ``files`` files); False if it was sent before. ``step`` is called
+    between the steps."""
     spark = msgs.sparkSession
     folder = f"{outbox.rstrip('/')}/producer={producer}/batch={batch}"
     if path_exists(spark, f"{folder}/sent"):
@@ -48,7 +49,7 @@ def publish(msgs: DataFrame, fmt: str, target: str, outbox: str, producer: str,
     if not path_exists(spark, f"{folder}/messages/_SUCCESS"):
         number_messages(msgs, producer, batch).write.mode("overwrite").parquet(f"{folder}/messages")
     step("staged")
-    write_messages(spark.read.schema(NUMBERED_SCHEMA).parquet(f"{folder}/messages"), fmt, target, topic)
+    write_messages(spark.read.schema(NUMBERED_SCHEMA).parquet(f"{folder}/messages"), fmt, target, topic, files)
     step("sent")
     versions.file_system(spark, folder).create(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/sent"), True).close()
     step("marked")

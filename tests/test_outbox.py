@@ -72,3 +72,19 @@ def test_a_retried_task_and_a_replayed_batch(spark, workdir):
     assert land(messages(spark, 1, copies=2).withColumn("message_id", F.lit(None).cast("string")), 3)["accepted"] == 2
     with pytest.raises(ValueError):
         outbox.number_messages(messages(spark, 1), "a/b", 0)
+
+
+def test_files_sent_do_not_grow_with_the_messages(spark, workdir):
+    """A stream that takes some files a trigger needs no more micro-batches, each reading the ledger, for more messages."""
+    (Path(workdir.removeprefix("file:")) / "m").mkdir(exist_ok=True)
+    msgs = messages(spark, 60).repartition(6)
+    staged = outbox.number_messages(msgs, "p", 0).repartition(6)
+    staged.write.parquet(f"{workdir}/o/producer=p/batch=0/messages")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # every staged file is a task
+    try:
+        assert outbox.publish(msgs, "json", f"{workdir}/m", f"{workdir}/o", "p", 0, files=2)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert 1 <= len(list((Path(workdir.removeprefix("file:")) / "m").glob("part-*"))) <= 2
+    drain(spark, workdir)
+    assert landed(spark, workdir) == list(range(60))
