@@ -16,10 +16,10 @@ from stationlake.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from stationlake.session import shared_dir
 from stationlake.sources import catalog as cat
 from stationlake.sources import fields, outbox
-from stationlake.sources.fixtures import messages_from_events, payloads_from_events, read_source
+from stationlake.sources.fixtures import FEED_FILES, messages_from_events, payloads_from_events, read_source
 from stationlake.sources.messages import encode_messages, value_stream, write_messages
 from stationlake.sources.payload import decode_payloads
-from stationlake.sources.tables import QUARANTINE_SCHEMA, read_raw, read_table
+from stationlake.sources.tables import QUARANTINE_SCHEMA, read_raw, read_table, stage
 from stationlake.streaming import landing, monitor
 from stationlake.streaming import payloads as payload_streams
 
@@ -27,10 +27,16 @@ FILES_PER_TRIGGER = 2  # several micro-batches whatever the number of files
 POLL_TIME = "2024-02-01 00:00:00"
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, dealt evenly over the tasks: each becomes messages or a document of many times its size, so the
+    splits of the small event files would be a few long tasks."""
+    return read_source(spark, sf_dir, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _message_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     path = f"{root}/messages"
     # A live feed comes in the order of arrival: each file holds one stretch of it.
-    messages_from_events(read_source(spark, sf_dir, "events"), arrival_ordered=True).select("value").write.text(path)
+    messages_from_events(_events(spark, sf_dir), arrival_ordered=True).select("value").write.text(path)
     return path
 
 
@@ -102,18 +108,18 @@ def q_stream_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries with checkpoints of their own land the two halves of the feed in one raw table."""
     root = shared_dir(spark, "two-sources")
-    msgs = messages_from_events(read_source(spark, sf_dir, "events"))
-    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    msgs = messages_from_events(_events(spark, sf_dir)).select("value", F.pmod(F.xxhash64("value"), F.lit(2)).alias("half"))
+    # made once for both, in a fixed number of files: more events are longer files, not more micro-batches
+    msgs.repartition(FEED_FILES).write.partitionBy("half").text(f"{root}/messages")
     for n in (0, 1):
-        msgs.where(half == n).select("value").write.text(f"{root}/messages{n}")
-        _await(landing.land_stream(value_stream(spark, "text", f"{root}/messages{n}", max_per_trigger=FILES_PER_TRIGGER),
+        _await(landing.land_stream(value_stream(spark, "text", f"{root}/messages/half={n}", max_per_trigger=FILES_PER_TRIGGER),
                                    f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint{n}"))
     return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
 
 
 def _messages_of_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = cat.lookup_catalog(cat.catalog_from_tables(read_source(spark, sf_dir, "supplier"), read_source(spark, sf_dir, "nation")))
-    latest = decode_payloads(payloads_from_events(read_source(spark, sf_dir, "events")), latest_only=True)
+    latest = decode_payloads(payloads_from_events(_events(spark, sf_dir)), latest_only=True)
     return encode_messages(producer_records(latest, names, POLL_TIME))
 
 
@@ -131,7 +137,7 @@ def _message_fields(msgs: DataFrame) -> DataFrame:
 def q_payload_landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads → records → keyed messages → stream → raw table."""
     root = shared_dir(spark, "payload-landing")
-    write_messages(_messages_of_payloads(spark, sf_dir), "json", f"{root}/messages")
+    write_messages(_messages_of_payloads(spark, sf_dir).repartition(FEED_FILES), "json", f"{root}/messages")
     _await(landing.land_stream(value_stream(spark, "json", f"{root}/messages", max_per_trigger=FILES_PER_TRIGGER),
                                f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint"))
     return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
@@ -141,7 +147,7 @@ def q_publish_landed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in two batches published through the outbox, each sent, stopped before it was marked, and sent again;
     landed with a ledger over several micro-batches: every message once."""
     root = shared_dir(spark, "publish")
-    msgs = _messages_of_payloads(spark, sf_dir)
+    msgs = stage(_messages_of_payloads(spark, sf_dir), f"{root}/polled")  # decoded once for both batches
 
     def stop(at: str) -> None:
         if at == "sent":
@@ -151,14 +157,14 @@ def q_publish_landed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         half = msgs.where(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
         for step in (stop, lambda at: None, stop):  # killed, run again, and once more when all is done
             with contextlib.suppress(InterruptedError):
-                outbox.publish(half, "json", f"{root}/messages", f"{root}/outbox", "poller", n, step=step)
+                outbox.publish(half, "json", f"{root}/messages", f"{root}/outbox", "poller", n, step=step, files=FEED_FILES)
     stream = value_stream(spark, "json", f"{root}/messages", max_per_trigger=FILES_PER_TRIGGER, message_ids=True)
     _await(landing.land_stream(stream, f"{root}/raw", f"{root}/quarantine", f"{root}/_checkpoint", ledger=f"{root}/ledger"))
     return read_raw(spark, f"{root}/raw").select(*RAW_COLUMNS)
 
 
 def _payload_files(spark: SparkSession, sf_dir: str, root: str) -> str:
-    payloads_from_events(read_source(spark, sf_dir, "events")).repartition(3 * FILES_PER_TRIGGER).write.json(f"{root}/payloads")
+    payloads_from_events(_events(spark, sf_dir)).repartition(3 * FILES_PER_TRIGGER).write.json(f"{root}/payloads")
     return f"{root}/payloads"
 
 

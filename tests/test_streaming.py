@@ -200,3 +200,22 @@ def test_only_the_requested_days_are_listed_and_read_errors_are_raised(spark, wo
     (spark.createDataFrame([("not a parquet file",)], "value string").coalesce(1).write.text(f"{workdir}/broken"))
     with pytest.raises(Exception):
         read_table(spark, f"{workdir}/broken", RAW_TABLE_SCHEMA).count()
+
+
+def test_registered_streams_deal_events_out_and_bound_their_micro_batches(spark, workdir, monkeypatch):
+    from stationlake.plans import streams
+
+    sf = f"{workdir}/sf"
+    events = read_source(spark, SF_SMALL, "events")
+    events.repartition(24).write.parquet(f"{sf}/events.parquet")
+    monkeypatch.setattr(streams, "shared_dir", lambda _, name: f"{workdir}/{name}")
+    assert streams._events(spark, SF_SMALL).rdd.getNumPartitions() == 8  # a single small file is a single split
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # every file is a task
+    try:
+        got = streams.q_stream_two_sources(spark, sf)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    per = read_raw(spark, f"{workdir}/two-sources/raw").select("source_id", "batch_id").distinct().groupBy("source_id").count().collect()
+    assert len(per) == 2 and all(r["count"] <= streams.FEED_FILES // streams.FILES_PER_TRIGGER for r in per)
+    want, _ = cleanse(decode_messages(messages_from_events(events)))
+    assert _rows(got) == _rows(want.select(*RAW_COLUMNS))
