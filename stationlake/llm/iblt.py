@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import NO_ID, doc_key, staged, table
+from stationlake.llm.common import NO_ID, doc_key, staged_by, table
 
 #: where a text is cut: line ends, and white space after the end of a sentence and up to three closing signs; the
 #: marks of scripts without spaces cut where they stand
@@ -108,15 +108,21 @@ def peeled(a: Column, b: Column) -> Column:
 # ---- neighbours -------------------------------------------------------------------------------
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_next(docs: DataFrame, columns: list[str], derived: list[dict[str, Column]] | None = None) -> DataFrame:
     """``docs`` (_d, _h and ``columns``) plus ``next_<column>`` of the row next in (_d, _h), the first following the last.
 
+    ``derived`` columns are made of ``columns``, and of those derived before them, where the rows have arrived: they do not travel.
+
     Rows go to buckets of the key at approximate quantiles of it: ids, and where one id fills several buckets the
     hashes of its rows. The first row of each bucket is also sent, as a guest, to the end of the bucket
     before it, so one shuffle finds every neighbour.
     """
     spark = docs.sparkSession
-    buckets = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 3 * _partitions(spark)
     shares = [i / buckets for i in range(1, buckets)]
     cuts = docs.agg(F.percentile_approx("_d", shares, 20_000)).first()[0] or []
     bounds = [(d, -(1 << 63)) for d in sorted(set(cuts))]
@@ -138,6 +144,9 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
         "_to", F.explode(F.when(first, F.array(place("_bucket", False), place("_before", True)))
                          .otherwise(F.array(place("_bucket", False)))))
     sent = sent.select("_d", "_h", *columns, F.col("_to.b").alias("_bucket"), F.col("_to.g").alias("_guest"))
+    sent = sent.repartition("_bucket")
+    for more in derived or []:
+        sent, columns = sent.withColumns(more), [*columns, *more]
     order = Window.partitionBy("_bucket").orderBy("_guest", "_d", "_h")
     return sent.select("*", F.row_number().over(order).alias("_row"),
                        *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).where(~F.col("_guest")).drop("_guest")
@@ -146,7 +155,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
 # ---- difference by peeling --------------------------------------------------------------------
 
 
-_GROUP = ["_bucket", "_row", "kind", "cells", "cell"]
+_GROUP = ["_id", "kind", "cells", "cell"]
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -175,12 +184,13 @@ def _peel(cells: DataFrame, number: int, attempt: int) -> DataFrame:
 
 
 def differences(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (_bucket, _row, kind, a, b: digest arrays, dealt by _bucket and _row) → (_bucket, _row, kind, only_a, only_b).
+    """``pairs`` (_id, kind, a, b: digest arrays, dealt by _id) → (_id, kind, only_a, only_b), dealt alike.
 
     ``a`` and ``b`` hold distinct digests; the counts are of digests recovered by peeling, exact
-    for every pair.
+    for every pair. All that is written down stays dealt by _id, so nothing is moved but the counts in the end.
     """
-    key = ["_bucket", "_row", "kind"]
+    key = ["_id", "kind"]
+    dealt = _partitions(pairs.sparkSession)
     done, attempt, open_pairs = [], 1, pairs  # attempt 0 are the fingerprints themselves
     while True:
         size = F.ceil(((F.size("a") + F.size("b")) * SPARE + SLACK) * 2**(attempt - 1) / TABLES).cast("int")
@@ -194,26 +204,26 @@ def differences(pairs: DataFrame) -> DataFrame:
         while True:
             for step in range(STEPS):
                 cells = _peel(cells, step % TABLES, attempt)
-            cells = staged(cells, "peeled")
+            cells = staged_by(cells, "peeled", "_id", dealt)
             got = cells.where("cell < 0").select(*key, "cell", "n")
             counts = got if counts is None else counts.union(got)
             cells = cells.where("cell >= 0")
             if cells.where(_pure()).isEmpty():
                 break
-            cells = cells.repartition("_bucket", "_row")
-        stuck = cells.select(*key).distinct()
-        failed = None if stuck.isEmpty() else staged(open_pairs.join(stuck, key, "left_semi"), "retry").repartition("_bucket", "_row")
-        if failed is not None:
-            counts = counts.join(stuck, key, "left_anti")
-        done.append(counts)
-        if failed is None:
+        # by row, as a join by several columns would move both sides
+        stuck = cells.groupBy("_id").agg(F.collect_set("kind").alias("stuck"))
+        if stuck.isEmpty():
+            done.append(counts)
             break
+        is_stuck = F.array_contains("stuck", F.col("kind"))
+        done.append(counts.join(stuck, "_id", "left").where(F.col("stuck").isNull() | ~is_stuck).drop("stuck"))
+        failed = staged_by(open_pairs.join(stuck, "_id").where(is_stuck).drop("stuck"), "retry", "_id", dealt)
         attempt, open_pairs = attempt + 1, failed
     total = done[0]
     for more in done[1:]:
         total = total.union(more)
     only = lambda cell: F.sum(F.when(F.col("cell") == cell, F.col("n")).otherwise(0))
-    return total.groupBy(*key).agg(only(-1).alias("only_a"), only(-2).alias("only_b"))
+    return total.repartition(dealt, "_id").groupBy(*key).agg(only(-1).alias("only_a"), only(-2).alias("only_b"))
 
 
 def likeness(size_a: Column, only_a: Column, only_b: Column) -> Column:
@@ -234,33 +244,33 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(doc_key().alias("_d"), F.coalesce("text", F.lit("")).alias("text")).select(
         "_d", F.xxhash64("text").alias("_h"), "text")
-    both = with_next(rows, ["text"])
+    both = with_next(rows, ["text"], [{"keys": digests(F.col("text"))}, {"_held": placed(F.col("keys"))}, {"_keys": sketch(F.col("_held"))}])
     both = both.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("half", (F.col("n_chars") / 2).cast("int"))
     edited = F.concat(F.expr("left(text, cast(n_chars - half AS int))"), F.expr("left(next_text, half)"))
-    kept = both.select("_bucket", "_row", "_d", "n_chars", edited.alias("edited"), "text", "next_text").select(
-        "_bucket", "_row", "_d", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        *[digests(F.col(t)).alias(k) for t, k in (("text", "keys"), ("edited", "edited_keys"), ("next_text", "next_keys"))])
     kinds = {0: "edited_keys", 1: "next_keys"}
-    held = kept.select("*", *[placed(F.col(k)).alias(f"_{k}") for k in ("keys", *kinds.values())])
-    cells = held.select(*kept.columns, *[sketch(F.col(f"_{k}")).alias(f"_{k}") for k in ("keys", *kinds.values())])
+    row = F.shiftleft(F.col("_bucket").cast("long"), 32) + F.col("_row")
+    both = both.select(row.alias("_id"), "_d", "n_chars", "keys", "next_keys", "_keys", F.col("next__keys").alias("_next_keys"), edited.alias("edited"))
+    kept = both.select(*both.drop("edited").columns, F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("edited")).alias("edited_keys"))
+    named = ["_id", "_d", "n_chars", "edited_sha256", "keys", *kinds.values()]
+    cells = kept.select("*", placed(F.col("edited_keys")).alias("_held")).select("*", sketch(F.col("_held")).alias("_edited_keys"))
     # a cell gives one digest at most: sizes further apart than there are cells cannot be solved
     far = F.struct(F.lit(0).alias("only_a"), F.lit(0).alias("only_b"), F.lit(False).alias("solved"))
     solve = lambda k: F.when(F.abs(F.size("keys") - F.size(k)) > TABLES * BASE, far).otherwise(
         peeled(F.col("_keys"), F.col(f"_{k}")))
-    kept = staged(cells.select(*kept.columns, *[solve(k).alias(f"first_{n}") for n, k in kinds.items()]),
-                  "paragraph-digests")
+    # dealt out once, by row: all below reads it where it lies
+    parts = _partitions(docs.sparkSession)
+    kept = cells.select(*named, *[solve(k).alias(f"first_{n}") for n, k in kinds.items()]).repartition(parts, "_id")
+    kept = staged_by(kept, "paragraph-digests", "_id", parts)
     pair = lambda n: F.when(~F.col(f"first_{n}.solved"), F.struct(F.lit(n).alias("kind"), F.col("keys").alias("a"), F.col(kinds[n]).alias("b")))
-    # dealt out once a row, before it becomes pairs
-    unsolved = kept.where(~(F.col("first_0.solved") & F.col("first_1.solved"))).select(
-        "_bucket", "_row", "keys", *kinds.values(), "first_0", "first_1").repartition("_bucket", "_row")
-    pairs = unsolved.select("_bucket", "_row", F.explode(F.array_compact(F.array(*map(pair, kinds)))).alias("p")).select("_bucket", "_row", "p.*")
+    unsolved = kept.where(~(F.col("first_0.solved") & F.col("first_1.solved")))
+    pairs = unsolved.select("_id", F.explode(F.array_compact(F.array(*map(pair, kinds)))).alias("p")).select("_id", "p.*")
     of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
-    diff = differences(pairs).groupBy("_bucket", "_row").agg(
+    diff = differences(pairs).groupBy("_id").agg(
         *[of(kind, c).alias(f"{c}_{kind}") for kind in kinds for c in ("only_a", "only_b")])
     # (equal digests leave no cell, but those are solved at first)
     count = lambda c, n: F.when(F.col(f"first_{n}.solved"), F.col(f"first_{n}.{c}")).otherwise(F.coalesce(F.col(f"{c}_{n}"), F.lit(0)))
     size = F.size("keys")
-    out = kept.join(diff, ["_bucket", "_row"], "left").select(
+    out = kept.join(diff, "_id", "left").select(
         F.when(F.col("_d") < NO_ID, F.col("_d")).alias("doc_id"), "n_chars", "edited_sha256",
         likeness(size, count("only_a", 0), count("only_b", 0)).alias("near_edited"),
         likeness(size, count("only_a", 1), count("only_b", 1)).alias("near_next"),

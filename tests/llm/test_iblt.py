@@ -157,3 +157,33 @@ def test_rows_of_one_id_are_dealt_to_several_buckets(spark):
     assert len(per) > 10 and max(per) < 1000 and sum(per) == 4100
     order = [r.text for r in got.orderBy("_d", "_h").collect()]
     assert [r.next_text for r in got.orderBy("_d", "_h").collect()] == order[1:] + order[:1]
+
+
+def test_digests_are_dealt_once(spark):
+    """The texts move once and the digests once: peeling, retries and the last join find the digests where they lie."""
+    import re as regex
+
+    from pyspark.sql import functions as F
+
+    def moved(df):
+        return regex.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+
+    rows = [(i, "\n".join(f"line {j} of {i if j % 3 else i // 2}" for j in range(30 + i))) for i in range(20)]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = {t.name for t in spark.catalog.listTables()}
+        df = iblt.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {t.name for t in spark.catalog.listTables()} == before
+        assert not [columns for columns in moved(df) if "keys" in columns]
+        assert values(df) == brute(rows)
+
+        parts = iblt._partitions(spark)
+        dealt = iblt.staged_by(spark.range(300).select((F.col("id") % 50).alias("k"), "id").repartition(parts, "k"), "test", "k", parts)
+        assert dealt.count() == 300
+        sums = dealt.groupBy("k", "id").count().groupBy("k").agg(F.sum("count").alias("n"))
+        assert moved(sums) == [] and moved(dealt.join(sums, "k")) == []
+        assert {r.n for r in dealt.join(sums, "k").collect()} == {6}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
