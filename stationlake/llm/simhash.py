@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm.common import NO_ID, doc_key, staged, table, worker_state
-from stationlake.llm.components import components
+from stationlake.llm.components import components, sized
 
 BITS = 64
 SPLIT = 6                  # trie levels a crowded node is opened by at a time
@@ -262,10 +262,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, leaf: in
     prints = staged(fingerprints(docs, words), "fingerprints")
     classes = staged(prints.groupBy("_fp").agg(F.min("_d").alias("_first")), "fingerprint-classes")
     roots = components(trie_links(classes.select(F.col("_fp").alias("fp")), max_bits, leaf))
-    tagged = staged(classes.join(roots, classes["_fp"] == roots["node"], "left").select(
-        "_fp", "_first", F.coalesce("root", "_fp").alias("_root")), "fingerprint-roots")
-    smallest = staged(tagged.groupBy("_root").agg(F.min("_first").alias("_component")), "fingerprint-components")
-    out = prints.join(tagged.join(smallest, "_root").select("_fp", "_component"), "_fp")
+    # a fingerprint without links is a component of its own: only the linked ones meet their component's others
+    smallest = (classes.join(roots, classes["_fp"] == roots["node"])
+                .groupBy("root").agg(F.min("_first").alias("_component")))
+    linked = staged(sized(roots.join(smallest, "root").select(F.col("node").alias("_fp"), "_component"), roots.count()),
+                    "fingerprint-components")
+    out = prints.join(classes.join(linked, "_fp", "left").select(
+        "_fp", F.coalesce("_component", "_first").alias("_component")), "_fp")
     return out.select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"),
                       F.when(F.col("_component") < NO_ID, F.col("_component")).alias("component_id"))
 
