@@ -252,3 +252,61 @@ def test_paths_that_are_not_aligned_are_judged_by_all_streams(spark):
         assert len(wrapper) <= max(aligned, 0)
     want = {s: [True, True] + [False] * (i % 2) + [False, False] for i, s, _, _ in streams}
     assert all(k == want for k in kept.values()), kept
+
+
+def test_matching_blocks_are_those_of_difflib():
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(5)
+    for _ in range(3000):
+        k = rng.choice([2, 4, 9, 30])
+        a, b = [[rng.randrange(k) for _ in range(rng.randrange(40))] for _ in range(2)]
+        if rng.random() < 0.5:  # parts of the other in another order
+            i, j = sorted(rng.randrange(len(a) + 1) for _ in range(2))
+            b = [x for x in a[j:] + a[i:j] + a[:i] if rng.random() < 0.9]
+        want = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()[:-1]
+        assert H.matches(a, H._places(b)) == [tuple(m) for m in want], (a, b)
+
+
+def streams_of(spark, hosts):
+    """What ``infer_wrappers`` takes, of {host: pages}."""
+    fields = ("path", "flags", "text_hash", "chars", "linked", "rank", "inside", "heading")
+    rows = [(h, *got[:2], [dict(zip(fields, x)) for x in got[2]]) for h, pages in hosts.items() for got in map(H.page_stream, pages)]
+    return spark.createDataFrame(rows, "_host string, _stream long, _content long, " + f"_slots array<struct<{H._SLOT}>>")
+
+
+def kept_by_stream(df, aligned):
+    return {(r._host, r._stream): H.kept_slots(json.loads(r.stream), json.loads(r.wrapper), r.varies) for r in H.infer_wrappers(df, aligned).collect()}
+
+
+def test_slots_beyond_those_handed_whole_are_aligned_too(spark):
+    """A notice that some pages have above their greeting: the greeting is the second paragraph there and the first elsewhere,
+    and the same place of the expression. Counted by path it would stay, as the n-th paragraphs differ."""
+    own = lambda i: f"<div class=k{'abcdefgh'[i]}><p>Own {i}</p></div><div class=r{'abcdefgh'[i]}><p>More {i}</p></div>"
+    pages = [page(("<p>Notice</p><pre>code</pre>" if i % 2 else "") + f"<p>Welcome</p><h2>Story {i}</h2><p>Text of {i}</p>" + own(i)) for i in range(8)]
+    df = streams_of(spark, {"shift.example": pages})
+    want = {("shift.example", H.page_stream(p)[0]): [False, False] * (i % 2) + [False, True, True, True, True] for i, p in enumerate(pages)}
+    assert all(kept_by_stream(df, aligned) == want for aligned in (0, 5, H.ALIGNED))
+
+
+def test_large_wrappers_decide_as_those_handed_whole(spark):
+    """Random hosts: paths in any order, several times on a page, on one page alone, copies of streams with other text."""
+    import random
+
+    rng = random.Random(8)
+    hosts = {}
+    for h in range(12):
+        tags = [f"div class={x}" for x in "abcdefghijklm"[:3 + h]] + ["p", "pre", "article", "nav", "div class=col-sidebar"]
+        for i in range(9):
+            body = []
+            for k in range(rng.randrange(1, 14)):
+                tag = f"div class=own{'abcdefghi'[i]}{'xyz'[k % 3]}" if rng.random() < 0.3 else rng.choice(tags)
+                text = f"text {k} {rng.randrange(3) if rng.random() < 0.6 else 0}"
+                body.append(f"<{tag}>" + (f"<a href=x>{text}</a>" if rng.random() < 0.2 else text) + f"</{tag.split()[0]}>")
+            copies = ["".join(body), "".join(b.replace("text", "other") if rng.random() < 0.5 else b for b in body)]
+            hosts.setdefault(f"h{h}.example", []).extend(map(page, copies[:1 + i % 2]))
+    df = streams_of(spark, hosts)
+    whole = kept_by_stream(df, H.ALIGNED)
+    assert len(whole) > 90 and len({tuple(k) for k in whole.values()}) > 20
+    assert kept_by_stream(df, 0) == kept_by_stream(df, 12) == whole
